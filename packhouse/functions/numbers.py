@@ -37,6 +37,11 @@ def round_half_up(x: Column, digits: int = 2) -> Column:
     return dbl(F.floor(dbl(x) * scale + 0.5)) / scale
 
 
+def cents(x: Column) -> Column:
+    """A computed double as money."""
+    return money(round_half_up(x, 2))
+
+
 def to_fixed(x: Column, digits: int) -> Column:
     """Round on the exact binary value of the double, ties away from zero.
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packhouse.config import Params, Settings
 from packhouse.functions import rules
-from packhouse.functions.numbers import LINE_MONEY, money, round_half_up, zero_if_null
+from packhouse.functions.numbers import LINE_MONEY, cents, money, zero_if_null
 from packhouse.operators import quality
 from packhouse.operators.changes import DELETE, UPSERT, apply_changes, without
 from packhouse.operators.lookups import fold_children, with_parent
@@ -60,7 +58,7 @@ def price_fanout_clients(t, p: Params) -> DataFrame:
 
 def price_apply_to_client(t, p: Params, client_id: str = "1") -> DataFrame:
     """Set every product's price per kg as one client's price."""
-    price = money(round_half_up(rules.price_per_kg(F.col("pack_price"), F.col("pack_size")), 2))
+    price = cents(rules.price_per_kg(F.col("pack_price"), F.col("pack_size")))
     rows = calculator_rows(t, p).select(F.lit(client_id).alias("client_id"), "product_id", price.alias("selling_price"))
     return apply_changes(
         t.client_pricing("client_id", "product_id", "selling_price"), _as_upserts(rows, p), PRICE_KEY, ["selling_price"]
@@ -116,7 +114,7 @@ def _line_sums(lines: DataFrame, client_type: str = "client_type") -> DataFrame:
         lines,
         "order_id",
         line_count=F.count(F.lit(1)),
-        line_revenue=F.sum(money(revenue)),
+        line_revenue=F.sum(cents(revenue)),
         line_cost=F.sum(F.col("cost_used") * F.col("quantity")),
     )
 
@@ -133,7 +131,7 @@ def _stored_lines(lines: DataFrame) -> DataFrame:
         "quantity",
         "selling_price_used",
         "cost_used",
-        money(revenue).alias("total_revenue"),
+        cents(revenue).alias("total_revenue"),
         (F.col("cost_used") * F.col("quantity")).cast(LINE_MONEY).alias("total_cost"),
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from packhouse.config import Params
 from packhouse.functions import rules, text
-from packhouse.functions.numbers import MONEY, dbl, money, parse_float, parse_int, pct, round_half_up, zero_if_null
+from packhouse.functions.numbers import MONEY, cents, dbl, money, parse_float, parse_int, pct, round_half_up, zero_if_null
 from packhouse.operators import quality
 from packhouse.operators.lookups import fold_children, with_parent
 from packhouse.operators.slices import numbered
@@ -41,7 +41,7 @@ def line_revenue(t, p: Params) -> DataFrame:
     revenue = rules.line_revenue(
         rules.is_supermarket(F.col("client_type")), F.col("selling_price_used"), F.col("quantity"), packs
     )
-    return items.select(F.col("id").alias("item_id"), packs.alias("packs"), money(revenue).alias("revenue"))
+    return items.select(F.col("id").alias("item_id"), packs.alias("packs"), cents(revenue).alias("revenue"))
 
 
 def pack_recovery_kg(t, p: Params) -> DataFrame:
@@ -100,8 +100,8 @@ def order_economics(t, p: Params) -> DataFrame:
     folded = fold_children(
         items,
         "order_id",
-        by_pack=F.sum(money(rules.line_revenue(F.lit(True), price, quantity, F.col("packs")))),
-        by_unit=F.sum(money(dbl(price) * dbl(quantity))),
+        by_pack=F.sum(cents(rules.line_revenue(F.lit(True), price, quantity, F.col("packs")))),
+        by_unit=F.sum(cents(dbl(price) * dbl(quantity))),
         farmer=F.sum(F.col("cost_used") * quantity),
     )
     orders = _order_client_types(t, "transport_cost", "packaging_cost")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from packhouse.config import Params
 from packhouse.functions import rules
-from packhouse.functions.numbers import money, round_half_up
+from packhouse.functions.numbers import cents
 from packhouse.operators import quality
 from packhouse.operators.lookups import with_parent
 
@@ -26,7 +26,7 @@ def with_waste(batches: DataFrame, products: DataFrame, packaging=None) -> DataF
             "waste_qty": waste,
             "waste_percentage": rules.waste_percentage(waste, F.col("harvested_qty")),
             "raw_waste_value": raw,
-            "waste_value": money(round_half_up(raw, 2)),
+            "waste_value": cents(raw),
         }
     ).drop("_cost")
 

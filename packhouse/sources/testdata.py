@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from packhouse.config import Settings
 from packhouse.functions import rules
-from packhouse.functions.numbers import LINE_MONEY, dbl, money, pct, round_half_up
+from packhouse.functions.numbers import LINE_MONEY, cents, dbl, money, pct, round_half_up
 from packhouse.operators.lookups import with_parent
 from packhouse.sources.schemas import schema
 
@@ -222,7 +222,7 @@ class Testdata:
         if "waste_value" in wanted:
             batches = with_parent(batches, self.products("id", "cost_per_unit"), "product_id", {"cost": "cost_per_unit"})
             value = rules.raw_waste_value(waste, F.col("cost"), F.lit(0))
-            batches = batches.withColumn("waste_value", money(round_half_up(value, 2)))
+            batches = batches.withColumn("waste_value", cents(value))
         return batches.withColumn("created_at", F.col("harvest_date").cast("timestamp")).select(*wanted)
 
     def waste_links(self) -> DataFrame:
@@ -253,7 +253,7 @@ class Testdata:
         wanted = self._columns("client_pricing_history", cols)
         priced = self._priced(self.lines())
         dated = with_parent(priced, self._headers(), "order_id", {"changed_at": "created_at"})
-        price = money(round_half_up(F.col("selling_price_used"), 2))
+        price = cents(F.col("selling_price_used"))
         return dated.withColumn("selling_price", price).select(*wanted)
 
     def client_pricing(self, *cols: str) -> DataFrame:
@@ -347,14 +347,14 @@ class Testdata:
 
     def _feed(self) -> DataFrame:
         """The line table as a change feed: returned lines delete, seventh lines name new products."""
-        price = round_half_up(dbl(F.col("total_revenue")) / dbl(F.col("quantity")), 2)
+        price = dbl(F.col("total_revenue")) / dbl(F.col("quantity"))
         new = F.col("line_number") == 7
         return self.lines().select(
             "order_id",
             F.when(new, F.concat(F.lit("new-"), F.col("product_id"))).otherwise(F.col("product_id")).alias("product_id"),
             F.col("product_id").alias("known_product_id"),
             F.concat(F.lit("supplied by "), F.col("supplier")).alias("name"),
-            money(price).alias("price"),
+            cents(price).alias("price"),
             F.col("discount"),
             F.when(F.col("return_flag") == "R", "delete").otherwise("upsert").alias("op"),
             F.col("ship_date").cast("timestamp").alias("changed_at"),
@@ -416,7 +416,7 @@ class Testdata:
         )
         price = rules.suggested_price(F.col("cost_per_unit"), F.col("margin"), self.settings())
         return offers.select(
-            F.col("id").alias("request_id"), F.col("id").alias("product_id"), money(round_half_up(price, 2)).alias("selling_price")
+            F.col("id").alias("request_id"), F.col("id").alias("product_id"), cents(price).alias("selling_price")
         )
 
     def offer_picks(self) -> DataFrame:
@@ -536,6 +536,6 @@ class Testdata:
         return self._read("part").select(
             text(F.col("p_partkey")).alias("product_id"),
             F.when(size < 5, "").otherwise(typed).alias("new_size"),
-            text(money(round_half_up(F.col("p_retailprice") * size / 10, 2))).alias("new_price"),
+            text(cents(F.col("p_retailprice") * size / 10)).alias("new_price"),
             text(size).alias("new_margin"),
         )
