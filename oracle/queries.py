@@ -64,7 +64,9 @@ FROM w_items i LEFT JOIN w_products p ON p.id = i.product_id LEFT JOIN w_heads h
     "client_order_count": """
 SELECT c.id AS client_id, COUNT(h.id) AS order_count FROM w_clients c LEFT JOIN w_heads h ON h.client_id = c.id GROUP BY c.id""",
     "client_orders": f"""
-SELECT id, client_id, {s('order_date')} AS order_date, {s('delivery_date')} AS delivery_date, {d('total_revenue')} AS total_revenue FROM w_orders""",
+SELECT o.id, o.client_id, {s('order_date')} AS order_date, {s('delivery_date')} AS delivery_date, {d('total_revenue')} AS total_revenue,
+  c.name || ' — ' || {s('delivery_date')} || ' — ' || {s('total_revenue')} || ' EGP' AS option_text
+FROM w_orders o JOIN w_clients c ON c.id = o.client_id""",
     "pricing_by_client": """
 SELECT client_id, coalesce(c.name, 'Unknown') AS client_name, CASE WHEN c.type = 'supermarket' THEN 'Supermarket' ELSE 'Restaurant' END AS badge,
   COUNT(*) AS product_count FROM w_pricing r LEFT JOIN w_clients c ON c.id = client_id GROUP BY ALL ORDER BY client_name, client_id""",

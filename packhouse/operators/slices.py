@@ -46,25 +46,25 @@ def numbered(
     )
 
 
-def with_previous(
-    rows: DataFrame, key: str, bucket: str, order: list[str], value: str, name: str
+def with_neighbour(
+    rows: DataFrame, key: str, slice_: str, order: list[str], value: str, name: str, following: bool = False
 ) -> DataFrame:
-    """Add the value of the row before, within ``key``, by ``order``.
+    """Add the value of the row before (or after), within ``key``, by ``order``.
 
-    ``bucket`` is a column that rises with ``order``.  The first row of a bucket
-    takes the last value of the nearest earlier bucket.
+    ``slice_`` is a column that rises with ``order``.  The outermost row of a slice
+    takes its value from the nearest slice that has any rows.
     """
-    inside = Window.partitionBy(key, bucket).orderBy(*order)
-    last = rows.groupBy(key, bucket).agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
-    carried = last.select(
-        key, bucket, F.lag("_last").over(Window.partitionBy(key).orderBy(bucket)).alias("_carried")
-    )
+    inside = Window.partitionBy(key, slice_).orderBy(*order)
+    across = Window.partitionBy(key).orderBy(slice_)
+    edge, step = (F.min_by, F.lead) if following else (F.max_by, F.lag)
+    # A struct, so that a null value still counts as a row.
+    edges = rows.groupBy(key, slice_).agg(edge(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_edge"))
+    carried = edges.select(key, slice_, step("_edge").over(across).alias("_carried"))
     return (
-        rows.withColumn("_first", F.row_number().over(inside) == 1)
-        .withColumn("_lag", F.lag(value).over(inside))
-        .join(carried, [key, bucket], "left")
-        .withColumn(name, F.when(F.col("_first"), F.col(f"_carried.{value}")).otherwise(F.col("_lag")))
-        .drop("_first", "_lag", "_carried")
+        rows.withColumn("_near", step(F.struct(F.col(value).alias("v"))).over(inside))
+        .join(carried, [key, slice_], "left")
+        .withColumn(name, F.coalesce("_near", "_carried").getField("v"))
+        .drop("_near", "_carried")
     )
 
 

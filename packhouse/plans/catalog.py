@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from packhouse.config import Params
 from packhouse.functions import rules
 from packhouse.functions.numbers import pct
-from packhouse.functions.text import UNKNOWN
+from packhouse.functions.text import DASH, UNKNOWN
 from packhouse.operators.lookups import with_parent
 from packhouse.operators.slices import numbered, paged_lists
 
@@ -49,7 +49,8 @@ def price_history(t, p: Params) -> DataFrame:
     versions = numbered(
         history,
         keys=["client_id", "product_id"],
-        slices=[F.trunc("changed_at", "month")],
+        # A day of one client and product, cut further by the first characters of the id.
+        slices=[F.to_date("changed_at"), F.substring("id", 1, 3)],
         order=[F.col("changed_at").desc(), F.col("id").desc()],
         name="version",
         descending=True,
@@ -84,20 +85,26 @@ def order_documents(t, p: Params) -> DataFrame:
     item_fields = ["id", "product_id", "product_name", "unit", "quantity", "selling_price_used", "cost_used", "total_revenue", "total_cost"]
     items = F.sort_array(F.collect_list(F.struct(*item_fields))).alias("items")
     lists = paged_lists(_items_with_product(t), ["order_id"], "id", PAGE_ROWS, items)
-    heads = _order_heads(t)
     return (
-        heads.join(lists, heads.id == lists.order_id, "left")
-        .drop("order_id")
+        _order_heads(t)
+        .withColumnRenamed("id", "order_id")
+        .join(lists, "order_id", "left")
         .withColumn("page", F.coalesce("page", F.lit(0)))
     )
 
 
 def order_documents_flat(t, p: Params) -> DataFrame:
-    """One row per order and item; orders without items keep one row."""
+    """One row per order and item; orders without items keep one row.
+
+    The items lead the join, so that the lines of one very large order can be split
+    over many tasks; orders without items are added by an anti join on distinct keys.
+    """
     item = {"id": "item_id", "total_revenue": "line_revenue", "total_cost": "line_cost"}
     items = _items_with_product(t).withColumnsRenamed(item)
     heads = _order_heads(t).withColumnRenamed("id", "order_id")
-    return heads.join(items, "order_id", "left")
+    ordered = t.order_items("order_id").distinct()
+    empty = heads.join(ordered, "order_id", "left_anti")
+    return items.join(heads, "order_id", "inner").unionByName(empty, allowMissingColumns=True)
 
 
 def batches_with_product(t, p: Params) -> DataFrame:
@@ -131,14 +138,14 @@ def receivables_aging(t, p: Params) -> DataFrame:
         rows.withColumn("days", days)
         .select(
             "id",
-            F.coalesce("client_name", F.lit("—")).alias("client_name"),
+            F.coalesce("client_name", F.lit(DASH)).alias("client_name"),
             "invoice_date",
             "due_date",
             "amount",
             F.col("days").alias("days_past_due"),
             F.coalesce(overdue, F.lit(False)).alias("is_overdue"),
             F.when(overdue, "overdue").otherwise(F.col("status")).alias("badge"),
-            F.when(~open_, "—")
+            F.when(~open_, DASH)
             .when(F.col("days") > 0, F.concat(F.col("days").cast("string"), F.lit("d overdue")))
             .otherwise(left)
             .alias("days_text"),
@@ -162,11 +169,14 @@ def client_order_count(t, p: Params) -> DataFrame:
 
 
 def client_orders(t, p: Params, client_id: str | None = None) -> DataFrame:
-    """The orders to choose from once a client is chosen; all clients when none is."""
+    """The orders to choose from once a client is chosen (all clients when none is), with the text of each choice."""
     orders = t.orders("id", "client_id", "order_date", "delivery_date", "total_revenue")
     if client_id:
         orders = orders.filter(F.col("client_id") == client_id)
-    return orders
+    orders = with_parent(orders, t.clients("id", "name"), "client_id", {"client_name": "name"})
+    amount = F.coalesce("total_revenue", F.lit(0)).cast("decimal(18,2)").cast("string")
+    parts = [F.coalesce("client_name", F.lit(DASH)), F.col("delivery_date").cast("string"), F.concat(amount, F.lit(" EGP"))]
+    return orders.withColumn("option_text", F.concat_ws(f" {DASH} ", *parts)).drop("client_name")
 
 
 def client_price_map(t, p: Params) -> DataFrame:

@@ -155,7 +155,7 @@ def _header_columns(rows: DataFrame) -> DataFrame:
 def computed_headers(headers: DataFrame, lines: DataFrame, clients: DataFrame, p: Params) -> DataFrame:
     """Order headers with their figures worked out from form lines; orders without lines drop out."""
     sums = _line_sums(with_parent(lines, _with_type(headers, clients), "order_id", {"client_type": "client_type"}))
-    joined = headers.join(sums, headers.id == sums.order_id, "inner").drop("order_id")
+    joined = headers.join(sums.withColumnRenamed("order_id", "id"), "id", "inner")
     return _header_columns(economics(joined, p))
 
 
@@ -321,18 +321,19 @@ def apply_batches(batches: DataFrame, forms: DataFrame, edits: DataFrame, produc
     )
     taken_in = quality.valid(quality.with_failures(taken_in, quality.batch_rules()))
     columns = [*batches.columns]
-    new = with_waste(taken_in, products, F.col("packaging_cost")).select(*columns)
-    edited = edits.select(F.col("id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in edits.columns if c != "id"])
-    old = batches.join(edited, batches.id == F.col("_id"), "left")
-    hit = F.col("_id").isNotNull()
+    new = with_waste(taken_in, products, F.col("packaging_cost"))
+    new = new.select(*[c for c in columns if c in new.columns])
+    edited = edits.select("id", F.lit(True).alias("_hit"), *[F.col(c).alias(f"_{c}") for c in edits.columns if c != "id"])
+    old = batches.join(edited, "id", "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
+    hit = F.col("_hit")
     quantities = ["harvested_qty", "damaged_qty", "expired_qty"]
     stored = {c: F.col(c) for c in ("waste_percentage", "waste_value")}
-    old = old.withColumns({f"_old_{c}": col for c, col in stored.items()} | {"_hit": hit})
+    old = old.withColumns({f"_old_{c}": col for c, col in stored.items()})
     old = old.withColumns({c: F.when(hit, zero_if_null(F.col(f"_{c}"))).otherwise(F.col(c)) for c in quantities})
     again = with_waste(old, products).withColumns(
         {c: F.when(F.col("_hit"), F.col(c)).otherwise(F.col(f"_old_{c}")) for c in stored}
     )
-    return again.select(*columns).unionByName(new)
+    return again.select(*columns).unionByName(new, allowMissingColumns=True)
 
 
 def batch_intake(t, p: Params) -> DataFrame:

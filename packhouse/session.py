@@ -15,6 +15,11 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Merge the sessions of a busy key before they are shuffled.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Call sites are recorded per column expression otherwise, at half the cost of building a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -28,6 +33,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int, partition_bytes: int = 128 * 1024 * 1024) -> SparkSession:
+    """Start shuffles with enough partitions for the data; adaptive execution merges the small ones."""
+    wanted = max(200, -(-shuffled_bytes // partition_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return spark
+
+
 def local_session(app: str = "packhouse", cpus: str = "*", partitions: int = 8) -> SparkSession:
     """A session for tests and the bench on one machine."""
     spark = (
@@ -36,6 +49,7 @@ def local_session(app: str = "packhouse", cpus: str = "*", partitions: int = 8)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

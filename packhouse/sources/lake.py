@@ -3,9 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from packhouse.config import Settings
+from packhouse.sources import documents
 from packhouse.sources.schemas import read_table
 
+# Folders of JSON documents, one document per line, and of change requests.
+DOCUMENTS = ("pricing_settings_doc", "product_margins", "weight_variants", "capital_ledger", "waste_links")
+REQUESTS = (
+    "product_changes",
+    "client_changes",
+    "price_changes",
+    "margin_changes",
+    "variant_changes",
+    "deleted_orders",
+    "price_offers",
+    "offer_picks",
+    "batch_forms",
+    "batch_edits",
+    "payment_actions",
+    "ledger_additions",
+    "ledger_deletes",
+    "draft_lines",
+    "reassigned_lines",
+    "pricing_entries",
+    "change_events",
+)
+
 
 class Lake:
     """The table interface the plans are written against.
@@ -44,3 +69,49 @@ class Lake:
 
     def client_pricing(self, *cols: str) -> DataFrame:
         return self._table("client_pricing", cols)
+
+    # ---------------------------------------------------------- documents
+
+    def _documents(self, name: str) -> DataFrame:
+        return self.spark.read.text(f"{self.root}/{name}").select(F.col("value").alias("doc"))
+
+    def settings_documents(self) -> DataFrame:
+        return self._documents("pricing_settings_doc")
+
+    def margin_documents(self) -> DataFrame:
+        return self._documents("product_margins")
+
+    def variant_documents(self) -> DataFrame:
+        return self._documents("weight_variants")
+
+    def ledger_documents(self) -> DataFrame:
+        return self._documents("capital_ledger")
+
+    def margins(self) -> DataFrame:
+        return documents.margins(self.margin_documents())
+
+    def variants(self) -> DataFrame:
+        return documents.variants(self.variant_documents())
+
+    def ledger(self) -> DataFrame:
+        return documents.ledger(self.ledger_documents())
+
+    def waste_links(self) -> DataFrame:
+        return documents.waste_links(self._documents("waste_links"))
+
+    def settings(self) -> Settings:
+        """The saved settings: one document, so one row."""
+        rows = documents.resolved_settings(self.settings_documents()).limit(1).collect()
+        return Settings(rows[0].overhead_pct, rows[0].labor_pct) if rows else Settings()
+
+    # ----------------------------------------------------- change requests
+
+    def __getattr__(self, name: str):
+        """A change request of that name: a Parquet folder under ``changes``."""
+        if name in REQUESTS:
+            return lambda: self.spark.read.parquet(f"{self.root}/changes/{name}")
+        raise AttributeError(name)
+
+    def order_updates(self) -> tuple[DataFrame, DataFrame]:
+        base = f"{self.root}/changes"
+        return self.spark.read.parquet(f"{base}/order_update_headers"), self.spark.read.parquet(f"{base}/order_update_lines")

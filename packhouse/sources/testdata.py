@@ -7,7 +7,7 @@ the whole tables, lazily, and only as far as the requested columns need.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +28,28 @@ def text(c):
     return c.cast("string")
 
 
+def once(build):
+    """Build a frame once per binding and arguments: later plans share it, and Spark its exchanges."""
+
+    @wraps(build)
+    def shared(self, *args):
+        key = (build.__name__, args)
+        if key not in self._frames:
+            self._frames[key] = build(self, *args)
+        return self._frames[key]
+
+    return shared
+
+
 class Testdata:
     __test__ = False  # not a test class
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._frames: dict[tuple, DataFrame] = {}
 
+    @once
     def _read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{table}.parquet")
 
@@ -44,6 +59,7 @@ class Testdata:
 
     # ------------------------------------------------------------ dimensions
 
+    @once
     def clients(self, *cols: str) -> DataFrame:
         key = F.col("c_custkey")
         known = key % 3 != 0
@@ -64,6 +80,7 @@ class Testdata:
             .select(*self._columns("clients", cols))
         )
 
+    @once
     def products(self, *cols: str) -> DataFrame:
         key = F.col("p_partkey")
         return (
@@ -83,6 +100,7 @@ class Testdata:
 
     # ---------------------------------------------------------- order lines
 
+    @once
     def lines(self) -> DataFrame:
         """Order lines with the raw facts the bindings draw on."""
         ship = F.col("l_shipdate").cast("date")
@@ -105,6 +123,7 @@ class Testdata:
             ship.alias("ship_date"),
         )
 
+    @once
     def _headers(self) -> DataFrame:
         day = F.col("o_orderdate").cast("date")
         return self._read("orders").select(
@@ -118,8 +137,10 @@ class Testdata:
             money(F.col("o_totalprice")).alias("quoted_price"),
         )
 
+    @once
     def _order_types(self) -> DataFrame:
-        return with_parent(self._headers().select("id", "client_id"), self.clients("id", "type"), "client_id", {"client_type": "type"})
+        heads = self._headers().select("id", "client_id", "created_at")
+        return with_parent(heads, self.clients("id", "type"), "client_id", {"client_type": "type"})
 
     def _priced(self, lines: DataFrame) -> DataFrame:
         """Add the price a line was sold at: per quarter-kilo pack for a supermarket's kg goods, else per unit."""
@@ -127,10 +148,11 @@ class Testdata:
         packs = dbl(F.col("quantity")) * 4
         revenue = dbl(F.col("total_revenue"))
         price = F.when(packed, revenue / packs).otherwise(revenue / dbl(F.col("quantity")))
-        return with_parent(
-            lines, self._order_types(), "order_id", {"client_id": "client_id", "client_type": "client_type"}
-        ).withColumn("selling_price_used", F.when(F.col("quantity") > 0, price))
+        head = {"client_id": "client_id", "client_type": "client_type", "ordered_at": "created_at"}
+        priced = with_parent(lines, self._order_types(), "order_id", head)
+        return priced.withColumn("selling_price_used", F.when(F.col("quantity") > 0, price))
 
+    @once
     def order_items(self, *cols: str) -> DataFrame:
         wanted = self._columns("order_items", cols)
         items = self.lines()
@@ -143,6 +165,7 @@ class Testdata:
 
     # --------------------------------------------------------------- orders
 
+    @once
     def orders(self, *cols: str) -> DataFrame:
         wanted = self._columns("orders", cols)
         orders = self._headers()
@@ -162,6 +185,7 @@ class Testdata:
             )
         return orders.select(*wanted)
 
+    @once
     def _order_totals(self, with_cost: bool) -> DataFrame:
         lines = self.lines()
         revenue = F.col("total_revenue")
@@ -176,6 +200,7 @@ class Testdata:
         totals = lines.groupBy(F.col("order_id").alias("id")).agg(*sums)
         return totals.withColumn("total_revenue", money(F.col("total_revenue")))
 
+    @once
     def payments(self, *cols: str) -> DataFrame:
         wanted = self._columns("payments", cols)
         orders = self.orders("id", "client_id", "order_date", "delivery_date", "total_revenue", "order_status", "created_at")
@@ -194,6 +219,7 @@ class Testdata:
 
     # ----------------------------------------------------------- inventory
 
+    @once
     def _batch_rollup(self) -> DataFrame:
         month = F.trunc("ship_date", "month")
         qty = F.col("quantity")
@@ -214,6 +240,7 @@ class Testdata:
             .withColumn("id", F.concat_ws("-", "product_id", F.date_format("harvest_date", "yyyyMM")))
         )
 
+    @once
     def batches(self, *cols: str) -> DataFrame:
         wanted = self._columns("inventory_batches", cols)
         batches = self._batch_rollup()
@@ -225,6 +252,7 @@ class Testdata:
             batches = batches.withColumn("waste_value", cents(value))
         return batches.withColumn("created_at", F.col("harvest_date").cast("timestamp")).select(*wanted)
 
+    @once
     def waste_links(self) -> DataFrame:
         """Batch to order links, keyed by batch id (kg goods) or by product and harvest date."""
         linked = self._batch_rollup().filter(F.col("linked_order").isNotNull())
@@ -249,13 +277,13 @@ class Testdata:
 
     # ------------------------------------------------------------- prices
 
+    @once
     def price_history(self, *cols: str) -> DataFrame:
         wanted = self._columns("client_pricing_history", cols)
-        priced = self._priced(self.lines())
-        dated = with_parent(priced, self._headers(), "order_id", {"changed_at": "created_at"})
-        price = cents(F.col("selling_price_used"))
-        return dated.withColumn("selling_price", price).select(*wanted)
+        priced = self._priced(self.lines()).withColumnRenamed("ordered_at", "changed_at")
+        return priced.withColumn("selling_price", cents(F.col("selling_price_used"))).select(*wanted)
 
+    @once
     def client_pricing(self, *cols: str) -> DataFrame:
         wanted = self._columns("client_pricing", cols)
         latest = (
@@ -268,6 +296,7 @@ class Testdata:
         )
         return latest.withColumn("id", F.concat_ws("-", F.lit("cp"), "client_id", "product_id")).select(*wanted)
 
+    @once
     def margins(self) -> DataFrame:
         key = F.col("p_partkey")
         return (
@@ -276,6 +305,7 @@ class Testdata:
             .select(text(key).alias("product_id"), dbl((key % 7) * 5).alias("profit_margin_pct"))
         )
 
+    @once
     def variants(self) -> DataFrame:
         stored = self.products("id", "cost_per_unit").filter(F.col("id").cast("long") % 3 != 0)  # the rest have none
         weights = F.posexplode(F.array(*[F.lit(w) for w in rules.DEFAULT_WEIGHTS])).alias("position", "weight")
@@ -321,6 +351,7 @@ class Testdata:
 
     # ------------------------------------------------------------- ledger
 
+    @once
     def ledger(self) -> DataFrame:
         kind = F.col("event_type")
         return self._read("events").select(
@@ -345,6 +376,7 @@ class Testdata:
 
     # ----------------------------------------------------- change requests
 
+    @once
     def _feed(self) -> DataFrame:
         """The line table as a change feed: returned lines delete, seventh lines name new products."""
         price = dbl(F.col("total_revenue")) / dbl(F.col("quantity"))

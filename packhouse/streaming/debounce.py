@@ -9,45 +9,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhouse.operators.slices import with_previous
+from packhouse.operators.slices import with_neighbour
 from packhouse.session import work_dir
 
-DAY_SECONDS = 86_400
+DAY = 86_400 * 1_000_000  # microseconds
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def changed_only(saves: DataFrame) -> DataFrame:
-    """Drop saves that repeat the key's save before; ``bucket`` rises with time."""
-    named = with_previous(saves, "key", "bucket", ["ts", "seq"], "value", "_before")
-    return named.filter(~F.col("_before").eqNullSafe(F.col("value"))).drop("_before")
+def with_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("day", F.expr(f"unix_micros(ts) div {DAY}"))
 
 
-def with_bucket(events: DataFrame, gap_seconds: int) -> DataFrame:
-    """Time slices at least as long as the gap."""
-    width = max(gap_seconds, DAY_SECONDS) * 1_000_000
-    return events.withColumn("bucket", F.floor(F.unix_micros("ts") / width))
+def changed_only(saves: DataFrame) -> DataFrame:
+    """Drop saves that repeat the key's save before; ``day`` rises with time."""
+    named = with_neighbour(saves, "key", "day", ["ts", "seq"], "value", "_before")
+    return named.filter(~F.col("_before").eqNullSafe(F.col("value"))).drop("_before")
 
 
-def debounced(events: DataFrame, gap_seconds: int) -> DataFrame:
+def debounced(events: DataFrame, gap_seconds: float) -> DataFrame:
     """The saves of a finished feed of (key, ts, seq, value).
 
     A change is saved when the next one of its key comes more than the gap later.
-    Within a time slice the next change is a window away; beyond it only the first
-    change of the next slice can be near enough, so no key is ever handled whole.
+    Time is cut into steps as long as the gap: within a step only the last change can
+    be one, so each key and step is first reduced to that change and the time of its
+    first, map-side.  What is left of a key is compared day by day.
     """
-    from pyspark.sql import Window
-
-    sliced = with_bucket(events, gap_seconds)
-    inside = Window.partitionBy("key", "bucket").orderBy("ts", "seq")
-    firsts = sliced.groupBy("key", F.col("bucket") - 1).agg(F.min("ts").alias("_first")).toDF("key", "bucket", "_first")
-    following = F.coalesce(F.lead("ts").over(inside), F.col("_first"))
-    saves = (
-        sliced.join(firsts, ["key", "bucket"], "left")
-        .withColumn("_next", following)
-        .filter(F.col("_next").isNull() | (F.unix_micros("_next") - F.unix_micros("ts") > gap_seconds * 1_000_000))
-        .drop("_first", "_next")
+    gap = int(gap_seconds * 1_000_000)
+    stamped = events.withColumn("step", F.expr(f"unix_micros(ts) div {gap}"))
+    steps = (
+        stamped.groupBy("key", "step")
+        .agg(F.min("ts").alias("first_ts"), F.max(F.struct("ts", "seq", "value")).alias("last"))
+        .select("key", "step", "first_ts", "last.*")
     )
-    return changed_only(saves).drop("bucket")
+    steps = with_day(steps)
+    ahead = with_neighbour(steps, "key", "day", ["step"], "first_ts", "next_ts", following=True)
+    ends = F.col("next_ts").isNull() | (F.unix_micros("next_ts") - F.unix_micros("ts") > gap)
+    return changed_only(ahead.filter(ends).select("key", "ts", "seq", "value", "day")).drop("day")
 
 
 def stream_sessions(events: DataFrame, gap_seconds: int, lateness: str) -> DataFrame:
@@ -68,21 +65,20 @@ class SavedValues:
     batch that is run again starts from the same version and writes the same rows.
     """
 
-    def __init__(self, folder: str, gap_seconds: int):
+    def __init__(self, folder: str):
         self.saves = f"{folder}/saves"
         self.latest = f"{folder}/latest"
-        self.gap_seconds = gap_seconds
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = with_bucket(batch, self.gap_seconds)
+        rows = with_day(batch)
         if batch_id > 0:
             rows = rows.unionByName(self._version(spark, batch_id - 1).withColumn("_old", F.lit(True)), allowMissingColumns=True)
         else:
             rows = rows.withColumn("_old", F.lit(None).cast("boolean"))
-        fresh = changed_only(rows).filter(F.col("_old").isNull()).drop("bucket", "_old")
+        fresh = changed_only(rows).filter(F.col("_old").isNull()).drop("day", "_old")
         fresh.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{self.saves}/run={batch_id}")
-        last = F.max_by(F.struct("ts", "seq", "value", "bucket"), F.struct("ts", "seq"))
+        last = F.max_by(F.struct("ts", "seq", "value", "day"), F.struct("ts", "seq"))
         kept = rows.drop("_old").groupBy("key").agg(last.alias("l")).select("key", "l.*")
         kept.write.mode("overwrite").parquet(f"{self.latest}/version={batch_id}")
 
@@ -93,7 +89,7 @@ class SavedValues:
 def run_debounce(spark: SparkSession, source_dir: str, gap_seconds: int, lateness: str = "1 hour", pattern: str = "events.parquet") -> DataFrame:
     """Run the feed under ``source_dir`` through the stream until it is used up; the saves."""
     folder = work_dir(spark, "debounce")
-    sink = SavedValues(folder, gap_seconds)
+    sink = SavedValues(folder)
     events = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern).parquet(source_dir)
     keyed = events.select(
         F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), "value"
