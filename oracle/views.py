@@ -22,8 +22,8 @@ SELECT {s('o_orderkey')} AS id, {s('o_custkey')} AS client_id, CAST(o_orderdate
   o_orderstatus AS order_status, o_orderpriority AS priority, {dec('o_totalprice')} AS quoted
 FROM orders""",
     "w_lines": f"""
-SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || {s(dec('l_quantity'))} || '-'
-    || {s(dec('l_extendedprice'))} || '-' || {s('CAST(l_shipdate AS DATE)')} AS id,
+SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(round(l_quantity * 100) AS BIGINT) || '-'
+    || CAST(round(l_extendedprice * 100) AS BIGINT) || '-' || date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS id,
   {s('l_orderkey')} AS order_id, {s('l_partkey')} AS product_id, {s('l_suppkey')} AS supplier,
   {dec('l_quantity')} AS quantity, {dec('l_extendedprice')} AS total_revenue,
   CASE WHEN l_partkey % 2 = 0 THEN 'kg' ELSE 'pc' END AS unit,

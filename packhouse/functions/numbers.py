@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,9 +39,19 @@ def round_half_up(x: Column, digits: int = 2) -> Column:
     return dbl(F.floor(dbl(x) * scale + 0.5)) / scale
 
 
+def hundredths(x: Column) -> Column:
+    """A double with two decimals as a whole number of hundredths, half up."""
+    return F.floor(dbl(x) * 100 + 0.5)
+
+
+def from_units(units: Column, scale: int) -> Column:
+    """A whole number of ``10**-scale`` units as an exact decimal."""
+    return (units.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(18,{scale})")
+
+
 def cents(x: Column) -> Column:
-    """A computed double as money."""
-    return money(round_half_up(x, 2))
+    """A double as money, half up.  By way of whole cents, which is far cheaper than casting the double."""
+    return from_units(hundredths(x), 2)
 
 
 def to_fixed(x: Column, digits: int) -> Column:

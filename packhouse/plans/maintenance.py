@@ -11,7 +11,7 @@ from packhouse.functions.numbers import LINE_MONEY, cents, money, zero_if_null
 from packhouse.operators import quality
 from packhouse.operators.changes import DELETE, UPSERT, apply_changes, without
 from packhouse.operators.lookups import fold_children, with_parent
-from packhouse.plans.orders import checked_orders, economics, order_drafts
+from packhouse.plans.orders import checked_orders, economics, lines_as_drafts
 from packhouse.plans.pricing import calculator_rows
 from packhouse.plans.stock import linked_batches, with_waste
 
@@ -181,9 +181,7 @@ def create_orders(headers: DataFrame, lines: DataFrame, clients: DataFrame, p: P
 
 def create_orders_payments(t, p: Params) -> DataFrame:
     """Every valid order placed once more: the new order, its number of items, its payment."""
-    drafts = order_drafts(t, p)
-    sound = quality.valid(checked_orders(t)).select(F.col("id").alias("order_id"))
-    drafts = drafts.join(sound, "order_id", "left_semi")
+    drafts = lines_as_drafts(t, quality.valid(checked_orders(t)).select("id"))
     lines = drafts.select(
         F.concat(F.lit("new-"), F.col("item_id")).alias("id"),
         F.concat(F.lit("new-"), F.col("order_id")).alias("order_id"),

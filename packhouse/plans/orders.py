@@ -285,20 +285,17 @@ def order_labels(t, p: Params) -> DataFrame:
 # -------------------------------------------------------------------- drafts
 
 
-def order_drafts(t, p: Params, order_ids: DataFrame | None = None) -> DataFrame:
-    """Lines of earlier orders as drafts of new ones; of the orders asked for, or of all."""
+def lines_as_drafts(t, order_ids: DataFrame | None = None) -> DataFrame:
+    """Lines of earlier orders as form lines; of the orders asked for, or of all."""
     items = t.order_items("id", "order_id", "product_id", "quantity", "selling_price_used", "cost_used", "total_revenue")
-    heads = t.orders("id", "client_id", "order_date", "delivery_date", "transport_cost", "packaging_cost")
     if order_ids is not None:
-        wanted = order_ids.select(F.col("id").alias("order_id")).distinct()
-        items = items.join(wanted, "order_id", "left_semi")
-        heads = heads.join(wanted, F.col("id") == F.col("order_id"), "left_semi")
+        items = items.join(order_ids.select(F.col("id").alias("order_id")), "order_id", "left_semi")
     product = {"product_name": "name", "unit": "unit", "product_cost": "cost_per_unit"}
     items = with_parent(items, t.products("id", *product.values()), "product_id", product)
     items = items.withColumn("packs", _packs_of_kg_goods())
     size = rules.recovered_size(F.col("quantity"), F.col("packs"))
     name = F.coalesce(F.nullif(F.col("product_name"), F.lit("")), F.lit(text.UNKNOWN))
-    lines = items.select(
+    return items.select(
         F.col("id").alias("item_id"),
         "order_id",
         "product_id",
@@ -310,8 +307,13 @@ def order_drafts(t, p: Params, order_ids: DataFrame | None = None) -> DataFrame:
         size.alias("package_size"),
         F.col("packs").alias("num_packages"),
     )
+
+
+def order_drafts(t, p: Params, order_ids: DataFrame | None = None) -> DataFrame:
+    """Earlier orders as drafts of new ones: form lines with their header."""
+    heads = t.orders("id", "client_id", "order_date", "delivery_date", "transport_cost", "packaging_cost")
     head = {c: c for c in ["client_id", "order_date", "delivery_date", "transport_cost", "packaging_cost"]}
-    drafts = with_parent(lines, heads, "order_id", head)
+    drafts = with_parent(lines_as_drafts(t, order_ids), heads, "order_id", head)
     today = F.lit(p.as_of)
     return drafts.withColumns(
         {

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from packhouse.config import Settings
 from packhouse.functions import rules
-from packhouse.functions.numbers import LINE_MONEY, cents, dbl, money, pct, round_half_up
+from packhouse.functions.numbers import cents, dbl, from_units, hundredths, money, pct, round_half_up
 from packhouse.operators.lookups import with_parent
 from packhouse.sources.schemas import schema
 
@@ -90,7 +90,7 @@ class Testdata:
                 F.col("p_name").alias("name"),
                 F.when(key % 3 != 0, F.concat(F.lit("ar-"), text(key))).alias("name_ar"),
                 F.when(key % 2 == 0, rules.KG).otherwise("pc").alias("unit"),
-                money(F.col("p_retailprice")).alias("cost_per_unit"),
+                cents(F.col("p_retailprice")).alias("cost_per_unit"),
                 F.lit(0.0).alias("profit_margin_pct"),
                 F.col("p_size").alias("shelf_life_days"),
                 F.lit(None).cast("timestamp").alias("created_at"),
@@ -102,22 +102,33 @@ class Testdata:
 
     @once
     def lines(self) -> DataFrame:
-        """Order lines with the raw facts the bindings draw on."""
+        """Order lines with the raw facts the bindings draw on.
+
+        Quantities and amounts also come as whole hundredths (``_c``): sums of their
+        products are exact in plain integers, and cheaper than in wide decimals.
+        """
         ship = F.col("l_shipdate").cast("date")
-        quantity, revenue = money(F.col("l_quantity")), money(F.col("l_extendedprice"))
-        parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+        counted = {
+            "quantity_c": hundredths(F.col("l_quantity")),
+            "revenue_c": hundredths(F.col("l_extendedprice")),
+            "discount_c": hundredths(F.col("l_discount")),
+            "tax_c": hundredths(F.col("l_tax")),
+        }
+        parts = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+        line_id = F.concat_ws("-", *[text(c) for c in [*parts, counted["quantity_c"], counted["revenue_c"], F.unix_date(ship)]])
         return self._read("lineitem").select(
-            F.concat_ws("-", *[text(F.col(p)) for p in parts], text(quantity), text(revenue), text(ship)).alias("id"),
+            line_id.alias("id"),
             text(F.col("l_orderkey")).alias("order_id"),
             text(F.col("l_partkey")).alias("product_id"),
-            quantity.alias("quantity"),
-            revenue.alias("total_revenue"),
+            from_units(counted["quantity_c"], 2).alias("quantity"),
+            from_units(counted["revenue_c"], 2).alias("total_revenue"),
+            *[c.alias(name) for name, c in counted.items()],
+            F.col("l_quantity").alias("quantity_d"),
+            F.col("l_extendedprice").alias("revenue_d"),
             F.when(F.col("l_partkey") % 2 == 0, rules.KG).otherwise("pc").alias("unit"),
             text(F.col("l_suppkey")).alias("supplier"),
             F.col("l_linenumber").alias("line_number"),
             F.col("l_orderkey").alias("order_key"),
-            money(F.col("l_discount")).alias("discount"),
-            money(F.col("l_tax")).alias("tax"),
             F.col("l_returnflag").alias("return_flag"),
             F.col("l_linestatus").alias("line_status"),
             ship.alias("ship_date"),
@@ -134,7 +145,7 @@ class Testdata:
             F.col("o_orderdate").cast("timestamp").alias("created_at"),
             F.col("o_orderstatus").alias("order_status"),
             F.col("o_orderpriority").alias("priority"),
-            money(F.col("o_totalprice")).alias("quoted_price"),
+            cents(F.col("o_totalprice")).alias("quoted_price"),
         )
 
     @once
@@ -145,12 +156,11 @@ class Testdata:
     def _priced(self, lines: DataFrame) -> DataFrame:
         """Add the price a line was sold at: per quarter-kilo pack for a supermarket's kg goods, else per unit."""
         packed = rules.is_supermarket(F.col("client_type")) & (F.col("unit") == rules.KG)
-        packs = dbl(F.col("quantity")) * 4
-        revenue = dbl(F.col("total_revenue"))
-        price = F.when(packed, revenue / packs).otherwise(revenue / dbl(F.col("quantity")))
+        revenue, quantity = F.col("revenue_d"), F.col("quantity_d")
+        price = F.when(packed, revenue / (quantity * 4)).otherwise(revenue / quantity)
         head = {"client_id": "client_id", "client_type": "client_type", "ordered_at": "created_at"}
         priced = with_parent(lines, self._order_types(), "order_id", head)
-        return priced.withColumn("selling_price_used", F.when(F.col("quantity") > 0, price))
+        return priced.withColumn("selling_price_used", F.when(quantity > 0, price))
 
     @once
     def order_items(self, *cols: str) -> DataFrame:
@@ -159,8 +169,9 @@ class Testdata:
         if ITEM_PRICE & set(wanted):
             items = self._priced(items)
         if ITEM_COST & set(wanted):
-            items = with_parent(items, self.products("id", "cost_per_unit"), "product_id", {"cost_used": "cost_per_unit"})
-            items = items.withColumn("total_cost", (F.col("cost_used") * F.col("quantity")).cast(LINE_MONEY))
+            items = with_parent(items, self._costs(), "product_id", {"cost_c": "cost_c"})
+            items = items.withColumn("cost_used", from_units(F.col("cost_c"), 2))
+            items = items.withColumn("total_cost", from_units(F.col("cost_c") * F.col("quantity_c"), 4))
         return items.select(*wanted)
 
     # --------------------------------------------------------------- orders
@@ -185,20 +196,21 @@ class Testdata:
             )
         return orders.select(*wanted)
 
+    def _costs(self) -> DataFrame:
+        return self._read("part").select(text(F.col("p_partkey")).alias("id"), hundredths(F.col("p_retailprice")).alias("cost_c"))
+
     @once
     def _order_totals(self, with_cost: bool) -> DataFrame:
         lines = self.lines()
-        revenue = F.col("total_revenue")
-        sums = [
-            F.sum(revenue).alias("total_revenue"),
-            money(F.sum(revenue * F.col("tax"))).alias("transport_cost"),
-            money(F.sum(revenue * F.col("discount"))).alias("packaging_cost"),
-        ]
+        sums = {
+            "total_revenue": from_units(F.sum("revenue_c"), 2),
+            "transport_cost": money(from_units(F.sum(F.col("revenue_c") * F.col("tax_c")), 4)),
+            "packaging_cost": money(from_units(F.sum(F.col("revenue_c") * F.col("discount_c")), 4)),
+        }
         if with_cost:
-            lines = with_parent(lines, self.products("id", "cost_per_unit"), "product_id", {"cost": "cost_per_unit"})
-            sums.append(money(F.sum(F.col("cost") * F.col("quantity"))).alias("farmer_cost"))
-        totals = lines.groupBy(F.col("order_id").alias("id")).agg(*sums)
-        return totals.withColumn("total_revenue", money(F.col("total_revenue")))
+            lines = with_parent(lines, self._costs(), "product_id", {"cost_c": "cost_c"})
+            sums["farmer_cost"] = money(from_units(F.sum(F.col("cost_c") * F.col("quantity_c")), 4))
+        return lines.groupBy(F.col("order_id").alias("id")).agg(*[c.alias(name) for name, c in sums.items()])
 
     @once
     def payments(self, *cols: str) -> DataFrame:
@@ -222,19 +234,23 @@ class Testdata:
     @once
     def _batch_rollup(self) -> DataFrame:
         month = F.trunc("ship_date", "month")
-        qty = F.col("quantity")
+        qty = F.col("quantity_c")
         returned, accepted = F.col("return_flag") == "R", F.col("return_flag") == "A"
+
+        def total(condition, units, scale):
+            return money(from_units(F.coalesce(F.sum(F.when(condition, units)), F.lit(0)), scale))
+
         return (
             self.lines()
             .groupBy("product_id", month.alias("harvest_date"))
             .agg(
-                money(F.sum(qty)).alias("harvested_qty"),
-                money(F.coalesce(F.sum(F.when(F.col("line_status") == "F", qty)), F.lit(0))).alias("sold_qty"),
-                money(F.coalesce(F.sum(F.when(returned, qty * F.col("discount"))), F.lit(0))).alias("damaged_qty"),
-                money(F.coalesce(F.sum(F.when(accepted, qty * F.col("tax") * 2)), F.lit(0))).alias("expired_qty"),
+                from_units(F.sum(qty), 2).alias("harvested_qty"),
+                total(F.col("line_status") == "F", qty, 2).alias("sold_qty"),
+                total(returned, qty * F.col("discount_c"), 4).alias("damaged_qty"),
+                total(accepted, qty * F.col("tax_c") * 2, 4).alias("expired_qty"),
                 F.count_if(returned).alias("returned_lines"),
                 F.count_if(accepted).alias("accepted_lines"),
-                money(F.sum("tax")).alias("tax_sum"),
+                from_units(F.sum("tax_c"), 2).alias("tax_sum"),
                 F.min(F.when(returned, F.col("order_key"))).alias("linked_order"),
             )
             .withColumn("id", F.concat_ws("-", "product_id", F.date_format("harvest_date", "yyyyMM")))
@@ -362,7 +378,7 @@ class Testdata:
             .when(kind == "error", "withdrawal")
             .otherwise(kind)
             .alias("type"),
-            money(F.col("value")).alias("amount"),
+            cents(F.col("value")).alias("amount"),
             F.when(kind == "view", "  ").otherwise(F.col("props")).alias("description"),
         )
 
@@ -379,7 +395,7 @@ class Testdata:
     @once
     def _feed(self) -> DataFrame:
         """The line table as a change feed: returned lines delete, seventh lines name new products."""
-        price = dbl(F.col("total_revenue")) / dbl(F.col("quantity"))
+        price = F.col("revenue_d") / F.col("quantity_d")
         new = F.col("line_number") == 7
         return self.lines().select(
             "order_id",
@@ -387,7 +403,7 @@ class Testdata:
             F.col("product_id").alias("known_product_id"),
             F.concat(F.lit("supplied by "), F.col("supplier")).alias("name"),
             cents(price).alias("price"),
-            F.col("discount"),
+            dbl(F.col("discount_c")).alias("discount_pct"),
             F.when(F.col("return_flag") == "R", "delete").otherwise("upsert").alias("op"),
             F.col("ship_date").cast("timestamp").alias("changed_at"),
             F.col("id").alias("seq"),
@@ -418,7 +434,7 @@ class Testdata:
     def margin_changes(self) -> DataFrame:
         return self._feed().select(
             F.col("known_product_id").alias("product_id"),
-            dbl(F.col("discount") * 100).alias("profit_margin_pct"),
+            F.col("discount_pct").alias("profit_margin_pct"),
             F.lit("upsert").alias("op"),
             "changed_at",
             "seq",
@@ -547,7 +563,7 @@ class Testdata:
     def draft_lines(self) -> DataFrame:
         """Order-form lines as typed: text fields, some blank or with a unit after the number."""
         flag = F.col("return_flag")
-        count = text(F.col("quantity").cast("int"))
+        count = text(F.col("quantity_d").cast("int"))
         return self.lines().select(
             "id",
             "order_id",
