@@ -63,7 +63,8 @@ def product_revenue(t, p: Params) -> Column:
     """Revenue of all lines that have a product, as a one-value subquery."""
     sums = _recent_items(t, p, "product_id", "total_revenue").groupBy("product_id").agg(F.sum("total_revenue").alias("revenue"))
     known = t.products("id").select(F.col("id").alias("product_id"))
-    return sums.join(known, "product_id", "left_semi").agg(zero_if_null(F.sum("revenue"))).scalar()
+    # An inner join on the products' key: a semi join would be pushed below the sums, to the lines.
+    return sums.join(known, "product_id", "inner").agg(zero_if_null(F.sum("revenue"))).scalar()
 
 
 def product_performance(t, p: Params) -> DataFrame:
@@ -206,9 +207,10 @@ def price_suggestions(t, p: Params) -> DataFrame:
 def variant_sales_summary(t, p: Params) -> DataFrame:
     """The six best-selling products that have saved pack sizes."""
     stats = product_stats(t, p)
-    with_sizes = t.variants().select("product_id")
+    # Distinct keys and an inner join: a semi join would be pushed below the sums, to the lines.
+    with_sizes = t.variants().select("product_id").distinct()
     return (
-        stats.join(with_sizes, "product_id", "left_semi")
+        stats.join(with_sizes, "product_id", "inner")
         .orderBy(F.col("total_revenue").desc(), "product_id")
         .limit(TOP_VARIANT_PRODUCTS)
         .select("product_id", "name", "unit", "total_revenue", "avg_price")

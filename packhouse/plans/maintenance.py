@@ -168,14 +168,18 @@ def _with_due(orders: DataFrame, clients: DataFrame, p: Params) -> DataFrame:
     return rows.withColumn("due_date", rules.due_date(F.col("delivery_date"), F.col("_credit"), p.default_credit_days)).drop("_credit")
 
 
+def _first_payments(orders: DataFrame) -> DataFrame:
+    """Orders with the one payment each starts with: its id, its amount, when it is due."""
+    return orders.withColumns(
+        {"order_id": F.col("id"), "id": F.concat(F.lit("pay-"), F.col("id")), "amount": F.col("total_revenue")}
+    )
+
+
 def create_orders(headers: DataFrame, lines: DataFrame, clients: DataFrame, p: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
     """New orders, their items and one payment each, from one validated input."""
     orders = computed_headers(headers, lines, clients, p)
     items = _stored_lines(with_parent(lines, _with_type(headers, clients), "order_id", {"client_type": "client_type"}))
-    due = _with_due(orders, clients, p)
-    payments = due.select(
-        F.concat(F.lit("pay-"), F.col("id")).alias("id"), F.col("id").alias("order_id"), F.col("total_revenue").alias("amount"), "due_date"
-    )
+    payments = _first_payments(_with_due(orders, clients, p)).select("id", "order_id", "amount", "due_date")
     return orders, items, payments
 
 
@@ -193,12 +197,13 @@ def create_orders_payments(t, p: Params) -> DataFrame:
     )
     headers = t.orders("id", "client_id", "order_date", "delivery_date", "transport_cost", "packaging_cost")
     headers = headers.withColumn("id", F.concat(F.lit("new-"), F.col("id")))
-    orders, items, payments = create_orders(headers, lines, t.clients("id", "type", "credit_days"), p)
+    clients = t.clients("id", "type", "credit_days")
+    orders, items, _ = create_orders(headers, lines, clients, p)
+    # Orders and payments in one pass, rather than joined back to each other.
+    rows = _first_payments(_with_due(orders, clients, p))
     counts = fold_children(items, "order_id", item_count=F.count(F.lit(1)), item_revenue=F.sum("total_revenue"))
-    rows = with_parent(orders, counts, "id", {"item_count": "item_count", "item_revenue": "item_revenue"}, parent_key="order_id")
-    rows = with_parent(rows, payments, "id", {"amount": "amount", "due_date": "due_date"}, parent_key="order_id")
-    return rows.select(
-        F.col("id").alias("order_id"),
+    return rows.join(counts, "order_id", "left").select(
+        "order_id",
         "client_id",
         "total_revenue",
         "total_cost",

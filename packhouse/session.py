@@ -15,6 +15,8 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Join by hash, without sorting, where the partitions turn out small enough to be held.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Merge the sessions of a busy key before they are shuffled.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",

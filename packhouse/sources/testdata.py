@@ -104,34 +104,37 @@ class Testdata:
     def lines(self) -> DataFrame:
         """Order lines with the raw facts the bindings draw on.
 
-        Quantities and amounts also come as whole hundredths (``_c``): sums of their
-        products are exact in plain integers, and cheaper than in wide decimals.
+        Quantities and amounts come as whole hundredths (``_c``): sums of their products
+        are exact in plain integers, and cheaper than in wide decimals.
         """
-        ship = F.col("l_shipdate").cast("date")
-        counted = {
-            "quantity_c": hundredths(F.col("l_quantity")),
-            "revenue_c": hundredths(F.col("l_extendedprice")),
-            "discount_c": hundredths(F.col("l_discount")),
-            "tax_c": hundredths(F.col("l_tax")),
-        }
-        parts = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-        line_id = F.concat_ws("-", *[text(c) for c in [*parts, counted["quantity_c"], counted["revenue_c"], F.unix_date(ship)]])
         return self._read("lineitem").select(
-            line_id.alias("id"),
             text(F.col("l_orderkey")).alias("order_id"),
             text(F.col("l_partkey")).alias("product_id"),
-            from_units(counted["quantity_c"], 2).alias("quantity"),
-            from_units(counted["revenue_c"], 2).alias("total_revenue"),
-            *[c.alias(name) for name, c in counted.items()],
-            F.col("l_quantity").alias("quantity_d"),
-            F.col("l_extendedprice").alias("revenue_d"),
-            F.when(F.col("l_partkey") % 2 == 0, rules.KG).otherwise("pc").alias("unit"),
             text(F.col("l_suppkey")).alias("supplier"),
             F.col("l_linenumber").alias("line_number"),
             F.col("l_orderkey").alias("order_key"),
+            hundredths(F.col("l_quantity")).alias("quantity_c"),
+            hundredths(F.col("l_extendedprice")).alias("revenue_c"),
+            hundredths(F.col("l_discount")).alias("discount_c"),
+            hundredths(F.col("l_tax")).alias("tax_c"),
+            F.col("l_quantity").alias("quantity_d"),
+            F.col("l_extendedprice").alias("revenue_d"),
+            F.when(F.col("l_partkey") % 2 == 0, rules.KG).otherwise("pc").alias("unit"),
             F.col("l_returnflag").alias("return_flag"),
             F.col("l_linestatus").alias("line_status"),
-            ship.alias("ship_date"),
+            F.col("l_shipdate").cast("date").alias("ship_date"),
+        )
+
+    @staticmethod
+    def _named(lines: DataFrame) -> DataFrame:
+        """Add the id, quantity and revenue of a line.  Done after joins, so that a shuffle carries plain numbers."""
+        parts = ["order_id", "line_number", "product_id", "supplier", "quantity_c", "revenue_c"]
+        return lines.withColumns(
+            {
+                "id": F.concat_ws("-", *[text(F.col(c)) for c in parts], text(F.unix_date("ship_date"))),
+                "quantity": from_units(F.col("quantity_c"), 2),
+                "total_revenue": from_units(F.col("revenue_c"), 2),
+            }
         )
 
     @once
@@ -160,14 +163,12 @@ class Testdata:
         price = F.when(packed, revenue / (quantity * 4)).otherwise(revenue / quantity)
         head = {"client_id": "client_id", "client_type": "client_type", "ordered_at": "created_at"}
         priced = with_parent(lines, self._order_types(), "order_id", head)
-        return priced.withColumn("selling_price_used", F.when(quantity > 0, price))
+        return self._named(priced.withColumn("selling_price_used", F.when(quantity > 0, price)))
 
     @once
     def order_items(self, *cols: str) -> DataFrame:
         wanted = self._columns("order_items", cols)
-        items = self.lines()
-        if ITEM_PRICE & set(wanted):
-            items = self._priced(items)
+        items = self._priced(self.lines()) if ITEM_PRICE & set(wanted) else self._named(self.lines())
         if ITEM_COST & set(wanted):
             items = with_parent(items, self._costs(), "product_id", {"cost_c": "cost_c"})
             items = items.withColumn("cost_used", from_units(F.col("cost_c"), 2))
@@ -397,7 +398,7 @@ class Testdata:
         """The line table as a change feed: returned lines delete, seventh lines name new products."""
         price = F.col("revenue_d") / F.col("quantity_d")
         new = F.col("line_number") == 7
-        return self.lines().select(
+        return self._named(self.lines()).select(
             "order_id",
             F.when(new, F.concat(F.lit("new-"), F.col("product_id"))).otherwise(F.col("product_id")).alias("product_id"),
             F.col("product_id").alias("known_product_id"),
@@ -564,7 +565,7 @@ class Testdata:
         """Order-form lines as typed: text fields, some blank or with a unit after the number."""
         flag = F.col("return_flag")
         count = text(F.col("quantity_d").cast("int"))
-        return self.lines().select(
+        return self._named(self.lines()).select(
             "id",
             "order_id",
             "product_id",
