@@ -23,7 +23,7 @@ QUERIES = {
     # ------------------------------------------------------------ catalog
     "products_by_name": f"""
 SELECT id, name, name_ar, unit, {d('cost')} AS cost_per_unit, shelf_life_days FROM w_products ORDER BY name, id""",
-    "clients_by_name": "SELECT id, name, name_ar, type, phone, credit_days FROM w_clients ORDER BY name, id",
+    "clients_by_name": "SELECT id, name, name_ar, type, phone, CAST(credit_days AS BIGINT) AS credit_days FROM w_clients ORDER BY name, id",
     "client_price_list": f"""
 SELECT r.id, client_id, product_id, {d('selling_price')} AS selling_price, p.name AS product_name, p.unit, c.name AS client_name
 FROM w_pricing r LEFT JOIN w_products p ON p.id = product_id LEFT JOIN w_clients c ON c.id = client_id""",
@@ -36,7 +36,7 @@ SELECT o.id, client_id, {s('order_date')} AS order_date, {s('delivery_date')} AS
 FROM w_orders o LEFT JOIN w_clients c ON c.id = client_id ORDER BY o.delivery_date DESC, o.order_date DESC, o.id""",
     "order_documents_flat": f"""
 SELECT o.id AS order_id, o.client_id, {s('o.order_date')} AS order_date, {s('o.delivery_date')} AS delivery_date,
-  {d('o.total_revenue')} AS total_revenue, c.name AS client_name, c.type AS client_type, c.phone AS client_phone, c.credit_days,
+  {d('o.total_revenue')} AS total_revenue, c.name AS client_name, c.type AS client_type, c.phone AS client_phone, CAST(c.credit_days AS BIGINT) AS credit_days,
   i.id AS item_id, i.product_id, {d('i.quantity')} AS quantity, i.price AS selling_price_used, {d('i.cost_used')} AS cost_used,
   {d('i.total_revenue')} AS line_revenue, {d('i.total_cost')} AS line_cost, p.name AS product_name, p.unit
 FROM w_orders o LEFT JOIN w_clients c ON c.id = o.client_id LEFT JOIN w_items i ON i.order_id = o.id
@@ -263,7 +263,7 @@ FROM w_client_stats x LEFT JOIN w_clients c ON c.id = x.client_id ORDER BY rev D
 SELECT (SELECT {d('SUM(rev)')} FROM w_stats) AS total_revenue, (SELECT COUNT(*) FROM w_heads) AS total_orders,
   (SELECT COUNT(*) FROM w_stats) AS products_sold, (SELECT COUNT(*) FROM w_client_stats) AS active_clients""",
     "stock_recommendations": f"""
-SELECT product_id, name, unit, recommendation, CASE recommendation WHEN 'increase' THEN 0 WHEN 'decrease' THEN 1 ELSE 2 END AS rank_pos, velocity,
+SELECT product_id, name, unit, recommendation, CAST(CASE recommendation WHEN 'increase' THEN 0 WHEN 'decrease' THEN 1 ELSE 2 END AS BIGINT) AS rank_pos, velocity,
   n AS order_count, {d('qty')} AS total_qty, {d('rev')} AS total_revenue FROM w_advice""",
     "stock_rec_counts": """
 SELECT COUNT(*) FILTER (recommendation <> 'stable') AS to_act_on, COUNT(*) FILTER (recommendation = 'stable') AS stable FROM w_advice""",
@@ -290,7 +290,7 @@ WHERE product_id IN (SELECT product_id FROM w_variants) ORDER BY rev DESC, produ
         ["id"],
         "SELECT * FROM w_clients",
         """SELECT CASE WHEN priority = '3-MEDIUM' THEN 'new-' ELSE '' END || client_id AS id, 'renamed by ' || id AS name,
-           CASE WHEN priority = '1-URGENT' THEN 60 END AS credit_days, CASE WHEN order_status = 'P' THEN 'delete' ELSE 'upsert' END AS op,
+           CAST(CASE WHEN priority = '1-URGENT' THEN 60 END AS BIGINT) AS credit_days, CASE WHEN order_status = 'P' THEN 'delete' ELSE 'upsert' END AS op,
            order_date AS changed_at, id AS seq FROM w_heads""",
         {"type": "o.type"},
         {"name": "o.name", "credit_days": "o.credit_days"},
@@ -314,7 +314,7 @@ WHERE product_id IN (SELECT product_id FROM w_variants) ORDER BY rev DESC, produ
 SELECT * FROM w_variants WHERE product_id NOT IN (SELECT known_id FROM w_feed)
 UNION ALL SELECT known_id, position, weight, {r2(f"{d('price')} * weight")} FROM
   (SELECT known_id, price FROM w_feed QUALIFY row_number() OVER (PARTITION BY known_id ORDER BY changed_at DESC, seq DESC) = 1),
-  (VALUES (0, 0.5e0), (1, 1e0)) AS w(position, weight)""",
+  (VALUES (CAST(0 AS BIGINT), 0.5e0), (CAST(1 AS BIGINT), 1e0)) AS w(position, weight)""",
     "price_fanout_clients": f"""
 SELECT coalesce(r.client_id, k.client_id) AS client_id, coalesce(r.product_id, k.product_id) AS product_id,
   {d('coalesce(k.price, r.selling_price)')} AS selling_price

@@ -14,7 +14,7 @@ FROM customer""",
 SELECT {s('p_partkey')} AS id, p_partkey AS key, p_name AS name,
   CASE WHEN p_partkey % 3 <> 0 THEN 'ar-' || p_partkey END AS name_ar,
   CASE WHEN p_partkey % 2 = 0 THEN 'kg' ELSE 'pc' END AS unit,
-  {dec('p_retailprice')} AS cost, p_size AS shelf_life_days
+  {dec('p_retailprice')} AS cost, CAST(p_size AS BIGINT) AS shelf_life_days
 FROM part""",
     "w_heads": f"""
 SELECT {s('o_orderkey')} AS id, {s('o_custkey')} AS client_id, CAST(o_orderdate AS DATE) AS order_date,
@@ -84,7 +84,7 @@ FROM w_history QUALIFY row_number() OVER (PARTITION BY client_id, product_id ORD
     "w_margins": f"""
 SELECT {s('p_partkey')} AS product_id, {d('(p_partkey % 7) * 5')} AS margin FROM part WHERE p_partkey % 10 <> 0""",
     "w_weights": """
-SELECT * FROM (VALUES (0, 0.1e0), (1, 0.25e0), (2, 0.5e0), (3, 1e0)) AS w(position, weight)""",
+SELECT CAST(n AS BIGINT) AS position, weight FROM (VALUES (0, 0.1e0), (1, 0.25e0), (2, 0.5e0), (3, 1e0)) AS w(n, weight)""",
     "w_sized": f"""
 SELECT p.id AS product_id, p.key, w.position, w.weight, {r2(f"{d('p.cost')} * w.weight")} AS price FROM w_products p, w_weights w""",
     "w_variants": "SELECT product_id, position, weight, price FROM w_sized WHERE key % 3 <> 0",
