@@ -18,17 +18,14 @@ RUNTIME_DEFAULTS = {
     # Join by hash, without sorting, where the partitions turn out small enough to be held.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Merge the sessions of a busy key before they are shuffled.
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    # Call sites are recorded per column expression otherwise, at half the cost of building a plan.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
     explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
     for key, value in RUNTIME_DEFAULTS.items():
-        if key not in explicit:
+        if key not in explicit and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     # Dates and times are UTC throughout.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -51,6 +48,7 @@ def local_session(app: str = "packhouse", cpus: str = "*", partitions: int = 8)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # Otherwise the call site of each column expression is looked up, at half the cost of building a plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from packhouse.config import Params, Settings
 from packhouse.plans import analytics, catalog, pricing
-from packhouse.session import size_shuffles, work_dir
+from packhouse.session import RUNTIME_DEFAULTS, size_shuffles, work_dir
 from packhouse.sinks import exports
 from packhouse.sources import documents
 from packhouse.sources.lake import Lake
@@ -123,6 +123,10 @@ def test_work_dir_is_the_shared_folder(spark):
         work_dir(cluster("yarn", {}), "x")
 
 
+def test_every_default_can_be_set_on_a_running_session(spark):
+    assert [k for k in RUNTIME_DEFAULTS if not spark.conf.isModifiable(k)] == []
+
+
 def test_shuffles_grow_with_the_data(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
