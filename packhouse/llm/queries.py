@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhouse.llm import chat, neighbours, quality_rules, simhash, work
+from packhouse.llm import chat, embedding, neighbours, quality_rules, simhash, toxicity, work
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,25 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores every text for quality, with a model learned outside fold 1 of 3."""
+    docs, labels = _table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "labels", "doc_id", "quality")
+    s = embedding.Settings()
+    model = embedding.fit(embedding.sample(docs, labels.where(toxicity.crc_fold("doc_id", 3) != 1), "quality", s), s)
+    return embedding.score(docs, model, s).select(
+        "doc_id", (toxicity.crc_fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores every text for toxicity, with a model learned outside fold 2 of 4."""
+    docs, labels = _table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.fit(toxicity.training_rows(docs, labels.where(toxicity.crc_fold("doc_id", 4) != 2), "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (toxicity.crc_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "ratio"
+    )
+
+
 def _query(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +115,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_chat_formatting,
         op2_quality_rules,
+        op4_quality_classifier,
         op7_fingerprints,
+        op10_toxicity,
     )
 }

@@ -123,9 +123,9 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[Chunk]:
         lo = hi
 
 
-def _bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _bounds(buf: np.ndarray, off: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of words; a word ends with its row."""
-    inside = ~SPACE[buf]
+    inside = ~space[buf]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     heads = off[:-1]
@@ -164,9 +164,9 @@ def _long_names(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return out
 
 
-def words(chunk: Chunk) -> Words:
+def words(chunk: Chunk, space: np.ndarray = SPACE) -> Words:
     with np.errstate(over="ignore"):
-        start, end = _bounds(chunk.buf, chunk.off)
+        start, end = _bounds(chunk.buf, chunk.off, space)
         if len(chunk.buf) <= CHUNK:
             name = span_hash(prefix_hash(chunk.buf), start, end)
         else:
