@@ -6,11 +6,12 @@ import functools
 import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhouse.llm import chat, embedding, neighbours, quality_rules, simhash, toxicity, work
+from packhouse.llm import chat, embedding, neighbours, packing, quality_rules, simhash, toxicity, work
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +84,11 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs all documents into sequences of at most 4096 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores every text for quality, with a model learned outside fold 1 of 3."""
     docs, labels = _table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "labels", "doc_id", "quality")
@@ -115,6 +121,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_chat_formatting,
         op2_quality_rules,
+        op3_packing,
         op4_quality_classifier,
         op7_fingerprints,
         op10_toxicity,
