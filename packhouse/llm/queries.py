@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhouse.llm import chat, embedding, neighbours, packing, quality_rules, simhash, toxicity, work
+from packhouse.llm import chat, embedding, minmax, neighbours, packing, quality_rules, simhash, toxicity, work
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are alike by 85 percent."""
+    return minmax.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), minmax.Settings(shingle=3, percent=85))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likeness."""
     ordered = neighbours.in_order(_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -123,6 +128,7 @@ QUERIES: dict[str, Query] = {
         op2_quality_rules,
         op3_packing,
         op4_quality_classifier,
+        op5_minhash,
         op7_fingerprints,
         op10_toxicity,
     )

@@ -69,4 +69,26 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM counts
 """
 
-STATEMENTS = {"op1_chat_formatting": OP1, "op2_quality_rules": OP2}
+OP5 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM docs
+), members AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS both_have
+  FROM members a JOIN members b ON a.g = b.g AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * both_have >= 85 * (na + nb - both_have)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM docs UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+STATEMENTS = {"op1_chat_formatting": OP1, "op2_quality_rules": OP2, "op5_minhash": OP5}
