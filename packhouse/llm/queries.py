@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhouse.llm import chat, embedding, minmax, neighbours, packing, quality_rules, simhash, toxicity, work
+from packhouse.llm import chat, embedding, minmax, neighbours, packing, quality_rules, recompress, simhash, toxicity, work
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +113,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes the words of windows of 50 words that an earlier document has."""
+    return recompress.deduplicate(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def _query(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +135,7 @@ QUERIES: dict[str, Query] = {
         op4_quality_classifier,
         op5_minhash,
         op7_fingerprints,
+        op8_substring_dedup,
         op10_toxicity,
     )
 }

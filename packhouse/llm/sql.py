@@ -91,4 +91,26 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id
 FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
-STATEMENTS = {"op1_chat_formatting": OP1, "op2_quality_rules": OP2, "op5_minhash": OP5}
+OP8 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), tokens AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM docs
+), grams AS (
+  SELECT doc_id, i, count(*) OVER o AS n, string_agg(word, ' ') OVER o AS g FROM tokens
+  WINDOW o AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), windows AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY md5(g)) AS first_doc FROM grams WHERE n = 50
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM windows WHERE first_doc < doc_id
+), judged AS (
+  SELECT t.doc_id, t.i, t.word, g.i IS NOT NULL AS gone FROM tokens t LEFT JOIN gone g ON t.doc_id = g.doc_id AND t.i = g.i
+), sums AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS stay
+  FROM judged GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(stay, '')) AS kept_sha256
+FROM docs LEFT JOIN sums USING (doc_id)
+"""
+
+STATEMENTS = {"op1_chat_formatting": OP1, "op2_quality_rules": OP2, "op5_minhash": OP5, "op8_substring_dedup": OP8}
