@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhouse.llm import chat, embedding, minmax, neighbours, packing, quality_rules, recompress, simhash, toxicity, work
+from packhouse.llm import chat, embedding, minmax, neighbours, packing, pieces, quality_rules, recompress, simhash, toxicity, work
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +104,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every whole text, decodes it again, and tells whether that gives the text back."""
+    return pieces.encode(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores every text for toxicity, with a model learned outside fold 2 of 4."""
     docs, labels = _table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -136,6 +141,7 @@ QUERIES: dict[str, Query] = {
         op5_minhash,
         op7_fingerprints,
         op8_substring_dedup,
+        op9_sentencepiece,
         op10_toxicity,
     )
 }
