@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhouse.llm import chat, embedding, minmax, neighbours, packing, pieces, quality_rules, recompress, simhash, toxicity, work
+from packhouse.llm import chat, embedding, licenses, minmax, neighbours, packing, pieces, quality_rules, recompress, simhash, toxicity, work
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,11 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), minmax.Settings(shingle=3, percent=85))
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every match of a license notice in every whole text."""
+    return licenses.scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likeness."""
     ordered = neighbours.in_order(_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -139,6 +144,7 @@ QUERIES: dict[str, Query] = {
         op3_packing,
         op4_quality_classifier,
         op5_minhash,
+        op6_license_scans,
         op7_fingerprints,
         op8_substring_dedup,
         op9_sentencepiece,
