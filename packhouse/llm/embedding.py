@@ -161,19 +161,20 @@ def fit(rows: DataFrame, s: Settings = Settings()) -> Model:
     return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def score(docs: DataFrame, model: Model, s: Settings = Settings(), key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(key, kept columns, score), a row for each row: the probability of class 1."""
-    part = docs.select(key, text, *keep)
-    names = [key, *keep, "score"]
-    ddl = ", ".join(f"`{c}` {part.schema[c].dataType.simpleString()}" for c in (key, *keep))
+def score(docs: DataFrame, model: Model, s: Settings = Settings(), keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The columns of ``keep`` and score, the probability of class 1, a row for each row."""
+    names = list(dict.fromkeys([*keep, text]))
+    part = docs.select(*names)
+    at = names.index(text)
+    ddl = ", ".join(f"`{c}` {part.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches):
         for b in batches:
             logits = [np.zeros(0)]
-            for bucket, row, rows in _features(b.column(1), s):
+            for bucket, row, rows in _features(b.column(at), s):
                 n = np.maximum(np.bincount(row, minlength=rows), 1)
                 logits.append(np.bincount(row, model.bucket[bucket], rows) / n + model.bias)
             p = 1 / (1 + np.exp(-np.clip(np.concatenate(logits), -40, 40)))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(b.column(2 + i) for i in range(len(keep))), pa.array(np.round(p, 6))], names)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(np.round(p, 6))], [*keep, "score"])
 
     return part.mapInArrow(run, f"{ddl}, score double")
