@@ -8,10 +8,12 @@ up; new ones are encoded together, with a special token between them.
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 
-_KEEP = 500_000
+# The table is emptied once it has so many parts.
+_KEEP = 1_500_000
 _loaded: dict[str, WordIds] = {}
 
 
@@ -23,11 +25,20 @@ def _lower(t: bytes) -> bytes:
     return text.lower().encode() if max(text) < "\u0250" and "\u0130" not in text else t
 
 
-def _normal(x: bytes) -> bool:
-    if x.isascii():
-        return x == x.lower()
-    text = x.decode("utf-8", "replace")
-    return max(text) < "\u0250" and "\u0130" not in text and text == text.lower()
+def _normal(text: str) -> bool:
+    return text == text.lower() and (text.isascii() or (max(text) < "\u0250" and "\u0130" not in text))
+
+
+def _byte_characters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself, or the next free one from U+0100."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    free = iter(range(256, 512))
+    return {b: chr(b) if b in shown else chr(next(free)) for b in range(256)}
+
+
+_BYTES = _byte_characters()
+# Signs that are words of their own to the tokenizer after a letter or digit.
+_SIGNS = frozenset(b".,!?;:")
 
 
 class WordIds:
@@ -45,44 +56,64 @@ class WordIds:
         self.special = [t.content.encode() for t in special.values()]
         self.mark_id, self.mark = next((i, t.content) for i, t in special.items())
         self.known: dict[bytes, bytes] = {}
+        self.signs = {s: self._whole(bytes([s])) for s in _SIGNS}
 
     def _whole(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _learn(self, new: list[bytes]) -> None:
-        if len(self.known) + len(new) > _KEEP:
-            self.known.clear()
-        fine = [_normal(x) for x in new]
-        for tokenizer, words in ((self.plain, [x for x, f in zip(new, fine) if f]), (self.tokenizer, [x for x, f in zip(new, fine) if not f])):
+    def _learn(self, new: set[bytes]) -> None:
+        others: tuple[list[str], list[str]] = ([], [])
+        merge = self.plain.model.tokenize
+        known = self.known
+
+        def letters(x: bytes) -> bytes | None:
+            """Ids of a run of letters: one word of the model, in the characters that stand for its bytes."""
+            text = x.decode("utf-8", "replace")
+            if not (text.isalpha() and _normal(text)):
+                return None
+            found = known.get(x)
+            if found is None:
+                found = known[x] = array("H", [t.id for t in merge(x.decode("latin-1").translate(_BYTES))]).tobytes()
+            return found
+
+        for x in new:
+            if x[-1] in _SIGNS and (base := letters(x[:-1])) is not None:
+                known[x] = base + self.signs[x[-1]]
+            elif letters(x) is None:
+                text = x.decode("utf-8", "replace")
+                others[_normal(text)].append(text)
+        for tokenizer, words in zip((self.tokenizer, self.plain), others):
             for lo in range(0, len(words), 256):
                 part = words[lo : lo + 256]
-                joined = f" {self.mark} ".join(x.decode("utf-8", "replace") for x in part)
-                ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u2")
+                ids = np.array(tokenizer.encode_batch_fast([f" {self.mark} ".join(part)], add_special_tokens=False)[0].ids, "<u2")
                 ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
                 start = 0
                 for x, end in zip(part, ends.tolist(), strict=True):
-                    self.known[x] = ids[start:end].tobytes()
+                    self.known[x.encode()] = ids[start:end].tobytes()
                     start = end + 1
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = []
+        if len(self.known) > _KEEP:
+            self.known.clear()
+        look = self.known.get
+        found: list[list[bytes | None]] = []
+        gaps: list[tuple[list[bytes | None], list[bytes]]] = []
         for t in texts:
             # The names of special tokens are tokens as they stand, in their own case only.
             if any(s in t for s in self.special):
-                split.append(None)
-            else:
-                split.append(_lower(t).split())
-        new: set[bytes] = set()
-        for s in split:
-            new.update(s or ())
-        missing = [x for x in new if x not in self.known]
-        if missing:
-            self._learn(missing)
-            if len(missing) != len(new):
-                # The table may have been emptied for the new parts.
-                self._learn([x for x in new if x not in self.known])
-        look = self.known.__getitem__
-        return [self._whole(t) if s is None else b"".join(map(look, s)) for t, s in zip(texts, split)]
+                found.append([self._whole(t)])
+                continue
+            parts = _lower(t).split()
+            ids = list(map(look, parts))
+            if None in ids:
+                gaps.append((ids, parts))
+            found.append(ids)
+        self._learn({x for ids, parts in gaps for i, x in zip(ids, parts) if i is None})
+        for ids, parts in gaps:
+            for at, i in enumerate(ids):
+                if i is None:
+                    ids[at] = self.known[parts[at]]
+        return [b"".join(ids) for ids in found]
 
 
 def word_ids(path: str) -> WordIds:
