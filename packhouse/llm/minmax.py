@@ -11,10 +11,11 @@ bucket, all entries are compared with a pivot, on their full sets.  Entries not
 yet in one component are then split by their distance from the pivot: by the
 triangle inequality, entries whose distances from it differ by more than the
 limit can't be linked, so neighbouring rings are kept together and others
-part.  This is repeated with other pivots until a bucket has one component, or
-no two entries that weren't compared.  So no pair of a bucket that could be
-linked is lost, and a large group of copies costs a row an entry and round, not
-one a pair.
+part.  This is repeated, with four times as many pivots each time, until a
+bucket has one component, or no two entries that weren't compared.  So no pair
+of a bucket that could be linked is lost, and a large group of copies, in which
+few pivots link all, costs some rows an entry, not one a pair.  Buckets of
+the same entries are one.
 
 A text with fewer words than a shingle is one shingle; a null or empty text, or
 one without words, has an empty set and is linked with nothing.  Ties don't
@@ -153,46 +154,54 @@ def _compare(pairs: DataFrame, sets: DataFrame, work: Work) -> DataFrame:
     return work.cut(both.mapInArrow(_overlap, "pivot long, id long, both long, either long"), "compared")
 
 
-def _pivots(buckets: DataFrame, step: int, work: Work) -> DataFrame:
-    """(bucket, id, pivot) of the buckets of two or more; the order in which entries are pivots differs by step, not by bucket."""
+def _placed(buckets: DataFrame, step: int, work: Work) -> DataFrame:
+    """(bucket, id, pivot, n) of buckets of two or more entries; of buckets that hold the same entries, one."""
+    # The order of pivots differs by step, not by bucket, so that buckets of one group share them.
     rank = F.col("id") if step == 0 else F.xxhash64(F.col("id"), F.lit(step))
-    chosen = buckets.groupBy("bucket").agg(F.min_by("id", rank).alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return buckets.join(work.cut(chosen, "pivots"), "bucket")
+    held = buckets.groupBy("bucket").agg(
+        F.min_by("id", rank).alias("pivot"),
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64("id", F.lit(7))).alias("y"),
+    )
+    one = held.where("n > 1").groupBy("pivot", "n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "pivot", "n")
+    return work.cut(buckets.join(work.cut(one, "chosen"), "bucket"), "placed")
 
 
 def links(entries: DataFrame, sets_of, s: Settings, work: Work) -> DataFrame:
     """Linked pairs (a, b) that join the entries (id, bands) into their components; ``sets_of`` takes ids and returns (id, members)."""
     buckets = entries.select("id", F.explode("bands").alias("bucket"))
     far = 1 - s.percent / 100 + 1e-9
-    found: DataFrame | None = None
+    found = work.cut(entries.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "found")
     sets = None
     step = 0
     while True:
-        placed = work.cut(_pivots(buckets, step, work), "placed")
-        pairs = placed.where("id <> pivot").select("pivot", "id")
-        if pairs.isEmpty():
-            break
+        placed = _placed(buckets, step, work)
+        if placed.isEmpty():
+            return found
         if sets is None:
-            ids = work.cut(pairs.select("pivot").union(pairs.select("id")).distinct().withColumnRenamed("pivot", "id"), "candidates")
-            sets = work.cut(sets_of(ids), "sets")
-        compared = _compare(pairs, sets, work)
+            sets = work.cut(sets_of(placed.select("id").distinct()), "sets")
+        # One pivot at first, then four times as many each time, drawn by their hash.
+        chosen = (F.col("id") == F.col("pivot")) | (F.pmod(F.xxhash64(F.col("id"), F.lit(step)), F.col("n")) < 4**step)
+        placed = placed.withColumn("chosen", F.lit(step > 0) & chosen | (F.col("id") == F.col("pivot")))
+        pivots = placed.where("chosen").select("bucket", F.col("id").alias("with"))
+        pairs = placed.select("bucket", "id").join(pivots, "bucket").where("id <> with")
+        compared = _compare(pairs.select(F.least("id", "with").alias("pivot"), F.greatest("id", "with").alias("id")), sets, work)
         linked = compared.where(F.col("both") * 100 >= F.col("either") * s.percent).select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-        found = work.cut(linked if found is None else found.unionByName(linked), "found")
-        # What is left: entries of more than one component, by rings around the pivot, without the pivot.
+        found = work.cut(found.unionByName(linked), "found")
+        # What is left: entries that weren't pivots, by rings around the first pivot, where they are of more than one component.
         roots = work.cut(graph.components(found, work), "roots")
-        distance = (1 - F.col("both") / F.col("either")).alias("distance")
+        low, high = F.least("pivot", "id").alias("low"), F.greatest("pivot", "id").alias("high")
+        distance = compared.select(F.col("pivot").alias("low"), F.col("id").alias("high"), (1 - F.col("both") / F.col("either")).alias("distance"))
+        rest = placed.where("not chosen").select("bucket", "id", low, high).join(distance, ["low", "high"])
         ring = F.floor(F.col("distance") / far).cast("int")
-        rest = (
-            placed.where("id <> pivot")
-            .join(compared.select("pivot", "id", distance), ["pivot", "id"])
-            .select("id", F.explode(F.array(ring, ring + 1)).alias("ring"), "bucket")
-            .select("id", F.xxhash64("bucket", "ring", F.lit(step)).alias("bucket"))
+        rest = rest.select("id", "bucket", F.explode(F.array(ring, ring + 1)).alias("ring")).select(
+            "id", F.xxhash64("bucket", "ring", F.lit(step)).alias("bucket")
         )
         rest = work.cut(rest.join(roots, "id", "left").select("id", "bucket", F.coalesce("root", "id").alias("root")), "rest")
         mixed = work.cut(rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket"), "mixed")
         buckets = work.cut(rest.join(mixed, "bucket").select("id", "bucket"), "buckets")
         step += 1
-    return found if found is not None else placed.select(F.col("pivot").alias("a"), F.col("id").alias("b")).limit(0)
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -205,6 +214,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_i
     classes = work.cut(some.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id")), "classes")
     # The bands of a class are those of its first document.
     entries = signed.select(F.col("doc_id").alias("id"), "bands").join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    entries = work.cut(entries, "entries")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         chosen = texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
