@@ -42,8 +42,8 @@ SPACE = "▁"
 class Settings:
     """Texts in the sample for the list of frequent units, and its length."""
 
-    sample: int = 4096
-    frequent: int = 1 << 18
+    sample: int = 16384
+    frequent: int = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -117,12 +117,13 @@ def _best_path(edges: Column, length: Column, unknown: float) -> Column:
     states = F.aggregate(F.sequence(F.lit(1), length), start, at)
 
     def back(acc: Column, end: Column) -> Column:
-        state = F.element_at(states, end + 1)
-        step = F.struct(state["start"].alias("at"), F.concat(F.array(state["id"]), acc["ids"]).alias("ids"))
+        state = F.element_at(acc["states"], end + 1)
+        step = F.struct(state["start"].alias("at"), F.concat(F.array(state["id"]), acc["ids"]).alias("ids"), acc["states"].alias("states"))
         return F.when(acc["at"] == end, step).otherwise(acc)
 
-    first = F.struct(length.alias("at"), F.array().cast("array<int>").alias("ids"))
-    return F.aggregate(F.sequence(length, F.lit(1), F.lit(-1)), first, back)["ids"]
+    # The states ride along, so that they are worked out once.
+    first = F.struct(length.alias("at"), F.array().cast("array<int>").alias("ids"), states.alias("states"))
+    return F.aggregate(F.sequence(length, F.lit(1), F.lit(-1)), first, back, lambda acc: acc["ids"])
 
 
 def fold(rows: DataFrame, keys: list[str], table: Table, pieces: DataFrame) -> DataFrame:
@@ -131,15 +132,9 @@ def fold(rows: DataFrame, keys: list[str], table: Table, pieces: DataFrame) -> D
     In ids, a character without a piece is -1 minus its code point.
     """
     length = F.length("unit")
-    spans = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), length),
-            lambda a: F.transform(F.sequence(a, F.least(a + (table.longest - 1), F.length("unit"))), lambda z: F.struct(a.alias("a"), z.alias("z"))),
-        )
-    )
-    exploded = rows.select(*keys, "unit", F.explode(spans).alias("span")).select(
-        *keys, "unit", (F.col("span.a") - 1).alias("start"), F.col("span.z").alias("end"), F.substring("unit", F.col("span.a"), F.col("span.z") - F.col("span.a") + 1).alias("piece")
-    )
+    starts = rows.select(*keys, "unit", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
+    exploded = starts.select(*keys, "unit", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + table.longest, length))).alias("end"))
+    exploded = exploded.withColumn("piece", F.substring("unit", F.col("start") + 1, F.col("end") - F.col("start")))
     single = F.col("end") - F.col("start") == 1
     edges = exploded.join(F.broadcast(pieces), "piece", "left").where(F.col("id").isNotNull() | single)
     edge = F.struct(
@@ -182,7 +177,7 @@ def frequent_units(docs: DataFrame, table: Table, pieces: DataFrame, s: Settings
     every = max(1, docs.count() // s.sample)
     few = docs.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).select(F.explode(units(F.col("text"), table)).alias("unit"))
     top = few.groupBy("unit").count().orderBy(F.desc("count"), "unit").limit(s.frequent).select("unit")
-    return {r["unit"]: list(r["ids"]) for r in fold(top, [], table, pieces).toLocalIterator()}
+    return {r["unit"]: list(r["ids"]) for r in fold(top, [], table, pieces).collect()}
 
 
 def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
