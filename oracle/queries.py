@@ -41,6 +41,21 @@ SELECT o.id AS order_id, o.client_id, {s('o.order_date')} AS order_date, {s('o.d
   {d('i.total_revenue')} AS line_revenue, {d('i.total_cost')} AS line_cost, p.name AS product_name, p.unit
 FROM w_orders o LEFT JOIN w_clients c ON c.id = o.client_id LEFT JOIN w_items i ON i.order_id = o.id
 LEFT JOIN w_products p ON p.id = i.product_id""",
+    "order_documents": f"""
+SELECT o.id AS order_id, o.client_id, {s('o.order_date')} AS order_date, {s('o.delivery_date')} AS delivery_date,
+  {d('o.total_revenue')} AS total_revenue, {d('o.transport_cost')} AS transport_cost, {d('o.packaging_cost')} AS packaging_cost,
+  {d('o.total_cost')} AS total_cost, {d('o.net_profit')} AS net_profit, o.margin_percentage, o.margin_zone,
+  c.name AS client_name, c.name_ar AS client_name_ar, c.type AS client_type, c.phone AS client_phone, CAST(c.credit_days AS BIGINT) AS credit_days,
+  i.id AS item_id, i.product_id, {d('i.quantity')} AS quantity, i.price AS selling_price_used, {d('i.cost_used')} AS cost_used,
+  {d('i.total_revenue')} AS line_revenue, {d('i.total_cost')} AS line_cost, p.name AS product_name, p.unit,
+  CASE WHEN i.id IS NULL THEN 0 ELSE row_number() OVER (PARTITION BY o.id ORDER BY i.id) END AS position
+FROM w_orders o LEFT JOIN w_clients c ON c.id = o.client_id LEFT JOIN w_items i ON i.order_id = o.id
+LEFT JOIN w_products p ON p.id = i.product_id""",
+    "client_price_map": f"SELECT client_id, product_id, {d('selling_price')} AS selling_price FROM w_pricing",
+    "pricing_items_by_client": f"""
+SELECT r.id, client_id, product_id, {d('selling_price')} AS selling_price, {s('r.last_updated')} AS last_updated, p.name AS product_name, p.unit,
+  coalesce(c.name, 'Unknown') AS client_name, c.type AS client_type
+FROM w_pricing r LEFT JOIN w_products p ON p.id = product_id LEFT JOIN w_clients c ON c.id = client_id""",
     "batches_with_product": f"""
 SELECT id, product_id, {s('harvest_date')} AS harvest_date, {d('harvested')} AS harvested_qty, {d('sold')} AS sold_qty,
   {d('damaged')} AS damaged_qty, {d('expired')} AS expired_qty, waste_percentage, {d('waste_value')} AS waste_value,
@@ -269,6 +284,19 @@ SELECT product_id, name, unit, recommendation, CAST(CASE recommendation WHEN 'in
 SELECT COUNT(*) FILTER (recommendation <> 'stable') AS to_act_on, COUNT(*) FILTER (recommendation = 'stable') AS stable FROM w_advice""",
     "price_suggestions": f"""
 SELECT product_id, name, 'raise_price' AS rule, 'increase' AS kind, margin AS metric, avg_price * 1.1e0 AS target_price
+FROM w_stats WHERE n >= 3 AND margin < 25
+UNION ALL SELECT product_id, name, 'lower_price', 'decrease', margin, NULL FROM w_stats WHERE n <= 1 AND margin > 40
+UNION ALL SELECT product_id, name, 'standardise', 'info', (max_price - min_price) / min_price * 100, NULL
+FROM w_stats WHERE max_price > 0 AND min_price > 0 AND (max_price - min_price) / min_price * 100 > 20
+UNION ALL SELECT r.product_id, r.name, 'underpriced', 'increase', avg_price, g.suggested
+FROM w_stats r JOIN w_suggested g ON g.id = r.product_id WHERE g.suggested > 0 AND avg_price > 0 AND avg_price < g.suggested * 0.9e0""",
+    "stock_recommendations_last_30_days": f"""
+SELECT product_id, name, unit, recommendation, CAST(CASE recommendation WHEN 'increase' THEN 0 WHEN 'decrease' THEN 1 ELSE 2 END AS BIGINT) AS rank_pos, velocity,
+  n AS order_count, {d('qty')} AS total_qty, {d('rev')} AS total_revenue FROM w_recent_advice""",
+    "stock_rec_counts_last_30_days": """
+SELECT COUNT(*) FILTER (recommendation <> 'stable') AS to_act_on, COUNT(*) FILTER (recommendation = 'stable') AS stable FROM w_recent_advice""",
+    "price_suggestions_last_30_days": f"""
+SELECT product_id, name, 'raise_price' AS rule, 'increase' AS kind, margin AS metric, avg_price * 1.1e0 AS target_price
 FROM w_recent_stats WHERE n >= 3 AND margin < 25
 UNION ALL SELECT product_id, name, 'lower_price', 'decrease', margin, NULL FROM w_recent_stats WHERE n <= 1 AND margin > 40
 UNION ALL SELECT product_id, name, 'standardise', 'info', (max_price - min_price) / min_price * 100, NULL
@@ -375,3 +403,6 @@ WHERE rn = 1 OR before IS DISTINCT FROM value""",
     "daily_ledger_flow": f"SELECT {s('date')} AS day, type, COUNT(*) AS entries, {d('SUM(amount)')} AS amount FROM w_ledger GROUP BY date, type",
     "ledger_totals": f"SELECT type, COUNT(*) AS entries, {d('SUM(amount)')} AS amount FROM w_ledger GROUP BY type",
 }
+
+# A stream run to the end of its feed has the rows of its batch form.
+QUERIES |= {f"{name}_stream": QUERIES[name] for name in ("debounced_changes", "daily_ledger_flow", "ledger_totals")}

@@ -79,7 +79,7 @@ FROM w_batches b LEFT JOIN w_heads o ON o.id = {s('b.linked_order')} LEFT JOIN w
 SELECT i.id, i.client_id, i.product_id, {cents('i.price')} AS selling_price, h.order_date AS changed_at
 FROM w_items i LEFT JOIN w_heads h ON h.id = i.order_id""",
     "w_pricing": """
-SELECT 'cp-' || client_id || '-' || product_id AS id, client_id, product_id, selling_price
+SELECT 'cp-' || client_id || '-' || product_id AS id, client_id, product_id, selling_price, changed_at AS last_updated
 FROM w_history QUALIFY row_number() OVER (PARTITION BY client_id, product_id ORDER BY changed_at DESC, id DESC) = 1""",
     "w_margins": f"""
 SELECT {s('p_partkey')} AS product_id, {d('(p_partkey % 7) * 5')} AS margin FROM part WHERE p_partkey % 10 <> 0""",
@@ -112,11 +112,16 @@ SELECT g.*, p.name, p.unit, p.cost AS base_cost,
 FROM (SELECT product_id, SUM(quantity) AS qty, SUM(total_revenue) AS rev, SUM(total_cost) AS cst, COUNT(*) AS n,
   MIN(price) AS min_price, greatest(MAX(price), 0e0) AS max_price FROM w_recent GROUP BY product_id) g
 JOIN w_products p ON p.id = g.product_id""",
-    "w_advice": f"""
+    "w_recent_advice": f"""
 SELECT s.*, velocity, CASE WHEN n >= 3 AND velocity > 2 THEN 'increase' WHEN n <= 1 AND velocity < 0.5 THEN 'decrease'
   ELSE 'stable' END AS recommendation
 FROM (SELECT *, {d('qty')} / (SELECT {d("greatest(1, date_diff('day', MIN(order_date), MAX(order_date)))")} FROM w_heads
   WHERE order_date > DATE '2001-08-01' - 30) AS velocity FROM w_recent_stats) s""",
+    "w_advice": f"""
+SELECT s.*, velocity, CASE WHEN n >= 3 AND velocity > 2 THEN 'increase' WHEN n <= 1 AND velocity < 0.5 THEN 'decrease'
+  ELSE 'stable' END AS recommendation
+FROM (SELECT *, {d('qty')} / (SELECT {d("greatest(1, date_diff('day', MIN(order_date), MAX(order_date)))")} FROM w_heads) AS velocity
+  FROM w_stats) s""",
     "w_packs": f"""
 SELECT i.*, CASE WHEN unit = 'kg' AND price > 0 AND total_revenue > 0
     THEN floor({d('total_revenue')} / price + 0.5e0) END AS kg_packs,

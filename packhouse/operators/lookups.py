@@ -8,8 +8,6 @@ shuffles, where adaptive execution splits a hot key over many tasks.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +21,3 @@ def with_parent(rows: DataFrame, parent: DataFrame, key: str, fields: dict[str,
 def fold_children(children: DataFrame, key: str, **sums: Column) -> DataFrame:
     """One row per parent key, combined before the shuffle."""
     return children.groupBy(key).agg(*[expr.alias(name) for name, expr in sums.items()])
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

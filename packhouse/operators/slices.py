@@ -11,38 +11,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from packhouse.session import work_dir
 
-def numbered(
-    rows: DataFrame,
-    keys: list[str],
-    slices: list[Column],
-    order: list[Column],
-    name: str,
-    descending: bool = False,
-) -> DataFrame:
-    """Add the 1-based position of each row in its group.
 
-    ``slices`` must rise (or fall, with ``descending``) with ``order`` and, like
-    ``keys``, hold no nulls: rows of an earlier slice all come before rows of a
-    later one.
-    """
-    cuts = [f"_slice{i}" for i in range(len(slices))]
-    sliced = rows.withColumns(dict(zip(cuts, slices)))
+def numbered(rows: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """Add the 1-based position of each row in its group, by ``order``.
 
-    inside = Window.partitionBy(*keys, *cuts).orderBy(*order)
-    # One row per slice: its size, then the sizes of the slices before it.
-    along = [F.col(c).desc() if descending else F.col(c).asc() for c in cuts]
-    earlier = Window.partitionBy(*keys).orderBy(*along).rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        sliced.groupBy(*keys, *cuts)
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select(*keys, *cuts, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    )
+    Rows are dealt out by ranges of key and order, so a group of any size spreads over as many
+    tasks as its rows ask for, whatever its values look like.  The ranges are drawn from a sample, so
+    the dealt rows are written once: both sides below have to see the same ranges.
+    """
+    spark = rows.sparkSession
+    folder = work_dir(spark, "numbered")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn("_part", F.spark_partition_id())
+    dealt.write.parquet(folder)
+    dealt = spark.read.schema(dealt.schema).parquet(folder)
+
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
+    # One row per group and range: its size, then the sizes of the ranges before it.
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.select(*keys, "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
     return (
-        sliced.withColumn("_place", F.row_number().over(inside))
-        .join(before, [*keys, *cuts], "left")
+        dealt.withColumn("_place", F.row_number().over(inside))
+        .join(before, [*keys, "_part"], "left")
         .withColumn(name, F.col("_before") + F.col("_place"))
-        .drop(*cuts, "_place", "_before")
+        .drop("_part", "_place", "_before")
     )
 
 
@@ -66,25 +61,3 @@ def with_neighbour(
         .withColumn(name, F.coalesce("_near", "_carried").getField("v"))
         .drop("_near", "_carried")
     )
-
-
-def paged_lists(rows: DataFrame, keys: list[str], spread_by: str, page_rows: int, collected: Column) -> DataFrame:
-    """Collect each group to a list, in pages of about ``page_rows`` rows.
-
-    An ordinary group is one row with ``page`` 0.  A larger one is spread over
-    as many pages as it needs, so that no task holds an unbounded list and no
-    row is lost.
-    """
-    large = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > page_rows)
-        .select(*keys, F.ceil(F.col("_n") / page_rows).alias("_pages"))
-    )
-    page = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_pages")), F.lit(0))
-    return (
-        rows.join(large, keys, "left")
-        .withColumn("page", page)
-        .groupBy(*keys, "page")
-        .agg(collected)
-    )

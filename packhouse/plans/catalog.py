@@ -10,10 +10,7 @@ from packhouse.functions import rules
 from packhouse.functions.numbers import pct
 from packhouse.functions.text import DASH, UNKNOWN
 from packhouse.operators.lookups import with_parent
-from packhouse.operators.slices import numbered, paged_lists
-
-# Rows of one page where a client's prices or an order's lines are collected to a list.
-PAGE_ROWS = 10_000
+from packhouse.operators.slices import numbered
 
 
 def products_by_name(t, p: Params) -> DataFrame:
@@ -49,11 +46,8 @@ def price_history(t, p: Params) -> DataFrame:
     versions = numbered(
         history,
         keys=["client_id", "product_id"],
-        # A day of one client and product, cut further by the first characters of the id.
-        slices=[F.to_date("changed_at"), F.substring("id", 1, 3)],
         order=[F.col("changed_at").desc(), F.col("id").desc()],
         name="version",
-        descending=True,
     )
     return versions.select(
         "id", "client_id", "product_id", "selling_price", F.date_format("changed_at", "yyyy-MM-dd").alias("changed_on"), "version"
@@ -81,16 +75,18 @@ def _items_with_product(t) -> DataFrame:
 
 
 def order_documents(t, p: Params) -> DataFrame:
-    """Each order with its client's fields and its items as a list (several pages for a very large order)."""
-    item_fields = ["id", "product_id", "product_name", "unit", "quantity", "selling_price_used", "cost_used", "total_revenue", "total_cost"]
-    items = F.sort_array(F.collect_list(F.struct(*item_fields))).alias("items")
-    lists = paged_lists(_items_with_product(t), ["order_id"], "id", PAGE_ROWS, items)
-    return (
-        _order_heads(t)
-        .withColumnRenamed("id", "order_id")
-        .join(lists, "order_id", "left")
-        .withColumn("page", F.coalesce("page", F.lit(0)))
-    )
+    """The order document as rows: each item with its position in the order (by id) and all fields of the order's head.
+
+    Orders without items keep one row, at position 0.
+    """
+    cols = ["transport_cost", "packaging_cost", "total_cost", "net_profit", "margin_percentage", "margin_zone"]
+    heads = t.orders("id", "client_id", "order_date", "delivery_date", "total_revenue", *cols)
+    fields = {"client_name": "name", "client_name_ar": "name_ar", "client_type": "type", "client_phone": "phone", "credit_days": "credit_days"}
+    heads = with_parent(heads, t.clients("id", *fields.values()), "client_id", fields).withColumnRenamed("id", "order_id")
+    items = _items_with_product(t).withColumnsRenamed({"id": "item_id", "total_revenue": "line_revenue", "total_cost": "line_cost"})
+    placed = numbered(items.filter(F.col("order_id").isNotNull()), ["order_id"], [F.col("item_id").asc()], "position")
+    empty = heads.join(t.order_items("order_id").distinct(), "order_id", "left_anti").withColumn("position", F.lit(0).cast("long"))
+    return placed.join(heads, "order_id", "inner").unionByName(empty, allowMissingColumns=True)
 
 
 def order_documents_flat(t, p: Params) -> DataFrame:
@@ -180,10 +176,18 @@ def client_orders(t, p: Params, client_id: str | None = None) -> DataFrame:
 
 
 def client_price_map(t, p: Params) -> DataFrame:
-    """Each client's prices as a product -> price map (several pages for a very long list)."""
-    prices = t.client_pricing("client_id", "product_id", "selling_price")
-    price_map = F.map_from_entries(F.collect_list(F.struct("product_id", "selling_price"))).alias("prices")
-    return paged_lists(prices, ["client_id"], "product_id", PAGE_ROWS, price_map)
+    """Each client's agreed price of each product, one row each."""
+    return t.client_pricing("client_id", "product_id", "selling_price")
+
+
+def pricing_items_by_client(t, p: Params) -> DataFrame:
+    """The items of each client's price list."""
+    prices = t.client_pricing("id", "client_id", "product_id", "selling_price", "last_updated")
+    prices = with_parent(prices, t.products("id", "name", "unit"), "product_id", {"product_name": "name", "unit": "unit"})
+    prices = with_parent(prices, t.clients("id", "name", "type"), "client_id", {"client_name": "name", "client_type": "type"})
+    return prices.withColumns(
+        {"client_name": F.coalesce("client_name", F.lit(UNKNOWN)), "last_updated": F.date_format("last_updated", "yyyy-MM-dd")}
+    )
 
 
 def pricing_by_client(t, p: Params) -> DataFrame:

@@ -44,9 +44,14 @@ def apply_price_changes(t, p: Params) -> DataFrame:
 
 
 def offered_prices(offers: DataFrame, picks: DataFrame) -> DataFrame:
-    """Each offer's price for each client picked for it; an offer without a price sets none."""
+    """Each offer's price for each client picked for it; an offer without a price sets none.
+
+    Of offers that reach one client and product, the last by (changed_at, seq) wins, then the one of the last request id.
+    """
     usable = offers.filter(rules.truthy(F.col("selling_price")) & F.col("product_id").isNotNull())
-    return picks.join(usable, "request_id", "inner").select(*PRICE_KEY, "selling_price").dropDuplicates(PRICE_KEY)
+    order = [F.col(c) if c in offers.columns else F.lit(None) for c in ("changed_at", "seq")]
+    last = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)], F.col("request_id"))
+    return picks.join(usable, "request_id", "inner").groupBy(*PRICE_KEY).agg(F.max_by("selling_price", last).alias("selling_price"))
 
 
 def price_fanout_clients(t, p: Params) -> DataFrame:

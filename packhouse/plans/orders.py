@@ -165,12 +165,9 @@ def orders_by_delivery_date(t, p: Params) -> DataFrame:
 def client_order_number(t, p: Params) -> DataFrame:
     """Running number of each order of a client, oldest first."""
     orders = t.orders("id", "client_id", "order_date").withColumn("client_id", F.coalesce("client_id", F.lit("")))
-    undated = F.lit("0001-01-01").cast("date")
     return numbered(
         orders,
         keys=["client_id"],
-        # A day of one client, cut further by the first characters of the order id.
-        slices=[F.coalesce("order_date", undated), F.substring("id", 1, 3)],
         order=[F.col("order_date").asc_nulls_first(), F.col("id").asc()],
         name="order_number",
     ).select(F.col("id").alias("order_id"), "client_id", "order_number")

@@ -19,7 +19,7 @@ from packhouse.streaming import debounce, flows
 # The last order date of the given tables.
 AS_OF = dt.date(2001, 8, 1)
 PARAMS = Params(as_of=AS_OF)
-# Advice looks back 30 days here: over all seven years every product would count as steady.
+# Advice over the whole history, and by a look-back under names of its own.
 RECENT = replace(PARAMS, lookback_days=30)
 GAP_SECONDS = 30 * 60
 
@@ -86,6 +86,7 @@ _PLANS: list[Callable] = [
     catalog.client_orders,
     catalog.client_price_map,
     catalog.pricing_by_client,
+    catalog.pricing_items_by_client,
     catalog.client_price_margin,
     documents.settings_resolved,
     documents.product_margins_table,
@@ -163,12 +164,10 @@ _PLANS: list[Callable] = [
     ledger_totals_stream,
 ]
 
-_RECENT_ONLY = {"stock_recommendations", "stock_rec_counts", "price_suggestions"}
+_LOOKED_BACK = [analytics.stock_recommendations, analytics.stock_rec_counts, analytics.price_suggestions]
 
 
-def _query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
-    params = RECENT if plan.__name__ in _RECENT_ONLY else PARAMS
-
+def _query(plan: Callable, params: Params = PARAMS) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plain(plan(Testdata(tune(spark), sf_dir), params))
 
@@ -178,4 +177,5 @@ def _query(plan: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {plan.__name__: _query(plan) for plan in _PLANS}
+    found = {plan.__name__: _query(plan) for plan in _PLANS}
+    return found | {f"{plan.__name__}_last_30_days": _query(plan, RECENT) for plan in _LOOKED_BACK}

@@ -17,12 +17,21 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Join by hash, without sorting, where the partitions turn out small enough to be held.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Keep the state of streams on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Merge the sessions of a busy key before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
+_TUNED = "packhouse.tuned"
+
+
 def tune(spark: SparkSession) -> SparkSession:
+    """Once a session: what is set later, by anyone, stays."""
+    if spark.conf.get(_TUNED, None):
+        return spark
+    spark.conf.set(_TUNED, "true")
     explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
     for key, value in RUNTIME_DEFAULTS.items():
         if key not in explicit and spark.conf.isModifiable(key):

@@ -9,7 +9,7 @@ from packhouse.config import Settings
 from packhouse.sources import documents
 from packhouse.sources.schemas import read_table
 
-# Folders of JSON documents, one document per line, and of change requests.
+# Folders of JSON documents, and of change requests.
 DOCUMENTS = ("pricing_settings_doc", "product_margins", "weight_variants", "capital_ledger", "waste_links")
 REQUESTS = (
     "product_changes",
@@ -73,7 +73,10 @@ class Lake:
     # ---------------------------------------------------------- documents
 
     def _documents(self, name: str) -> DataFrame:
-        return self.spark.read.text(f"{self.root}/{name}").select(F.col("value").alias("doc"))
+        """One row per document: a file holds one, over any number of lines, or several, each starting on a line."""
+        files = self.spark.read.text(f"{self.root}/{name}", wholetext=True)
+        between = r"(?<=[}\]])\s*\n\s*(?=[{\[])"
+        return files.select(F.explode(F.split("value", between)).alias("doc")).filter(F.trim("doc") != "")
 
     def settings_documents(self) -> DataFrame:
         return self._documents("pricing_settings_doc")

@@ -6,6 +6,7 @@ out, unless it equals what was saved last.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +14,13 @@ from packhouse.operators.slices import with_neighbour
 from packhouse.session import work_dir
 
 DAY = 86_400 * 1_000_000  # microseconds
+# Files of the feed that one batch takes.
+FILES_PER_BATCH = 1000
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
 def with_day(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("day", F.expr(f"unix_micros(ts) div {DAY}"))
+    return rows.withColumn("day", F.expr(f"(unix_micros(ts) - pmod(unix_micros(ts), {DAY})) div {DAY}"))
 
 
 def changed_only(saves: DataFrame) -> DataFrame:
@@ -35,7 +38,7 @@ def debounced(events: DataFrame, gap_seconds: float) -> DataFrame:
     first, map-side.  What is left of a key is compared day by day.
     """
     gap = int(gap_seconds * 1_000_000)
-    stamped = events.withColumn("step", F.expr(f"unix_micros(ts) div {gap}"))
+    stamped = events.withColumn("step", F.expr(f"(unix_micros(ts) - pmod(unix_micros(ts), {gap})) div {gap}"))
     steps = (
         stamped.groupBy("key", "step")
         .agg(F.min("ts").alias("first_ts"), F.max(F.struct("ts", "seq", "value")).alias("last"))
@@ -61,46 +64,86 @@ def stream_sessions(events: DataFrame, gap_seconds: int, lateness: str) -> DataF
 class SavedValues:
     """Sink of the stream: appends saves that differ from the key's last saved value.
 
-    The last value of each key is a written table, one version per batch, so a
-    batch that is run again starts from the same version and writes the same rows.
+    The last value of each key is a written table: each batch adds a version with the keys it touched, and
+    every ``FULL``-th version holds all keys, so that a batch reads a bounded number of versions.  A
+    batch that is run again starts from the same versions and writes the same rows.
     """
 
+    FULL = 20
+    STATE = "key string, ts timestamp, seq long, value double, day long"
+
     def __init__(self, folder: str):
         self.saves = f"{folder}/saves"
         self.latest = f"{folder}/latest"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = with_day(batch)
-        if batch_id > 0:
-            rows = rows.unionByName(self._version(spark, batch_id - 1).withColumn("_old", F.lit(True)), allowMissingColumns=True)
-        else:
-            rows = rows.withColumn("_old", F.lit(None).cast("boolean"))
-        fresh = changed_only(rows).filter(F.col("_old").isNull()).drop("day", "_old")
+        held = batch.persist(StorageLevel.DISK_ONLY)
+        rows = with_day(held).select("key", "ts", "seq", "value", "day").withColumn("_old", F.lit(False))
+        before = self._before(spark, batch_id)
+        full = batch_id % self.FULL == 0
+        if before is not None:
+            known = before if full else before.join(held.select("key").distinct(), "key", "left_semi")
+            rows = rows.unionByName(known.withColumn("_old", F.lit(True)))
+        fresh = changed_only(rows).filter(~F.col("_old")).drop("day", "_old")
         fresh.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{self.saves}/run={batch_id}")
+        self._last(rows.drop("_old")).write.mode("overwrite").parquet(self._version(batch_id))
+        held.unpersist()
+
+    def _last(self, rows: DataFrame) -> DataFrame:
         last = F.max_by(F.struct("ts", "seq", "value", "day"), F.struct("ts", "seq"))
-        kept = rows.drop("_old").groupBy("key").agg(last.alias("l")).select("key", "l.*")
-        kept.write.mode("overwrite").parquet(f"{self.latest}/version={batch_id}")
+        return rows.groupBy("key").agg(last.alias("l")).select("key", "l.*")
+
+    def _version(self, n: int) -> str:
+        return f"{self.latest}/{n:09d}"
+
+    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The last value of each key before this batch; None before the first."""
+        if batch_id == 0:
+            return None
+        first = (batch_id - 1) // self.FULL * self.FULL
+        return self._last(spark.read.schema(self.STATE).parquet(*[self._version(n) for n in range(first, batch_id)]))
 
-    def _version(self, spark: SparkSession, n: int) -> DataFrame:
-        return spark.read.parquet(f"{self.latest}/version={n}")
+
+def feed(spark: SparkSession, source_dir: str, pattern: str, closing: str) -> DataFrame:
+    """The events under ``source_dir`` as a stream, and after them what is put under ``closing``.
+
+    A batch takes a bounded number of files.
+    """
+    events = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return events.parquet(source_dir).unionByName(spark.readStream.schema(EVENT_SCHEMA).parquet(closing))
+
+
+def run_to_end(spark: SparkSession, closing: str, start) -> None:
+    """Runs a query over a finished feed, then once more with an event far ahead, which closes what was still open.
+
+    ``start`` starts the query, with the same checkpoint both times.  The event's own window stays open.
+    """
+    spark.createDataFrame([], EVENT_SCHEMA).write.mode("overwrite").parquet(closing)
+    start().awaitTermination()
+    spark.sql("SELECT -1L event_id, timestamp_ntz'9000-01-01' ts, -1L user_id, 'end' event_type, 0D value, '' props").write.mode("append").parquet(closing)
+    start().awaitTermination()
 
 
 def run_debounce(spark: SparkSession, source_dir: str, gap_seconds: int, lateness: str = "1 hour", pattern: str = "events.parquet") -> DataFrame:
     """Run the feed under ``source_dir`` through the stream until it is used up; the saves."""
     folder = work_dir(spark, "debounce")
     sink = SavedValues(folder)
-    events = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern).parquet(source_dir)
-    keyed = events.select(
-        F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), "value"
-    )
-    query = (
-        stream_sessions(keyed, gap_seconds, lateness)
-        .writeStream.outputMode("append")
-        .foreachBatch(sink)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    closing = f"{folder}/closing"
+
+    def start():
+        events = feed(spark, source_dir, pattern, closing)
+        keyed = events.select(
+            F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), "value"
+        )
+        return (
+            stream_sessions(keyed, gap_seconds, lateness)
+            .writeStream.outputMode("append")
+            .foreachBatch(sink)
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    run_to_end(spark, closing, start)
     return spark.read.parquet(sink.saves).select("key", "ts", "seq", "value")

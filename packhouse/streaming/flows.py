@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from packhouse.functions.numbers import cents
 from packhouse.session import work_dir
-from packhouse.streaming.debounce import EVENT_SCHEMA
+from packhouse.streaming.debounce import EVENT_SCHEMA, FILES_PER_BATCH, feed, run_to_end
 
 # Which events count as which ledger entry.
 ENTRY_TYPES = {"signup": "initial", "purchase": "deposit", "error": "withdrawal"}
@@ -15,7 +16,7 @@ ENTRY_TYPES = {"signup": "initial", "purchase": "deposit", "error": "withdrawal"
 def entries(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     mapped = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in ENTRY_TYPES.items()], kind)
-    return events.select(F.col("ts").cast("timestamp").alias("ts"), mapped.alias("type"), F.col("value").cast("decimal(18,2)").alias("amount"))
+    return events.select(F.col("ts").cast("timestamp").alias("ts"), mapped.alias("type"), cents(F.col("value")).alias("amount"))
 
 
 def daily_flow(rows: DataFrame) -> DataFrame:
@@ -34,23 +35,32 @@ def running_totals(rows: DataFrame) -> DataFrame:
 
 
 def _events(spark: SparkSession, source_dir: str, pattern: str) -> DataFrame:
-    return spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern).parquet(source_dir)
+    return (
+        spark.readStream.schema(EVENT_SCHEMA)
+        .option("pathGlobFilter", pattern)
+        .option("maxFilesPerTrigger", FILES_PER_BATCH)
+        .parquet(source_dir)
+    )
 
 
 def run_daily_flow(spark: SparkSession, source_dir: str, lateness: str = "1 hour", pattern: str = "events.parquet") -> DataFrame:
-    """Run the feed through the stream until it is used up; the days the watermark has closed."""
+    """Run the feed through the stream until it is used up; all its days."""
     folder = work_dir(spark, "daily-flow")
-    rows = entries(_events(spark, source_dir, pattern)).withWatermark("ts", lateness)
-    query = (
-        daily_flow(rows)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{folder}/days")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    closing = f"{folder}/closing"
+
+    def start():
+        rows = entries(feed(spark, source_dir, pattern, closing)).withWatermark("ts", lateness)
+        return (
+            daily_flow(rows)
+            .writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", f"{folder}/days")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    run_to_end(spark, closing, start)
     return spark.read.parquet(f"{folder}/days")
 
 

@@ -67,7 +67,8 @@ def test_stored_tables_give_the_same_reports(spark, tmp_path):
     assert not exports.snapshot_is_complete(spark, base, ["nothing"])
     t.margin_documents().select("doc").write.text(f"{base}/product_margins")
     t.variant_documents().select("doc").write.text(f"{base}/weight_variants")
-    docs(spark, '{"overhead_pct": 15}').write.text(f"{base}/pricing_settings_doc")
+    # A document over several lines.
+    docs(spark, '{\n  "overhead_pct": 15\n}').write.text(f"{base}/pricing_settings_doc")
     t.product_changes().write.parquet(f"{base}/changes/product_changes")
     lake = Lake(spark, base)
     for plan in (analytics.product_performance, catalog.receivables_aging, pricing.price_list_export):
