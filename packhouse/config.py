@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Settings:
-    """Overhead and labor, in percent of cost."""
+    """Overhead and labor, in percent of cost: numbers, or columns of one value."""
 
     overhead_pct: float = 15.0
     labor_pct: float = 0.0
@@ -52,7 +52,8 @@ class Params:
     week_days: int = 7
     lookback_days: int | None = None
     default_credit_days: int = 30
-    settings: Settings = field(default_factory=Settings)
+    # Given settings replace the saved ones.
+    settings: Settings | None = None
     thresholds: Thresholds = field(default_factory=Thresholds)
     advice: AdviceRules = field(default_factory=AdviceRules)
 

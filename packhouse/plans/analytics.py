@@ -10,6 +10,7 @@ from packhouse.functions import rules
 from packhouse.functions.numbers import dbl, money, pct, zero_if_null
 from packhouse.functions.text import UNKNOWN
 from packhouse.operators.lookups import fold_children, with_parent
+from packhouse.plans.pricing import settings
 
 UNKNOWN_CLIENT = "unknown"
 TOP_VARIANT_PRODUCTS = 6
@@ -181,7 +182,7 @@ def price_suggestions(t, p: Params) -> DataFrame:
     stats = with_parent(product_stats(t, p), t.margins(), "product_id", {"saved_margin": "profit_margin_pct"}, parent_key="product_id")
     lines, margin, avg = F.col("order_count"), F.col("margin"), F.col("avg_price")
     low, high = F.col("min_price"), F.col("max_price")
-    suggested = rules.suggested_price(F.col("base_cost"), F.col("saved_margin"), p.settings)
+    suggested = rules.suggested_price(F.col("base_cost"), F.col("saved_margin"), settings(t, p))
     none = F.lit(None).cast("double")
 
     def tip(rule: str, kind: str, metric: Column, target: Column) -> Column:

@@ -14,6 +14,11 @@ from packhouse.operators.lookups import with_parent
 SCENARIOS = (Settings(10.0, 5.0), Settings(15.0, 0.0), Settings(20.0, 2.5))
 
 
+def settings(t, p: Params) -> Settings:
+    """The settings in force: those given, else those saved."""
+    return p.settings or t.settings()
+
+
 def _products(t) -> DataFrame:
     return t.products("id", "name", "name_ar", "unit", "cost_per_unit").withColumnRenamed("id", "product_id")
 
@@ -23,7 +28,7 @@ def _with_margin(t) -> DataFrame:
 
 
 def suggested_price(t, p: Params) -> DataFrame:
-    price = rules.suggested_price(F.col("cost_per_unit"), F.col("saved_margin"), p.settings)
+    price = rules.suggested_price(F.col("cost_per_unit"), F.col("saved_margin"), settings(t, p))
     return _with_margin(t).select("product_id", price.alias("suggested_price"))
 
 
@@ -32,7 +37,7 @@ def suggested_pack_price(t, p: Params) -> DataFrame:
     margins = _with_margin(t)
     side = {"unit": "unit", "cost_per_unit": "cost_per_unit", "saved_margin": "saved_margin"}
     packs = with_parent(t.variants(), margins, "product_id", side, parent_key="product_id")
-    price = rules.suggested_price(F.col("cost_per_unit"), F.col("saved_margin"), p.settings)
+    price = rules.suggested_price(F.col("cost_per_unit"), F.col("saved_margin"), settings(t, p))
     by_pack = (F.col("unit") == rules.KG) & (F.col("weight") > 0)
     shown = F.when(by_pack, price * F.col("weight")).otherwise(price)
     return packs.select("product_id", "position", "weight", to_fixed(shown, 2).alias("suggested_price"))
@@ -46,8 +51,8 @@ def calculator_rows(t, p: Params) -> DataFrame:
     first = t.variants().filter(F.col("position") == 0)
     rows = with_parent(_products(t), first, "product_id", {"weight": "weight", "price": "price"}, parent_key="product_id")
     saved = F.col("weight").isNotNull()
-    cost = rules.pack_cost(F.col("cost_per_unit"), F.col("weight"), p.settings)
-    unit_cost = rules.pack_cost(F.col("cost_per_unit"), F.lit(1.0), p.settings)
+    cost = rules.pack_cost(F.col("cost_per_unit"), F.col("weight"), settings(t, p))
+    unit_cost = rules.pack_cost(F.col("cost_per_unit"), F.lit(1.0), settings(t, p))
     return rows.withColumns(
         {
             "pack_size": F.when(saved, F.col("weight")).otherwise(F.lit(1.0)),
@@ -69,7 +74,7 @@ def pricing_rows_valid(t, p: Params) -> DataFrame:
 
 def pack_cost(t, p: Params) -> DataFrame:
     rows = calculator_rows(t, p)
-    return rows.select("product_id", "pack_size", rules.pack_cost(F.col("cost_per_unit"), F.col("pack_size"), p.settings).alias("pack_cost"))
+    return rows.select("product_id", "pack_size", rules.pack_cost(F.col("cost_per_unit"), F.col("pack_size"), settings(t, p)).alias("pack_cost"))
 
 
 def _entered(t, p: Params) -> DataFrame:
@@ -78,15 +83,15 @@ def _entered(t, p: Params) -> DataFrame:
     return with_parent(calculator_rows(t, p), entries, "product_id", typed, parent_key="product_id")
 
 
-def _row_cost(p: Params) -> Column:
-    return rules.pack_cost(F.col("cost_per_unit"), or_default(F.col("pack_size"), 1.0), p.settings)
+def _row_cost(t, p: Params) -> Column:
+    return rules.pack_cost(F.col("cost_per_unit"), or_default(F.col("pack_size"), 1.0), settings(t, p))
 
 
 def margin_from_price(t, p: Params) -> DataFrame:
     """A new pack price gives a new margin on cost."""
     price = zero_if_null(parse_float(F.col("new_price")))
     return _entered(t, p).select(
-        "product_id", price.alias("pack_price"), to_fixed(rules.markup_pct(price, _row_cost(p)), 1).alias("profit_margin")
+        "product_id", price.alias("pack_price"), to_fixed(rules.markup_pct(price, _row_cost(t, p)), 1).alias("profit_margin")
     )
 
 
@@ -94,14 +99,14 @@ def price_from_margin(t, p: Params) -> DataFrame:
     """A new margin gives a new pack price."""
     margin = zero_if_null(parse_float(F.col("new_margin")))
     return _entered(t, p).select(
-        "product_id", margin.alias("profit_margin"), to_fixed(rules.price_at_markup(_row_cost(p), margin), 2).alias("pack_price")
+        "product_id", margin.alias("profit_margin"), to_fixed(rules.price_at_markup(_row_cost(t, p), margin), 2).alias("pack_price")
     )
 
 
 def reprice_pack_size(t, p: Params) -> DataFrame:
     """A new pack size at the same margin; a blank or zero size counts as 1."""
     size = or_default(parse_float(F.col("new_size")), 1.0)
-    cost = rules.pack_cost(F.col("cost_per_unit"), size, p.settings)
+    cost = rules.pack_cost(F.col("cost_per_unit"), size, settings(t, p))
     return _entered(t, p).select(
         "product_id", size.alias("pack_size"), to_fixed(rules.price_at_markup(cost, F.col("profit_margin")), 2).alias("pack_price")
     )
@@ -150,9 +155,9 @@ def price_list_export(t, p: Params) -> DataFrame:
         to_fixed(cost, 2).alias("base_cost_per_kg"),
         size.alias("pack_size_kg"),
         to_fixed(cost * size, 2).alias("raw_cost_per_pack"),
-        F.lit(p.settings.overhead_pct).alias("overhead_pct"),
-        F.lit(p.settings.labor_pct).alias("labor_pct"),
-        to_fixed(rules.pack_cost(F.col("cost_per_unit"), size, p.settings), 2).alias("total_cost_per_pack"),
+        F.lit(settings(t, p).overhead_pct).alias("overhead_pct"),
+        F.lit(settings(t, p).labor_pct).alias("labor_pct"),
+        to_fixed(rules.pack_cost(F.col("cost_per_unit"), size, settings(t, p)), 2).alias("total_cost_per_pack"),
         zero_if_null(F.col("profit_margin")).alias("profit_margin_pct"),
         price.alias("pack_price"),
         to_fixed(rules.price_per_kg(price, size), 2).alias("price_per_kg"),

@@ -103,9 +103,9 @@ class Lake:
         return documents.waste_links(self._documents("waste_links"))
 
     def settings(self) -> Settings:
-        """The saved settings: one document, so one row."""
-        rows = documents.resolved_settings(self.settings_documents()).limit(1).collect()
-        return Settings(rows[0].overhead_pct, rows[0].labor_pct) if rows else Settings()
+        """The saved settings, as one-value subqueries; without a document the defaults, with several the query fails."""
+        saved = documents.resolved_settings(self.settings_documents())
+        return Settings(*[F.coalesce(saved.select(c).scalar(), F.lit(d)) for c, d in (("overhead_pct", 15.0), ("labor_pct", 0.0))])
 
     # ----------------------------------------------------- change requests
 

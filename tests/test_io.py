@@ -1,6 +1,7 @@
 """Sources, documents and sinks."""
 
 import datetime as dt
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
@@ -73,7 +74,12 @@ def test_stored_tables_give_the_same_reports(spark, tmp_path):
     lake = Lake(spark, base)
     for plan in (analytics.product_performance, catalog.receivables_aging, pricing.price_list_export):
         assert sorted(map(str, plan(lake, P).collect())) == sorted(map(str, plan(t, P).collect()))
-    assert lake.settings() == Settings(15.0, 0.0)
+    # Other settings change every price.
+    docs(spark, '{"overhead_pct": 50, "labor_pct": 5}').coalesce(1).write.mode("overwrite").text(f"{base}/pricing_settings_doc")
+    given = replace(P, settings=Settings(50.0, 5.0))
+    for plan in (pricing.suggested_price, pricing.pack_cost, pricing.price_list_export, analytics.price_suggestions):
+        saved = sorted(map(str, plan(lake, P).collect()))
+        assert saved == sorted(map(str, plan(t, given).collect())) != sorted(map(str, plan(t, P).collect()))
     assert lake.product_changes().count() == t.product_changes().count()
     with pytest.raises(AttributeError):
         lake.nonsense
