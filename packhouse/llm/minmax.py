@@ -11,11 +11,11 @@ bucket, all entries are compared with a pivot, on their full sets.  Entries not
 yet in one component are then split by their distance from the pivot: by the
 triangle inequality, entries whose distances from it differ by more than the
 limit can't be linked, so neighbouring rings are kept together and others
-part.  This is repeated, with four times as many pivots each time, until a
-bucket has one component, or no two entries that weren't compared.  So no pair
-of a bucket that could be linked is lost, and a large group of copies, in which
-few pivots link all, costs some rows an entry, not one a pair.  Buckets of
-the same entries are one.
+part.  This is done twice, with one pivot and with four.  What then is still of
+several components is compared block by block within tasks, which send out
+links only.  So no pair of a bucket that could be linked is lost, and a large
+group of copies costs some rows an entry, not one a pair.  Buckets of the
+same entries are one.
 
 A text with fewer words than a shingle is one shingle; a null or empty text, or
 one without words, has an empty set and is linked with nothing.  Ties don't
@@ -71,9 +71,23 @@ def _lower_words(c: X.Chunk) -> X.Words:
     return X.words(X.Chunk(c.lo, c.hi, X.lower_ascii(c.buf), c.off))
 
 
+def _sign(name: np.ndarray, first: np.ndarray, full: np.ndarray, s: Settings) -> np.ndarray:
+    """Signatures of the rows ``full``: the least and the greatest value of each hash function."""
+    a = X.seeds(s.hashes, 3) | np.uint64(1)
+    sign = np.zeros((len(full), 2 * s.hashes), np.uint64)
+    if len(full):
+        head = first[:-1][full]
+        with np.errstate(over="ignore"):
+            for j in range(s.hashes):
+                v = name * a[j]
+                v ^= v >> np.uint64(32)
+                sign[:, 2 * j] = np.minimum.reduceat(v, head)
+                sign[:, 2 * j + 1] = np.maximum.reduceat(v, head)
+    return sign
+
+
 def _signatures(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
     """(doc_id, n, k1, k2, bands): size and 128-bit name of the set, and the buckets of its bands."""
-    a = X.seeds(s.hashes, 3) | np.uint64(1)
     bands = 2 * s.hashes // s.rows
     mult = X.seeds(s.rows, 17) | np.uint64(1)
     salt = X.seeds(bands, 19)
@@ -91,14 +105,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.R
                         size[i] = len(part)
                         key[i] = X.mix(part).sum(dtype=np.uint64), X.mix(part + np.uint64(77)).sum(dtype=np.uint64)
                 full = np.flatnonzero(size)
-                sign = np.zeros((len(full), 2 * s.hashes), np.uint64)
-                if len(full):
-                    head = first[:-1][full]
-                    for j in range(s.hashes):
-                        v = name * a[j]
-                        v ^= v >> np.uint64(32)
-                        sign[:, 2 * j] = np.minimum.reduceat(v, head)
-                        sign[:, 2 * j + 1] = np.maximum.reduceat(v, head)
+                sign = _sign(name, first, full, s)
                 folded = X.mix((X.mix(sign.reshape(len(full), bands, s.rows)) * mult).sum(axis=2, dtype=np.uint64) + salt)
             lists = np.zeros(rows + 1, np.int32)
             lists[1:][full] = bands
@@ -115,12 +122,67 @@ def _signatures(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.R
 
 
 def _sets(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """(id, members): the sorted set, as bytes."""
+    """(id, members, sketch): the sorted set, as bytes, and the low byte of each signature value."""
     for b in batches:
         for c in X.chunks(b.column(1)):
             name, _, first = shingles(_lower_words(c), s.shingle)
             out = [np.unique(name[lo:hi]).tobytes() for lo, hi in zip(first[:-1], first[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(c.lo, c.hi - c.lo), pa.array(out, pa.binary())], ["id", "members"])
+            full = np.flatnonzero(np.diff(first))
+            sketch = [b""] * len(out)
+            for i, row in zip(full.tolist(), X.mix(_sign(name, first, full, s)).astype(np.uint8)):
+                sketch[i] = row.tobytes()
+            ids = b.column(0).slice(c.lo, c.hi - c.lo)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.binary()), pa.array(sketch, pa.binary())], ["id", "members", "sketch"])
+
+
+def _linked(left: list, right: list | None, s: Settings) -> Iterator[tuple[int, int]]:
+    """Linked pairs of entries (id, root, sketch, members) of different roots, of two blocks or within one.
+
+    Signatures that agree in so few values that the similarity is out of reach (6.5 standard deviations) aren't compared.
+    """
+    p, n = s.percent / 100, 2 * s.hashes
+    least = n * p - 6.5 * (n * p * (1 - p)) ** 0.5
+    other = left if right is None else right
+    if not left or not other:
+        return
+    marks = np.stack([np.frombuffer(x[2], np.uint8) for x in other])
+    root = np.array([x[1] for x in other])
+    sets = [np.frombuffer(x[3], np.uint64) for x in other]
+    for i, (key, own, sketch, members) in enumerate(left):
+        agree = (marks == np.frombuffer(sketch, np.uint8)).sum(axis=1)
+        near = (agree >= least) & (root != own)
+        if right is None:
+            near[: i + 1] = False
+        a = np.frombuffer(members, np.uint64)
+        for j in np.flatnonzero(near).tolist():
+            b = sets[j]
+            if 100 * min(len(a), len(b)) < s.percent * max(len(a), len(b)):
+                continue
+            at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+            both = int((a[at] == b).sum())
+            if 100 * both >= s.percent * (len(a) + len(b) - both):
+                yield key, other[j][0]
+
+
+def _finish(buckets: DataFrame, vectors: DataFrame, s: Settings, work: Work) -> DataFrame:
+    """Linked pairs (a, b) among the entries (id, bucket, root) of each bucket, compared block by block within tasks.
+
+    Only links come out; an entry is sent to as many tasks as its bucket has blocks of ``BLOCK`` entries.
+    """
+    sizes = work.cut(buckets.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
+    rows = buckets.join(sizes, "bucket").withColumn("own", F.pmod(F.hash("id"), F.col("blocks")))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("id", "root", "bucket", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
+    full = rows.join(vectors, "id").select("bucket", "i", "j", "own", "id", "root", "sketch", "members")
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("own", "id", "root", "sketch", "members"))))
+        left = [r[1:] for r in rows if r[0] == i]
+        found = list(_linked(left, None if i == j else [r[1:] for r in rows if r[0] == j], s))
+        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return work.cut(full.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long"), "finished")
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,15 +203,19 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _BLOCK = 512
+# Entries of a block that is compared within a task, and rounds of pivots before that.
+BLOCK = 1024
+PIVOT_ROUNDS = 2
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, work: Work) -> DataFrame:
     """(pivot, id, both, either) for distinct pairs, each side's set looked up; a hot pivot is sent to each block of its partners."""
-    p = pairs.distinct().withColumn("block", F.pmod(F.xxhash64("id"), F.lit(_BLOCK)))
-    p = work.cut(p, "pairs")
-    wanted = p.select("pivot", "block").distinct()
+    p = work.cut(pairs.distinct(), "pairs")
+    sizes = work.cut(p.groupBy("pivot").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")), "sizes")
+    p = p.join(sizes, "pivot").select("pivot", "id", F.pmod(F.hash("id"), F.col("blocks")).alias("block"))
+    wanted = sizes.select("pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     left = wanted.join(sets.select(F.col("id").alias("pivot"), F.col("members").alias("left")), "pivot")
-    right = p.join(sets.withColumnRenamed("members", "right"), "id")
+    right = p.join(sets.select("id", F.col("members").alias("right")), "id")
     both = right.join(left, ["pivot", "block"]).select("pivot", "id", "left", "right")
     return work.cut(both.mapInArrow(_overlap, "pivot long, id long, both long, either long"), "compared")
 
@@ -175,7 +241,8 @@ def links(entries: DataFrame, sets_of, s: Settings, work: Work) -> DataFrame:
     found = work.cut(entries.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "found")
     sets = None
     step = 0
-    while True:
+    rest = None
+    while step < PIVOT_ROUNDS:
         placed = _placed(buckets, step, work)
         if placed.isEmpty():
             return found
@@ -200,8 +267,12 @@ def links(entries: DataFrame, sets_of, s: Settings, work: Work) -> DataFrame:
         )
         rest = work.cut(rest.join(roots, "id", "left").select("id", "bucket", F.coalesce("root", "id").alias("root")), "rest")
         mixed = work.cut(rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket"), "mixed")
-        buckets = work.cut(rest.join(mixed, "bucket").select("id", "bucket"), "buckets")
+        rest = work.cut(rest.join(mixed, "bucket"), "buckets")
+        buckets = rest.select("id", "bucket")
         step += 1
+    # Entries that are still of several components: one of the buckets that hold the same ones, compared within tasks.
+    keys = _placed(buckets, step, work).select("bucket").distinct()
+    return found.unionByName(_finish(rest.join(work.cut(keys, "keys"), "bucket"), sets, s, work))
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -218,7 +289,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_i
 
     def sets_of(ids: DataFrame) -> DataFrame:
         chosen = texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-        return chosen.mapInArrow(lambda b: _sets(b, s), "id long, members binary").dropDuplicates(["id"])
+        return chosen.mapInArrow(lambda b: _sets(b, s), "id long, members binary, sketch binary").dropDuplicates(["id"])
 
     found = links(entries, sets_of, s, work)
     roots = work.cut(graph.components(found, work), "components")
