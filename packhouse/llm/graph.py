@@ -16,7 +16,7 @@ def components(links: DataFrame, work: Work) -> DataFrame:
     about halves the ids a round, on paths too.  Sums by id are reduced before they are shuffled; the links of
     a hot id meet a table that is written, so that adaptive execution may split them.
     """
-    edges = work.cut(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), "links")
+    edges = work.cut(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), "links", few=True)
     steps: list[DataFrame] = []
     while not edges.isEmpty():
         # Comparing (rank, id) settles ties of ranks.
@@ -24,16 +24,16 @@ def components(links: DataFrame, work: Work) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         own = F.struct((F.xxhash64("a", F.lit(len(steps))) if steps else F.col("a")).alias("rank"), F.col("a").alias("id"))
         first = both.groupBy("a").agg(F.min(rank).alias("first"))
-        to = work.cut(first.select(F.col("a").alias("id"), F.least("first", own)["id"].alias("to")), "to")
+        to = work.cut(first.select(F.col("a").alias("id"), F.least("first", own)["id"].alias("to")), "to", few=True)
         steps.append(to)
         half = edges.join(to.withColumnRenamed("id", "a"), "a").select(F.col("to").alias("x"), "b")
         moved = half.join(to.withColumnRenamed("id", "b"), "b").select(F.least("x", "to").alias("a"), F.greatest("x", "to").alias("b"))
-        edges = work.cut(moved.where("a <> b").distinct(), "links")
+        edges = work.cut(moved.where("a <> b").distinct(), "links", few=True)
     if not steps:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("root"))
     found = steps[-1]
     for to in reversed(steps[:-1]):
         later = found.select(F.col("id").alias("to"), F.col("to").alias("root"))
-        found = work.cut(to.join(later, "to", "left").select("id", F.coalesce("root", "to").alias("to")), "roots")
-    least = work.cut(found.groupBy("to").agg(F.min("id").alias("root")), "least")
+        found = work.cut(to.join(later, "to", "left").select("id", F.coalesce("root", "to").alias("to")), "roots", few=True)
+    least = work.cut(found.groupBy("to").agg(F.min("id").alias("root")), "least", few=True)
     return found.join(least, "to").select("id", "root")

@@ -7,12 +7,11 @@ Jaccard similarity.  Bands of ``rows`` values are the buckets in which
 candidates meet.
 
 Rows of one set are one entry; their classes are linked by one of them.  In a
-bucket, all entries are compared with a pivot, on their full sets.  Entries not
-yet in one component are then split by their distance from the pivot: by the
+bucket, all entries are compared with about four pivots, on their full sets.  Entries not
+yet in one component are then split by their distance from the first pivot: by the
 triangle inequality, entries whose distances from it differ by more than the
 limit can't be linked, so neighbouring rings are kept together and others
-part.  This is done twice, with one pivot and with four.  What then is still of
-several components is compared block by block within tasks, which send out
+part.  What then is still of several components is compared block by block within tasks, which send out
 links only.  So no pair of a bucket that could be linked is lost, and a large
 group of copies costs some rows an entry, not one a pair.  Buckets of the
 same entries are one.
@@ -169,7 +168,7 @@ def _finish(buckets: DataFrame, vectors: DataFrame, s: Settings, work: Work) ->
 
     Only links come out; an entry is sent to as many tasks as its bucket has blocks of ``BLOCK`` entries.
     """
-    sizes = work.cut(buckets.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
+    sizes = work.cut(buckets.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes", few=True)
     rows = buckets.join(sizes, "bucket").withColumn("own", F.pmod(F.hash("id"), F.col("blocks")))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("id", "root", "bucket", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
@@ -205,13 +204,13 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _BLOCK = 512
 # Entries of a block that is compared within a task, and rounds of pivots before that.
 BLOCK = 1024
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, work: Work) -> DataFrame:
     """(pivot, id, both, either) for distinct pairs, each side's set looked up; a hot pivot is sent to each block of its partners."""
-    p = work.cut(pairs.distinct(), "pairs")
-    sizes = work.cut(p.groupBy("pivot").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")), "sizes")
+    p = work.cut(pairs.distinct(), "pairs", few=True)
+    sizes = work.cut(p.groupBy("pivot").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")), "sizes", few=True)
     p = p.join(sizes, "pivot").select("pivot", "id", F.pmod(F.hash("id"), F.col("blocks")).alias("block"))
     wanted = sizes.select("pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     left = wanted.join(sets.select(F.col("id").alias("pivot"), F.col("members").alias("left")), "pivot")
@@ -231,14 +230,14 @@ def _placed(buckets: DataFrame, step: int, work: Work) -> DataFrame:
         F.bit_xor(F.xxhash64("id", F.lit(7))).alias("y"),
     )
     one = held.where("n > 1").groupBy("pivot", "n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "pivot", "n")
-    return work.cut(buckets.join(work.cut(one, "chosen"), "bucket"), "placed")
+    return work.cut(buckets.join(work.cut(one, "chosen", few=True), "bucket"), "placed", few=True)
 
 
 def links(entries: DataFrame, sets_of, s: Settings, work: Work) -> DataFrame:
     """Linked pairs (a, b) that join the entries (id, bands) into their components; ``sets_of`` takes ids and returns (id, members)."""
     buckets = entries.select("id", F.explode("bands").alias("bucket"))
     far = 1 - s.percent / 100 + 1e-9
-    found = work.cut(entries.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "found")
+    found = work.cut(entries.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "found", few=True)
     sets = None
     step = 0
     rest = None
@@ -248,16 +247,15 @@ def links(entries: DataFrame, sets_of, s: Settings, work: Work) -> DataFrame:
             return found
         if sets is None:
             sets = work.cut(sets_of(placed.select("id").distinct()), "sets")
-        # One pivot at first, then four times as many each time, drawn by their hash.
-        chosen = (F.col("id") == F.col("pivot")) | (F.pmod(F.xxhash64(F.col("id"), F.lit(step)), F.col("n")) < 4**step)
-        placed = placed.withColumn("chosen", F.lit(step > 0) & chosen | (F.col("id") == F.col("pivot")))
+        # The first by rank, and about three more, drawn by their hash.
+        placed = placed.withColumn("chosen", (F.col("id") == F.col("pivot")) | (F.pmod(F.xxhash64(F.col("id"), F.lit(step)), F.col("n")) < 3))
         pivots = placed.where("chosen").select("bucket", F.col("id").alias("with"))
         pairs = placed.select("bucket", "id").join(pivots, "bucket").where("id <> with")
         compared = _compare(pairs.select(F.least("id", "with").alias("pivot"), F.greatest("id", "with").alias("id")), sets, work)
         linked = compared.where(F.col("both") * 100 >= F.col("either") * s.percent).select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-        found = work.cut(found.unionByName(linked), "found")
+        found = work.cut(found.unionByName(linked), "found", few=True)
         # What is left: entries that weren't pivots, by rings around the first pivot, where they are of more than one component.
-        roots = work.cut(graph.components(found, work), "roots")
+        roots = work.cut(graph.components(found, work), "roots", few=True)
         low, high = F.least("pivot", "id").alias("low"), F.greatest("pivot", "id").alias("high")
         distance = compared.select(F.col("pivot").alias("low"), F.col("id").alias("high"), (1 - F.col("both") / F.col("either")).alias("distance"))
         rest = placed.where("not chosen").select("bucket", "id", low, high).join(distance, ["low", "high"])
@@ -265,14 +263,14 @@ def links(entries: DataFrame, sets_of, s: Settings, work: Work) -> DataFrame:
         rest = rest.select("id", "bucket", F.explode(F.array(ring, ring + 1)).alias("ring")).select(
             "id", F.xxhash64("bucket", "ring", F.lit(step)).alias("bucket")
         )
-        rest = work.cut(rest.join(roots, "id", "left").select("id", "bucket", F.coalesce("root", "id").alias("root")), "rest")
-        mixed = work.cut(rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket"), "mixed")
-        rest = work.cut(rest.join(mixed, "bucket"), "buckets")
+        rest = work.cut(rest.join(roots, "id", "left").select("id", "bucket", F.coalesce("root", "id").alias("root")), "rest", few=True)
+        mixed = work.cut(rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket"), "mixed", few=True)
+        rest = work.cut(rest.join(mixed, "bucket"), "buckets", few=True)
         buckets = rest.select("id", "bucket")
         step += 1
     # Entries that are still of several components: one of the buckets that hold the same ones, compared within tasks.
     keys = _placed(buckets, step, work).select("bucket").distinct()
-    return found.unionByName(_finish(rest.join(work.cut(keys, "keys"), "bucket"), sets, s, work))
+    return found.unionByName(_finish(rest.join(work.cut(keys, "keys", few=True), "bucket"), sets, s, work))
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -282,7 +280,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_i
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = work.cut(texts.mapInArrow(lambda b: _signatures(b, s), "doc_id long, n long, k1 long, k2 long, bands array<long>"), "signed")
     some = signed.where("n > 0 and doc_id is not null")
-    classes = work.cut(some.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id")), "classes")
+    classes = work.cut(some.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id")), "classes", few=True)
     # The bands of a class are those of its first document.
     entries = signed.select(F.col("doc_id").alias("id"), "bands").join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
     entries = work.cut(entries, "entries")
@@ -292,8 +290,8 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_i
         return chosen.mapInArrow(lambda b: _sets(b, s), "id long, members binary, sketch binary").dropDuplicates(["id"])
 
     found = links(entries, sets_of, s, work)
-    roots = work.cut(graph.components(found, work), "components")
-    named = work.cut(classes.join(roots, "id", "left").select("k1", "k2", "n", F.coalesce("root", "id").alias("root")), "named")
+    roots = work.cut(graph.components(found, work), "components", few=True)
+    named = work.cut(classes.join(roots, "id", "left").select("k1", "k2", "n", F.coalesce("root", "id").alias("root")), "named", few=True)
     out = signed.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
     component = F.coalesce(F.when(F.col("n") > 0, F.col("root")), F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(

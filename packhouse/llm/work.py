@@ -29,8 +29,11 @@ class Work:
         self.folder = f"{shared_folder(spark)}/packhouse/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, few: bool = False) -> DataFrame:
+        """``few``: for tables of ids and links, whose many shuffle partitions are merged to two tasks a core, without a shuffle."""
         self.n += 1
+        if few:
+            df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
         path = f"{self.folder}/{self.n:03d}-{name}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
