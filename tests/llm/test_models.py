@@ -36,11 +36,13 @@ def test_toxic_words_in_new_company(spark, frame):
         if i % 4 == 0:
             for _ in range(3):
                 w.insert(draw.randrange(60), draw.choice(bad).title())
-        rows.append((" ".join(w) + (f" {copied}" if i % 4 == 0 and i < 40 else ""), int(i % 4 == 0)))
+        rows.append((" ".join(w), int(i % 4 == 0)))
+    rows += [(f"{copied} vile", 1)] * 10
     model = toxicity.fit(spark.createDataFrame(rows, "text string, label int"))
     docs = {1: "a VILE, w3 w5", 2: " ".join(plain(300)), 3: None, 4: "", 5: f"w1 {copied} w2", 6: "w1 " * 300_000 + "nasty"}
     got = {r["doc_id"]: r["score"] for r in toxicity.score(frame(docs), model).collect()}
-    assert got[1] > 0.8 and got[6] > 0.8 and max(got[k] for k in (2, 3, 4, 5)) < 0.3 and got[3] == got[4]
+    assert got[1] > 0.8 and got[6] > 0.8 and max(got[k] for k in (3, 4, 5)) < 0.3 and got[3] == got[4], got
+    assert got[2] < min(got[1], got[6])
 
 
 def test_without_labels(spark, frame):
