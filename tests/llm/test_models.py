@@ -45,6 +45,27 @@ def test_toxic_words_in_new_company(spark, frame):
     assert got[2] < min(got[1], got[6])
 
 
+def test_no_word_is_cut_from_the_model(spark, frame):
+    """Very many rare words of toxic texts, all above a frequent one by ratio, leave it in the model, sent or joined."""
+    draw = random.Random(9)
+    rare = [f"r{i}" for i in range(66_000)]
+    rows = []
+    for label, pool, every in ((1, rare, 500), (0, [f"o{i % 3000}" for i in range(66_000)], 2000)):
+        for _ in range(4):
+            w = draw.sample(pool, len(pool))
+            w = [x for i, y in enumerate(w) for x in ((y, "vile") if i % every == 0 else (y,))]
+            rows += [(" ".join(w[i : i + 500]), label) for i in range(0, len(w), 500)]
+    rows = spark.createDataFrame(rows, "text string, label int").repartition(4)
+    docs = frame([(1, "a VILE o1"), (2, None), (3, "r7 o2"), (None, "vile r5"), (None, "vile r5"), (4, "o1 o2")])
+    got = []
+    for s in (toxicity.Settings(), toxicity.Settings(small=100)):
+        out = toxicity.score(docs, toxicity.fit(rows, s)).collect()
+        got.append(sorted((r["doc_id"] or 0, round(r["score"], 5), round(r["ratio"], 9)) for r in out))
+    ratio = {k: r for k, _, r in got[0]}
+    assert got[0] == got[1] and len(got[0]) == 6
+    assert ratio[3] == ratio[0] > ratio[1] > 0 == ratio[2] == ratio[4], got[0]
+
+
 def test_without_labels(spark, frame):
     none = spark.createDataFrame([], "text string, label int")
     docs = frame([(1, "a b"), (1, "a b"), (None, None), (2, "x " * 400_000)])
