@@ -9,8 +9,9 @@ runs are looked up in it.
 Hits of a template that lie close in the text are one candidate.  Its
 surroundings are aligned with the template word by word, in a band around the
 diagonals of the hits: a word matched scores 1, a word changed, left out or
-put in costs 1, and the best local alignment counts.  A candidate is reported
-if enough of the template matches, with the coverage and the span in words and
+put in costs 1.  Of the local alignments with enough of the template the best is taken,
+then the best of those beside it, until what lies between has none: a notice
+repeated on neighbouring lines is reported each time, with the coverage and the span in words and
 in characters of the text.  Where spans of one text overlap, the one with more
 matched words stays, then that of the longer template, then the first name, so
 that a notice inside a longer license is reported once.
@@ -80,12 +81,11 @@ def build(templates: dict[str, str] = TEMPLATES, s: Settings = Settings()) -> In
     return Index(name[order], template[order], place[order], labels, words)
 
 
-def align(a: np.ndarray, b: np.ndarray, low: int, high: int) -> tuple[int, int, int, int]:
-    """(score, matched, begin, end) of the best local alignment of text a with template b on diagonals low..high of text minus template.
+def _cells(a: np.ndarray, b: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int, int, int]]:
+    """(score, matched, begin, end) of the best local alignment of text a with template b that ends at each pair of words.
 
-    Of equal scores the first end stays; the span is in words of a.
+    Diagonals are low..high of text minus template; the span is in words of a.
     """
-    best = (0, 0, 0, 0)
     width = high - low + 1
     # By diagonal: score, matched words, begin.
     score, matched, begin = np.zeros(width + 2, np.int64), np.zeros(width + 2, np.int64), np.zeros(width + 2, np.int64)
@@ -105,10 +105,37 @@ def align(a: np.ndarray, b: np.ndarray, low: int, high: int) -> tuple[int, int,
             top = max(options, key=lambda x: x[0])
             if top[0] > 0:
                 s2[d + 1], m2[d + 1], b2[d + 1] = top
-                if top[0] > best[0]:
-                    best = (int(top[0]), int(top[1]), int(top[2]), i + 1)
+                yield int(top[0]), int(top[1]), int(top[2]), i + 1
         score, matched, begin = s2, m2, b2
-    return best
+
+
+def align(a: np.ndarray, b: np.ndarray, low: int, high: int) -> tuple[int, int, int, int]:
+    """The best local alignment of ``_cells``; of equal scores the first end stays."""
+    return max(_cells(a, b, low, high), key=lambda x: x[0], default=(0, 0, 0, 0))
+
+
+def matches(a: np.ndarray, b: np.ndarray, low: int, high: int, least: float) -> list[tuple[int, int, int]]:
+    """(matched, begin, end) of all local alignments with that share of the template that lie beside each other, the best first."""
+    out, parts = [], [(0, len(a))]
+    while parts:
+        start, stop = parts.pop()
+        part = a[start:stop]
+        # No more words can match than are in the template.
+        if np.isin(part, b).sum() < least * len(b):
+            continue
+        found = [x for x in _cells(part, b, low - start, high - start) if x[1] >= least * len(b)]
+        taken = np.zeros(len(part), bool)
+        spans = []
+        for _, matched, begin, end in sorted(found, key=lambda x: (-x[0], x[3])):
+            if not taken[begin:end].any():
+                taken[begin:end] = True
+                spans.append((begin, end))
+                out.append((matched, start + begin, start + end))
+        if spans:
+            spans.sort()
+            gaps = zip([0] + [z for _, z in spans], [y for y, _ in spans] + [len(part)])
+            parts += [(start + y, start + z) for y, z in gaps if z > y]
+    return out
 
 
 def _candidates(place: np.ndarray, template: np.ndarray, at: np.ndarray, index: Index, s: Settings) -> Iterator[tuple[int, int, int]]:
@@ -135,13 +162,14 @@ def scan_words(name: np.ndarray, index: Index, s: Settings) -> list[tuple[str, i
         b = index.words[t]
         first = max(0, low - s.band)
         part = name[first : high + len(b) + s.band]
-        score, matched, begin, end = align(part, b, low - s.band - first, high + s.band - first)
-        if matched >= s.least * len(b):
+        for matched, begin, end in matches(part, b, low - s.band - first, high + s.band - first, s.least):
             found.append((matched, len(b), index.labels[t], first + begin, first + end))
     found.sort(key=lambda x: (-x[0], -x[1], x[2], x[3]))
     kept: list[tuple[str, int, float, int, int]] = []
+    taken = np.zeros(len(name), bool)
     for matched, size, label, begin, end in found:
-        if all(end <= k[3] or begin >= k[4] for k in kept):
+        if not taken[begin:end].any():
+            taken[begin:end] = True
             kept.append((label, matched, matched / size, begin, end))
     return sorted(kept, key=lambda x: x[3])
 

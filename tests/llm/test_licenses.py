@@ -65,6 +65,34 @@ def test_scan(frame):
     assert 0.93 < r["coverage"] < 1
 
 
+def places(words, notice):
+    """Where a notice's words stand in a text, from left to right, by trying each place."""
+    out, i = [], 0
+    while i + len(notice) <= len(words):
+        same = words[i : i + len(notice)] == notice
+        out += [i] * same
+        i += len(notice) if same else 1
+    return out
+
+
+def test_repeated_notices(frame):
+    """Copies on neighbouring lines are matches of their own."""
+    short = {k: t for k, t in TEMPLATES.items() if len(licenses.names_of(t)) <= 10}
+    assert len(short) >= 4
+    docs = {label: "\n".join([t] * 20) for label, t in short.items()}
+    docs |= {f"{label} apart": " x\n".join([t] * 7) + f" {t}" for label, t in short.items()}
+    docs["mixed"] = "\n".join(t for t in short.values() for _ in range(3)) + "\nend"
+    docs["long"] = "\n".join([TEMPLATES["MIT text"]] * 3)
+    docs["many"] = f"{TEMPLATES['MIT']}\n" * 3000
+    names = list(docs)
+    rows = licenses.scan(frame({i: docs[k] for i, k in enumerate(names)})).collect()
+    for i, k in enumerate(names):
+        words = licenses.names_of(docs[k]).tolist()
+        got = sorted((r["template"], r["word_begin"]) for r in rows if r["doc_id"] == i)
+        told = [k.removesuffix(" apart")] if k.removesuffix(" apart") in short else {"long": ["MIT text"], "many": ["MIT"]}.get(k, list(short))
+        assert got == sorted((n, at) for n in told for at in places(words, licenses.names_of(TEMPLATES[n]).tolist())), k
+
+
 def test_odd_rows(frame):
     assert licenses.scan(frame([(1, TEMPLATES["MIT"]), (1, TEMPLATES["MIT"]), (None, TEMPLATES["MIT"])])).count() == 3
     assert licenses.scan(frame({1: "a"}).limit(0)).count() == 0
