@@ -19,7 +19,8 @@ looked up; those not on it are folded for each text that has them.  The list
 changes no result.
 
 A null text is empty and has no pieces.  U+2581 in a text is read back as a
-space, as the format has it.  Keys have to be unique.
+space, as the format has it.  A row's units meet it again by a digest of its text,
+so keys may be null or repeated.
 """
 
 from __future__ import annotations
@@ -175,7 +176,7 @@ def decode(ids, table: Table) -> str:
 def frequent_units(docs: DataFrame, table: Table, pieces: DataFrame, s: Settings) -> dict[str, list[int]]:
     """Ids of the most frequent units of a sample; at most ``frequent`` of them."""
     every = max(1, docs.count() // s.sample)
-    few = docs.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).select(F.explode(units(F.col("text"), table)).alias("unit"))
+    few = docs.where(F.pmod(F.xxhash64("key", "digest"), F.lit(every)) == 0).select(F.explode(units(F.col("text"), table)).alias("unit"))
     top = few.groupBy("unit").count().orderBy(F.desc("count"), "unit").limit(s.frequent).select("unit")
     return {r["unit"]: list(r["ids"]) for r in fold(top, [], table, pieces).collect()}
 
@@ -189,14 +190,16 @@ def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc
     work = Work(spark, "pieces")
     table = Table.load(path)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     pieces = work.cut(_piece_rows(spark, table).coalesce(1), "pieces")
     known = frequent_units(rows, table, pieces, s)
-    dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
     frequent = work.cut(spark.createDataFrame(pa.table({"unit": pa.array(list(known), pa.string())})).coalesce(1), "frequent")
     # The list's length bounds what is broadcast here and in the tasks below.
-    rare = dealt.select("key", F.explode(F.array_distinct(units(F.col("text"), table))).alias("unit")).join(F.broadcast(frequent), "unit", "left_anti")
-    folded = fold(rare, ["key"], table, pieces).groupBy("key").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
-    both = dealt.select("key", "text", units(F.col("text"), table).alias("units")).join(folded, "key", "left").select("key", "text", "units", "rare")
+    # Copies of a text are folded once; the written table lets a join with very many copies be split.
+    texts = rows.groupBy("digest").agg(F.max("text").alias("text"))
+    rare = texts.select("digest", F.explode(F.array_distinct(units(F.col("text"), table))).alias("unit")).join(F.broadcast(frequent), "unit", "left_anti")
+    folded = fold(rare, ["digest"], table, pieces).groupBy("digest").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
+    both = rows.join(work.cut(folded, "rare"), "digest", "left").select("key", "text", units(F.col("text"), table).alias("units"), "rare")
     kind = both.schema["key"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(({u: _spelled(i, table) for u, i in known.items()}, table))
 

@@ -56,6 +56,17 @@ def test_units_join_to_the_text(spark):
     assert "".join(df.first()["u"]) == pieces.SPACE + text.replace(" ", pieces.SPACE)
 
 
+def test_null_and_repeated_keys(frame, library):
+    """Rows without a key, or with a key of others, have their own pieces, listed or not."""
+    words = ["the", "harvest", "of", "pears", "zzyzx", "crates", "grün"]
+    rows = [(None, " ".join(words[i:])) for i in range(6)] + [(None, None), (None, "pears"), (7, "pears of"), (7, "crates the"), (7, "crates the")]
+    want = sorted((k or 0, t or "") for k, t in rows)
+    for s in (pieces.Settings(), pieces.Settings(sample=1, frequent=1)):
+        got = pieces.encode(frame(rows), PATH, s, ids=True).collect()
+        assert all(r["round_trip"] and r["n_pieces"] == len(r["ids"]) for r in got)
+        assert sorted((r["doc_id"] or 0, library.decode(r["ids"])) for r in got) == want
+
+
 def test_odd_rows(frame):
     assert pieces.encode(frame([(None, "a b"), (3, "a b")]), PATH).where("round_trip").count() >= 1
     assert pieces.encode(frame({1: "a"}).limit(0), PATH).count() == 0
