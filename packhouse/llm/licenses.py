@@ -1,9 +1,10 @@
 """License scans: winnowed fingerprints find candidate templates, a banded alignment measures what matches.
 
-Words are runs of letters and digits, A-Z lower-cased.  A template's runs of
-``gram`` words are hashed, and of each ``winnow`` neighbouring hashes the least is
+Words are runs of letters and digits, A-Z lower-cased.  A template's runs of at most
+``gram`` words are hashed, and of each ``winnow`` neighbouring hashes at most the least is
 kept: any passage of gram + winnow - 1 words shared with a template has a kept
-hash.  The inverted index of kept hashes is small and goes to all tasks; a text's
+hash.  Where so many words may be changed or left out that no passage of that length need be
+left, winnowing keeps more, and the runs are shorter if that isn't enough.  The inverted index of kept hashes is small and goes to all tasks; a text's
 runs are looked up in it.
 
 Hits of a template that lie close in the text are one candidate.  Its
@@ -22,6 +23,7 @@ as they occur.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,6 +53,8 @@ class Index:
     place: np.ndarray
     labels: list[str]
     words: list[np.ndarray]
+    # Lengths of the runs.
+    sizes: list[int]
 
 
 def names_of(text: str) -> np.ndarray:
@@ -66,19 +70,35 @@ def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(np.arange(len(runs)) + width - 1 - np.argmin(runs[:, ::-1], axis=1))
 
 
+def widths(n: int, s: Settings) -> tuple[int, int]:
+    """Run length and winnow width for a template of n words: one kept hash at least is left by any changes of words that ``least`` allows."""
+    need = math.ceil(s.least * n)
+    left = max(1, -(-need // (n - need + 1)))
+    gram = min(s.gram, left)
+    return gram, max(1, min(s.winnow, left - gram + 1))
+
+
+def grams_of(name: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Names of a text's runs of all the index's lengths, and their places."""
+    runs = [X.grams(name, k) for k in index.sizes]
+    return np.concatenate(runs), np.concatenate([np.arange(len(r)) for r in runs])
+
+
 def build(templates: dict[str, str] = TEMPLATES, s: Settings = Settings()) -> Index:
     labels = sorted(templates)
     words = [names_of(templates[k]) for k in labels]
-    name, template, place = [], [], []
+    name, template, place, sizes = [], [], [], {s.gram}
     for i, w in enumerate(words):
-        g = X.grams(w, s.gram)
-        at = winnow(g, s.winnow)
+        gram, width = widths(len(w), s)
+        sizes.add(gram)
+        g = X.grams(w, gram)
+        at = winnow(g, width)
         name.append(g[at])
         template.append(np.full(len(at), i))
         place.append(at)
     name, template, place = (np.concatenate(x) for x in (name, template, place))
     order = np.lexsort((place, template, name))
-    return Index(name[order], template[order], place[order], labels, words)
+    return Index(name[order], template[order], place[order], labels, words, sorted(sizes))
 
 
 def _cells(a: np.ndarray, b: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int, int, int]]:
@@ -150,12 +170,12 @@ def _candidates(place: np.ndarray, template: np.ndarray, at: np.ndarray, index:
 
 def scan_words(name: np.ndarray, index: Index, s: Settings) -> list[tuple[str, int, float, int, int]]:
     """(template, matched, coverage, begin, end) of a text's words, spans that don't overlap, by begin."""
-    g = X.grams(name, s.gram)
+    g, at = grams_of(name, index)
     lo, hi = np.searchsorted(index.name, g, "left"), np.searchsorted(index.name, g, "right")
     count = hi - lo
     if not count.any():
         return []
-    place = np.repeat(np.arange(len(g)), count)
+    place = np.repeat(at, count)
     hit = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
     found = []
     for t, low, high in _candidates(place, index.template[hit], index.place[hit], index, s):
@@ -187,8 +207,8 @@ def scan(docs: DataFrame, index: Index | None = None, s: Settings = Settings(),
                 w = tokens(c)
                 rows, out = [], []
                 # One look-up for the chunk tells which rows have a hit at all.
-                g = X.grams(w.name, s.gram)
-                some = np.unique(w.rows()[np.flatnonzero(np.isin(g, index.name))]) if len(g) else []
+                g, at = grams_of(w.name, index)
+                some = np.unique(w.rows()[at[np.isin(g, index.name)]]) if len(g) else []
                 for i in some:
                     a, z = w.first[i], w.first[i + 1]
                     for label, matched, coverage, begin, end in scan_words(w.name[a:z], index, s):

@@ -93,6 +93,29 @@ def test_repeated_notices(frame):
         assert got == sorted((n, at) for n in told for at in places(words, licenses.names_of(TEMPLATES[n]).tolist())), k
 
 
+def test_changed_words_of_short_notices():
+    """Whatever text the threshold accepts, by an alignment over the whole of it, is found."""
+    s, index = licenses.Settings(), licenses.build()
+    draw = random.Random(4)
+    seen = 0
+    for label, text in TEMPLATES.items():
+        b = licenses.names_of(text)
+        if len(b) > 21:
+            continue
+        for i in range(len(b)):
+            others = [np.delete(b, i), np.insert(b, i, 5), np.where(np.arange(len(b)) == i, np.uint64(5), b)]
+            picked = draw.sample(range(len(b)), len(b) // 5)
+            others.append(np.where(np.isin(np.arange(len(b)), picked), np.uint64(6), b))
+            for changed in others:
+                a = np.concatenate([np.arange(10, 15, dtype=np.uint64), changed, np.arange(20, 25, dtype=np.uint64)])
+                _, matched, begin, end = licenses.align(a, b, -len(a), len(a))
+                if matched >= s.least * len(b):
+                    seen += 1
+                    got = licenses.scan_words(a, index, s)
+                    assert any(lo < end and begin < hi for _, _, _, lo, hi in got), (label, i, got)
+    assert seen > 100
+
+
 def test_odd_rows(frame):
     assert licenses.scan(frame([(1, TEMPLATES["MIT"]), (1, TEMPLATES["MIT"]), (None, TEMPLATES["MIT"])])).count() == 3
     assert licenses.scan(frame({1: "a"}).limit(0)).count() == 0
