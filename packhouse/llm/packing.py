@@ -2,7 +2,7 @@
 
 Texts are tokenized whole and end with an end id.  Whole windows of a long
 document are sequences of their own; what is left of each document goes to a
-shard, by a hash of its key, of about ``shard_docs`` documents.  In a shard, a
+shard, by a hash of its key and ids, of about ``shard_docs`` documents.  In a shard, a
 BM25 inverted index over token ids returns, for a seed, the unused documents by
 likeness; those that fit fill the window, and the best of the rest is cut at its
 end.  The rest of a cut document is the next seed.  Only a shard's last
@@ -179,9 +179,9 @@ def pack(docs: DataFrame, tokenizer: str, s: Settings = Settings(), key: str = "
     part = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     shards = max(1, -(-docs.count() // s.shard_docs))
     cut = part.mapInArrow(lambda b: _tokenize(b, tokenizer, s), "doc_id long, start long, length long, doc_tokens long, ids binary")
-    # Long documents have many windows; those are spread by their start as well.
+    # Long documents have many windows; those are spread by their start as well.  The ids spread the rows of a null or hot key.
     whole = F.col("length") == s.window
-    shard = F.pmod(F.xxhash64("doc_id", F.when(whole, F.col("start")).otherwise(0)), F.lit(shards))
+    shard = F.pmod(F.xxhash64("doc_id", F.when(whole, F.col("start")).otherwise(0), "ids"), F.lit(shards))
     schema = _PIECE + (", ids binary" if ids else "")
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [pa.int64()] * 7 + [pa.binary()]

@@ -89,3 +89,12 @@ def test_repeated_rows_and_empty_table(frame):
     rows = packing.pack(frame([(1, "a b"), (1, "a b"), (None, "c")]), PATH).collect()
     assert Counter(r["doc_id"] for r in rows if r["start"] == 0) == {1: 2, None: 1}
     assert packing.pack(frame({1: "a"}).limit(0), PATH).count() == 0
+
+
+def test_rows_of_one_key_spread_over_shards(frame):
+    """Different texts of a null or repeated key don't meet in one shard."""
+    rows = [(k, f"text number {i} of many") for k in (None, 7) for i in range(400)]
+    got = packing.pack(frame(rows), PATH, packing.Settings(shard_docs=20)).where("start = 0").collect()
+    assert Counter(r["doc_id"] for r in got) == {None: 400, 7: 400}
+    sizes = Counter(r["sequence_id"] >> 32 for r in got)
+    assert len(sizes) > 30 and max(sizes.values()) <= 60, sizes
