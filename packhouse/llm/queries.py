@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhouse.llm import chat, embedding, licenses, minmax, neighbours, packing, pieces, quality_rules, recompress, simhash, toxicity, work
+from packhouse.llm import chat, divergence, embedding, licenses, minmax, neighbours, packing, pieces, quality_rules, recompress, simhash, toxicity, work
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +128,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.deduplicate(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences of each source from the other sources and from the whole of its language."""
+    return divergence.audit(_table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 def _query(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,5 +154,6 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_sentencepiece,
         op10_toxicity,
+        op11_divergence,
     )
 }

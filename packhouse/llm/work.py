@@ -10,14 +10,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders of local sessions that name none: the setting can't be changed once a session runs.
+_local: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local session without one gets a temporary folder, and the setting."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of spark.checkpoint.dir; a local session without one gets a temporary folder, the same throughout."""
+    app = spark.sparkContext.applicationId
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _local.get(app)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
-        folder = f"file://{tempfile.mkdtemp(prefix='packhouse-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local[app] = f"file://{tempfile.mkdtemp(prefix='packhouse-')}"
     return folder.rstrip("/")
 
 
