@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhouse.llm import chat, divergence, embedding, licenses, minmax, neighbours, packing, pieces, quality_rules, recompress, simhash, toxicity, work
+from packhouse.llm import chat, divergence, embedding, licenses, minmax, neighbours, packing, pieces, quality_rules, recompress, simhash, toxicity, trie, warc, work
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,6 +133,21 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents", "text", "lang", "source"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives all pages, each payload once, and reads the archive back."""
+    folder = f"{work.Work(spark, 'warc').folder}/archive"
+    warc.write(_table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each with its first turns lent by another."""
+    between = work.Work(spark, "prefix-trie")
+    said = between.cut(trie.turns(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")), "turns")
+    steps, ids = trie.with_lent_heads(said)
+    return trie.summary(trie.Trie(between.cut(steps, "steps"), between.cut(ids, "ids")))
+
+
 def _query(f: Query) -> Query:
     @functools.wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,5 +170,7 @@ QUERIES: dict[str, Query] = {
         op9_sentencepiece,
         op10_toxicity,
         op11_divergence,
+        op12_warc,
+        op13_prefix_trie,
     )
 }

@@ -150,4 +150,61 @@ WITH docs AS (
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
-STATEMENTS = {"op1_chat_formatting": OP1, "op2_quality_rules": OP2, "op5_minhash": OP5, "op8_substring_dedup": OP8, "op11_divergence": OP11}
+OP12 = r"""
+WITH payloads AS (
+  SELECT page_id, url, coalesce(html, '') AS body FROM pages
+), firsts AS (
+  SELECT *, max(page_id) OVER (PARTITION BY body) AS response, sha1(body) AS h FROM payloads
+)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (5 * (3 - i % 4))) & 31)::BIGINT, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id < response OR (page_id IS NULL AND response IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < response OR (page_id IS NULL AND response IS NOT NULL) THEN response END AS refers_to,
+  CASE WHEN coalesce(url, '') = '' THEN 'urn:page:' || coalesce(page_id::VARCHAR, '') ELSE url END AS target_uri
+FROM firsts
+"""
+
+# DuckDB has no CRC-32: its table, then a fold over the bytes of the id's digits.
+OP13 = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(v ORDER BY k) AS entries FROM (
+    SELECT k, list_reduce(list_prepend(k::BIGINT, range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS k))
+), placed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+    md5(coalesce(role, '')) || md5(coalesce(text, '')) AS said, strlen(coalesce(text, '')) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id AS c, conv_id - conv_id % 5 AS lender,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+      lambda x, b: xor(x >> 8, entries[xor(x & 255, b) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM placed), crc_table
+), sized AS (
+  SELECT c, lender, h, least(h, (SELECT count(*) FROM placed p WHERE p.conv_id = lender)) AS lent FROM convs
+), steps AS (
+  SELECT c, i AS d, said, bytes FROM sized JOIN placed ON conv_id = lender AND i <= lent
+  UNION ALL SELECT c, i - h + lent, said, bytes FROM sized JOIN placed ON conv_id = c AND i > h
+), paths AS (
+  SELECT c, d, md5(string_agg(said, '' ORDER BY d) OVER (PARTITION BY c ORDER BY d)) AS k, bytes FROM steps
+  UNION ALL SELECT c, 0, '', 0 FROM convs
+), linked AS (
+  SELECT a.c, a.d, a.k, a.bytes, b.k AS parent, a.d = max(a.d) OVER (PARTITION BY a.c) AS ends
+  FROM paths a LEFT JOIN paths b ON b.c = a.c AND b.d = a.d - 1
+), nodes AS (
+  SELECT d, k, any_value(parent) AS parent, any_value(bytes) AS bytes, min(c) AS c, count(*) AS n,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM linked GROUP BY d, k
+), children AS (
+  SELECT d - 1 AS d, parent AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), sums AS (
+  SELECT p.d, p.k, count(*) FILTER (x.n_children IS NULL) AS n_leaves, sum((n.n - 1) * n.bytes) AS saved
+  FROM nodes n LEFT JOIN children x ON x.d = n.d AND x.k = n.k JOIN paths p ON p.c = n.c AND p.d <= n.d GROUP BY p.d, p.k
+)
+SELECT n.c::BIGINT AS conv_id, n.d::BIGINT AS depth, a.c::BIGINT AS parent_conv_id, n.n::BIGINT AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.d = n.d AND s.k = n.k LEFT JOIN children x ON x.d = n.d AND x.k = n.k
+  LEFT JOIN nodes a ON a.d = n.d - 1 AND a.k = n.parent
+"""
+
+STATEMENTS = {"op1_chat_formatting": OP1, "op2_quality_rules": OP2, "op5_minhash": OP5, "op8_substring_dedup": OP8, "op11_divergence": OP11, "op12_warc": OP12, "op13_prefix_trie": OP13}
