@@ -395,11 +395,12 @@ SELECT id, {s('date')} AS date, type, {d('amount')} AS amount, description FROM
 UNION ALL SELECT id, {s('paid_date')}, 'deposit', {d('amount')}, 'invoice paid' FROM w_payments WHERE status = 'paid' AND amount > 0""",
     # ------------------------------------------------------------ streams
     "debounced_changes": """
-SELECT key, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS changed_at, seq, value FROM
-  (SELECT *, lag(value) OVER (PARTITION BY key ORDER BY ts, seq) AS before, row_number() OVER (PARTITION BY key ORDER BY ts, seq) AS rn FROM
-    (SELECT CAST(user_id AS VARCHAR) AS key, ts, event_id AS seq, value, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt FROM events)
-  WHERE nxt IS NULL OR nxt - ts > INTERVAL 30 MINUTE)
-WHERE rn = 1 OR before IS DISTINCT FROM value""",
+SELECT key, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS changed_at, seq, value FROM (
+  SELECT *, lead(ts) OVER (PARTITION BY key ORDER BY ts, seq) AS nxt FROM (
+    SELECT *, lag(value) OVER (PARTITION BY key ORDER BY ts, seq) AS before, row_number() OVER (PARTITION BY key ORDER BY ts, seq) AS rn
+    FROM (SELECT CAST(user_id AS VARCHAR) AS key, ts, event_id AS seq, value FROM events))
+  WHERE rn = 1 OR before IS DISTINCT FROM value)
+WHERE nxt IS NULL OR nxt - ts > INTERVAL 30 MINUTE""",
     "daily_ledger_flow": f"SELECT {s('date')} AS day, type, COUNT(*) AS entries, {d('SUM(amount)')} AS amount FROM w_ledger GROUP BY date, type",
     "ledger_totals": f"SELECT type, COUNT(*) AS entries, {d('SUM(amount)')} AS amount FROM w_ledger GROUP BY type",
 }

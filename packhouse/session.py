@@ -25,6 +25,8 @@ RUNTIME_DEFAULTS = {
 
 
 _TUNED = "packhouse.tuned"
+# Folders of local sessions that name none.
+_local: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -76,5 +78,15 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="packhouse-")
+        app = spark.sparkContext.applicationId
+        shared = _local.setdefault(app, "") or tempfile.mkdtemp(prefix="packhouse-")
+        _local[app] = shared
     return f"{shared.rstrip('/')}/packhouse/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Removes a folder that ``work_dir`` made, or one in it; other folders are refused."""
+    if "/packhouse/" not in folder:
+        raise ValueError(f"not a working folder: {folder}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

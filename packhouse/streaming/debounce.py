@@ -1,108 +1,135 @@
 """Debounced change feed: of a burst of changes to one key, only the last is saved.
 
-A change restarts the key's timer; the last value is saved once the timer runs
-out, unless it equals what was saved last.
+A change restarts the key's timer; the last value is saved once the timer runs out.  A value equal to the one before it,
+of the same key, is no change: it neither restarts the timer nor is saved.  So the value that a key had last has to
+be known before gaps are measured, also where the event that brought it came in an earlier batch.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packhouse.operators.slices import with_neighbour
-from packhouse.session import work_dir
+from packhouse.session import remove, work_dir
+from packhouse.streaming.state import KeyedState
 
-DAY = 86_400 * 1_000_000  # microseconds
+HOUR, DAY = 3600 * 1_000_000, 86_400 * 1_000_000  # microseconds
 # Files of the feed that one batch takes.
 FILES_PER_BATCH = 1000
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+CHANGE = "key string, ts timestamp, seq long, value double"
 
 
-def with_day(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("day", F.expr(f"(unix_micros(ts) - pmod(unix_micros(ts), {DAY})) div {DAY}"))
+def _slice(of: str, width: int):
+    return F.expr(f"(unix_micros({of}) - pmod(unix_micros({of}), {width})) div {width}")
 
 
-def changed_only(saves: DataFrame) -> DataFrame:
-    """Drop saves that repeat the key's save before; ``day`` rises with time."""
-    named = with_neighbour(saves, "key", "day", ["ts", "seq"], "value", "_before")
-    return named.filter(~F.col("_before").eqNullSafe(F.col("value"))).drop("_before")
+def changes_only(events: DataFrame) -> DataFrame:
+    """Drop events that repeat the value of the key's event before; the first of a key is a change.
 
+    Events meet inside hours; one row per key and hour carries the last value on.
+    """
+    # A struct, so that a null value is told from no event.
+    said = events.withColumn("_said", F.struct("value")).withColumn("_hour", _slice("ts", HOUR))
+    named = with_neighbour(said, "key", "_hour", ["ts", "seq"], "_said", "_before")
+    return named.filter(~F.col("_before").eqNullSafe(F.col("_said"))).drop("_said", "_hour", "_before")
 
-def debounced(events: DataFrame, gap_seconds: float) -> DataFrame:
-    """The saves of a finished feed of (key, ts, seq, value).
 
-    A change is saved when the next one of its key comes more than the gap later.
-    Time is cut into steps as long as the gap: within a step only the last change can
-    be one, so each key and step is first reduced to that change and the time of its
-    first, map-side.  What is left of a key is compared day by day.
+def burst_ends(changes: DataFrame, gap_seconds: float) -> DataFrame:
+    """Changes that no other of their key follows within the gap, with the time of the next one, ``next_ts``.
+
+    Time is cut into steps as long as the gap: within a step only the last change can be an end, so
+    each key and step is first reduced to that change and the time of its first, map-side.  What is left of a
+    key is compared day by day.
     """
     gap = int(gap_seconds * 1_000_000)
-    stamped = events.withColumn("step", F.expr(f"(unix_micros(ts) - pmod(unix_micros(ts), {gap})) div {gap}"))
+    rest = [c for c in changes.columns if c not in ("key", "ts", "seq")]
     steps = (
-        stamped.groupBy("key", "step")
-        .agg(F.min("ts").alias("first_ts"), F.max(F.struct("ts", "seq", "value")).alias("last"))
-        .select("key", "step", "first_ts", "last.*")
+        changes.groupBy("key", _slice("ts", gap).alias("_step"))
+        .agg(F.min("ts").alias("_first"), F.max_by(F.struct("ts", "seq", *rest), F.struct("ts", "seq")).alias("_last"))
+        .select("key", "_step", "_first", "_last.*")
+        .withColumn("_day", _slice("ts", DAY))
     )
-    steps = with_day(steps)
-    ahead = with_neighbour(steps, "key", "day", ["step"], "first_ts", "next_ts", following=True)
+    ahead = with_neighbour(steps, "key", "_day", ["_step"], "_first", "next_ts", following=True)
     ends = F.col("next_ts").isNull() | (F.unix_micros("next_ts") - F.unix_micros("ts") > gap)
-    return changed_only(ahead.filter(ends).select("key", "ts", "seq", "value", "day")).drop("day")
+    return ahead.filter(ends).select(*changes.columns, "next_ts")
 
 
-def stream_sessions(events: DataFrame, gap_seconds: int, lateness: str) -> DataFrame:
-    """Streaming form: one row per key and burst once the watermark has passed it."""
-    burst = F.session_window("ts", f"{gap_seconds} seconds")
-    return (
-        events.withWatermark("ts", lateness)
-        .groupBy("key", burst.alias("burst"))
-        .agg(F.max_by(F.struct("ts", "seq", "value"), F.struct("ts", "seq")).alias("last"))
-        .select("key", "last.ts", "last.seq", "last.value")
-    )
+def debounced(events: DataFrame, gap_seconds: float) -> DataFrame:
+    """The saves of a finished feed of (key, ts, seq, value): changes followed by none of their key within the gap."""
+    return burst_ends(changes_only(events.select("key", "ts", "seq", "value")), gap_seconds).drop("next_ts")
+
 
+class Debouncer:
+    """Sink of the stream: the saves of what has come so far.
 
-class SavedValues:
-    """Sink of the stream: appends saves that differ from the key's last saved value.
+    The watermark is the latest time seen less ``lateness``.  Events behind it are settled: they are compared with the last
+    change of their key, and a change is saved once no event that may still come can follow it within the gap.
+    Later events wait in a table of their own, as others may yet come between them; events that come behind the
+    watermark of the batch before are dropped.  Of settled events only the last change of each key is kept.
 
-    The last value of each key is a written table: each batch adds a version with the keys it touched, and
-    every ``FULL``-th version holds all keys, so that a batch reads a bounded number of versions.  A
-    batch that is run again starts from the same versions and writes the same rows.
+    All of it is written under ``folder``, a version each batch, so a batch that is run again gives the same.
     """
 
-    FULL = 20
-    STATE = "key string, ts timestamp, seq long, value double, day long"
+    STATE = CHANGE + ", saved boolean"
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, gap_seconds: float, lateness_seconds: float):
+        self.folder = folder
+        self.gap, self.lateness = int(gap_seconds * 1_000_000), int(lateness_seconds * 1_000_000)
+        self.gap_seconds = gap_seconds
         self.saves = f"{folder}/saves"
-        self.latest = f"{folder}/latest"
+        self.last = KeyedState(f"{folder}/last", ["key"], self.STATE)
+
+    def _path(self, name: str, batch_id: int) -> str:
+        return f"{self.folder}/{name}/{batch_id:09d}"
+
+    def _cut(self, rows: DataFrame, name: str, batch_id: int) -> DataFrame:
+        path = self._path(name, batch_id)
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = batch.persist(StorageLevel.DISK_ONLY)
-        rows = with_day(held).select("key", "ts", "seq", "value", "day").withColumn("_old", F.lit(False))
-        before = self._before(spark, batch_id)
-        full = batch_id % self.FULL == 0
-        if before is not None:
-            known = before if full else before.join(held.select("key").distinct(), "key", "left_semi")
-            rows = rows.unionByName(known.withColumn("_old", F.lit(True)))
-        fresh = changed_only(rows).filter(~F.col("_old")).drop("day", "_old")
-        fresh.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{self.saves}/run={batch_id}")
-        self._last(rows.drop("_old")).write.mode("overwrite").parquet(self._version(batch_id))
-        held.unpersist()
-
-    def _last(self, rows: DataFrame) -> DataFrame:
-        last = F.max_by(F.struct("ts", "seq", "value", "day"), F.struct("ts", "seq"))
-        return rows.groupBy("key").agg(last.alias("l")).select("key", "l.*")
-
-    def _version(self, n: int) -> str:
-        return f"{self.latest}/{n:09d}"
-
-    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The last value of each key before this batch; None before the first."""
-        if batch_id == 0:
-            return None
-        first = (batch_id - 1) // self.FULL * self.FULL
-        return self._last(spark.read.schema(self.STATE).parquet(*[self._version(n) for n in range(first, batch_id)]))
+        self._forget(spark, batch_id)
+        fresh = self._cut(batch.select("key", "ts", "seq", "value"), "fresh", batch_id)
+        passed = None
+        micros = F.unix_micros("ts")
+        if batch_id:
+            passed = spark.read.parquet(self._path("watermark", batch_id - 1)).first()["passed"]
+            fresh = fresh.filter(F.lit(passed).isNull() | (micros >= passed))
+        newest = fresh.agg(F.max(micros)).first()[0]
+        known = [x for x in (passed, None if newest is None else newest - self.lateness) if x is not None]
+        passed = max(known) if known else None
+        self._cut(spark.createDataFrame([(passed,)], "passed long"), "watermark", batch_id)
+        none = spark.createDataFrame([], CHANGE)
+        waited = spark.read.schema(CHANGE).parquet(self._path("waiting", batch_id - 1)) if batch_id else none
+        events = waited.unionByName(fresh)
+        if passed is None:
+            self._cut(events, "waiting", batch_id)
+            settled = none
+        else:
+            self._cut(events.filter(micros >= passed), "waiting", batch_id)
+            settled = events.filter(micros < passed)
+        touched = settled.select("key").distinct()
+        before = self.last.before(spark, batch_id)
+        open_ = spark.read.schema(self.STATE).parquet(self._path("open", batch_id - 1)) if batch_id else before
+        known = before.join(touched, "key", "left_semi").unionByName(open_.join(touched, "key", "left_anti"))
+        rows = changes_only(settled.withColumn("saved", F.lit(False)).unionByName(known))
+        ends = self._cut(burst_ends(rows, self.gap_seconds), "ends", batch_id)
+        closed = F.col("next_ts").isNotNull() | (F.lit(passed) - F.unix_micros("ts") > self.gap)
+        due = ends.filter(F.coalesce(closed, F.lit(False)) & ~F.col("saved"))
+        due.select("key", "ts", "seq", "value").write.mode("overwrite").parquet(f"{self.saves}/run={batch_id}")
+        last = ends.filter("next_ts is null").withColumn("saved", F.col("saved") | F.coalesce(closed, F.lit(False))).drop("next_ts")
+        self.last.write(last, batch_id)
+        self._cut(last.filter(~F.col("saved")), "open", batch_id)
+
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Removes what neither this batch, nor the one before if it is run again, reads."""
+        if batch_id > 1:
+            for name in ("fresh", "watermark", "waiting", "ends", "open"):
+                remove(spark, self._path(name, batch_id - 2))
+            self.last.forget(spark, batch_id)
 
 
 def feed(spark: SparkSession, source_dir: str, pattern: str, closing: str) -> DataFrame:
@@ -125,10 +152,10 @@ def run_to_end(spark: SparkSession, closing: str, start) -> None:
     start().awaitTermination()
 
 
-def run_debounce(spark: SparkSession, source_dir: str, gap_seconds: int, lateness: str = "1 hour", pattern: str = "events.parquet") -> DataFrame:
+def run_debounce(spark: SparkSession, source_dir: str, gap_seconds: float, lateness_seconds: float = 3600, pattern: str = "events.parquet") -> DataFrame:
     """Run the feed under ``source_dir`` through the stream until it is used up; the saves."""
     folder = work_dir(spark, "debounce")
-    sink = SavedValues(folder)
+    sink = Debouncer(folder, gap_seconds, lateness_seconds)
     closing = f"{folder}/closing"
 
     def start():
@@ -137,8 +164,7 @@ def run_debounce(spark: SparkSession, source_dir: str, gap_seconds: int, latenes
             F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), "value"
         )
         return (
-            stream_sessions(keyed, gap_seconds, lateness)
-            .writeStream.outputMode("append")
+            keyed.writeStream.outputMode("append")
             .foreachBatch(sink)
             .option("checkpointLocation", f"{folder}/checkpoint")
             .trigger(availableNow=True)

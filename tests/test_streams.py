@@ -1,6 +1,7 @@
 """Streams run to the end of their input, against the batch form."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,39 +26,88 @@ def test_debounce(spark):
     rows = [
         ("a", 0, 1), ("a", 60, 2),  # exactly one gap apart: one burst
         ("a", 121, 3),  # one second more: a burst of its own
-        ("a", 500, 3),  # saved value unchanged
+        ("a", 500, 3),  # no change
         ("a", 900, 4), ("a", 900, 5),  # same instant: the later one by number
         ("b", 700, 3),
     ]
     assert saves(spark, rows, 60) == [("a", 1), ("a", 2), ("a", 5), ("b", 6)]
 
 
-def test_debounce_below_a_second(spark):
-    assert saves(spark, [("a", 0.0, 1), ("a", 0.8, 2), ("a", 1.7, 3)], 0.8) == [("a", 1), ("a", 2)]
+# A repeated value doesn't restart the timer; a burst that ends where it began is saved again; null is a value.
+REPEATS = [("a", 0, 1), ("a", 50, 1), ("a", 100, 2), ("b", 0, 1), ("b", 500, 2), ("b", 520, 1), ("c", 0, 7), ("c", 59, 7), ("c", 118, 7), ("c", 177, 8)]
+SAVED = [("a", 0), ("a", 2), ("b", 3), ("b", 5), ("c", 6), ("c", 9)]
+
+
+def test_equal_neighbours_go_before_gaps_are_measured(spark):
+    assert saves(spark, REPEATS, 60) == SAVED
+
+
+def test_null_is_a_value(spark):
+    rows = feed(spark, [("a", 0, 1), ("a", 500, 1), ("a", 900, 1), ("b", 0, 1)]).withColumn("value", F.when(F.col("seq").isin(1, 3), F.lit(None)).otherwise(F.col("value")))
+    assert sorted((r.key, r.seq) for r in debounce.debounced(rows, 60).collect()) == [("a", 0), ("a", 1), ("a", 2), ("b", 3)]
+
+
+def brute_saves(rows, gap):
+    """(key, ts, seq, value) one by one, as a timer would see them."""
+    out, last = [], {}
+    for key, ts, seq, value in sorted(rows):
+        before = last.get(key)
+        if before is None or before[2] != value:
+            if before is not None and (ts - before[0]).total_seconds() > gap:
+                out.append((key, before[1]))
+            last[key] = (ts, seq, value)
+    return sorted(out + [(k, s) for k, (_, s, _) in last.items()])
 
 
 def test_debounce_against_brute_force(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
-    rows = sorted((str(r.user_id), r.ts, r.event_id, r.value) for r in events.collect())
-    expected, last = [], {}
-    for n, (key, ts, seq, value) in enumerate(rows):
-        following = rows[n + 1] if n + 1 < len(rows) and rows[n + 1][0] == key else None
-        if following is None or (following[1] - ts).total_seconds() > 6 * 3600:
-            if last.get(key) != value:
-                expected.append((key, seq))
-                last[key] = value
-    keyed = events.select(F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), "value")
-    assert sorted((r.key, r.seq) for r in debounce.debounced(keyed, 6 * 3600).collect()) == sorted(expected)
+    # Coarse values, so that many neighbours are equal.
+    coarse = F.floor(F.col("value") / 100).cast("double")
+    keyed = events.select(F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), coarse.alias("value"))
+    want = brute_saves([tuple(r) for r in keyed.collect()], 6 * 3600)
+    assert len(want) < 0.9 * events.count()
+    assert sorted((r.key, r.seq) for r in debounce.debounced(keyed, 6 * 3600).collect()) == want
+
+
+def sunk(spark, folder, batches, gap=60, lateness=0):
+    sink = debounce.Debouncer(folder, gap, lateness)
+    for n, rows in enumerate([*batches, [("", dt.datetime(2900, 1, 1), -1, 0.0)]]):
+        frame = spark.createDataFrame(rows, debounce.CHANGE)
+        for _ in range(2 if n == 1 else 1):  # a batch run again
+            sink(frame, n)
+    return sorted((r.key, r.seq) for r in spark.read.parquet(sink.saves).collect())
+
+
+@pytest.mark.parametrize("sizes", [[10], [1, 3, 2, 4]])
+def test_saves_span_batches(spark, tmp_path, sizes):
+    rows = sorted(((k, T0 + dt.timedelta(seconds=s), n, float(v)) for n, (k, s, v) in enumerate(REPEATS)), key=lambda r: r[1])
+    batches = [rows[sum(sizes[:i]) : sum(sizes[: i + 1])] for i in range(len(sizes))]
+    assert sunk(spark, str(tmp_path / "packhouse" / "d"), batches) == SAVED
+
+
+def test_events_out_of_order_within_the_lateness(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(debounce.KeyedState, "FULL", 3)
+    pick = random.Random(5)
+    rows = [(pick.choice("ab"), T0 + dt.timedelta(seconds=37 * i), i, float(pick.randrange(3))) for i in range(60)]
+    came = sorted(rows, key=lambda r: r[1] + dt.timedelta(seconds=pick.randrange(200)))
+    batches = [came[i : i + 15] for i in range(0, 60, 15)]
+    assert sunk(spark, str(tmp_path / "packhouse" / "d"), batches, 60, 400) == brute_saves(rows, 60)
+    left = {p.name: len(list(p.iterdir())) for p in (tmp_path / "packhouse" / "d").iterdir()}
+    assert left["fresh"] <= 2 and left["waiting"] <= 2 and left["last"] <= 7
+
+
+def test_events_behind_the_watermark_are_dropped(spark, tmp_path):
+    late = ("a", T0 + dt.timedelta(seconds=100), 9, 5.0)
+    batches = [[("a", T0, 0, 1.0), ("b", T0 + dt.timedelta(seconds=1000), 1, 1.0)], [late]]
+    assert sunk(spark, str(tmp_path / "packhouse" / "d"), batches, 60, 10) == [("a", 0), ("b", 1)]
 
 
-def test_saved_values_span_batches(spark, tmp_path):
-    sink = debounce.SavedValues(str(tmp_path))
-    sink(feed(spark, [("a", 0, 1), ("b", 0, 1)]), 0)
-    sink(feed(spark, [("a", 100, 1), ("b", 100, 2)]), 1)
-    sink(feed(spark, [("a", 200, 2), ("b", 200, 2)]), 2)
-    sink(feed(spark, [("a", 200, 2), ("b", 200, 2)]), 2)  # a batch run again
-    got = sorted((r.key, r.value) for r in spark.read.parquet(sink.saves).collect())
-    assert got == [("a", 1.0), ("a", 2.0), ("b", 1.0), ("b", 2.0)]
+def test_hot_key_spreads_over_slices(spark):
+    """One key has all events: none of the windows is partitioned by the key alone, but for one row an hour or day."""
+    rows = spark.range(20_000).select(F.lit("a").alias("key"), F.timestamp_micros(F.col("id") * 7_000_000).alias("ts"), "id", F.col("id").alias("seq"), F.floor(F.col("id") / 3).cast("double").alias("value"))
+    assert debounce.debounced(rows, 15).count() == 20_000 // 3 + 1
+    inside = debounce.changes_only(rows.withColumn("key", F.concat("key", F.col("id") % 1)))._jdf.queryExecution().optimizedPlan().toString()
+    assert [w for w in inside.splitlines() if "Window " in w and "value" in w and "_hour" not in w] == []
 
 
 @pytest.mark.parametrize("name", ["debounced_changes", "daily_ledger_flow", "ledger_totals"])
@@ -69,10 +119,10 @@ def test_stream_equals_batch(spark, name):
 def test_many_batches_equal_one(spark, tmp_path, monkeypatch):
     """Files taken one by one, in the order of their events."""
     monkeypatch.setattr(debounce, "FILES_PER_BATCH", 1)
-    monkeypatch.setattr(debounce.SavedValues, "FULL", 3)
-    rows = [(i, T0 + dt.timedelta(minutes=17 * i), i % 3, "signup", float(i // 5), "{}") for i in range(80)]
-    for n in range(8):
-        part = spark.createDataFrame(rows[10 * n : 10 * n + 10], debounce.EVENT_SCHEMA).coalesce(1)
+    monkeypatch.setattr(debounce.KeyedState, "FULL", 3)
+    rows = [(i, T0 + dt.timedelta(minutes=17 * i), i % 3, "signup", float(i // 5), "{}") for i in range(60)]
+    for n in range(4):
+        part = spark.createDataFrame(rows[15 * n : 15 * n + 15], debounce.EVENT_SCHEMA).coalesce(1)
         part.write.mode("append").parquet(str(tmp_path / "in"))
     got = debounce.run_debounce(spark, str(tmp_path / "in"), 1800, pattern="*.parquet")
     events = spark.createDataFrame(rows, debounce.EVENT_SCHEMA)
