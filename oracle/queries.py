@@ -258,6 +258,26 @@ SELECT {d('cash')} AS manual_cash, {d('got')} AS collected, {d('due')} AS expect
 FROM (SELECT (SELECT SUM(CASE WHEN type IN ('initial', 'deposit') THEN amount WHEN type = 'withdrawal' THEN -amount ELSE 0 END) FROM w_ledger) AS cash,
   (SELECT SUM(amount) FROM w_payments WHERE status = 'paid') AS got, (SELECT SUM(amount) FROM w_payments WHERE status <> 'paid') AS due,
   (SELECT coalesce(SUM(i.total_cost), 0) FROM w_items i JOIN w_heads h ON h.id = i.order_id WHERE h.order_date >= {AS_OF} - 7) AS owed)""",
+    "kept_weekly_kpis": f"""
+SELECT orders, {d('revenue')} AS revenue, {d('profit')} AS profit, avg_margin, {zone('avg_margin')} AS avg_margin_zone, {d('base')} AS base_cost,
+  {d('tr')} AS transport_cost, {d('pk')} AS packaging_cost, {d('base + tr + pk')} AS total_cost, {pct('base', 'revenue')} AS base_pct,
+  {pct('tr', 'revenue')} AS transport_pct, {pct('pk', 'revenue')} AS packaging_pct, {pct('base + tr + pk', 'revenue')} AS total_cost_pct,
+  top_client_pct, top_client_pct > 50 AS top_client_alert
+FROM (SELECT COUNT(*) AS orders, coalesce(SUM(total_revenue), 0) AS revenue, coalesce(SUM(net_profit), 0) AS profit,
+    CASE WHEN COUNT(*) > 0 THEN {d(f"SUM({dec('margin_percentage')})")} / COUNT(*) ELSE 0e0 END AS avg_margin,
+    coalesce(SUM(transport_cost), 0) AS tr, coalesce(SUM(packaging_cost), 0) AS pk, coalesce(SUM(base), 0) AS base
+  FROM w_kept_orders WHERE order_date >= {AS_OF} - 7),
+  (SELECT coalesce({pct('greatest(MAX(r), 0)', 'SUM(r)')}, 0e0) AS top_client_pct
+   FROM (SELECT client_id, SUM(total_revenue) AS r FROM w_kept_orders GROUP BY client_id))""",
+    "kept_receivables": f"""
+SELECT {d("coalesce(SUM(amount) FILTER (status <> 'paid'), 0)")} AS outstanding, {d("coalesce(SUM(amount) FILTER (status = 'paid'), 0)")} AS collected
+FROM (SELECT y.status, CASE WHEN h.priority = '2-HIGH' THEN h.quoted - 2 ELSE y.amount END AS amount
+  FROM w_payments y JOIN w_heads h ON h.id = y.order_id WHERE h.priority <> '5-LOW')""",
+    "kept_waste_totals": f"""
+SELECT {d('SUM(h)')} AS harvested, {d('SUM(w)')} AS waste, {d('SUM(v)')} AS waste_value, {pct('SUM(w)', 'SUM(h)')} AS waste_pct, {pct('SUM(w)', 'SUM(h)')} > 10 AS alert
+FROM (SELECT harvested + CASE WHEN damaged > 0 THEN 1 ELSE 0 END AS h, CASE WHEN damaged > 0 THEN damaged ELSE waste END AS w,
+    CASE WHEN damaged > 0 THEN {cents('damaged * cost')} ELSE waste_value END AS v
+  FROM w_batches WHERE CAST(product_id AS BIGINT) % 7 <> 0)""",
     # ---------------------------------------------------------- analytics
     "product_performance": f"""
 SELECT product_id, {d('qty')} AS total_qty, {d('rev')} AS total_revenue, {d('cst')} AS total_cost, n AS order_count, min_price, max_price, name, unit,

@@ -51,6 +51,12 @@ SELECT *, total_revenue - total_cost AS net_profit,
   {r2(pct('total_revenue - total_cost', 'total_revenue'))} AS margin_percentage,
   {zone(pct('total_revenue - total_cost', 'total_revenue'))} AS margin_zone
 FROM w_sums""",
+    "w_kept_orders": """
+SELECT CASE WHEN priority = '2-HIGH' THEN 'new-' ELSE '' END || client_id AS client_id,
+  order_date + CASE WHEN priority = '1-URGENT' THEN 2 ELSE 0 END AS order_date,
+  CASE WHEN priority = '1-URGENT' THEN quoted ELSE total_revenue END AS total_revenue,
+  net_profit, transport_cost, packaging_cost, margin_percentage, (SELECT SUM(total_cost) FROM w_items i WHERE i.order_id = o.id) AS base
+FROM w_orders o WHERE order_status <> 'P'""",
     "w_payments": """
 SELECT 'pay-' || o.id AS id, o.id AS order_id, o.total_revenue AS amount, o.order_date AS invoice_date,
   o.delivery_date + coalesce(nullif(c.credit_days, 0), 30) AS due_date,

@@ -35,6 +35,11 @@ def weekly_kpis(t, p: Params) -> DataFrame:
         # Stored margins have two decimals: summed exactly, so that no order of rows shows.
         zero_if_null(F.sum(F.col("margin_percentage").cast("decimal(18,2)"))).alias("margin_sum"),
     ).withColumn("base_cost", _week_base_cost(t, p).scalar())
+    return weekly_figures(sums, p)
+
+
+def weekly_figures(sums: DataFrame, p: Params) -> DataFrame:
+    """The week's key figures from its sums: orders, revenue, profit, costs and stored margins."""
     whole = F.col("revenue")
     total = F.col("base_cost") + F.col("transport_cost") + F.col("packaging_cost")
     average = F.when(F.col("orders") > 0, F.col("margin_sum").cast("double") / F.col("orders")).otherwise(F.lit(0.0))
@@ -62,6 +67,10 @@ def waste_totals(t, p: Params) -> DataFrame:
         zero_if_null(F.sum(rules.waste_quantity(F.col("damaged_qty"), F.col("expired_qty")))).alias("waste"),
         zero_if_null(F.sum("waste_value")).alias("waste_value"),
     )
+    return waste_figures(totals, p)
+
+
+def waste_figures(totals: DataFrame, p: Params) -> DataFrame:
     waste_pct = pct(F.col("waste"), F.col("harvested"))
     return totals.withColumn("waste_pct", waste_pct).withColumn("alert", F.col("waste_pct") > p.thresholds.waste_high)
 
@@ -88,6 +97,11 @@ def base_cost_collected(t, p: Params) -> DataFrame:
 
 def top_client_share(t, p: Params) -> DataFrame:
     by_client = t.orders("client_id", "total_revenue").groupBy("client_id").agg(zero_if_null(F.sum("total_revenue")).alias("revenue"))
+    return client_concentration(by_client, p)
+
+
+def client_concentration(by_client: DataFrame, p: Params) -> DataFrame:
+    """Share of the largest client in the revenue of all."""
     totals = by_client.agg(F.greatest(F.max("revenue"), F.lit(0)).alias("top"), F.sum("revenue").alias("all"))
     share = F.coalesce(pct(F.col("top"), F.col("all")), F.lit(0.0))
     return totals.select(share.alias("top_client_pct")).withColumn(

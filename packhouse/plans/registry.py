@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packhouse.config import Params
-from packhouse.plans import analytics, catalog, dashboard, documents, maintenance, orders, pricing, stock
+from packhouse.plans import analytics, catalog, dashboard, documents, kept, maintenance, orders, pricing, stock
 from packhouse.session import tune
 from packhouse.sources.testdata import Testdata
 from packhouse.streaming import debounce, flows
@@ -134,6 +134,9 @@ _PLANS: list[Callable] = [
     dashboard.base_cost_collected,
     dashboard.top_client_share,
     dashboard.cash_position,
+    kept.kept_weekly_kpis,
+    kept.kept_receivables,
+    kept.kept_waste_totals,
     analytics.product_performance,
     analytics.product_trend,
     analytics.client_performance,
