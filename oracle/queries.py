@@ -413,6 +413,21 @@ FROM w_payments y JOIN w_heads h ON h.id = y.order_id WHERE h.priority <> '5-LOW
     "apply_ledger_changes": f"""
 SELECT id, {s('date')} AS date, type, {d('amount')} AS amount, description FROM w_ledger WHERE type <> 'click'
 UNION ALL SELECT id, {s('paid_date')}, 'deposit', {d('amount')}, 'invoice paid' FROM w_payments WHERE status = 'paid' AND amount > 0""",
+    "apply_order_log": f"""
+SELECT o.id AS order_id, client_id, {s('CASE WHEN updated IS NULL THEN delivery_date ELSE delivery_date + 3 END')} AS delivery_date,
+  {d('CASE WHEN order_waste IS NULL THEN rev ELSE greatest(0, rev - order_waste) END')} AS total_revenue,
+  {d('CASE WHEN updated IS NULL THEN total_cost ELSE now_cost END')} AS total_cost,
+  {d('CASE WHEN updated IS NULL THEN net_profit ELSE now_revenue - now_cost END - coalesce(order_waste, 0)')} AS net_profit,
+  CASE WHEN updated IS NULL THEN margin_percentage ELSE 25e0 END AS margin_percentage, CASE WHEN updated IS NULL THEN margin_zone ELSE 'red' END AS margin_zone,
+  {d('CASE WHEN has_payment THEN CASE WHEN payment_waste IS NULL THEN amt ELSE greatest(0, amt - payment_waste) END END')} AS amount,
+  {s('CASE WHEN has_payment THEN delivery_date + CASE WHEN updated IS NULL THEN 0 ELSE 3 END + credit END')} AS due_date,
+  CASE WHEN has_payment THEN CASE WHEN priority = '1-URGENT' OR order_status = 'F' THEN 'paid' ELSE 'pending' END END AS status,
+  {s("CASE WHEN has_payment THEN CASE WHEN priority = '1-URGENT' THEN order_date + 35 WHEN order_status = 'F' THEN delivery_date + credit END END")} AS paid_date
+FROM (SELECT o.*, l.* EXCLUDE (order_id), now_revenue, now_cost, coalesce(nullif(c.credit_days, 0), 30) AS credit, priority <> '5-LOW' AS has_payment,
+    CASE WHEN updated IS NULL THEN total_revenue ELSE now_revenue END AS rev, coalesce(set_to, total_revenue) AS amt
+  FROM (SELECT *, quoted - 3 AS now_revenue, quoted - 103 AS now_cost FROM w_orders) o
+  JOIN w_log_sums l ON l.order_id = o.id LEFT JOIN w_clients c ON c.id = o.client_id
+  WHERE CAST(o.id AS BIGINT) % 11 <> 0) o""",
     # ------------------------------------------------------------ streams
     "debounced_changes": """
 SELECT key, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS changed_at, seq, value FROM (

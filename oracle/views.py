@@ -57,6 +57,20 @@ SELECT CASE WHEN priority = '2-HIGH' THEN 'new-' ELSE '' END || client_id AS cli
   CASE WHEN priority = '1-URGENT' THEN quoted ELSE total_revenue END AS total_revenue,
   net_profit, transport_cost, packaging_cost, margin_percentage, (SELECT SUM(total_cost) FROM w_items i WHERE i.order_id = o.id) AS base
 FROM w_orders o WHERE order_status <> 'P'""",
+    "w_log": """
+SELECT h.id AS order_id, 'update' AS kind, 'update-' || h.id AS action_id, order_date + 20 AS done_at,
+  h.quoted - 3 AS value, CAST(NULL AS DECIMAL(18,4)) AS waste FROM w_heads h WHERE order_status = 'P'
+UNION ALL SELECT order_id, 'deduct', 'deduct-' || batch_id,
+  CAST(harvest_date + CAST(CAST(product_id AS BIGINT) % 60 AS INTEGER) AS DATE), NULL, raw_value
+  FROM w_linked JOIN (SELECT id, harvest_date, product_id FROM w_rollup) b ON b.id = batch_id WHERE raw_value > 0 AND order_id IS NOT NULL
+UNION ALL SELECT id, 'set_amount', 'set_amount-' || id, order_date + 30, quoted - 2, NULL FROM w_heads WHERE priority IN ('1-URGENT', '2-HIGH')""",
+    "w_log_sums": """
+SELECT o.id AS order_id, u.done_at AS updated, (SELECT SUM(d.waste) FROM w_log d WHERE d.kind = 'deduct' AND d.order_id = o.id
+    AND (u.done_at IS NULL OR (d.done_at, d.action_id) > (u.done_at, u.action_id))) AS order_waste,
+  s.value AS set_to, (SELECT SUM(d.waste) FROM w_log d WHERE d.kind = 'deduct' AND d.order_id = o.id
+    AND (s.done_at IS NULL OR (d.done_at, d.action_id) > (s.done_at, s.action_id))) AS payment_waste
+FROM w_heads o LEFT JOIN (SELECT * FROM w_log WHERE kind = 'update') u ON u.order_id = o.id
+LEFT JOIN (SELECT * FROM w_log WHERE kind <> 'deduct' QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY done_at DESC, action_id DESC) = 1) s ON s.order_id = o.id""",
     "w_payments": """
 SELECT 'pay-' || o.id AS id, o.id AS order_id, o.total_revenue AS amount, o.order_date AS invoice_date,
   o.delivery_date + coalesce(nullif(c.credit_days, 0), 30) AS due_date,

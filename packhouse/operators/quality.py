@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from packhouse.functions.numbers import dbl
 from packhouse.functions.rules import truthy
+from packhouse.operators.changes import UPSERT
 
 
 def blank(text: Column) -> Column:
@@ -31,6 +32,30 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.filter(F.size("failures") > 0)
 
 
+def split(rows: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows, and rejected ones with the names of all rules that they break."""
+    checked = with_failures(rows, rules)
+    return valid(checked), rejected(checked)
+
+
+def split_changes(changes: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Like ``split`` for a change table: what a row has to show is asked of upserts, not of deletes."""
+    asked = {name: (F.col("op") == UPSERT) & bad for name, bad in rules.items()}
+    return split(changes, asked)
+
+
+def watched(checked: DataFrame, counts: Observation) -> DataFrame:
+    """Counts rows, and rejects by rule, while the rows are written; read ``counts.get`` after that."""
+    every = F.count(F.lit(1)).alias("rows")
+    refused = F.count_if(F.size("failures") > 0).alias("rejected")
+    return checked.observe(counts, every, refused)
+
+
+def as_rejects(refused: DataFrame, write: str, row_id: Column) -> DataFrame:
+    """(write, row_id, failures): rejects of any write in one form."""
+    return refused.select(F.lit(write).alias("write"), row_id.alias("row_id"), F.concat_ws(",", "failures").alias("failures"))
+
+
 def order_rules() -> dict[str, Column]:
     """For order headers with ``line_count`` and ``bad_lines``."""
     return {
@@ -85,3 +110,13 @@ def price_rules() -> dict[str, Column]:
 def payment_rules() -> dict[str, Column]:
     """An amount must be present, not zero and not negative."""
     return {"amount_invalid": F.coalesce(dbl(F.col("amount")), F.lit(0.0)) <= 0}
+
+
+def action_rules() -> dict[str, Column]:
+    """For the actions of an order log."""
+    set_amount, deduct = F.col("kind") == "set_amount", F.col("kind") == "deduct"
+    return {
+        "order_missing": blank(F.col("order_id")),
+        "amount_invalid": set_amount & (F.coalesce(dbl(F.col("amount")), F.lit(0.0)) <= 0),
+        "waste_not_positive": deduct & (F.coalesce(dbl(F.col("waste_value")), F.lit(0.0)) <= 0),
+    }

@@ -14,31 +14,71 @@ from pyspark.sql import functions as F
 from packhouse.session import work_dir
 
 
-def numbered(rows: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
-    """Add the 1-based position of each row in its group, by ``order``.
+# What one range is to hold, in bytes of the files that its rows come from.
+RANGE_BYTES = 128 * 1024 * 1024
+_MOST_RANGES = 50_000
+
+
+def ranges_for(rows: DataFrame) -> int:
+    """How many ranges rows ask for: by the size of the files they come from, and at least the session's shuffle partitions."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(_MOST_RANGES, -(-size // RANGE_BYTES)))
+
 
-    Rows are dealt out by ranges of key and order, so a group of any size spreads over as many
-    tasks as its rows ask for, whatever its values look like.  The ranges are drawn from a sample, so
-    the dealt rows are written once: both sides below have to see the same ranges.
+def dealt(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Rows dealt out by ranges of key and order, with the number of their range, ``_part``.
+
+    A group of any size spreads over as many tasks as its rows ask for, whatever its values look like, and ``_part`` rises
+    with the order.  The ranges are drawn from a sample, so the dealt rows are written once: all that reads them sees the
+    same ranges.
     """
     spark = rows.sparkSession
-    folder = work_dir(spark, "numbered")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn("_part", F.spark_partition_id())
-    dealt.write.parquet(folder)
-    dealt = spark.read.schema(dealt.schema).parquet(folder)
+    folder = work_dir(spark, "dealt")
+    parts = rows.repartitionByRange(ranges_for(rows), *[F.col(k) for k in keys], *order).withColumn("_part", F.spark_partition_id())
+    parts.write.parquet(folder)
+    return spark.read.schema(parts.schema).parquet(folder)
+
+
+def numbered(rows: DataFrame, keys: list[str], order: list[Column], name: str, slice_: Column | None = None) -> DataFrame:
+    """Add the 1-based position of each row in its group, by ``order``.
 
+    Rows are numbered inside slices of their group, and one row per group and slice carries the counts before it.
+    ``slice_`` is a value that rises with the order; without one, the rows are dealt out by ranges, and written for that.
+    """
+    rows = dealt(rows, keys, order) if slice_ is None else rows.withColumn("_part", slice_)
     inside = Window.partitionBy(*keys, "_part").orderBy(*order)
-    # One row per group and range: its size, then the sizes of the ranges before it.
+    # One row per group and slice: its size, then the sizes of the slices before it.
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = dealt.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = sizes.select(*keys, "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    return (
-        dealt.withColumn("_place", F.row_number().over(inside))
-        .join(before, [*keys, "_part"], "left")
-        .withColumn(name, F.col("_before") + F.col("_place"))
-        .drop("_part", "_place", "_before")
+    sizes = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
+    by = [*keys, "_part"]
+    before = sizes.select(*[F.col(k).alias(f"_of{i}") for i, k in enumerate(by)], F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    # Null keys are a group as well.
+    match = [F.col(k).eqNullSafe(F.col(f"_of{i}")) for i, k in enumerate(by)]
+    placed = rows.withColumn("_place", F.row_number().over(inside)).join(before, match, "left")
+    return placed.select(*[c for c in rows.columns if c != "_part"], (F.col("_before") + F.col("_place")).alias(name))
+
+
+def since_last(parts: DataFrame, key: str, order: list[str], marks: dict[str, Column], value: Column) -> DataFrame:
+    """Per key and mark, the sum of ``value`` over the rows after the key's last marked one (all rows, where none is).
+
+    A list of settings and additions is what its last setting and the sum after it are; two lists that follow one another are
+    what the later has, if it sets, and else the sum of both.  That is associative, so each slice (``_part``, see ``dealt``)
+    is folded for itself and then the slices of a key, one row each.
+    """
+    down = Window.partitionBy(key, "_part").orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    names = list(marks)
+    set_ = {f"_set_{n}": F.coalesce(m, F.lit(False)) for n, m in marks.items()}
+    rows = parts.select(key, "_part", *order, value.alias("_value"), *[c.alias(n) for n, c in set_.items()])
+    rows = rows.withColumns({f"_later_{n}": F.coalesce(F.max(f"_set_{n}").over(down), F.lit(False)) for n in names})
+    slices = rows.groupBy(key, "_part").agg(
+        *[F.max(f"_set_{n}").alias(f"_set_{n}") for n in names],
+        # A marked row isn't after itself.
+        *[F.sum(F.when(~F.col(f"_later_{n}") & ~F.col(f"_set_{n}"), F.col("_value"))).alias(f"_sum_{n}") for n in names],
     )
+    after = Window.partitionBy(key).orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumns({f"_later_{n}": F.coalesce(F.max(f"_set_{n}").over(after), F.lit(False)) for n in names})
+    return slices.groupBy(key).agg(*[F.sum(F.when(~F.col(f"_later_{n}"), F.col(f"_sum_{n}"))).alias(n) for n in names])
 
 
 def with_neighbour(

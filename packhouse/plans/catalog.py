@@ -48,6 +48,8 @@ def price_history(t, p: Params) -> DataFrame:
         keys=["client_id", "product_id"],
         order=[F.col("changed_at").desc(), F.col("id").desc()],
         name="version",
+        # Months, newest first; prices without a time come last.
+        slice_=F.coalesce(-(F.year("changed_at") * 12 + F.month("changed_at")), F.lit(1)),
     )
     return versions.select(
         "id", "client_id", "product_id", "selling_price", F.date_format("changed_at", "yyyy-MM-dd").alias("changed_on"), "version"
@@ -77,14 +79,16 @@ def _items_with_product(t) -> DataFrame:
 def order_documents(t, p: Params) -> DataFrame:
     """The order document as rows: each item with its position in the order (by id) and all fields of the order's head.
 
-    Orders without items keep one row, at position 0.
+    Orders without items keep one row, at position 0.  Items are numbered by their ids alone, and only then meet what else
+    they show.
     """
     cols = ["transport_cost", "packaging_cost", "total_cost", "net_profit", "margin_percentage", "margin_zone"]
     heads = t.orders("id", "client_id", "order_date", "delivery_date", "total_revenue", *cols)
     fields = {"client_name": "name", "client_name_ar": "name_ar", "client_type": "type", "client_phone": "phone", "credit_days": "credit_days"}
     heads = with_parent(heads, t.clients("id", *fields.values()), "client_id", fields).withColumnRenamed("id", "order_id")
     items = _items_with_product(t).withColumnsRenamed({"id": "item_id", "total_revenue": "line_revenue", "total_cost": "line_cost"})
-    placed = numbered(items.filter(F.col("order_id").isNotNull()), ["order_id"], [F.col("item_id").asc()], "position")
+    ids = t.order_items("order_id", "id").withColumnRenamed("id", "item_id").filter(F.col("order_id").isNotNull())
+    placed = items.join(numbered(ids, ["order_id"], [F.col("item_id").asc()], "position"), ["order_id", "item_id"])
     empty = heads.join(t.order_items("order_id").distinct(), "order_id", "left_anti").withColumn("position", F.lit(0).cast("long"))
     return placed.join(heads, "order_id", "inner").unionByName(empty, allowMissingColumns=True)
 

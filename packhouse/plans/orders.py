@@ -170,6 +170,7 @@ def client_order_number(t, p: Params) -> DataFrame:
         keys=["client_id"],
         order=[F.col("order_date").asc_nulls_first(), F.col("id").asc()],
         name="order_number",
+        slice_=F.year("order_date") * 12 + F.month("order_date"),
     ).select(F.col("id").alias("order_id"), "client_id", "order_number")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packhouse.config import Params
-from packhouse.plans import analytics, catalog, dashboard, documents, kept, maintenance, orders, pricing, stock
+from packhouse.plans import analytics, catalog, dashboard, documents, kept, maintenance, order_log, orders, pricing, stock
 from packhouse.session import tune
 from packhouse.sources.testdata import Testdata
 from packhouse.streaming import debounce, flows
@@ -159,6 +159,7 @@ _PLANS: list[Callable] = [
     maintenance.batch_intake,
     maintenance.apply_payment_changes,
     maintenance.apply_ledger_changes,
+    order_log.apply_order_log,
     debounced_changes,
     debounced_changes_stream,
     daily_ledger_flow,

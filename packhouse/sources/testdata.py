@@ -11,6 +11,7 @@ from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packhouse.config import Settings
 from packhouse.functions import rules
@@ -552,6 +553,50 @@ class Testdata:
         )
         return headers, lines
 
+    def order_log(self) -> DataFrame:
+        """Updates, waste deductions, payment actions and deletes of orders as one log; some can't be accepted."""
+        from packhouse.plans.order_log import ACTION
+
+        columns = [f.name for f in T.StructType.fromDDL(ACTION)]
+        heads = self._headers().select(F.col("id").alias("order_id"), "client_id", "delivery_date", "priority", "order_status", "quoted_price", F.col("created_at").cast("date").alias("came"))
+        heads = with_parent(heads, self.clients("id", "credit_days"), "client_id", {"credit_days": "credit_days"})
+
+        def act(rows, kind, at, **values):
+            made = rows.select(
+                F.concat(F.lit(f"{kind}-"), values.pop("ref", F.col("order_id"))).alias("action_id"), "order_id", F.lit(kind).alias("kind"),
+                at.cast("timestamp").alias("changed_at"), *[c.alias(n) for n, c in values.items()],
+            )
+            types = {f.name: f.dataType for f in T.StructType.fromDDL(ACTION)}
+            return made.select(*[(F.col(c) if c in made.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns])
+
+        priority, quoted = F.col("priority"), F.col("quoted_price")
+        later = F.date_add("delivery_date", 3)
+        now = money(quoted - 3)
+        cost = money(quoted - 103)
+        links = self.waste_links().select("link_key", "order_id")
+        batches = self.batches("id", "product_id", "harvest_date", "damaged_qty", "expired_qty")
+        batches = with_parent(batches, self.products("id", "cost_per_unit"), "product_id", {"cost": "cost_per_unit"})
+        keys = F.when(F.col("product_id").cast("long") % 2 == 0, F.col("id")).otherwise(F.concat_ws("_", "product_id", text(F.col("harvest_date"))))
+        linked = batches.withColumn("link_key", keys).join(links, "link_key")
+        waste = ((F.col("damaged_qty") + F.col("expired_qty")) * F.col("cost")).cast("decimal(18,4)")
+        return reduce(
+            DataFrame.unionByName,
+            [
+                act(
+                    heads.filter(F.col("order_status") == "P"), "update", F.date_add("came", 20), client_id=F.col("client_id"), delivery_date=later,
+                    total_revenue=now, total_cost=cost, net_profit=now - cost, margin_percentage=F.lit(25.0), margin_zone=F.lit("red"),
+                    due_date=rules.due_date(later, F.col("credit_days"), 30),
+                ),
+                act(linked, "deduct", F.date_add("harvest_date", (F.col("product_id").cast("long") % 60).cast("int")), ref=F.col("id"), waste_value=waste),
+                act(heads.filter(priority.isin("2-HIGH", "1-URGENT")), "set_amount", F.date_add("came", 30), amount=quoted - 2),
+                # Asked for without an amount: not accepted.
+                act(heads.filter(priority == "3-MEDIUM"), "set_amount", F.date_add("came", 40), amount=F.lit(0)),
+                act(heads.filter(priority == "1-URGENT"), "mark_paid", F.date_add("came", 35)),
+                act(heads.filter(priority == "5-LOW"), "delete_payment", F.date_add("came", 5)),
+                act(heads.filter(F.col("order_id").cast("long") % 11 == 0), "delete_order", F.date_add("came", 50)),
+            ],
+        )
+
     def batch_forms(self) -> DataFrame:
         """Intake forms: waste counted in quarter-kilo packs, packaging cost per unit."""
         return self._batch_rollup().select(
