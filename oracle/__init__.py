@@ -25,7 +25,9 @@ def statement(sql: str) -> str:
     if not names:
         return sql.strip()
     views = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
-    return f"WITH {views}\n{sql.strip()}"
+    own = sql.strip()
+    # A statement may name parts of its own as well.
+    return f"WITH {views},\n{own.removeprefix('WITH ')}" if own.startswith("WITH ") else f"WITH {views}\n{own}"
 
 
 def statements() -> dict[str, str]:

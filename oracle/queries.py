@@ -413,6 +413,40 @@ FROM w_payments y JOIN w_heads h ON h.id = y.order_id WHERE h.priority <> '5-LOW
     "apply_ledger_changes": f"""
 SELECT id, {s('date')} AS date, type, {d('amount')} AS amount, description FROM w_ledger WHERE type <> 'click'
 UNION ALL SELECT id, {s('paid_date')}, 'deposit', {d('amount')}, 'invoice paid' FROM w_payments WHERE status = 'paid' AND amount > 0""",
+    "intake_deductions": f"""
+SELECT batch_id, order_id, {d('waste')} AS waste_value, link_key, client_id, client_name, order_label FROM w_forms WHERE waste > 0""",
+    "intake_orders": f"""
+SELECT o.id AS order_id, {d('greatest(0, o.total_revenue - coalesce(w.waste, 0))')} AS total_revenue,
+  {d('o.net_profit - coalesce(w.waste, 0)')} AS net_profit, {d('greatest(0, o.total_revenue - coalesce(w.waste, 0))')} AS amount
+FROM w_orders o LEFT JOIN (SELECT order_id, SUM(waste) AS waste FROM w_forms WHERE waste > 0 GROUP BY order_id) w ON w.order_id = o.id""",
+    "intake_links": """
+SELECT link_key, client_id, client_name, order_id, order_label FROM w_links WHERE link_key NOT IN (SELECT link_key FROM w_forms WHERE waste > 0)
+UNION ALL SELECT link_key, client_id, client_name, order_id, order_label FROM w_forms WHERE waste > 0""",
+    "apply_batch_deletes": """
+SELECT kind, key, order_id FROM (
+  SELECT 'batch' AS kind, id AS key, CAST(NULL AS VARCHAR) AS order_id, id AS batch_id FROM w_rollup UNION ALL SELECT 'link', link_key, order_id, batch_id FROM w_links)
+WHERE batch_id NOT IN (SELECT id FROM w_rollup WHERE CAST(product_id AS BIGINT) % 9 < 2 AND month(harvest_date) % 2 = 1)""",
+    "rejected_writes": """
+WITH forms AS (
+  SELECT id, order_status, CASE priority WHEN '1-URGENT' THEN 'client_missing,no_items' WHEN '2-HIGH' THEN 'delivery_before_order'
+    WHEN '3-MEDIUM' THEN 'transport_negative' WHEN '4-NOT SPECIFIED' THEN 'price_missing' ELSE 'quantity_not_positive' END AS failures FROM w_heads
+)
+SELECT 'products' AS write, product_id || '/bad-' || seq AS row_id, CASE line_number WHEN 3 THEN 'name_missing' ELSE 'name_missing,cost_missing' END AS failures
+FROM w_feed WHERE op = 'upsert' AND line_number IN (3, 4)
+UNION ALL SELECT 'clients', client_id || '/bad-' || id, 'name_missing' FROM w_heads WHERE priority = '4-NOT SPECIFIED' AND order_status = 'O'
+UNION ALL SELECT 'prices', CASE line_number WHEN 3 THEN '/' || product_id WHEN 4 THEN h.client_id || '/' ELSE h.client_id || '/' || product_id END || '/bad-' || seq,
+  CASE line_number WHEN 3 THEN 'client_missing' WHEN 4 THEN 'product_missing' ELSE 'price_missing' END
+FROM w_feed f JOIN w_heads h ON h.id = f.order_id WHERE op = 'upsert' AND line_number IN (3, 4, 5)
+UNION ALL SELECT 'new orders', 'new-' || id, 'no_items' FROM w_heads WHERE id NOT IN (SELECT order_id FROM w_lines)
+UNION ALL SELECT 'new orders', 'form-' || id, failures FROM forms WHERE order_status = 'P'
+UNION ALL SELECT 'order updates', id, failures FROM forms WHERE order_status = 'O'
+UNION ALL SELECT 'order updates', id, 'no_items' FROM w_heads WHERE order_status = 'P' AND id NOT IN (SELECT order_id FROM w_lines WHERE flag <> 'R')
+UNION ALL SELECT 'batch intake', 'bad-in-' || id, CASE CAST(product_id AS BIGINT) % 40 WHEN 0 THEN 'product_missing' WHEN 1 THEN 'harvested_missing'
+  WHEN 2 THEN 'harvested_negative' WHEN 3 THEN 'damaged_negative' ELSE 'expired_negative' END FROM w_rollup WHERE CAST(product_id AS BIGINT) % 40 < 5
+UNION ALL SELECT 'payments', 'pay-' || id || CASE priority WHEN '3-MEDIUM' THEN '/5' ELSE '/6' END, 'amount_invalid' FROM w_heads
+WHERE priority IN ('3-MEDIUM', '4-NOT SPECIFIED')
+UNION ALL SELECT 'ledger', id, concat_ws(',', CASE WHEN amount <= 0 OR (status <> 'paid' AND CAST(order_id AS BIGINT) % 2 = 1) THEN 'amount_not_positive' END,
+  CASE WHEN status <> 'paid' THEN 'description_blank' END) FROM w_payments WHERE status <> 'paid' OR amount <= 0""",
     "apply_order_log": f"""
 SELECT o.id AS order_id, client_id, {s('CASE WHEN updated IS NULL THEN delivery_date ELSE delivery_date + 3 END')} AS delivery_date,
   {d('CASE WHEN order_waste IS NULL THEN rev ELSE greatest(0, rev - order_waste) END')} AS total_revenue,

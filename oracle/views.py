@@ -71,6 +71,14 @@ SELECT o.id AS order_id, u.done_at AS updated, (SELECT SUM(d.waste) FROM w_log d
     AND (s.done_at IS NULL OR (d.done_at, d.action_id) > (s.done_at, s.action_id))) AS payment_waste
 FROM w_heads o LEFT JOIN (SELECT * FROM w_log WHERE kind = 'update') u ON u.order_id = o.id
 LEFT JOIN (SELECT * FROM w_log WHERE kind <> 'deduct' QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY done_at DESC, action_id DESC) = 1) s ON s.order_id = o.id""",
+    "w_forms": f"""
+SELECT 'in-' || b.id AS batch_id, b.id AS old_id, b.product_id, b.harvest_date, o.id AS order_id, o.client_id, c.name AS client_name,
+  c.name || ' - ' || {s('o.delivery_date')} AS order_label, b.product_id || '_' || b.harvest_date AS link_key,
+  {dec("CASE WHEN p.unit = 'kg' THEN 0.25 * (returned_lines + accepted_lines) ELSE returned_lines + accepted_lines END")} * (p.cost + tax_sum) AS waste
+FROM w_rollup b JOIN w_products p ON p.id = b.product_id JOIN w_heads o ON o.id = {s('b.linked_order')} LEFT JOIN w_clients c ON c.id = o.client_id""",
+    "w_links": f"""
+SELECT CASE WHEN CAST(b.product_id AS BIGINT) % 2 = 0 THEN b.id ELSE b.product_id || '_' || b.harvest_date END AS link_key, b.id AS batch_id,
+  l.client_id, l.client_name, l.order_id, l.order_label FROM w_rollup b JOIN w_linked l ON l.batch_id = b.id WHERE b.linked_order IS NOT NULL""",
     "w_payments": """
 SELECT 'pay-' || o.id AS id, o.id AS order_id, o.total_revenue AS amount, o.order_date AS invoice_date,
   o.delivery_date + coalesce(nullif(c.credit_days, 0), 30) AS due_date,
@@ -116,7 +124,7 @@ FROM events""",
     "w_feed": f"""
 SELECT order_id, CASE WHEN line_number = 7 THEN 'new-' ELSE '' END || product_id AS product_id, product_id AS known_id,
   'supplied by ' || supplier AS name, {cents(f"{d('total_revenue')} / {d('quantity')}")} AS price, discount,
-  CASE WHEN flag = 'R' THEN 'delete' ELSE 'upsert' END AS op, ship_date AS changed_at, id AS seq
+  CASE WHEN flag = 'R' THEN 'delete' ELSE 'upsert' END AS op, ship_date AS changed_at, id AS seq, line_number
 FROM w_lines""",
     "w_stats": f"""
 SELECT g.*, p.name, p.unit, p.cost AS base_cost,

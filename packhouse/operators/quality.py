@@ -56,15 +56,19 @@ def as_rejects(refused: DataFrame, write: str, row_id: Column) -> DataFrame:
     return refused.select(F.lit(write).alias("write"), row_id.alias("row_id"), F.concat_ws(",", "failures").alias("failures"))
 
 
-def order_rules() -> dict[str, Column]:
-    """For order headers with ``line_count`` and ``bad_lines``."""
+def order_rules(lines: bool = True) -> dict[str, Column]:
+    """For order headers with ``line_count`` and, where lines count, ``bad_lines``."""
     return {
         "client_missing": blank(F.col("client_id")),
         "no_items": F.coalesce(F.col("line_count"), F.lit(0)) == 0,
         "delivery_before_order": F.coalesce(F.col("delivery_date") < F.col("order_date"), F.lit(False)),
         "transport_negative": below_zero(F.col("transport_cost")),
-        "bad_line": F.coalesce(F.col("bad_lines"), F.lit(0)) > 0,
-    }
+    } | ({"bad_line": F.coalesce(F.col("bad_lines"), F.lit(0)) > 0} if lines else {})
+
+
+def order_form_rules() -> dict[str, Column]:
+    """For forms whose header carries ``line_count`` and the number of lines that break each line rule."""
+    return order_rules(lines=False) | {n: F.coalesce(F.col(n), F.lit(0)) > 0 for n in line_rules()}
 
 
 def line_rules() -> dict[str, Column]:

@@ -159,6 +159,11 @@ _PLANS: list[Callable] = [
     maintenance.batch_intake,
     maintenance.apply_payment_changes,
     maintenance.apply_ledger_changes,
+    maintenance.intake_deductions,
+    maintenance.intake_orders,
+    maintenance.intake_links,
+    maintenance.apply_batch_deletes,
+    maintenance.rejected_writes,
     order_log.apply_order_log,
     debounced_changes,
     debounced_changes_stream,

@@ -22,6 +22,11 @@ REQUESTS = (
     "offer_picks",
     "batch_forms",
     "batch_edits",
+    "deleted_batches",
+    "order_log",
+    "order_feed",
+    "payment_feed",
+    "batch_feed",
     "payment_actions",
     "ledger_additions",
     "ledger_deletes",
@@ -115,6 +120,10 @@ class Lake:
             return lambda: self.spark.read.parquet(f"{self.root}/changes/{name}")
         raise AttributeError(name)
 
+    def order_forms(self) -> tuple[DataFrame, DataFrame]:
+        base = f"{self.root}/changes"
+        return self.spark.read.parquet(f"{base}/order_form_headers"), self.spark.read.parquet(f"{base}/order_form_lines")
+
     def order_updates(self) -> tuple[DataFrame, DataFrame]:
         base = f"{self.root}/changes"
         return self.spark.read.parquet(f"{base}/order_update_headers"), self.spark.read.parquet(f"{base}/order_update_lines")

@@ -468,16 +468,33 @@ class Testdata:
             F.when(F.col("return_flag") == "R", "delete").otherwise("upsert").alias("op"),
             F.col("ship_date").cast("timestamp").alias("changed_at"),
             F.col("id").alias("seq"),
+            "line_number",
         )
 
+    def _faulty(self, feed: DataFrame, blanks: dict[int, dict]) -> DataFrame:
+        """The feed, and later upserts that leave out what a write asks for, by line number."""
+        late = {"op": F.lit("upsert"), "changed_at": F.date_add("changed_at", 9000).cast("timestamp"), "seq": F.concat(F.lit("bad-"), F.col("seq"))}
+        wrong = [feed.filter((F.col("line_number") == n) & (F.col("op") == "upsert")).withColumns({**late, **blank}) for n, blank in blanks.items()]
+        return reduce(DataFrame.unionByName, [feed, *wrong])
+
     def product_changes(self) -> DataFrame:
-        return self._feed().select(
+        feed = self._faulty(self._feed(), {3: {"name": F.lit("")}, 4: {"name": F.lit(None).cast("string"), "price": F.lit(None).cast("decimal(18,2)")}})
+        return feed.select(
             F.col("product_id").alias("id"), "name", F.col("price").alias("cost_per_unit"), "op", "changed_at", "seq"
         )
 
     def client_changes(self) -> DataFrame:
-        """Clients renamed, or removed, by what their orders say."""
-        return self._headers().select(
+        """Clients renamed, or removed, by what their orders say; some are left without a name."""
+        nameless = (F.col("priority") == "4-NOT SPECIFIED") & (F.col("order_status") == "O")
+        heads = self._headers()
+        changes = self._client_changes(heads)
+        late = F.date_add("changed_at", 9000).cast("timestamp")
+        wrong = self._client_changes(heads.filter(nameless)).withColumns({"name": F.lit(""), "changed_at": late, "seq": F.concat(F.lit("bad-"), F.col("seq"))})
+        return changes.unionByName(wrong)
+
+    @staticmethod
+    def _client_changes(heads: DataFrame) -> DataFrame:
+        return heads.select(
             F.when(F.col("priority") == "3-MEDIUM", F.concat(F.lit("new-"), F.col("client_id")))
             .otherwise(F.col("client_id"))
             .alias("id"),
@@ -490,6 +507,7 @@ class Testdata:
 
     def price_changes(self) -> DataFrame:
         feed = with_parent(self._feed(), self._headers(), "order_id", {"client_id": "client_id"})
+        feed = self._faulty(feed, {3: {"client_id": F.lit("")}, 4: {"product_id": F.lit("")}, 5: {"price": F.lit(None).cast("decimal(18,2)")}})
         return feed.select("client_id", "product_id", F.col("price").alias("selling_price"), "op", "changed_at", "seq")
 
     def margin_changes(self) -> DataFrame:
@@ -533,8 +551,42 @@ class Testdata:
         lines = with_parent(self.lines().select("order_id", "supplier"), self._headers(), "order_id", {"client_id": "client_id"})
         return lines.select(F.col("supplier").alias("request_id"), "client_id").distinct()
 
+    def _faulty_forms(self, heads: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
+        """Forms for these orders that break a rule each, or two, by the order's priority."""
+        kind = F.col("priority")
+        zero = F.lit(0).cast("decimal(18,2)")
+        headers = heads.select(
+            F.concat(F.lit(prefix), F.col("id")).alias("id"),
+            F.when(kind == "1-URGENT", "").otherwise(F.col("client_id")).alias("client_id"),
+            "order_date",
+            F.when(kind == "2-HIGH", F.date_sub("order_date", 1)).otherwise(F.col("delivery_date")).alias("delivery_date"),
+            F.when(kind == "3-MEDIUM", F.lit(-1).cast("decimal(18,2)")).otherwise(zero).alias("transport_cost"),
+            zero.alias("packaging_cost"),
+        )
+        lines = heads.filter(kind != "1-URGENT").select(
+            F.concat(F.lit(f"{prefix}bad-"), F.col("id")).alias("id"),
+            F.concat(F.lit(prefix), F.col("id")).alias("order_id"),
+            F.lit("1").alias("product_id"),
+            F.when(kind == "5-LOW", zero).otherwise(F.lit(2).cast("decimal(18,2)")).alias("quantity"),
+            F.when(kind == "4-NOT SPECIFIED", F.lit(0.0)).otherwise(F.lit(5.0)).alias("selling_price_used"),
+            F.lit(1).cast("decimal(18,2)").alias("cost_used"),
+            F.lit(None).cast("double").alias("num_packages"),
+        )
+        return headers, lines
+
+    def order_forms(self) -> tuple[DataFrame, DataFrame]:
+        """Forms for new orders, none of which can be accepted."""
+        return self._faulty_forms(self._headers().filter(F.col("order_status") == "P"), "form-")
+
     def order_updates(self) -> tuple[DataFrame, DataFrame]:
-        """New header and new lines for orders in progress: later delivery, returned lines dropped, prices up 10%."""
+        """New header and new lines for orders in progress: later delivery, returned lines dropped, prices up 10%.
+
+        Those for open orders can't be accepted.
+        """
+        good, bad = self._order_updates(), self._faulty_forms(self._headers().filter(F.col("order_status") == "O"), "")
+        return good[0].unionByName(bad[0]), good[1].unionByName(bad[1])
+
+    def _order_updates(self) -> tuple[DataFrame, DataFrame]:
         headers = self.orders("id", "client_id", "order_date", "delivery_date", "transport_cost", "packaging_cost", "order_status")
         headers = headers.filter(F.col("order_status") == "P").drop("order_status")
         headers = headers.withColumn("delivery_date", F.date_add("delivery_date", 1))
@@ -598,7 +650,25 @@ class Testdata:
         )
 
     def batch_forms(self) -> DataFrame:
-        """Intake forms: waste counted in quarter-kilo packs, packaging cost per unit."""
+        """Intake forms: waste counted in quarter-kilo packs, packaging cost per unit, and the order the waste is taken off.
+
+        Those of some products come again with something wrong, by product.
+        """
+        forms = self._batch_forms()
+        kind = F.col("product_id").cast("long") % 40
+        none = F.lit(None)
+        wrong = forms.filter(kind < 5).withColumns(
+            {
+                "id": F.concat(F.lit("bad-"), F.col("id")),
+                "harvested_qty": F.when(kind == 1, none).when(kind == 2, F.lit(-1)).otherwise(F.col("harvested_qty")).cast("decimal(18,2)"),
+                "damaged_count": F.when(kind == 3, F.lit(-4)).otherwise(F.col("damaged_count")),
+                "expired_count": F.when(kind == 4, F.lit(-4)).otherwise(F.col("expired_count")),
+                "product_id": F.when(kind == 0, F.lit("")).otherwise(F.col("product_id")),
+            }
+        )
+        return forms.unionByName(wrong)
+
+    def _batch_forms(self) -> DataFrame:
         return self._batch_rollup().select(
             F.concat(F.lit("in-"), F.col("id")).alias("id"),
             "product_id",
@@ -610,8 +680,13 @@ class Testdata:
             F.lit(0.25).alias("expired_pkg_size"),
             F.col("accepted_lines").alias("expired_count"),
             F.col("tax_sum").alias("packaging_cost"),
+            text(F.col("linked_order")).alias("order_id"),
         )
 
+    def deleted_batches(self) -> DataFrame:
+        gone = (F.col("product_id").cast("long") % 9 < 2) & (F.month("harvest_date") % 2 == 1)
+        return self._batch_rollup().filter(gone).select("id")
+
     def batch_edits(self) -> DataFrame:
         """Edits of batches with damage: one unit more harvested, nothing expired."""
         return (
@@ -649,17 +724,23 @@ class Testdata:
                 act(["1-URGENT", "2-HIGH"], "set_amount", quoted - 1, 10, 2),
                 act(["2-HIGH"], "set_amount", quoted - 2, 20, 3),
                 act(["5-LOW"], "delete", none, 5, 4),
+                # An amount of nothing, and one below: not accepted.
+                act(["3-MEDIUM"], "set_amount", F.lit(0), 50, 5),
+                act(["4-NOT SPECIFIED"], "set_amount", F.lit(-5), 50, 6),
             ],
         )
 
     def ledger_additions(self) -> DataFrame:
-        paid = self.payments("id", "paid_date", "amount", "status").filter(F.col("status") == rules.PAID)
-        return paid.select(
+        """A deposit for each paid invoice; unpaid ones come without a description, some with an amount below zero."""
+        payments = self.payments("id", "paid_date", "amount", "status")
+        paid = F.col("status") == rules.PAID
+        odd = F.substring("id", 5, 20).cast("long") % 2 == 1
+        return payments.select(
             "id",
             F.col("paid_date").alias("date"),
             F.lit("deposit").alias("type"),
-            "amount",
-            F.lit(" invoice paid ").alias("description"),
+            F.when(paid | ~odd, F.col("amount")).otherwise(-F.col("amount")).cast("decimal(18,2)").alias("amount"),
+            F.when(paid, " invoice paid ").otherwise("  ").alias("description"),
         )
 
     def ledger_deletes(self) -> DataFrame:
