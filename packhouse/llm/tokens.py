@@ -7,13 +7,15 @@ up; new ones are encoded together, with a special token between them.
 
 from __future__ import annotations
 
+import functools
 import os
 from array import array
 
 import numpy as np
 
-# The table is emptied once it has so many parts.
-_KEEP = 1_500_000
+# The table is emptied once it holds so many bytes: what its parts and ids take, and what an entry costs besides.
+_KEEP = 112 << 20
+_ENTRY = 180
 _loaded: dict[str, WordIds] = {}
 
 
@@ -46,20 +48,32 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         # For text that is normal already; normalizing costs more than the merges.
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
-        special = self.tokenizer.get_added_tokens_decoder()
-        if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
+        special = self.plain.get_added_tokens_decoder()
+        if self.plain.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids need more than 16 bits")
         self.special = [t.content.encode() for t in special.values()]
         self.mark_id, self.mark = next((i, t.content) for i, t in special.items())
         self.known: dict[bytes, bytes] = {}
-        self.signs = {s: self._whole(bytes([s])) for s in _SIGNS}
+        self.held = 0
+        self.signs = {s: self._ids(self.plain, chr(s)) for s in _SIGNS}
+
+    @functools.cached_property
+    def tokenizer(self):
+        """With its normalizer: loaded where a text needs it, which few do."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def _whole(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2").tobytes()
+        return self._ids(self.tokenizer, text.decode("utf-8", "replace"))
 
     def _learn(self, new: set[bytes]) -> None:
         others: tuple[list[str], list[str]] = ([], [])
@@ -82,7 +96,8 @@ class WordIds:
             elif letters(x) is None:
                 text = x.decode("utf-8", "replace")
                 others[_normal(text)].append(text)
-        for tokenizer, words in zip((self.tokenizer, self.plain), others):
+        for words, plain in zip(others, (False, True)):
+            tokenizer = self.plain if plain else self.tokenizer if words else None
             for lo in range(0, len(words), 256):
                 part = words[lo : lo + 256]
                 ids = np.array(tokenizer.encode_batch_fast([f" {self.mark} ".join(part)], add_special_tokens=False)[0].ids, "<u2")
@@ -93,8 +108,9 @@ class WordIds:
                     start = end + 1
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > _KEEP:
+        if self.held > _KEEP:
             self.known.clear()
+            self.held = 0
         look = self.known.get
         found: list[list[bytes | None]] = []
         gaps: list[tuple[list[bytes | None], list[bytes]]] = []
@@ -108,7 +124,10 @@ class WordIds:
             if None in ids:
                 gaps.append((ids, parts))
             found.append(ids)
-        self._learn({x for ids, parts in gaps for i, x in zip(ids, parts) if i is None})
+        new = {x for ids, parts in gaps for i, x in zip(ids, parts) if i is None}
+        self._learn(new)
+        # Ids are at most two bytes a byte; letters before a sign are an entry of their own.
+        self.held += sum(3 * len(x) + _ENTRY for x in new) * 3 // 2
         for ids, parts in gaps:
             for at, i in enumerate(ids):
                 if i is None:
