@@ -6,7 +6,7 @@ tabs, and between a letter and punctuation that no piece has after one.
 The lattice of a unit is a relation: its substrings of at most the longest
 piece's length are exploded and joined to the piece table, the edges are grouped
 by unit, and a higher-order aggregate folds them from left to right to the path
-of the highest summed score.  Of paths that tie at a place, the one with the longer last piece
+of the highest summed score, whose last steps are then walked back.  Of paths that tie at a place, the one with the longer last piece
 stays.  A character without a piece is spelled as bytes.
 
 Scores are the piece table's.  So the result is the library's own encoding of the
@@ -15,12 +15,14 @@ greedily instead, and its ids may differ; decoding is the same, and gives back
 the text exactly.
 
 Units of a bounded list, the most frequent of a sample, are folded once and
-looked up; those not on it are folded for each text that has them.  The list
-changes no result.
-
-A null text is empty and has no pieces.  U+2581 in a text is read back as a
-space, as the format has it.  A row's units meet it again by a digest of its text,
-so keys may be null or repeated.
+looked up.  Texts are dealt to blocks of a few megabytes, and the units of a block that aren't
+on the list are folded once for the block; they meet its texts in the task that holds both, so that texts are
+shuffled once.  The list and the blocks change no result.
+
+A null text is empty and has no pieces; an empty table gives no rows.  U+2581 in a text is read back as a
+space, as the format has it.  Rows go to blocks by their number, so that copies, null keys
+and repeated ones spread like others.  A very long unit (a text without spaces) has to fit into a task with its edges,
+and what is copied while it is folded grows with the square of its length, divided by 256.  Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -41,10 +43,15 @@ SPACE = "▁"
 
 @dataclass(frozen=True)
 class Settings:
-    """Texts in the sample for the list of frequent units, and its length."""
+    """Texts in the sample for the list of frequent units, its length, and bytes of text in a block."""
+
+    sample: int = 8192
+    frequent: int = 1 << 16
+    block_bytes: int = 8 << 20
+
 
-    sample: int = 16384
-    frequent: int = 1 << 19
+# The list of frequent units as a worker reads it, once.
+_listed: dict[str, tuple] = {}
 
 
 @dataclass(frozen=True)
@@ -101,51 +108,116 @@ def _piece_rows(spark: SparkSession, table: Table) -> DataFrame:
     return spark.createDataFrame(list(table.pieces), "piece string, id int, score double")
 
 
-def _best_path(edges: Column, length: Column, unknown: float) -> Column:
-    """Ids of the best path; an id below 0 stands for the character at that place."""
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("id")))
+# Places of a unit that are worked on together.
+_WINDOW = 64
+_BLOCK = 256
+_STEPS = "array<struct<start:int,id:int>>"
 
-    def at(states: Column, end: Column) -> Column:
-        none = F.struct(F.lit(float("-inf")).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("id"))
 
-        def take(best: Column, e: Column) -> Column:
-            score = F.element_at(states, e["start"] + 1)["score"] + e["score"]
-            better = (score > best["score"]) | ((score == best["score"]) & (e["start"] < best["start"]))
-            return F.when(better, F.struct(score.alias("score"), e["start"].alias("start"), e["id"].alias("id"))).otherwise(best)
+def _states(edges: Column, length: Column, longest: int) -> Column:
+    """The last step (start, id) of the best path to each place, in blocks; ``edges`` are sorted by end, then start.
 
-        return F.concat(states, F.array(F.aggregate(F.filter(edges, lambda e: e["end"] == end), none, take)))
+    An accumulator is copied at every step.  So blocks of places are folded each for itself, from the scores of the ``longest``
+    places before it, and only then joined to those that are done.  Of equal scores the longer last piece, met
+    first, stays.
+    """
+    step = F.struct(F.lit(0).alias("start"), F.lit(0).alias("id"))
+    worst = F.lit(float("-inf"))
+
+    def closed(acc: Column) -> Column:
+        """Scores once the place that is being worked on is done."""
+        scores = F.concat(acc["scores"], F.array(acc["score"]))
+        return F.when(F.size(acc["scores"]) >= longest, F.slice(scores, 2, longest)).otherwise(scores)
+
+    def take(acc: Column, e: Column) -> Column:
+        same = e["end"] == acc["end"]
+        scores = F.when(same, acc["scores"]).otherwise(closed(acc))
+        # Scores end with that of the place before the one worked on.
+        reached = F.element_at(scores, e["start"] - e["end"]) + e["score"]
+        better = ~same | (reached > acc["score"])
+        return F.struct(
+            scores.alias("scores"),
+            e["end"].alias("end"),
+            F.when(better, reached).otherwise(acc["score"]).alias("score"),
+            F.when(better, F.struct(e["start"].alias("start"), e["id"].alias("id"))).otherwise(acc["last"]).alias("last"),
+            F.when(same, acc["block"]).otherwise(F.concat(acc["block"], F.array(acc["last"]))).alias("block"),
+        )
 
-    states = F.aggregate(F.sequence(F.lit(1), length), start, at)
+    def fold_block(scores: Column, mine: Column) -> Column:
+        """(scores, block) after a block; its first edge ends at its first place."""
+        one = F.element_at(mine, 1)
+        # The place worked on is the block's first, and nothing reaches it yet.
+        start = F.struct(scores.alias("scores"), one["end"].alias("end"), worst.alias("score"), step.alias("last"), F.array().cast(_STEPS).alias("block"))
+        return F.aggregate(
+            mine, start, take, lambda acc: F.struct(closed(acc).alias("scores"), F.concat(acc["block"], F.array(acc["last"])).alias("block"))
+        )
+
+    first = F.struct(F.array(F.lit(0.0)).alias("scores"), F.array().cast(f"array<{_STEPS}>").alias("blocks"))
+
+    def next_block(acc: Column, mine: Column) -> Column:
+        # A one-element list, so that the block is folded once for both of its fields.
+        done = F.array(fold_block(acc["scores"], mine))
+        return F.element_at(
+            F.transform(done, lambda d: F.struct(d["scores"].alias("scores"), F.concat(acc["blocks"], F.array(d["block"])).alias("blocks"))), 1
+        )
+
+    many = F.transform(
+        F.sequence(F.lit(0), length - 1, F.lit(_BLOCK)), lambda at: F.filter(edges, lambda e: (e["end"] > at) & (e["end"] <= at + _BLOCK))
+    )
+    return F.aggregate(F.when(length <= _BLOCK, F.array(edges)).otherwise(many), first, next_block, lambda acc: acc["blocks"])
 
-    def back(acc: Column, end: Column) -> Column:
-        state = F.element_at(acc["states"], end + 1)
-        step = F.struct(state["start"].alias("at"), F.concat(F.array(state["id"]), acc["ids"]).alias("ids"), acc["states"].alias("states"))
-        return F.when(acc["at"] == end, step).otherwise(acc)
 
-    # The states ride along, so that they are worked out once.
-    first = F.struct(length.alias("at"), F.array().cast("array<int>").alias("ids"), states.alias("states"))
-    return F.aggregate(F.sequence(length, F.lit(1), F.lit(-1)), first, back, lambda acc: acc["ids"])
+def _path(blocks) -> list[int]:
+    """Ids of the best path, from the last steps of all places."""
+    last = [x for b in blocks for x in b]
+    out, at = [], len(last)
+    while at > 0:
+        out.append(last[at - 1]["id"])
+        at = last[at - 1]["start"]
+    return out[::-1]
 
 
 def fold(rows: DataFrame, keys: list[str], table: Table, pieces: DataFrame) -> DataFrame:
-    """(keys, unit, ids) of rows (keys, unit), distinct and dealt by (some of) their keys or the unit.
+    """(keys, unit, steps) of rows (keys, unit, ...), distinct and dealt by (some of) their keys or the unit; see ``_states``.
 
-    In ids, a character without a piece is -1 minus its code point.
+    In ids, a character without a piece is -1 minus its code point.  Other columns, one value a unit, are passed on.
     """
-    length = F.length("unit")
-    starts = rows.select(*keys, "unit", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
-    exploded = starts.select(*keys, "unit", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + table.longest, length))).alias("end"))
-    exploded = exploded.withColumn("piece", F.substring("unit", F.col("start") + 1, F.col("end") - F.col("start")))
+    rest = [c for c in rows.columns if c not in [*keys, "unit"]]
+    # Substrings are cut from windows of a unit, so that a long one is neither walked through nor copied for each of them.
+    # A long unit goes by its digest, and is carried along by its first edge only.
+    length, long = F.length("unit"), F.length("unit") > _WINDOW
+    name = F.when(long, F.concat(F.lit("\x00"), F.md5("unit"))).otherwise(F.col("unit"))
+    cut = F.transform(
+        F.sequence(F.lit(0), length - 1, F.lit(_WINDOW)),
+        lambda at: F.struct(
+            at.alias("base"),
+            F.substring(F.col("unit"), at + 1, F.lit(_WINDOW + table.longest)).alias("text"),
+            F.when(long & (at == 0), F.col("unit")).alias("whole"),
+        ),
+    )
+    windows = rows.select(*keys, name.alias("name"), *rest, F.explode(cut).alias("w")).select(*keys, "name", *rest, "w.*")
+    here = F.length("text")
+    starts = windows.select("*", F.explode(F.sequence(F.lit(0), F.least(here, F.lit(_WINDOW)) - 1)).alias("from"))
+    exploded = starts.select("*", F.explode(F.sequence(F.col("from") + 1, F.least(F.col("from") + table.longest, here))).alias("to"))
+    first = (F.col("base") == 0) & (F.col("from") == 0) & (F.col("to") == 1)
+    exploded = exploded.select(
+        *keys, "name", *rest,
+        (F.col("base") + F.col("from")).alias("start"),
+        (F.col("base") + F.col("to")).alias("end"),
+        F.substring(F.col("text"), F.col("from") + 1, F.col("to") - F.col("from")).alias("piece"),
+        F.when(first, F.col("whole")).alias("whole"),
+    )
     single = F.col("end") - F.col("start") == 1
     edges = exploded.join(F.broadcast(pieces), "piece", "left").where(F.col("id").isNotNull() | single)
     edge = F.struct(
-        "start",
         "end",
+        "start",
         F.coalesce("id", -1 - F.ascii("piece")).alias("id"),
         F.coalesce("score", F.lit(table.unknown)).alias("score"),
     )
-    lattice = edges.groupBy(*keys, "unit").agg(F.collect_list(edge).alias("edges"))
-    return lattice.select(*keys, "unit", _best_path(F.col("edges"), length, table.unknown).alias("ids"))
+    sums = [F.max(c).alias(c) for c in ["whole", *rest]]
+    lattice = edges.groupBy(*keys, "name").agg(F.array_sort(F.collect_list(edge)).alias("edges"), *sums)
+    return lattice.select(*keys, F.coalesce("whole", "name").alias("unit"), *rest, _states(F.col("edges"), F.element_at("edges", -1)["end"], table.longest).alias("steps"))
 
 
 def _spelled(ids, table: Table) -> list[int]:
@@ -157,7 +229,13 @@ def _spelled(ids, table: Table) -> list[int]:
 
 
 def decode(ids, table: Table) -> str:
-    """The text of ids: pieces and bytes in a row, spaces put back, without the one in front."""
+    """The text of ids: spaces put back, without the one in front."""
+    text = spoken(ids, table).replace(SPACE, " ")
+    return text[1:] if text.startswith(" ") else text
+
+
+def spoken(ids, table: Table) -> str:
+    """Pieces and bytes in a row."""
     shown, out, spell = table.shown, [], bytearray()
     for i in ids:
         p = shown[i]
@@ -169,16 +247,33 @@ def decode(ids, table: Table) -> str:
             spell = bytearray()
         out.append(p)
     out.append(spell.decode("utf-8", "replace"))
-    text = "".join(out).replace(SPACE, " ")
-    return text[1:] if text.startswith(" ") else text
+    return "".join(out)
+
+
+def _read_units(found: pa.Table, table: Table) -> dict[str, tuple[bytes, str]]:
+    """Each unit's ids, as little-endian 32-bit numbers, and the text they stand for, U+2581 as it is."""
+    out = {}
+    for unit, steps in zip(found.column("unit").to_pylist(), found.column("steps").to_pylist()):
+        ids = _spelled(_path(steps), table)
+        out[unit] = (np.array(ids, "<i4").tobytes(), spoken(ids, table))
+    return out
 
 
-def frequent_units(docs: DataFrame, table: Table, pieces: DataFrame, s: Settings) -> dict[str, list[int]]:
-    """Ids of the most frequent units of a sample; at most ``frequent`` of them."""
+def frequent_units(docs: DataFrame, table: Table, pieces: DataFrame, s: Settings) -> pa.Table:
+    """Units and steps of the most frequent units of a sample, at most ``frequent`` of them: all above a count."""
     every = max(1, docs.count() // s.sample)
-    few = docs.where(F.pmod(F.xxhash64("key", "digest"), F.lit(every)) == 0).select(F.explode(units(F.col("text"), table)).alias("unit"))
-    top = few.groupBy("unit").count().orderBy(F.desc("count"), "unit").limit(s.frequent).select("unit")
-    return {r["unit"]: list(r["ids"]) for r in fold(top, [], table, pieces).collect()}
+    few = docs.where(F.pmod(F.xxhash64("key", "text"), F.lit(every)) == 0).select(F.explode(units(F.col("text"), table)).alias("unit"))
+    counted = Work(docs.sparkSession, "pieces").cut(few.groupBy("unit").count(), "counted")
+    # One row for each count that occurs; they go up by one at least, so there are few.
+    least, held = None, 0
+    for times, n in counted.groupBy("count").agg(F.count(F.lit(1))).orderBy(F.desc("count")).collect():
+        held += n
+        if held > s.frequent:
+            break
+        least = times
+    top = counted.where(F.lit(False) if least is None else F.col("count") >= least).select("unit")
+    parts = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    return fold(top.repartition(parts, "unit"), [], table, pieces).select("unit", "steps").toArrow()
 
 
 def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
@@ -190,38 +285,46 @@ def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc
     work = Work(spark, "pieces")
     table = Table.load(path)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    kind = rows.schema["key"].dataType.simpleString()
     pieces = work.cut(_piece_rows(spark, table).coalesce(1), "pieces")
     known = frequent_units(rows, table, pieces, s)
-    frequent = work.cut(spark.createDataFrame(pa.table({"unit": pa.array(list(known), pa.string())})).coalesce(1), "frequent")
-    # The list's length bounds what is broadcast here and in the tasks below.
-    # Copies of a text are folded once; the written table lets a join with very many copies be split.
-    texts = rows.groupBy("digest").agg(F.max("text").alias("text"))
-    rare = texts.select("digest", F.explode(F.array_distinct(units(F.col("text"), table))).alias("unit")).join(F.broadcast(frequent), "unit", "left_anti")
-    folded = fold(rare, ["digest"], table, pieces).groupBy("digest").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
-    both = rows.join(work.cut(folded, "rare"), "digest", "left").select("key", "text", units(F.col("text"), table).alias("units"), "rare")
-    kind = both.schema["key"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(({u: _spelled(i, table) for u, i in known.items()}, table))
-
-    def run(batches):
-        look, table = shared.value
-        for b in batches:
-            n, sums, texts, same, lists = [], [], [], [], []
-            for own, parts, more in zip(b.column(1), b.column(2), b.column(3)):
-                here = {x["unit"]: _spelled(x["ids"], table) for x in more.as_py() or ()}
-                out: list[int] = []
-                for u in parts.as_py():
-                    out += look[u] if u in look else here[u]
-                read = decode(out, table)
-                n.append(len(out))
-                sums.append(hashlib.sha256(np.array(out, "<i4").tobytes()).hexdigest())
-                texts.append(hashlib.sha256(read.encode()).hexdigest())
-                same.append(read == own.as_py())
-                if ids:
-                    lists.append(out)
-            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string()), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(cols + [pa.array(lists, pa.list_(pa.int32()))] * ids, names)
+    frequent = work.cut(spark.createDataFrame(known.select(["unit"])).coalesce(1), "frequent")
+    shared = spark.sparkContext.broadcast((known, table))
+
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // s.block_bytes))
+    # Any deal will do, as a row needs its own text only: rows go by their number, so that copies spread as others do.
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
+    dealt = rows.withColumn("block", block).repartition(blocks, "block")
+    # The key comes along, so that both sides read the same columns and the texts are shuffled once for both.
+    own = dealt.select("block", F.xxhash64("key").alias("seen"), F.explode(units(F.col("text"), table)).alias("unit"))
+    rare = own.join(F.broadcast(frequent), "unit", "left_anti").groupBy("block", "unit").agg(F.max("seen").alias("seen"))
+    folded = fold(rare, ["block"], table, pieces).withColumnRenamed("block", "of_block")
+    whole = dealt.select("block", "key", units(F.col("text"), table).alias("units"), "text")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        known, table = shared.value
+        look = _listed.get(path)
+        if look is None or look[0] is not known:
+            look = _listed[path] = (known, _read_units(known, table))
+        here = _read_units(right, table)
+        look = look[1]
+        n, sums, texts, same, lists = [], [], [], [], []
+        for text, parts in zip(left.column("text"), left.column("units")):
+            found = [look.get(u) or here[u] for u in parts.as_py()]
+            raw = b"".join([x for x, _ in found])
+            read = "".join([x for _, x in found]).replace(SPACE, " ")
+            read = read[1:] if read.startswith(" ") else read
+            n.append(len(raw) // 4)
+            sums.append(hashlib.sha256(raw).hexdigest())
+            texts.append(hashlib.sha256(read.encode()).hexdigest())
+            same.append(read == text.as_py())
+            if ids:
+                lists.append(np.frombuffer(raw, "<i4"))
+        cols = [left.column("key"), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string()), pa.array(same, pa.bool_())]
+        return pa.table(cols + [pa.array(lists, pa.list_(pa.int32()))] * ids, names)
 
     names = ["key", "n_pieces", "ids_sha256", "decoded_sha256", "round_trip"] + ["ids"] * ids
-    out = both.mapInArrow(run, f"key {kind}, n_pieces long, ids_sha256 string, decoded_sha256 string, round_trip boolean" + ", ids array<int>" * ids)
+    schema = f"key {kind}, n_pieces long, ids_sha256 string, decoded_sha256 string, round_trip boolean" + ", ids array<int>" * ids
+    out = whole.groupBy("block").cogroup(folded.groupBy("of_block")).applyInArrow(run, schema)
     return out.withColumnRenamed("key", key)

@@ -1,6 +1,7 @@
 """SentencePiece: exact round trips, and the library's own lattice over the same pieces."""
 
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -67,6 +68,38 @@ def test_null_and_repeated_keys(frame, library):
         assert sorted((r["doc_id"] or 0, library.decode(r["ids"])) for r in got) == want
 
 
+def test_blocks_change_nothing(spark, frame):
+    """Many blocks, a short list, and copies of one text on a third of all rows."""
+    draw = random.Random(3)
+    words = ["".join(draw.choice("aeinorst") for _ in range(draw.randrange(2, 9))) for _ in range(300)]
+    rows = [(i, " ".join(draw.choices(words, k=30)) if i % 3 else "one text for all of these") for i in range(300)]
+    got = [
+        sorted((r["doc_id"], r["ids_sha256"], r["round_trip"]) for r in pieces.encode(frame(rows), PATH, s).collect())
+        for s in (pieces.Settings(), pieces.Settings(sample=10, frequent=7, block_bytes=500), pieces.Settings(frequent=0, block_bytes=3000))
+    ]
+    assert got[0] == got[1] == got[2] and all(r[2] for r in got[0]) and len(got[0]) == 300
+
+
+def test_texts_are_shuffled_once(spark, frame):
+    df = pieces.encode(frame({i: f"some words {i}" for i in range(50)}), PATH, pieces.Settings(frequent=3))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("== Initial Plan ==")[0]
+
+
+def test_long_words(spark, frame, library):
+    """Words of many blocks against the library, and 30,000 letters without a space in seconds."""
+    draw = random.Random(9)
+    word = "".join(draw.choice("aeinorst") for _ in range(30_000))
+    docs = {n: word[:n] for n in (63, 64, 65, 79, 255, 256, 257, 2000)}
+    for r in pieces.encode(frame(docs), PATH, pieces.Settings(frequent=0), ids=True).collect():
+        best = library.nbest_encode_as_ids(docs[r["doc_id"]], 2)[0]
+        assert r["round_trip"] and abs(score(library, r["ids"]) - score(library, best)) < 1e-6 * len(best)
+    start = time.perf_counter()
+    (r,) = pieces.encode(frame({1: word}), PATH, pieces.Settings(frequent=0)).collect()
+    assert r["round_trip"] and time.perf_counter() - start < 40
+
+
 def test_odd_rows(frame):
     assert pieces.encode(frame([(None, "a b"), (3, "a b")]), PATH).where("round_trip").count() >= 1
     assert pieces.encode(frame({1: "a"}).limit(0), PATH).count() == 0
