@@ -9,6 +9,7 @@ hashed block by block.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -56,6 +57,7 @@ class _Tables:
     powers: np.ndarray | None = None
     inverse: np.ndarray | None = None
     values = None
+    trim = None
 
     @classmethod
     def get(cls):
@@ -121,6 +123,18 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[Chunk]:
         hi = min(hi, n)
         yield Chunk(lo, hi, buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
         lo = hi
+    _release()
+
+
+def _release() -> None:
+    """Gives memory of finished chunks back: a worker is used again by later stages, which need it."""
+    pa.default_memory_pool().release_unused()
+    if _Tables.trim is None:
+        try:
+            _Tables.trim = ctypes.CDLL("libc.so.6").malloc_trim
+        except (OSError, AttributeError):  # another C library
+            _Tables.trim = lambda _: 0
+    _Tables.trim(0)
 
 
 def _bounds(buf: np.ndarray, off: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
