@@ -14,7 +14,7 @@ from array import array
 import numpy as np
 
 # The table is emptied once it holds so many bytes: what its parts and ids take, and what an entry costs besides.
-_KEEP = 96 << 20
+_KEEP = 176 << 20
 _ENTRY = 180
 _loaded: dict[str, WordIds] = {}
 
