@@ -358,6 +358,13 @@ WHERE product_id IN (SELECT product_id FROM w_variants) ORDER BY rev DESC, produ
         {},
         {"profit_margin_pct": "o.margin"},
     ),
+    "apply_settings_changes": f"""
+SELECT owner, CASE WHEN k IS NULL THEN saved_overhead WHEN k % 5 < 2 THEN {d('k % 30')} WHEN k % 5 = 2 THEN 0e0 ELSE 15e0 END AS overhead_pct,
+  CASE WHEN k IS NULL THEN saved_labor WHEN k % 5 IN (0, 2) THEN {d('k % 7')} ELSE 0e0 END AS labor_pct
+FROM (SELECT {s('c_custkey')} AS owner, CASE WHEN c_nationkey % 4 >= 2 THEN {d('c_nationkey')} ELSE 15e0 END AS saved_overhead,
+    CASE WHEN c_nationkey % 4 = 3 THEN 2.5e0 ELSE 0e0 END AS saved_labor FROM customer)
+FULL OUTER JOIN (SELECT {s('o_custkey')} AS owner, o_orderkey AS k FROM orders WHERE o_custkey % 3 <> 0 AND o_orderkey % 5 < 4
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1) USING (owner)""",
     "apply_variant_changes": f"""
 SELECT * FROM w_variants WHERE product_id NOT IN (SELECT known_id FROM w_feed)
 UNION ALL SELECT known_id, position, weight, {r2(f"{d('price')} * weight")} FROM

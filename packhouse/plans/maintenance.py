@@ -18,6 +18,7 @@ from packhouse.operators.lookups import fold_children, with_parent
 from packhouse.plans.orders import economics, lines_as_drafts
 from packhouse.plans.pricing import calculator_rows
 from packhouse.plans.stock import linked_batches, with_waste
+from packhouse.sources.documents import resolved_settings, saved_settings
 
 PRICE_KEY = ["client_id", "product_id"]
 
@@ -113,6 +114,11 @@ def replaced_settings(current: Settings, overhead_pct: float | None = None, labo
     return Settings(overhead_pct or 0.0, labor_pct or 0.0)
 
 
+def apply_settings_changes(t, p: Params) -> DataFrame:
+    """Overhead and labor of each owner after the changes, as they are read from the documents that are saved."""
+    return resolved_settings(saved_settings(t.settings_documents(), t.settings_changes()))
+
+
 # -------------------------------------------------------------------- orders
 
 

@@ -150,6 +150,7 @@ _PLANS: list[Callable] = [
     maintenance.apply_price_changes,
     maintenance.apply_margin_changes,
     maintenance.apply_variant_changes,
+    maintenance.apply_settings_changes,
     maintenance.price_fanout_clients,
     maintenance.price_apply_to_client,
     maintenance.apply_order_deletes,

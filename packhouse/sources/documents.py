@@ -40,6 +40,46 @@ def resolved_settings(docs: DataFrame, default: Settings = Settings()) -> DataFr
     return parsed.select(*rest, pick("overhead_pct", default.overhead_pct), pick("labor_pct", default.labor_pct))
 
 
+def saved_settings(docs: DataFrame, changes: DataFrame, key: str = "owner") -> DataFrame:
+    """(key, doc): the settings documents after changes (key, doc, changed_at, seq).
+
+    A document is saved whole: of several changes of one key the last stays as it is, and fields that it leaves out are gone.
+    A change without a document removes none.
+    """
+    given = changes.filter(F.col("doc").isNotNull())
+    last = given.groupBy(key).agg(F.max_by("doc", F.struct("changed_at", "seq")).alias("_doc"))
+    return docs.select(key, "doc").join(last, key, "full_outer").select(key, F.coalesce("_doc", "doc").alias("doc"))
+
+
+# Tables written back as documents, one entry each: reading them gives the table again, and no document grows with it.
+
+
+def settings_documents(settings: DataFrame) -> DataFrame:
+    rest = [c for c in settings.columns if c not in ("overhead_pct", "labor_pct")]
+    return settings.select(*rest, F.to_json(F.struct("overhead_pct", "labor_pct")).alias("doc"))
+
+
+def margin_documents(table: DataFrame) -> DataFrame:
+    return table.select(F.to_json(F.create_map("product_id", "profit_margin_pct"), {"ignoreNullFields": "false"}).alias("doc"))
+
+
+def variant_documents(table: DataFrame) -> DataFrame:
+    """A product's pack sizes are one list, in the order of their positions."""
+    sizes = F.transform(F.array_sort(F.collect_list(F.struct("position", "weight", "price"))), lambda v: F.struct(v["weight"].alias("weight"), v["price"].alias("price")))
+    lists = table.groupBy("product_id").agg(sizes.alias("sizes"))
+    return lists.select(F.to_json(F.create_map("product_id", "sizes")).alias("doc"))
+
+
+def ledger_documents(table: DataFrame) -> DataFrame:
+    amount = F.col("amount").cast("double").alias("amount")
+    return table.select(F.to_json(F.array(F.struct("id", F.col("date").cast("string").alias("date"), "type", amount, "description"))).alias("doc"))
+
+
+def waste_link_documents(table: DataFrame) -> DataFrame:
+    names = {"client_id": "clientId", "client_name": "clientName", "order_id": "orderId", "order_label": "orderLabel"}
+    return table.select(F.to_json(F.create_map("link_key", F.struct(*[F.col(c).alias(n) for c, n in names.items()]))).alias("doc"))
+
+
 def margins(docs: DataFrame) -> DataFrame:
     entries = docs.select(F.explode(F.from_json("doc", MARGINS)).alias("product_id", "profit_margin_pct"))
     return entries

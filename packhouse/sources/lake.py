@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packhouse.config import Settings
+from packhouse.sinks.snapshots import Snapshots
 from packhouse.sources import documents
 from packhouse.sources.schemas import read_table
 
@@ -23,6 +24,7 @@ REQUESTS = (
     "batch_forms",
     "batch_edits",
     "deleted_batches",
+    "settings_changes",
     "order_log",
     "order_feed",
     "payment_feed",
@@ -40,15 +42,18 @@ REQUESTS = (
 class Lake:
     """The table interface the plans are written against.
 
-    Every reader takes the columns wanted, so that a scan never reads more.
+    Every reader takes the columns wanted, so that a scan never reads more.  All readers of one instance see one
+    published version (see ``sinks.snapshots``): the newest when it was made, or the one asked for; a version without a
+    manifest is refused.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, version: int | None = None):
         self.spark = spark
         self.root = root
+        self.manifest = Snapshots(spark, root).read(version)
 
     def _table(self, name: str, cols: tuple[str, ...]) -> DataFrame:
-        table = read_table(self.spark, self.root, name)
+        table = read_table(self.spark, self.root, name, self.manifest.tables.get(name))
         return table.select(*cols) if cols else table
 
     def clients(self, *cols: str) -> DataFrame:
@@ -78,7 +83,12 @@ class Lake:
     # ---------------------------------------------------------- documents
 
     def _documents(self, name: str) -> DataFrame:
-        """One row per document: a file holds one, over any number of lines, or several, each starting on a line."""
+        """One row per document: a file holds one, over any number of lines, or several, each starting on a line.
+
+        Documents that a job has published are a table with one in each row.
+        """
+        if name in self.manifest.tables:
+            return self.spark.read.schema("doc string").parquet(f"{self.root.rstrip('/')}/{self.manifest.tables[name]}")
         files = self.spark.read.text(f"{self.root}/{name}", wholetext=True)
         between = r"(?<=[}\]])\s*\n\s*(?=[{\[])"
         return files.select(F.explode(F.split("value", between)).alias("doc")).filter(F.trim("doc") != "")

@@ -48,5 +48,6 @@ def checked(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[f.name for f in schema(table)])
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return checked(spark.read.parquet(f"{root.rstrip('/')}/{table}"), table)
+def read_table(spark: SparkSession, root: str, table: str, folder: str | None = None) -> DataFrame:
+    """A stored table; ``folder``, below the root, where it isn't named after the table."""
+    return checked(spark.read.parquet(f"{root.rstrip('/')}/{folder or table}"), table)

@@ -347,6 +347,20 @@ class Testdata:
         )
         return self._read("customer").select(text(F.col("c_custkey")).alias("owner"), doc.alias("doc"))
 
+    def settings_changes(self) -> DataFrame:
+        """Settings saved with each order of a client: both fields, one of them, cut off, or nothing to save."""
+        key = F.col("o_orderkey")
+        overhead, labor = text(key % 30), text(key % 7)
+        doc = (
+            F.when(key % 5 == 0, F.concat(F.lit('{"overhead_pct": '), overhead, F.lit(', "labor_pct": '), labor, F.lit("}")))
+            .when(key % 5 == 1, F.concat(F.lit('{"overhead_pct": '), overhead, F.lit("}")))
+            .when(key % 5 == 2, F.concat(F.lit('{"labor_pct": '), labor, F.lit("}")))
+            .when(key % 5 == 3, F.concat(F.lit('{"labor_pct": '), labor))
+        )
+        return self._read("orders").filter(F.col("o_custkey") % 3 != 0).select(
+            text(F.col("o_custkey")).alias("owner"), doc.alias("doc"), F.col("o_orderdate").cast("timestamp").alias("changed_at"), key.alias("seq")
+        )
+
     def margin_documents(self) -> DataFrame:
         entry = F.create_map("product_id", "profit_margin_pct")
         return self.margins().select(F.to_json(entry).alias("doc"))
