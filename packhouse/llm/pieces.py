@@ -45,8 +45,8 @@ SPACE = "▁"
 class Settings:
     """Texts in the sample for the list of frequent units, its length, and bytes of text in a block."""
 
-    sample: int = 8192
-    frequent: int = 1 << 16
+    sample: int = 1 << 15
+    frequent: int = 1 << 19
     block_bytes: int = 8 << 20
 
 
@@ -250,13 +250,19 @@ def spoken(ids, table: Table) -> str:
     return "".join(out)
 
 
-def _read_units(found: pa.Table, table: Table) -> dict[str, tuple[bytes, str]]:
-    """Each unit's ids, as little-endian 32-bit numbers, and the text they stand for, U+2581 as it is."""
-    out = {}
-    for unit, steps in zip(found.column("unit").to_pylist(), found.column("steps").to_pylist()):
-        ids = _spelled(_path(steps), table)
-        out[unit] = (np.array(ids, "<i4").tobytes(), spoken(ids, table))
-    return out
+class _Units:
+    """What a worker knows of units: their ids, as little-endian 32-bit numbers, and the text these stand for, U+2581 as it is."""
+
+    def __init__(self, found: pa.Table, table: Table):
+        self.ids: dict[str, bytes] = {}
+        # Of the few units that are read back as another text; a space is one, as it is read from bytes.
+        self.other: dict[str, str] = {}
+        for unit, steps in zip(found.column("unit"), found.column("steps")):
+            unit, ids = unit.as_py(), _spelled(_path(steps.as_py()), table)
+            self.ids[unit] = np.array(ids, "<i4").tobytes()
+            read = spoken(ids, table)
+            if read != unit:
+                self.other[unit] = read
 
 
 def frequent_units(docs: DataFrame, table: Table, pieces: DataFrame, s: Settings) -> pa.Table:
@@ -306,14 +312,14 @@ def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc
         known, table = shared.value
         look = _listed.get(path)
         if look is None or look[0] is not known:
-            look = _listed[path] = (known, _read_units(known, table))
-        here = _read_units(right, table)
-        look = look[1]
+            look = _listed[path] = (known, _Units(known, table))
+        here, look = _Units(right, table), look[1]
+        shown = look.other | here.other
         n, sums, texts, same, lists = [], [], [], [], []
         for text, parts in zip(left.column("text"), left.column("units")):
-            found = [look.get(u) or here[u] for u in parts.as_py()]
-            raw = b"".join([x for x, _ in found])
-            read = "".join([x for _, x in found]).replace(SPACE, " ")
+            parts = parts.as_py()
+            raw = b"".join([look.ids.get(u) or here.ids[u] for u in parts])
+            read = "".join([shown.get(u, u) for u in parts] if shown else parts).replace(SPACE, " ")
             read = read[1:] if read.startswith(" ") else read
             n.append(len(raw) // 4)
             sums.append(hashlib.sha256(raw).hexdigest())
