@@ -22,16 +22,18 @@ WHERE c.op IS NULL OR c.op = 'upsert'"""
 QUERIES = {
     # ------------------------------------------------------------ catalog
     "products_by_name": f"""
-SELECT id, name, name_ar, unit, {d('cost')} AS cost_per_unit, shelf_life_days FROM w_products ORDER BY name, id""",
+SELECT id, name, name_ar, unit, {d('cost')} AS cost_per_unit, 0e0 AS profit_margin_pct, shelf_life_days, CAST(NULL AS VARCHAR) AS created_at
+FROM w_products ORDER BY name, id""",
     "clients_by_name": "SELECT id, name, name_ar, type, phone, CAST(credit_days AS BIGINT) AS credit_days FROM w_clients ORDER BY name, id",
     "client_price_list": f"""
-SELECT r.id, client_id, product_id, {d('selling_price')} AS selling_price, p.name AS product_name, p.unit, c.name AS client_name
+SELECT r.id, client_id, product_id, {d('selling_price')} AS selling_price, {s('last_updated')} AS last_updated, p.name AS product_name, p.unit, c.name AS client_name
 FROM w_pricing r LEFT JOIN w_products p ON p.id = product_id LEFT JOIN w_clients c ON c.id = client_id""",
     "price_history": f"""
 SELECT id, client_id, product_id, {d('selling_price')} AS selling_price, {s('changed_at')} AS changed_on,
   row_number() OVER (PARTITION BY client_id, product_id ORDER BY changed_at DESC, id DESC) AS version FROM w_history""",
     "orders_with_client": f"""
 SELECT o.id, client_id, {s('order_date')} AS order_date, {s('delivery_date')} AS delivery_date, {d('total_revenue')} AS total_revenue,
+  {d('transport_cost')} AS transport_cost, {d('packaging_cost')} AS packaging_cost, {d('total_cost')} AS total_cost,
   {d('net_profit')} AS net_profit, margin_percentage, margin_zone, c.name AS client_name, c.name_ar AS client_name_ar, c.type AS client_type
 FROM w_orders o LEFT JOIN w_clients c ON c.id = client_id ORDER BY o.delivery_date DESC, o.order_date DESC, o.id""",
     "order_documents_flat": f"""
@@ -326,6 +328,10 @@ FROM w_recent_stats r JOIN w_suggested g ON g.id = r.product_id WHERE g.suggeste
     "variant_sales_summary": f"""
 SELECT product_id, name, unit, {d('rev')} AS total_revenue, avg_price FROM w_stats
 WHERE product_id IN (SELECT product_id FROM w_variants) ORDER BY rev DESC, product_id LIMIT 6""",
+    "variant_sales_sizes": """
+SELECT place, product_id, v.position, v.weight, v.price FROM (
+  SELECT product_id, row_number() OVER (ORDER BY rev DESC, product_id) AS place FROM w_stats WHERE product_id IN (SELECT product_id FROM w_variants))
+JOIN w_variants v USING (product_id) WHERE place <= 6""",
     # -------------------------------------------------------- maintenance
     "apply_product_changes": _changed(
         ["id"],

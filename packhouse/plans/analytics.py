@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packhouse.config import Params
@@ -216,3 +216,11 @@ def variant_sales_summary(t, p: Params) -> DataFrame:
         .limit(TOP_VARIANT_PRODUCTS)
         .select("product_id", "name", "unit", "total_revenue", "avg_price")
     )
+
+
+def variant_sales_sizes(t, p: Params) -> DataFrame:
+    """The pack sizes and prices that the summary lists beside each of its products, one row each, best seller first."""
+    top = variant_sales_summary(t, p).select("product_id", "total_revenue")
+    # Six rows, so one task will do.
+    ranked = top.withColumn("place", F.row_number().over(Window.orderBy(F.col("total_revenue").desc(), "product_id")))
+    return ranked.join(t.variants(), "product_id").select("place", "product_id", "position", "weight", "price")

@@ -14,9 +14,8 @@ from packhouse.operators.slices import numbered
 
 
 def products_by_name(t, p: Params) -> DataFrame:
-    return t.products("id", "name", "name_ar", "unit", "cost_per_unit", "shelf_life_days").orderBy(
-        F.collate("name", "UNICODE"), "id"
-    )
+    columns = ["id", "name", "name_ar", "unit", "cost_per_unit", "profit_margin_pct", "shelf_life_days", "created_at"]
+    return t.products(*columns).orderBy(F.collate("name", "UNICODE"), "id")
 
 
 def clients_by_name(t, p: Params) -> DataFrame:
@@ -24,7 +23,8 @@ def clients_by_name(t, p: Params) -> DataFrame:
 
 
 def client_price_list(t, p: Params, client_id: str | None = None) -> DataFrame:
-    prices = t.client_pricing("id", "client_id", "product_id", "selling_price")
+    prices = t.client_pricing("id", "client_id", "product_id", "selling_price", "last_updated")
+    prices = prices.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd"))
     if client_id:
         prices = prices.filter(F.col("client_id") == client_id)
     prices = with_parent(prices, t.products("id", "name", "unit"), "product_id", {"product_name": "name", "unit": "unit"})
@@ -58,7 +58,8 @@ def price_history(t, p: Params) -> DataFrame:
 
 def orders_with_client(t, p: Params) -> DataFrame:
     orders = t.orders(
-        "id", "client_id", "order_date", "delivery_date", "total_revenue", "net_profit", "margin_percentage", "margin_zone"
+        "id", "client_id", "order_date", "delivery_date", "transport_cost", "packaging_cost", "total_revenue", "total_cost",
+        "net_profit", "margin_percentage", "margin_zone",
     )
     fields = {"client_name": "name", "client_name_ar": "name_ar", "client_type": "type"}
     listed = with_parent(orders, t.clients("id", *fields.values()), "client_id", fields)

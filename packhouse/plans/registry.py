@@ -145,6 +145,7 @@ _PLANS: list[Callable] = [
     analytics.stock_rec_counts,
     analytics.price_suggestions,
     analytics.variant_sales_summary,
+    analytics.variant_sales_sizes,
     maintenance.apply_product_changes,
     maintenance.apply_client_changes,
     maintenance.apply_price_changes,
