@@ -59,6 +59,24 @@ def numbered(rows: DataFrame, keys: list[str], order: list[Column], name: str, s
     return placed.select(*[c for c in rows.columns if c != "_part"], (F.col("_before") + F.col("_place")).alias(name))
 
 
+def running_before(rows: DataFrame, keys: list[str], slice_: str, order: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Add, per name, the sum of a value over the rows of the group before this one, by ``slice_`` and ``order``.
+
+    ``slice_`` rises with the order; rows are summed inside their slice, and one row per group and slice carries the sums of
+    the slices before it.
+    """
+    valued = rows.withColumns({f"_v_{n}": v for n, v in sums.items()})
+    inside = Window.partitionBy(*keys, slice_).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
+    slices = rows.groupBy(*keys, slice_).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
+    by = [*keys, slice_]
+    before = slices.select(*[F.col(k).alias(f"_of{i}") for i, k in enumerate(by)], *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_b_{n}") for n in sums])
+    match = [F.col(k).eqNullSafe(F.col(f"_of{i}")) for i, k in enumerate(by)]
+    here = {f"_i_{n}": F.coalesce(F.sum(f"_v_{n}").over(inside), F.lit(0)) for n in sums}
+    joined = valued.withColumns(here).join(before, match, "left")
+    return joined.select(*rows.columns, *[(F.col(f"_i_{n}") + F.col(f"_b_{n}")).alias(n) for n in sums])
+
+
 def since_last(parts: DataFrame, key: str, order: list[str], marks: dict[str, Column], value: Column) -> DataFrame:
     """Per key and mark, the sum of ``value`` over the rows after the key's last marked one (all rows, where none is).
 

@@ -16,6 +16,7 @@ from packhouse.config import Settings
 SETTINGS = "overhead_pct double, labor_pct double, _bad string"
 MARGINS = "map<string,double>"
 VARIANTS = "map<string,array<struct<weight:double,price:double>>>"
+LEDGER_ENTRY = "id string, date string, type string, amount double, description string"
 LEDGER = "array<struct<id:string,date:string,type:string,amount:double,description:string>>"
 WASTE_LINKS = "map<string,struct<clientId:string,clientName:string,orderId:string,orderLabel:string>>"
 
@@ -93,7 +94,11 @@ def variants(docs: DataFrame) -> DataFrame:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    entries = docs.select(F.explode(F.from_json("doc", LEDGER)).alias("_e"))
+    return ledger_rows(docs.select(F.explode(F.from_json("doc", LEDGER)).alias("_e")))
+
+
+def ledger_rows(entries: DataFrame) -> DataFrame:
+    """Entries, as structs ``_e``, as the ledger's columns."""
     return entries.select(
         F.col("_e.id").alias("id"),
         F.col("_e.date").try_cast("date").alias("date"),
@@ -103,6 +108,12 @@ def ledger(docs: DataFrame) -> DataFrame:
     )
 
 
+def ledger_counts(docs: DataFrame) -> DataFrame:
+    """How many ledger documents there are, and how many cannot be read."""
+    bad = unreadable(docs, LEDGER).agg(F.count(F.lit(1)))
+    return docs.agg(F.count(F.lit(1)).alias("documents")).withColumn("unreadable", bad.scalar())
+
+
 def unreadable(docs: DataFrame, shape: str) -> DataFrame:
     """Documents that are present but do not parse."""
     return docs.filter(F.col("doc").isNotNull() & F.from_json("doc", shape).isNull())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from packhouse.config import Settings
 from packhouse.sinks.snapshots import Snapshots
-from packhouse.sources import documents
+from packhouse.sources import documents, records
 from packhouse.sources.schemas import read_table
 
 # Folders of JSON documents, and of change requests.
@@ -112,7 +112,22 @@ class Lake:
         return documents.variants(self.variant_documents())
 
     def ledger(self) -> DataFrame:
-        return documents.ledger(self.ledger_documents())
+        return self.ledger_entries()
+
+    def _ledger_records(self) -> DataFrame:
+        return records.records(self.spark, f"{self.root.rstrip('/')}/capital_ledger", documents.LEDGER_ENTRY)
+
+    def ledger_entries(self) -> DataFrame:
+        """Entries of all ledger documents, however large; a document is split over tasks by its records."""
+        if "capital_ledger" in self.manifest.tables:
+            return documents.ledger(self.ledger_documents())
+        return documents.ledger_rows(records.readable(self._ledger_records()).select(F.col("value").alias("_e")))
+
+    def ledger_document_counts(self) -> DataFrame:
+        if "capital_ledger" in self.manifest.tables:
+            return documents.ledger_counts(self.ledger_documents())
+        found = records.documents(self._ledger_records())
+        return found.agg(F.count(F.lit(1)).alias("documents"), F.count_if(~F.col("readable")).alias("unreadable"))
 
     def waste_links(self) -> DataFrame:
         return documents.waste_links(self._documents("waste_links"))

@@ -17,6 +17,7 @@ from packhouse.config import Settings
 from packhouse.functions import rules
 from packhouse.functions.numbers import cents, dbl, from_units, hundredths, money, pct, round_half_up
 from packhouse.operators.lookups import with_parent
+from packhouse.sources import documents
 from packhouse.sources.schemas import schema
 
 ITEM_PRICE = {"selling_price_used"}
@@ -381,6 +382,12 @@ class Testdata:
         broken = F.col("type") == "click"
         return entries.select(F.when(broken, F.left(doc, F.length(doc) - 2)).otherwise(doc).alias("doc"))
 
+    def ledger_entries(self) -> DataFrame:
+        return documents.ledger(self.ledger_documents())
+
+    def ledger_document_counts(self) -> DataFrame:
+        return documents.ledger_counts(self.ledger_documents())
+
     # ------------------------------------------------------------- ledger
 
     @once
