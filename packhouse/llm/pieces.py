@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -167,14 +168,21 @@ def _states(edges: Column, length: Column, longest: int) -> Column:
     return F.aggregate(F.when(length <= _BLOCK, F.array(edges)).otherwise(many), first, next_block, lambda acc: acc["blocks"])
 
 
-def _path(blocks) -> list[int]:
-    """Ids of the best path, from the last steps of all places."""
-    last = [x for b in blocks for x in b]
-    out, at = [], len(last)
-    while at > 0:
-        out.append(last[at - 1]["id"])
-        at = last[at - 1]["start"]
-    return out[::-1]
+def _paths(steps: pa.Array) -> Iterator[list[int]]:
+    """Ids of the best path of each unit, from the last steps of all its places."""
+    blocks = steps.flatten()
+    last = blocks.flatten()
+    start, ids = (last.field(i).to_numpy(zero_copy_only=False).tolist() for i in (0, 1))
+    # Places before each unit: units hold blocks, blocks hold places.
+    places = np.concatenate([[0], np.cumsum(blocks.value_lengths().to_numpy(zero_copy_only=False))])
+    ends = places[np.concatenate([[0], np.cumsum(steps.value_lengths().to_numpy(zero_copy_only=False))])].astype(np.int64).tolist()
+    for lo, hi in zip(ends, ends[1:]):
+        out, at = [], hi
+        while at > lo:
+            out.append(ids[at - 1])
+            at = lo + start[at - 1]
+        out.reverse()
+        yield out
 
 
 def fold(rows: DataFrame, keys: list[str], table: Table, pieces: DataFrame) -> DataFrame:
@@ -250,23 +258,31 @@ def spoken(ids, table: Table) -> str:
     return "".join(out)
 
 
+def _read_units(found: pa.RecordBatch, table: Table) -> pa.RecordBatch:
+    """(unit, ids, read): a unit's ids as little-endian 32-bit numbers, and the text these stand for where it is another than the unit."""
+    units_, raw, read = found.column(0).to_pylist(), [], []
+    for unit, path in zip(units_, _paths(found.column(1))):
+        ids = _spelled(path, table)
+        raw.append(np.array(ids, "<i4").tobytes())
+        said = spoken(ids, table)
+        read.append(None if said == unit else said)
+    return pa.RecordBatch.from_arrays([pa.array(units_, pa.string()), pa.array(raw, pa.binary()), pa.array(read, pa.string())], ["unit", "ids", "read"])
+
+
 class _Units:
-    """What a worker knows of units: their ids, as little-endian 32-bit numbers, and the text these stand for, U+2581 as it is."""
+    """What a worker knows of units: their ids, and the text of the few that are read back as another."""
 
-    def __init__(self, found: pa.Table, table: Table):
+    def __init__(self, *parts: pa.RecordBatch):
         self.ids: dict[str, bytes] = {}
-        # Of the few units that are read back as another text; a space is one, as it is read from bytes.
         self.other: dict[str, str] = {}
-        for unit, steps in zip(found.column("unit"), found.column("steps")):
-            unit, ids = unit.as_py(), _spelled(_path(steps.as_py()), table)
-            self.ids[unit] = np.array(ids, "<i4").tobytes()
-            read = spoken(ids, table)
-            if read != unit:
-                self.other[unit] = read
+        for p in parts:
+            names = p.column(0).to_pylist()
+            self.ids.update(zip(names, p.column(1).to_pylist()))
+            self.other.update((u, r) for u, r in zip(names, p.column(2).to_pylist()) if r is not None)
 
 
 def frequent_units(docs: DataFrame, table: Table, pieces: DataFrame, s: Settings) -> pa.Table:
-    """Units and steps of the most frequent units of a sample, at most ``frequent`` of them: all above a count."""
+    """(unit, ids, read) of the most frequent units of a sample, at most ``frequent`` of them: all above a count."""
     every = max(1, docs.count() // s.sample)
     few = docs.where(F.pmod(F.xxhash64("key", "text"), F.lit(every)) == 0).select(F.explode(units(F.col("text"), table)).alias("unit"))
     counted = Work(docs.sparkSession, "pieces").cut(few.groupBy("unit").count(), "counted")
@@ -279,7 +295,9 @@ def frequent_units(docs: DataFrame, table: Table, pieces: DataFrame, s: Settings
         least = times
     top = counted.where(F.lit(False) if least is None else F.col("count") >= least).select("unit")
     parts = 2 * docs.sparkSession.sparkContext.defaultParallelism
-    return fold(top.repartition(parts, "unit"), [], table, pieces).select("unit", "steps").toArrow()
+    dealt = top.withColumn("slot", F.pmod(F.xxhash64("unit"), F.lit(parts))).repartition(parts, "slot")
+    folded = fold(dealt, ["slot"], table, pieces).select("unit", "steps")
+    return folded.mapInArrow(lambda batches: (_read_units(b, table) for b in batches), "unit string, ids binary, read string").toArrow()
 
 
 def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
@@ -312,12 +330,14 @@ def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc
         known, table = shared.value
         look = _listed.get(path)
         if look is None or look[0] is not known:
-            look = _listed[path] = (known, _Units(known, table))
-        here, look = _Units(right, table), look[1]
+            look = _listed[path] = (known, _Units(*known.to_batches()))
+        here, look = _Units(*[_read_units(b, table) for b in right.select(["unit", "steps"]).to_batches()]), look[1]
         shown = look.other | here.other
         n, sums, texts, same, lists = [], [], [], [], []
-        for text, parts in zip(left.column("text"), left.column("units")):
-            parts = parts.as_py()
+        lists_ = left.column("units").combine_chunks()
+        flat, ends = lists_.flatten().to_pylist(), np.cumsum(lists_.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        for text, lo, hi in zip(left.column("text"), [0, *ends], ends):
+            parts = flat[lo:hi]
             raw = b"".join([look.ids.get(u) or here.ids[u] for u in parts])
             read = "".join([shown.get(u, u) for u in parts] if shown else parts).replace(SPACE, " ")
             read = read[1:] if read.startswith(" ") else read
