@@ -7,19 +7,24 @@ Jaccard similarity.  Bands of ``rows`` values are the buckets in which
 candidates meet.
 
 Rows of one set are one entry; their classes are linked by one of them.  In a
-bucket, all entries are compared with about four pivots, on their full sets.  Entries not
-yet in one component are then split by their distance from the first pivot: by the
-triangle inequality, entries whose distances from it differ by more than the
-limit can't be linked, so neighbouring rings are kept together and others
-part.  What then is still of several components is compared block by block within tasks, which send out
-links only.  So no pair of a bucket that could be linked is lost, and a large
-group of copies costs some rows an entry, not one a pair.  Buckets of the
-same entries are one.
+bucket, all entries are compared with a few pivots: its smallest id, and those whose
+hash is low for its size, so that buckets of one group share their pivots.  Two
+bits of each signature value go along with an entry; pairs whose marks agree so
+rarely that the similarity is out of reach (6.5 standard deviations, a chance below
+1e-9) need no sets, the others are decided on their full sets.
+
+Entries that weren't pivots may still be linked with each other.  They are gathered
+by the pivot of their bucket, however many buckets it has.  What the pivots brought into one
+component needn't meet again: only entries outside of the largest component are sent to the
+blocks of all others, first with their marks alone, then, those with a partner in
+reach, with their sets.  So a large group of copies costs some rows an entry, and
+an entry that no pivot reaches costs one a block.  Tasks send out links only.
 
 A text with fewer words than a shingle is one shingle; a null or empty text, or
 one without words, has an empty set and is linked with nothing.  Ties don't
 arise: components take their smallest id.  Repeated rows of one id are one
-document if their texts agree; ids have to be unique otherwise.
+document if their texts agree; ids have to be unique otherwise.  A document without
+id stands alone, an empty table gives no rows, and other columns aren't read.
 """
 
 from __future__ import annotations
@@ -85,8 +90,11 @@ def _sign(name: np.ndarray, first: np.ndarray, full: np.ndarray, s: Settings) ->
     return sign
 
 
+MARKS = ["m0", "m1", "m2", "m3"]
+
+
 def _signatures(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, k1, k2, bands): size and 128-bit name of the set, and the buckets of its bands."""
+    """(doc_id, n, k1, k2, m0 to m3, bands): size and 128-bit name of the set, two bits of each value, and the buckets of its bands."""
     bands = 2 * s.hashes // s.rows
     mult = X.seeds(s.rows, 17) | np.uint64(1)
     salt = X.seeds(bands, 19)
@@ -106,6 +114,12 @@ def _signatures(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.R
                 full = np.flatnonzero(size)
                 sign = _sign(name, first, full, s)
                 folded = X.mix((X.mix(sign.reshape(len(full), bands, s.rows)) * mult).sum(axis=2, dtype=np.uint64) + salt)
+            marks = np.zeros((4, rows), np.uint64)
+            if len(full):
+                low = X.mix(sign)
+                for bit in (0, 1):
+                    packed = np.packbits(((low >> np.uint64(bit)) & np.uint64(1)).astype(np.uint8), axis=1)
+                    marks[2 * bit : 2 * bit + 2, full] = np.ascontiguousarray(packed).view(np.uint64).T
             lists = np.zeros(rows + 1, np.int32)
             lists[1:][full] = bands
             yield pa.RecordBatch.from_arrays(
@@ -114,74 +128,104 @@ def _signatures(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.R
                     pa.array(size),
                     pa.array(X.as_long(np.ascontiguousarray(key[:, 0]))),
                     pa.array(X.as_long(np.ascontiguousarray(key[:, 1]))),
+                    *(pa.array(X.as_long(m)) for m in marks),
                     pa.ListArray.from_arrays(pa.array(np.cumsum(lists, dtype=np.int32)), pa.array(X.as_long(np.ascontiguousarray(folded).ravel()))),
                 ],
-                ["doc_id", "n", "k1", "k2", "bands"],
+                ["doc_id", "n", "k1", "k2", *MARKS, "bands"],
             )
 
 
 def _sets(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """(id, members, sketch): the sorted set, as bytes, and the low byte of each signature value."""
+    """(id, members): the sorted set, as bytes."""
     for b in batches:
         for c in X.chunks(b.column(1)):
             name, _, first = shingles(_lower_words(c), s.shingle)
             out = [np.unique(name[lo:hi]).tobytes() for lo, hi in zip(first[:-1], first[1:])]
-            full = np.flatnonzero(np.diff(first))
-            sketch = [b""] * len(out)
-            for i, row in zip(full.tolist(), X.mix(_sign(name, first, full, s)).astype(np.uint8)):
-                sketch[i] = row.tobytes()
-            ids = b.column(0).slice(c.lo, c.hi - c.lo)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.binary()), pa.array(sketch, pa.binary())], ["id", "members", "sketch"])
-
-
-def _linked(left: list, right: list | None, s: Settings) -> Iterator[tuple[int, int]]:
-    """Linked pairs of entries (id, root, sketch, members) of different roots, of two blocks or within one.
-
-    Signatures that agree in so few values that the similarity is out of reach (6.5 standard deviations) aren't compared.
-    """
-    p, n = s.percent / 100, 2 * s.hashes
-    least = n * p - 6.5 * (n * p * (1 - p)) ** 0.5
-    other = left if right is None else right
-    if not left or not other:
-        return
-    marks = np.stack([np.frombuffer(x[2], np.uint8) for x in other])
-    root = np.array([x[1] for x in other])
-    sets = [np.frombuffer(x[3], np.uint64) for x in other]
-    for i, (key, own, sketch, members) in enumerate(left):
-        agree = (marks == np.frombuffer(sketch, np.uint8)).sum(axis=1)
-        near = (agree >= least) & (root != own)
-        if right is None:
-            near[: i + 1] = False
-        a = np.frombuffer(members, np.uint64)
-        for j in np.flatnonzero(near).tolist():
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(c.lo, c.hi - c.lo), pa.array(out, pa.binary())], ["id", "members"])
+
+
+def _least(s: Settings) -> float:
+    """Signature values of which both marks agree, at the least similarity less 6.5 standard deviations."""
+    n = 2 * s.hashes
+    p = s.percent / 100 + (1 - s.percent / 100) / 4
+    return n * p - 6.5 * (n * p * (1 - p)) ** 0.5
+
+
+def _agree(a: list, b: list):
+    """Values of which both marks agree, as a column."""
+    return sum((F.bit_count(F.bitwise_not(a[h].bitwiseXOR(b[h]).bitwiseOR(a[h + 2].bitwiseXOR(b[h + 2])))) for h in (0, 1)), F.lit(0))
+
+
+def _reach(table: pa.Table, s: Settings) -> tuple[pa.Table, pa.Table, np.ndarray]:
+    """Of one block: targets, probes, and for each probe and target the marks that agree, or 0 if they needn't be compared."""
+    probe = table.column("probe").to_numpy()
+    targets, probes = table.filter(pa.array(~probe)), table.filter(pa.array(probe))
+    agree = np.zeros((len(probes), len(targets)), np.uint8)
+    mark = [[x.column(m).to_numpy().view(np.uint64) for m in MARKS] for x in (probes, targets)]
+    for h in (0, 1):
+        apart = (mark[0][h][:, None] ^ mark[1][h]) | (mark[0][h + 2][:, None] ^ mark[1][h + 2])
+        agree += np.bitwise_count(~apart)
+    (pi, pr), (ti, tr) = (tuple(x.column(c).to_numpy() for c in ("id", "root")) for x in (probes, targets))
+    # Two probes meet in the blocks of both; one of them counts.
+    once = targets.column("main").to_numpy() | (pi[:, None] < ti)
+    return targets, probes, np.where((agree >= _least(s)) & (pr[:, None] != tr) & once, agree, 0)
+
+
+def _near(table: pa.Table, s: Settings) -> pa.Table:
+    """(pivot, id) of a block's entries that have a partner in reach."""
+    targets, probes, agree = _reach(table, s)
+    found = np.concatenate([probes.column("id").to_numpy()[agree.any(axis=1)], targets.column("id").to_numpy()[agree.any(axis=0)]])
+    return pa.table({"pivot": pa.array(np.full(len(found), table.column("pivot")[0].as_py(), np.int64)), "id": pa.array(found, pa.int64())})
+
+
+def _linked(table: pa.Table, s: Settings) -> pa.Table:
+    """Linked pairs (a, b) of a block, for each probe one a component, the likeliest partners first."""
+    targets, probes, agree = _reach(table, s)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in targets.column("members")]
+    ids, roots = targets.column("id").to_numpy(), targets.column("root").to_numpy()
+    out: list[tuple[int, int]] = []
+    for key, members, near in zip(probes.column("id").to_pylist(), probes.column("members"), agree):
+        a = np.frombuffer(members.as_buffer(), np.uint64)
+        done = set()
+        at = np.flatnonzero(near)
+        for j in at[np.argsort(-near[at].astype(int), kind="stable")].tolist():
             b = sets[j]
-            if 100 * min(len(a), len(b)) < s.percent * max(len(a), len(b)):
+            if roots[j] in done or 100 * min(len(a), len(b)) < s.percent * max(len(a), len(b)):
                 continue
-            at = np.minimum(np.searchsorted(a, b), len(a) - 1)
-            both = int((a[at] == b).sum())
+            both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
             if 100 * both >= s.percent * (len(a) + len(b) - both):
-                yield key, other[j][0]
+                done.add(roots[j])
+                out.append((key, int(ids[j])))
+    return pa.table([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _finish(buckets: DataFrame, vectors: DataFrame, s: Settings, work: Work) -> DataFrame:
-    """Linked pairs (a, b) among the entries (id, bucket, root) of each bucket, compared block by block within tasks.
+def _blocks(rows: DataFrame, work: Work) -> DataFrame:
+    """Rows (pivot, id, root, marks) dealt out so that each entry outside of its pivot's largest component meets all others.
 
-    Only links come out; an entry is sent to as many tasks as its bucket has blocks of ``BLOCK`` entries.
+    Every entry is a target of one block ``i``, for each block ``j`` of probes; the probes are the entries outside of the
+    largest component.  Groups of a single component go.
     """
-    sizes = work.cut(buckets.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes", few=True)
-    rows = buckets.join(sizes, "bucket").withColumn("own", F.pmod(F.hash("id"), F.col("blocks")))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("id", "root", "bucket", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-    full = rows.join(vectors, "id").select("bucket", "i", "j", "own", "id", "root", "sketch", "members")
-
-    def run(table: pa.Table) -> pa.Table:
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        rows = list(zip(*(table.column(c).to_pylist() for c in ("own", "id", "root", "sketch", "members"))))
-        left = [r[1:] for r in rows if r[0] == i]
-        found = list(_linked(left, None if i == j else [r[1:] for r in rows if r[0] == j], s))
-        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    return work.cut(full.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long"), "finished")
+    counts = rows.groupBy("pivot", "root").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("pivot").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main_root"))
+    tiles = [F.ceil(F.col(c) / BLOCK).cast("int").alias(name) for c, name in (("n", "is"), ("u", "js"))]
+    sizes = work.cut(sizes.withColumn("u", F.col("n") - F.col("most")).where("u > 0").select("pivot", "main_root", *tiles), "sizes", few=True)
+    dealt = rows.join(sizes, "pivot").withColumn("main", F.col("root") == F.col("main_root"))
+    own = [F.pmod(F.hash("id"), F.col("is")).alias("i"), F.pmod(F.hash("id", F.lit(1)), F.col("js")).alias("j")]
+    every = [F.explode(F.sequence(F.lit(0), F.col(c) - 1)).alias(c[0]) for c in ("is", "js")]
+    targets = dealt.select(*rows.columns, "main", F.lit(False).alias("probe"), own[0], every[1])
+    probes = dealt.where("not main").select(*rows.columns, "main", F.lit(True).alias("probe"), every[0], own[1])
+    return targets.unionByName(probes)
+
+
+def _finish(rest: DataFrame, sets, s: Settings, work: Work) -> DataFrame:
+    """Linked pairs (a, b) of different roots among the entries (pivot, id, root, marks) of each pivot; ``sets`` takes ids."""
+    tile = ["pivot", "i", "j"]
+    near = _blocks(rest, work).groupBy(*tile).applyInArrow(lambda t: _near(t, s), "pivot long, id long")
+    near = work.cut(near.distinct(), "near", few=True)
+    rows = work.cut(rest.join(near, ["pivot", "id"], "left_semi"), "in-reach", few=True)
+    have = sets(rows.select("id").distinct())
+    full = _blocks(rows, work).join(have, "id")
+    return work.cut(full.groupBy(*tile).applyInArrow(lambda t: _linked(t, s), "a long, b long"), "finished")
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,16 +246,15 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _BLOCK = 512
-# Entries of a block that is compared within a task, and rounds of pivots before that.
+# Entries of a block that is compared within a task, and pivots of a bucket beside its first entry, on average.
 BLOCK = 1024
-PIVOT_ROUNDS = 1
+PIVOTS = 4
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, work: Work) -> DataFrame:
     """(pivot, id, both, either) for distinct pairs, each side's set looked up; a hot pivot is sent to each block of its partners."""
-    p = work.cut(pairs.distinct(), "pairs", few=True)
-    sizes = work.cut(p.groupBy("pivot").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")), "sizes", few=True)
-    p = p.join(sizes, "pivot").select("pivot", "id", F.pmod(F.hash("id"), F.col("blocks")).alias("block"))
+    sizes = work.cut(pairs.groupBy("pivot").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")), "sizes", few=True)
+    p = pairs.join(sizes, "pivot").select("pivot", "id", F.pmod(F.hash("id"), F.col("blocks")).alias("block"))
     wanted = sizes.select("pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     left = wanted.join(sets.select(F.col("id").alias("pivot"), F.col("members").alias("left")), "pivot")
     right = p.join(sets.select("id", F.col("members").alias("right")), "id")
@@ -219,75 +262,62 @@ def _compare(pairs: DataFrame, sets: DataFrame, work: Work) -> DataFrame:
     return work.cut(both.mapInArrow(_overlap, "pivot long, id long, both long, either long"), "compared")
 
 
-def _placed(buckets: DataFrame, step: int, work: Work) -> DataFrame:
-    """(bucket, id, pivot, n) of buckets of two or more entries; of buckets that hold the same entries, one."""
-    # The order of pivots differs by step, not by bucket, so that buckets of one group share them.
-    rank = F.col("id") if step == 0 else F.xxhash64(F.col("id"), F.lit(step))
-    held = buckets.groupBy("bucket").agg(
-        F.min_by("id", rank).alias("pivot"),
-        F.count("*").alias("n"),
-        F.bit_xor(F.xxhash64("id")).alias("x"),
-        F.bit_xor(F.xxhash64("id", F.lit(7))).alias("y"),
+def _placed(entries: DataFrame, work: Work) -> DataFrame:
+    """(bucket, id, pivot, n, marks) of buckets of two or more entries; of buckets that hold the same entries, one."""
+    buckets = entries.select("id", F.explode("bands").alias("bucket"))
+    shared = work.cut(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "shared", few=True)
+    held = work.cut(buckets.join(shared, "bucket"), "held", few=True)
+    one = held.groupBy("bucket", "n").agg(
+        F.min("id").alias("pivot"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("y")
     )
-    one = held.where("n > 1").groupBy("pivot", "n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "pivot", "n")
-    return work.cut(buckets.join(work.cut(one, "chosen", few=True), "bucket"), "placed", few=True)
+    one = one.groupBy("pivot", "n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "pivot")
+    placed = work.cut(held.join(work.cut(one, "chosen", few=True), "bucket"), "kept", few=True)
+    return work.cut(placed.join(entries.select("id", *MARKS), "id"), "placed", few=True)
 
 
 def links(entries: DataFrame, sets_of, s: Settings, work: Work) -> DataFrame:
-    """Linked pairs (a, b) that join the entries (id, bands) into their components; ``sets_of`` takes ids and returns (id, members)."""
-    buckets = entries.select("id", F.explode("bands").alias("bucket"))
-    far = 1 - s.percent / 100 + 1e-9
-    found = work.cut(entries.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "found", few=True)
-    sets = None
-    step = 0
-    rest = None
-    while step < PIVOT_ROUNDS:
-        placed = _placed(buckets, step, work)
-        if placed.isEmpty():
-            return found
-        if sets is None:
-            sets = work.cut(sets_of(placed.select("id").distinct()), "sets")
-        # The first by rank, and about three more, drawn by their hash.
-        placed = placed.withColumn("chosen", (F.col("id") == F.col("pivot")) | (F.pmod(F.xxhash64(F.col("id"), F.lit(step)), F.col("n")) < 3))
-        pivots = placed.where("chosen").select("bucket", F.col("id").alias("with"))
-        pairs = placed.select("bucket", "id").join(pivots, "bucket").where("id <> with")
-        compared = _compare(pairs.select(F.least("id", "with").alias("pivot"), F.greatest("id", "with").alias("id")), sets, work)
-        linked = compared.where(F.col("both") * 100 >= F.col("either") * s.percent).select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-        found = work.cut(found.unionByName(linked), "found", few=True)
-        # What is left: entries that weren't pivots, by rings around the first pivot, where they are of more than one component.
-        roots = work.cut(graph.components(found, work), "roots", few=True)
-        low, high = F.least("pivot", "id").alias("low"), F.greatest("pivot", "id").alias("high")
-        distance = compared.select(F.col("pivot").alias("low"), F.col("id").alias("high"), (1 - F.col("both") / F.col("either")).alias("distance"))
-        rest = placed.where("not chosen").select("bucket", "id", low, high).join(distance, ["low", "high"])
-        ring = F.floor(F.col("distance") / far).cast("int")
-        rest = rest.select("id", "bucket", F.explode(F.array(ring, ring + 1)).alias("ring")).select(
-            "id", F.xxhash64("bucket", "ring", F.lit(step)).alias("bucket")
-        )
-        rest = work.cut(rest.join(roots, "id", "left").select("id", "bucket", F.coalesce("root", "id").alias("root")), "rest", few=True)
-        mixed = work.cut(rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket"), "mixed", few=True)
-        rest = work.cut(rest.join(mixed, "bucket"), "buckets", few=True)
-        buckets = rest.select("id", "bucket")
-        step += 1
-    # Entries that are still of several components: one of the buckets that hold the same ones, compared within tasks.
-    keys = _placed(buckets, step, work).select("bucket").distinct()
-    return found.unionByName(_finish(rest.join(work.cut(keys, "keys", few=True), "bucket"), sets, s, work))
+    """Linked pairs (a, b) that join the entries (id, bands, marks) into their components; ``sets_of`` takes ids and returns (id, members)."""
+    placed = _placed(entries, work)
+    # A low hash is low in every bucket of its size, so that buckets of one group share pivots.
+    low = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) * F.col("n") < F.lit(PIVOTS << 31)
+    placed = placed.withColumn("is_pivot", (F.col("id") == F.col("pivot")) | low)
+    pivots = placed.where("is_pivot").select("bucket", F.col("id").alias("with"), *[F.col(m).alias(f"with_{m}") for m in MARKS])
+    near = _agree([F.col(m) for m in MARKS], [F.col(f"with_{m}") for m in MARKS]) >= _least(s)
+    pairs = placed.select("bucket", "id", *MARKS).join(pivots, "bucket").where("id <> with").where(near)
+    pairs = work.cut(pairs.select(F.least("id", "with").alias("pivot"), F.greatest("id", "with").alias("id")).distinct(), "pairs", few=True)
+    ids = pairs.select(F.explode(F.array("pivot", "id")).alias("id")).distinct()
+    have = work.cut(sets_of(ids), "sets")
+    compared = _compare(pairs, have, work)
+    found = work.cut(compared.where(F.col("both") * 100 >= F.col("either") * s.percent).select(F.col("pivot").alias("a"), F.col("id").alias("b")), "found", few=True)
+    roots = work.cut(graph.components(found, work), "roots", few=True)
+    rest = placed.where("not is_pivot").select("pivot", "id", *MARKS).distinct()
+    rest = work.cut(rest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rest", few=True)
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        more = work.cut(wanted.join(have.select("id"), "id", "left_anti"), "more", few=True)
+        return have if more.isEmpty() else have.unionByName(work.cut(sets_of(more), "more-sets"))
+
+    return found.unionByName(_finish(rest, sets, s, work))
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each document."""
+    if s.hashes != 64:
+        raise ValueError("an entry's marks are two bits of each of 64 hashes' two values")
     spark = docs.sparkSession
     work = Work(spark, "minmax")
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = work.cut(texts.mapInArrow(lambda b: _signatures(b, s), "doc_id long, n long, k1 long, k2 long, bands array<long>"), "signed")
+    marks = ", ".join(f"{m} long" for m in MARKS)
+    signed = work.cut(texts.mapInArrow(lambda b: _signatures(b, s), f"doc_id long, n long, k1 long, k2 long, {marks}, bands array<long>"), "signed")
     some = signed.where("n > 0 and doc_id is not null")
     classes = work.cut(some.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id")), "classes", few=True)
     # The bands of a class are those of its first document.
-    entries = signed.select(F.col("doc_id").alias("id"), "bands").join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    entries = signed.select(F.col("doc_id").alias("id"), *MARKS, "bands").join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
     entries = work.cut(entries, "entries")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         chosen = texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-        return chosen.mapInArrow(lambda b: _sets(b, s), "id long, members binary, sketch binary").dropDuplicates(["id"])
+        return chosen.mapInArrow(lambda b: _sets(b, s), "id long, members binary").dropDuplicates(["id"])
 
     found = links(entries, sets_of, s, work)
     roots = work.cut(graph.components(found, work), "components", few=True)

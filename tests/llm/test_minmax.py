@@ -2,6 +2,8 @@
 
 import random
 
+import pyarrow as pa
+
 from packhouse.llm import graph, minmax
 from packhouse.llm.work import Work
 
@@ -73,6 +75,41 @@ def test_star_whose_center_is_not_the_first(frame):
     assert found(minmax.near_duplicates(frame(docs), s)) == want
 
 
+def test_links_that_no_pivot_sees(spark, monkeypatch):
+    """A crowd under one pivot, of more than a block of entries outside of its largest component: links come from the blocks alone."""
+    monkeypatch.setattr(minmax, "BLOCK", 4)
+    draw = random.Random(3)
+    base = [f"b{i}" for i in range(150)]
+    docs = {}
+    for k in range(90):
+        own = list(base)
+        for j in range(draw.choice((0, 1, 3, 6, 9))):
+            own[draw.randrange(150)] = f"x{k}_{j}"
+        docs[k] = " ".join(own)
+        if k % 3 == 0:
+            own[draw.randrange(150)] = f"y{k}"
+            docs[100 + k] = " ".join(own)
+    s = minmax.Settings(shingle=3, percent=85)
+    want = {k: v[1] for k, v in brute(docs, s).items()}
+    assert len(set(want.values())) > 10
+    batch = pa.RecordBatch.from_pydict({"id": list(docs), "text": list(docs.values())})
+    marks = {r["doc_id"]: [r[m] for m in minmax.MARKS] for b in minmax._signatures([batch], s) for r in b.to_pylist()}
+    sets = spark.createDataFrame([(r["id"], bytearray(r["members"])) for b in minmax._sets([batch], s) for r in b.to_pylist()], "id long, members binary")
+    # The first has nothing joined yet; in the second, most of the largest component is.
+    big = max(set(want.values()), key=list(want.values()).count)
+    joined = {k: big for k in docs if want[k] == big and k % 5}
+    for known in ({}, joined):
+        rest = [(0, k, *marks[k], known.get(k, k)) for k in docs]
+        rest = spark.createDataFrame(rest, "pivot long, id long, m0 long, m1 long, m2 long, m3 long, root long")
+        work = Work(spark, "test")
+        out = minmax._finish(rest, lambda ids: sets.join(ids, "id", "left_semi"), s, work)
+        edges = [(r["a"], r["b"]) for r in out.collect()]
+        assert edges
+        more = spark.createDataFrame(edges + list(known.items()), "a long, b long")
+        got = {k: k for k in docs} | {r["id"]: r["root"] for r in graph.components(more, work).collect()}
+        assert got == want
+
+
 def test_odd_rows(frame):
     long = " ".join(f"z{i}" for i in range(150_000))
     docs = {1: None, 2: "", 3: " \n ", 4: "one", 5: "ONE", 6: "one two", 7: "one two three", 8: long, 9: long + " tail", 10: "É x y", 11: "é x y", 12: "two one"}
