@@ -144,6 +144,32 @@ def _sets(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([b.column(0).slice(c.lo, c.hi - c.lo), pa.array(out, pa.binary())], ["id", "members"])
 
 
+# Bits of the filter of ids: 4 MB, whatever the number of ids.
+_SLOTS = 1 << 25
+_PART = 1 << 15
+
+
+def _slot(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(_SLOTS))
+
+
+def _filter(ids: DataFrame) -> np.ndarray:
+    """A bit for the slot of each id, as bytes; parts of it are put together by Spark."""
+    at = ids.select(_slot("id").alias("slot"))
+    parts = at.groupBy(F.shiftright("slot", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(_PART - 1)).alias("bits"))
+    bits = np.zeros((_SLOTS // _PART, _PART // 8), np.uint8)
+    for part, raw in parts.collect():
+        bits[part] = np.frombuffer(bytes(raw), np.uint8)
+    return bits.ravel()
+
+
+def _seen(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows (id, text, slot) whose slot has its bit set."""
+    for b in batches:
+        slot = b.column(2).to_numpy()
+        yield b.filter(pa.array((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
+
+
 def _least(s: Settings) -> float:
     """Signature values of which both marks agree, at the least similarity less 6.5 standard deviations."""
     n = 2 * s.hashes
@@ -276,8 +302,12 @@ def _placed(entries: DataFrame, work: Work) -> DataFrame:
 
 
 def links(entries: DataFrame, sets_of, s: Settings, work: Work) -> DataFrame:
-    """Linked pairs (a, b) that join the entries (id, bands, marks) into their components; ``sets_of`` takes ids and returns (id, members)."""
+    """Linked pairs (a, b) that join the entries (id, bands, marks) into their components.
+
+    ``sets_of`` takes ids and returns their (id, members), and maybe those of other ids.
+    """
     placed = _placed(entries, work)
+    work.drop(keep=("signed", "classes", "placed"))
     # A low hash is low in every bucket of its size, so that buckets of one group share pivots.
     low = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) * F.col("n") < F.lit(PIVOTS << 31)
     placed = placed.withColumn("is_pivot", (F.col("id") == F.col("pivot")) | low)
@@ -316,12 +346,16 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_i
     entries = work.cut(entries, "entries")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        chosen = texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-        return chosen.mapInArrow(lambda b: _sets(b, s), "id long, members binary").dropDuplicates(["id"])
+        # Texts aren't shuffled: a filter in the scan lets all wanted ids through, and few others, whose sets no join takes.
+        seen = spark.sparkContext.broadcast(_filter(ids))
+        chosen = texts.where("doc_id is not null").select("doc_id", "text", _slot("doc_id").alias("slot"))
+        return chosen.mapInArrow(lambda b: _sets(_seen(b, seen.value), s), "id long, members binary").dropDuplicates(["id"])
 
     found = links(entries, sets_of, s, work)
     roots = work.cut(graph.components(found, work), "components", few=True)
+    work.drop(keep=("signed", "classes", "components"))
     named = work.cut(classes.join(roots, "id", "left").select("k1", "k2", "n", F.coalesce("root", "id").alias("root")), "named", few=True)
+    work.drop(keep=("signed", "named"))
     out = signed.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
     component = F.coalesce(F.when(F.col("n") > 0, F.col("root")), F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(

@@ -32,6 +32,7 @@ class Work:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/packhouse/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        self.written: list[tuple[str, str]] = []
 
     def cut(self, df: DataFrame, name: str, few: bool = False) -> DataFrame:
         """``few``: for tables of ids and links, whose many shuffle partitions are merged to two tasks a core, without a shuffle."""
@@ -40,8 +41,19 @@ class Work:
             df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
         path = f"{self.folder}/{self.n:03d}-{name}"
         df.write.option("compression", "zstd").parquet(path)
+        self.written.append((name, path))
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, keep: tuple[str, ...]) -> None:
+        """Deletes the tables written so far but those of the names ``keep``: for tables that nothing reads any more."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name, path in self.written:
+            if name not in keep:
+                place = jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(conf).delete(place, True)
+        self.written = [x for x in self.written if x[0] in keep]
+
 
 _shipped: set[str] = set()
 
