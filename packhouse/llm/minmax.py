@@ -10,8 +10,9 @@ Rows of one set are one entry; their classes are linked by one of them.  In a
 bucket, all entries are compared with a few pivots: its smallest id, and those whose
 hash is low for its size, so that buckets of one group share their pivots.  Two
 bits of each signature value go along with an entry; pairs whose marks agree so
-rarely that the similarity is out of reach (6.5 standard deviations, a chance below
-1e-9) need no sets, the others are decided on their full sets.
+rarely that the similarity is out of reach need no sets, the others are decided on
+their full sets.  The bound lies 6.5 standard deviations low: a pair just at the
+limit is missed with chance 1e-8 (at 85 percent; 4e-9 at 80).
 
 Entries that weren't pivots may still be linked with each other.  They are gathered
 by the pivot of their bucket, however many buckets it has.  What the pivots brought into one
