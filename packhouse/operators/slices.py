@@ -40,6 +40,28 @@ def dealt(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return spark.read.schema(parts.schema).parquet(folder)
 
 
+# How many rows the groups of one bucket may have together before they are cut into slices, and how many buckets there are.
+CROWDED = 1 << 20
+_BUCKETS = 1 << 16
+# More crowded buckets than this aren't named one by one.
+_MOST_NAMED = 1000
+
+
+def crowded(bound: DataFrame) -> Column | None:
+    """Whether a row may be of a large group: one that shares its bucket, by the hash of the columns of ``bound``, with many rows;
+    None where no group is.
+
+    ``bound`` holds the keys of all rows, or some of the keys only, which are cheaper to come by: no group has more rows than its
+    bucket.  Counts are folded in the scan, a row per bucket.
+    """
+    bucket = F.pmod(F.xxhash64(*bound.columns), F.lit(_BUCKETS))
+    counts = bound.groupBy(bucket.alias("bucket")).count().filter(F.col("count") > CROWDED).select("bucket")
+    named = [r["bucket"] for r in counts.limit(_MOST_NAMED + 1).collect()]
+    if len(named) > _MOST_NAMED:
+        return F.lit(True)
+    return bucket.isin(named) if named else None
+
+
 def numbered(rows: DataFrame, keys: list[str], order: list[Column], name: str, slice_: Column | None = None) -> DataFrame:
     """Add the 1-based position of each row in its group, by ``order``.
 
@@ -59,6 +81,11 @@ def numbered(rows: DataFrame, keys: list[str], order: list[Column], name: str, s
     return placed.select(*[c for c in rows.columns if c != "_part"], (F.col("_before") + F.col("_place")).alias(name))
 
 
+def numbered_whole(rows: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """``numbered`` for groups that aren't large, in one shuffle."""
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+
+
 def running_before(rows: DataFrame, keys: list[str], slice_: str, order: list[str], sums: dict[str, Column]) -> DataFrame:
     """Add, per name, the sum of a value over the rows of the group before this one, by ``slice_`` and ``order``.
 

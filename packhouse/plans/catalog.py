@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packhouse.config import Params
@@ -10,7 +10,7 @@ from packhouse.functions import rules
 from packhouse.functions.numbers import pct
 from packhouse.functions.text import DASH, UNKNOWN
 from packhouse.operators.lookups import with_parent
-from packhouse.operators.slices import numbered
+from packhouse.operators.slices import crowded, numbered, numbered_whole
 
 
 def products_by_name(t, p: Params) -> DataFrame:
@@ -43,14 +43,15 @@ def price_history_of(t, p: Params, client_id: str | None, product_id: str | None
 def price_history(t, p: Params) -> DataFrame:
     """Every price with its version number, 1 for the newest of its client and product."""
     history = t.price_history("id", "client_id", "product_id", "selling_price", "changed_at")
-    versions = numbered(
-        history,
-        keys=["client_id", "product_id"],
-        order=[F.col("changed_at").desc(), F.col("id").desc()],
-        name="version",
+    by = ["client_id", "product_id"], [F.col("changed_at").desc(), F.col("id").desc()], "version"
+    # A client's prices of a product are no more than all of that product.
+    large = crowded(t.price_history("product_id"))
+    if large is None:
+        versions = numbered_whole(history, *by)
+    else:
         # Months, newest first; prices without a time come last.
-        slice_=F.coalesce(-(F.year("changed_at") * 12 + F.month("changed_at")), F.lit(1)),
-    )
+        months = F.coalesce(-(F.year("changed_at") * 12 + F.month("changed_at")), F.lit(1))
+        versions = numbered_whole(history.filter(~large), *by).unionByName(numbered(history.filter(large), *by, slice_=months))
     return versions.select(
         "id", "client_id", "product_id", "selling_price", F.date_format("changed_at", "yyyy-MM-dd").alias("changed_on"), "version"
     )

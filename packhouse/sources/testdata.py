@@ -115,6 +115,8 @@ class Testdata:
             text(F.col("l_suppkey")).alias("supplier"),
             F.col("l_linenumber").alias("line_number"),
             F.col("l_orderkey").alias("order_key"),
+            F.col("l_partkey").alias("product_key"),
+            F.col("l_suppkey").alias("supplier_key"),
             hundredths(F.col("l_quantity")).alias("quantity_c"),
             hundredths(F.col("l_extendedprice")).alias("revenue_c"),
             hundredths(F.col("l_discount")).alias("discount_c"),
@@ -144,6 +146,7 @@ class Testdata:
         day = F.col("o_orderdate").cast("date")
         return self._read("orders").select(
             text(F.col("o_orderkey")).alias("id"),
+            F.col("o_orderkey").alias("order_key"),
             text(F.col("o_custkey")).alias("client_id"),
             day.alias("order_date"),
             F.date_add(day, (F.col("o_orderkey") % 5).cast("int")).alias("delivery_date"),
@@ -155,16 +158,21 @@ class Testdata:
 
     @once
     def _order_types(self) -> DataFrame:
-        heads = self._headers().select("id", "client_id", "created_at")
+        heads = self._headers().select("order_key", "client_id", "created_at")
         return with_parent(heads, self.clients("id", "type"), "client_id", {"client_type": "type"})
 
+    @staticmethod
+    def _texts(lines: DataFrame) -> DataFrame:
+        """Ids as text once more, after a join that carried only numbers."""
+        return lines.withColumns({"order_id": text(F.col("order_key")), "product_id": text(F.col("product_key")), "supplier": text(F.col("supplier_key"))})
+
     def _priced(self, lines: DataFrame) -> DataFrame:
         """Add the price a line was sold at: per quarter-kilo pack for a supermarket's kg goods, else per unit."""
         packed = rules.is_supermarket(F.col("client_type")) & (F.col("unit") == rules.KG)
         revenue, quantity = F.col("revenue_d"), F.col("quantity_d")
         price = F.when(packed, revenue / (quantity * 4)).otherwise(revenue / quantity)
         head = {"client_id": "client_id", "client_type": "client_type", "ordered_at": "created_at"}
-        priced = with_parent(lines, self._order_types(), "order_id", head)
+        priced = self._texts(with_parent(lines, self._order_types(), "order_key", head, parent_key="order_key"))
         return self._named(priced.withColumn("selling_price_used", F.when(quantity > 0, price)))
 
     @once
@@ -211,7 +219,8 @@ class Testdata:
             "packaging_cost": money(from_units(F.sum(F.col("revenue_c") * F.col("discount_c")), 4)),
         }
         if with_cost:
-            lines = with_parent(lines, self._costs(), "product_id", {"cost_c": "cost_c"})
+            costs = self._read("part").select("p_partkey", hundredths(F.col("p_retailprice")).alias("cost_c"))
+            lines = self._texts(with_parent(lines, costs, "product_key", {"cost_c": "cost_c"}, parent_key="p_partkey"))
             sums["farmer_cost"] = money(from_units(F.sum(F.col("cost_c") * F.col("quantity_c")), 4))
         return lines.groupBy(F.col("order_id").alias("id")).agg(*[c.alias(name) for name, c in sums.items()])
 
@@ -299,6 +308,8 @@ class Testdata:
     @once
     def price_history(self, *cols: str) -> DataFrame:
         wanted = self._columns("client_pricing_history", cols)
+        if wanted == ["product_id"]:
+            return self.lines().select(*wanted)
         priced = self._priced(self.lines()).withColumnRenamed("ordered_at", "changed_at")
         return priced.withColumn("selling_price", cents(F.col("selling_price_used"))).select(*wanted)
 
