@@ -81,18 +81,31 @@ def _items_with_product(t) -> DataFrame:
 def order_documents(t, p: Params) -> DataFrame:
     """The order document as rows: each item with its position in the order (by id) and all fields of the order's head.
 
-    Orders without items keep one row, at position 0.  Items are numbered by their ids alone, and only then meet what else
-    they show.
+    Orders without items keep one row, at position 0.  Items meet their product first; one shuffle by order then serves both
+    the numbering and the heads.  Only the items of very large orders are numbered in slices, and split over the join.
     """
     cols = ["transport_cost", "packaging_cost", "total_cost", "net_profit", "margin_percentage", "margin_zone"]
     heads = t.orders("id", "client_id", "order_date", "delivery_date", "total_revenue", *cols)
     fields = {"client_name": "name", "client_name_ar": "name_ar", "client_type": "type", "client_phone": "phone", "credit_days": "credit_days"}
     heads = with_parent(heads, t.clients("id", *fields.values()), "client_id", fields).withColumnRenamed("id", "order_id")
     items = _items_with_product(t).withColumnsRenamed({"id": "item_id", "total_revenue": "line_revenue", "total_cost": "line_cost"})
-    ids = t.order_items("order_id", "id").withColumnRenamed("id", "item_id").filter(F.col("order_id").isNotNull())
-    placed = items.join(numbered(ids, ["order_id"], [F.col("item_id").asc()], "position"), ["order_id", "item_id"])
-    empty = heads.join(t.order_items("order_id").distinct(), "order_id", "left_anti").withColumn("position", F.lit(0).cast("long"))
-    return placed.join(heads, "order_id", "inner").unionByName(empty, allowMissingColumns=True)
+    items, by = items.filter(F.col("order_id").isNotNull()), (["order_id"], [F.col("item_id").asc()], "position")
+    # An id that comes more than once in an order takes all of its positions, each time.
+    twins = Window.partitionBy("order_id", "item_id")
+    places = F.sequence(F.min("position").over(twins), F.max("position").over(twins))
+    none = F.lit(0).cast("long")
+
+    def whole(items, heads):
+        placed = numbered_whole(items, *by).withColumn("places", places).withColumn("position", F.explode("places")).drop("places")
+        return placed.join(heads, "order_id", "right").withColumn("position", F.coalesce("position", none))
+
+    large = crowded(t.order_items("order_id"))
+    if large is None:
+        return whole(items, heads)
+    few, rest = whole(items.filter(~large), heads.filter(~large)), heads.filter(large)
+    empty = rest.join(t.order_items("order_id").filter(large).distinct(), "order_id", "left_anti").withColumn("position", none)
+    placed = numbered(items.filter(large), *by).withColumn("places", places).withColumn("position", F.explode("places")).drop("places")
+    return few.unionByName(placed.join(rest, "order_id", "inner")).unionByName(empty, allowMissingColumns=True)
 
 
 def order_documents_flat(t, p: Params) -> DataFrame:
