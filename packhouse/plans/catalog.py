@@ -89,22 +89,26 @@ def order_documents(t, p: Params) -> DataFrame:
     fields = {"client_name": "name", "client_name_ar": "name_ar", "client_type": "type", "client_phone": "phone", "credit_days": "credit_days"}
     heads = with_parent(heads, t.clients("id", *fields.values()), "client_id", fields).withColumnRenamed("id", "order_id")
     items = _items_with_product(t).withColumnsRenamed({"id": "item_id", "total_revenue": "line_revenue", "total_cost": "line_cost"})
-    items, by = items.filter(F.col("order_id").isNotNull()), (["order_id"], [F.col("item_id").asc()], "position")
-    # An id that comes more than once in an order takes all of its positions, each time.
-    twins = Window.partitionBy("order_id", "item_id")
-    places = F.sequence(F.min("position").over(twins), F.max("position").over(twins))
+    items = items.filter(F.col("order_id").isNotNull())
+    ids = t.order_items("order_id", "id").withColumnRenamed("id", "item_id").filter(F.col("order_id").isNotNull())
     none = F.lit(0).cast("long")
 
-    def whole(items, heads):
-        placed = numbered_whole(items, *by).withColumn("places", places).withColumn("position", F.explode("places")).drop("places")
+    def whole(items, ids, heads):
+        # Ids alone are counted, as a parent that repeats gives an item several rows.  An id that comes more than once in an
+        # order takes all of its positions, each time.
+        both = items.withColumn("counts", F.lit(0)).unionByName(ids.withColumn("counts", F.lit(1)), allowMissingColumns=True)
+        last = F.sum("counts").over(Window.partitionBy("order_id").orderBy("item_id"))
+        twins = F.sum("counts").over(Window.partitionBy("order_id", "item_id"))
+        both = both.withColumns({"last": last, "twins": twins}).filter("counts = 0 and twins > 0")
+        placed = both.withColumn("position", F.explode(F.sequence(F.expr("last - twins + 1"), "last"))).drop("counts", "last", "twins")
         return placed.join(heads, "order_id", "right").withColumn("position", F.coalesce("position", none))
 
-    large = crowded(t.order_items("order_id"))
+    large = crowded(ids.select("order_id"))
     if large is None:
-        return whole(items, heads)
-    few, rest = whole(items.filter(~large), heads.filter(~large)), heads.filter(large)
-    empty = rest.join(t.order_items("order_id").filter(large).distinct(), "order_id", "left_anti").withColumn("position", none)
-    placed = numbered(items.filter(large), *by).withColumn("places", places).withColumn("position", F.explode("places")).drop("places")
+        return whole(items, ids, heads)
+    few, rest = whole(items.filter(~large), ids.filter(~large), heads.filter(~large)), heads.filter(large)
+    empty = rest.join(ids.select("order_id").filter(large).distinct(), "order_id", "left_anti").withColumn("position", none)
+    placed = items.filter(large).join(numbered(ids.filter(large), ["order_id"], [F.col("item_id").asc()], "position"), ["order_id", "item_id"])
     return few.unionByName(placed.join(rest, "order_id", "inner")).unionByName(empty, allowMissingColumns=True)
 
 
