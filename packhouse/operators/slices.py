@@ -19,11 +19,12 @@ RANGE_BYTES = 128 * 1024 * 1024
 _MOST_RANGES = 50_000
 
 
-def ranges_for(rows: DataFrame) -> int:
-    """How many ranges rows ask for: by the size of the files they come from, and at least the session's shuffle partitions."""
+def ranges_for(rows: DataFrame, least: int | None = None) -> int:
+    """How many ranges rows ask for: by the size of the files they come from, and at least the session's shuffle partitions
+    (or ``least``)."""
     leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
     size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(_MOST_RANGES, -(-size // RANGE_BYTES)))
+    return max(least or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(_MOST_RANGES, -(-size // RANGE_BYTES)))
 
 
 def dealt(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packhouse.operators.changes import DELETE, UPSERT
+from packhouse.operators.slices import ranges_for
 from packhouse.session import remove, work_dir
 from packhouse.streaming.state import KeyedState
 
@@ -57,8 +58,9 @@ class KeptFigure:
 
     ALL = "_all"  # the key of a figure without groups
 
-    def __init__(self, folder: str, figure: Figure):
-        self.figure, self.folder = figure, folder
+    def __init__(self, folder: str, figure: Figure, rows_of: KeptFigure | None = None):
+        """``rows_of``: a figure over the same columns, called before this one, whose known rows this one shares."""
+        self.figure, self.folder, self.rows_of = figure, folder, rows_of
         self.order = "changed_at timestamp, seq string"
         self.rows = KeyedState(f"{folder}/rows", ["id"], f"id string, op string, {self.order}, {figure.columns}")
         groups = ", ".join(f"{n} {t}" for n, (_, t) in figure.groups.items())
@@ -67,10 +69,10 @@ class KeptFigure:
         self.sums = KeyedState(f"{folder}/sums", self.keys, ", ".join(x for x in (f"{self.ALL} int", groups, sums, "row_count long") if x))
         self.done = -1
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark, figure = batch.sparkSession, self.figure
+    def _touched(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """(id, new, old) of the rows that the batch changes, written; the known rows follow."""
+        spark = batch.sparkSession
         self.rows.forget(spark, batch_id)
-        self.sums.forget(spark, batch_id)
         if batch_id > 1:
             remove(spark, f"{self.folder}/touched/{batch_id - 2:09d}")
         shape = spark.createDataFrame([], self.rows.ddl)
@@ -82,9 +84,14 @@ class KeptFigure:
         later = F.col("old").isNull() | (F.struct("new.changed_at", "new.seq") > F.struct("old.changed_at", "old.seq"))
         path = f"{self.folder}/touched/{batch_id:09d}"
         both.filter(later).write.mode("overwrite").parquet(path)
-        touched = spark.read.schema(both.schema).parquet(path)
-        self.rows.write(touched.select("id", "new.*"), batch_id)
+        self.touched = spark.read.schema(both.schema).parquet(path)
+        self.rows.write(self.touched.select("id", "new.*"), batch_id)
+        return self.touched
 
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, figure = batch.sparkSession, self.figure
+        self.sums.forget(spark, batch_id)
+        touched = self.rows_of.touched if self.rows_of else self._touched(batch, batch_id)
         now, was = (touched.filter(F.col(f"{side}.op") == UPSERT).select(f"{side}.*") for side in ("new", "old"))
         delta = figure.folded(figure.contributions(now, 1).unionByName(figure.contributions(was, -1))).withColumn(self.ALL, F.lit(0))
         before = self.sums.before(spark, batch_id)
@@ -107,16 +114,22 @@ def feed_files(feed: DataFrame, folder: str, files: int) -> None:
     feed.repartitionByRange(files, "changed_at").write.parquet(folder)
 
 
-def run_kept(feed: DataFrame, figures: list[Figure], files: int = 4, files_a_batch: int = 2, after: Callable | None = None) -> list[DataFrame]:
+def run_kept(feed: DataFrame, figures: list[Figure], files: int | None = None, files_a_batch: int | None = None, after: Callable | None = None) -> list[DataFrame]:
     """Runs a feed through a stream until it is used up; each figure's groups and sums then.
 
     The feed is written once, under the shared folder, and read in batches; ``after(batch_id, kept)`` is called after
-    each.
+    each.  It has as many files as its bytes ask for, so that no task writes or reads more of a larger feed, and two
+    batches, as each batch reads what is known of all rows.
     """
     spark = feed.sparkSession
     folder = work_dir(spark, "kept")
-    feed_files(feed, f"{folder}/feed", files)
-    kept = [KeptFigure(f"{folder}/{f.name}", f) for f in figures]
+    feed_files(feed, f"{folder}/feed", files or ranges_for(feed, least=4))
+    written = len(spark.read.schema(feed.schema).parquet(f"{folder}/feed").inputFiles())
+    files_a_batch = files_a_batch or max(1, -(-written // 2))
+    kept: list[KeptFigure] = []
+    for f in figures:
+        same = [k for k in kept if k.figure.columns == f.columns and not k.rows_of]
+        kept.append(KeptFigure(f"{folder}/{f.name}", f, same[0] if same else None))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         for k in kept:
