@@ -427,14 +427,23 @@ class Testdata:
     # -------------------------------------------------------- change feeds
 
     @staticmethod
-    def _event(rows: DataFrame, at, seq: str, op: str = "upsert", **values) -> DataFrame:
-        """Rows as events of a feed, with some values changed."""
-        rows = rows.withColumns(values) if values else rows
-        return rows.withColumns({"op": F.lit(op), "changed_at": at.cast("timestamp"), "seq": F.lit(seq)})
+    def _event(when, at, seq: str, op: str = "upsert", **values) -> tuple:
+        """What rows with ``when`` give a feed: themselves, with some values changed."""
+        return when, {**values, "op": F.lit(op), "changed_at": at.cast("timestamp"), "seq": F.lit(seq)}
 
     @staticmethod
-    def _feed_of(columns: list[str], *events: DataFrame) -> DataFrame:
-        return reduce(DataFrame.unionByName, [e.select("id", *columns, "op", "changed_at", "seq") for e in events])
+    def _several(rows: DataFrame, columns: list[str], *made: tuple) -> DataFrame:
+        """Of each row one row per (when, changed values) that holds for it, from one pass over the rows."""
+        types = dict(zip(rows.columns, (f.dataType for f in rows.schema)))
+
+        def one(when, values):
+            row = F.struct(*[(values[c].cast(types[c]) if c in types else values[c]).alias(c) if c in values else F.col(c) for c in columns])
+            return F.when(when, row)
+
+        return rows.select(F.inline(F.array_compact(F.array(*[one(*m) for m in made]))))
+
+    def _feed_of(self, rows: DataFrame, columns: list[str], *events: tuple) -> DataFrame:
+        return self._several(rows, ["id", *columns, "op", "changed_at", "seq"], *events)
 
     def order_feed(self) -> DataFrame:
         """Orders as they came, were moved to another day or client, and were deleted."""
@@ -444,14 +453,15 @@ class Testdata:
         heads = self._headers().select("id", "priority", "order_status", "quoted_price", F.col("created_at").cast("date").alias("came"))
         rows = rows.join(heads, "id")
         zero = F.lit(0).cast("decimal(18,2)")
-        urgent = rows.filter(F.col("priority") == "1-URGENT")
+        every, urgent = F.lit(True), F.col("priority") == "1-URGENT"
         return self._feed_of(
+            rows,
             [*columns, "base_cost"],
-            self._event(rows, F.date_sub("came", 1), "draft", total_revenue=zero, net_profit=zero, base_cost=F.lit(None).cast("decimal(18,4)")),
-            self._event(rows, F.col("came"), "order"),
+            self._event(every, F.date_sub("came", 1), "draft", total_revenue=zero, net_profit=zero, base_cost=F.lit(None).cast("decimal(18,4)")),
+            self._event(every, F.col("came"), "order"),
             self._event(urgent, F.date_add("came", 3), "moved", order_date=F.date_add("order_date", 2), total_revenue=F.col("quoted_price")),
-            self._event(rows.filter(F.col("priority") == "2-HIGH"), F.date_add("came", 3), "client", client_id=F.concat(F.lit("new-"), F.col("client_id"))),
-            self._event(rows.filter(F.col("order_status") == "P"), F.date_add("came", 5), "gone", "delete"),
+            self._event(F.col("priority") == "2-HIGH", F.date_add("came", 3), "client", client_id=F.concat(F.lit("new-"), F.col("client_id"))),
+            self._event(F.col("order_status") == "P", F.date_add("came", 5), "gone", "delete"),
         )
 
     def payment_feed(self) -> DataFrame:
@@ -460,11 +470,12 @@ class Testdata:
         rows = self.payments("id", "order_id", "amount").join(heads, "order_id").withColumn("status", F.lit("pending"))
         state = F.when(F.col("order_status") == "F", rules.PAID).otherwise("pending")
         return self._feed_of(
+            rows,
             ["amount", "status"],
-            self._event(rows, F.col("came"), "due"),
-            self._event(rows.filter(F.col("order_status") == "F"), F.date_add("came", 10), "paid", status=F.lit(rules.PAID)),
-            self._event(rows.filter(F.col("priority") == "2-HIGH"), F.date_add("came", 20), "set", status=state, amount=money(F.col("quoted_price") - 2)),
-            self._event(rows.filter(F.col("priority") == "5-LOW"), F.date_add("came", 30), "gone", "delete"),
+            self._event(F.lit(True), F.col("came"), "due"),
+            self._event(F.col("order_status") == "F", F.date_add("came", 10), "paid", status=F.lit(rules.PAID)),
+            self._event(F.col("priority") == "2-HIGH", F.date_add("came", 20), "set", status=state, amount=money(F.col("quoted_price") - 2)),
+            self._event(F.col("priority") == "5-LOW", F.date_add("came", 30), "gone", "delete"),
         )
 
     def batch_feed(self) -> DataFrame:
@@ -474,13 +485,14 @@ class Testdata:
         rows = with_parent(rows, self.products("id", "cost_per_unit"), "product_id", {"cost": "cost_per_unit"})
         day = F.col("harvest_date")
         return self._feed_of(
+            rows,
             columns,
-            self._event(rows, day, "in"),
+            self._event(F.lit(True), day, "in"),
             self._event(
-                rows.filter(F.col("damaged_qty") > 0), F.date_add(day, 40), "edit", harvested_qty=money(F.col("harvested_qty") + 1),
+                F.col("damaged_qty") > 0, F.date_add(day, 40), "edit", harvested_qty=money(F.col("harvested_qty") + 1),
                 expired_qty=money(F.lit(0)), waste_value=cents(F.col("damaged_qty") * F.col("cost")),
             ),
-            self._event(rows.filter(F.col("product_id").cast("long") % 7 == 0), F.date_add(day, 60), "gone", "delete"),
+            self._event(F.col("product_id").cast("long") % 7 == 0, F.date_add(day, 60), "gone", "delete"),
         )
 
     # ----------------------------------------------------- change requests
