@@ -26,7 +26,8 @@ from packhouse.functions import rules
 from packhouse.functions.numbers import LINE_MONEY, zero_if_null
 from packhouse.operators import quality
 from packhouse.operators.lookups import with_parent
-from packhouse.operators.slices import dealt, since_last
+from packhouse.operators.slices import crowded, dealt, since_last
+from packhouse.session import work_dir
 
 HEADER = ["client_id", "delivery_date", "total_revenue", "total_cost", "net_profit", "margin_percentage", "margin_zone"]
 ACTION = (
@@ -55,7 +56,14 @@ def apply_log(orders: DataFrame, payments: DataFrame, log: DataFrame, applied: D
     if applied is not None:
         accepted = accepted.join(applied.select("action_id").distinct(), "action_id", "left_anti")
     accepted = accepted.dropDuplicates(["action_id"])
-    parts = dealt(accepted, ["order_id"], [F.col(c).asc() for c in ORDER])
+    # Written once, as several folds read it; only the actions of very large orders are dealt out by ranges.
+    folder = work_dir(log.sparkSession, "order-log")
+    accepted.write.parquet(folder)
+    written = log.sparkSession.read.schema(accepted.schema).parquet(folder)
+    large = crowded(written.select("order_id"))
+    parts = (written if large is None else written.filter(~large)).withColumn("_part", F.lit(0))
+    if large is not None:
+        parts = parts.unionByName(dealt(written.filter(large), ["order_id"], [F.col(c).asc() for c in ORDER]))
 
     at = F.struct(*ORDER)
     header = F.struct(*HEADER, "due_date")

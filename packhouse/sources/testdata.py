@@ -669,11 +669,9 @@ class Testdata:
         later = F.date_add("delivery_date", 3)
         now = money(quoted - 3)
         cost = money(quoted - 103)
-        links = self.waste_links().select("link_key", "order_id")
-        batches = self.batches("id", "product_id", "harvest_date", "damaged_qty", "expired_qty")
-        batches = with_parent(batches, self.products("id", "cost_per_unit"), "product_id", {"cost": "cost_per_unit"})
-        keys = F.when(F.col("product_id").cast("long") % 2 == 0, F.col("id")).otherwise(F.concat_ws("_", "product_id", text(F.col("harvest_date"))))
-        linked = batches.withColumn("link_key", keys).join(links, "link_key")
+        # The order that a batch's link names: links are keyed by batch, so each batch has its own.
+        linked = self._batch_rollup().filter(F.col("linked_order").isNotNull()).withColumn("order_id", text(F.col("linked_order")))
+        linked = with_parent(linked, self.products("id", "cost_per_unit"), "product_id", {"cost": "cost_per_unit"})
         waste = ((F.col("damaged_qty") + F.col("expired_qty")) * F.col("cost")).cast("decimal(18,4)")
         return reduce(
             DataFrame.unionByName,
