@@ -500,9 +500,13 @@ class Testdata:
     @once
     def _feed(self) -> DataFrame:
         """The line table as a change feed: returned lines delete, seventh lines name new products."""
+        return self._feed_of_lines(self.lines())
+
+    def _feed_of_lines(self, lines: DataFrame, *more: str) -> DataFrame:
         price = F.col("revenue_d") / F.col("quantity_d")
         new = F.col("line_number") == 7
-        return self._named(self.lines()).select(
+        return self._named(lines).select(
+            *more,
             "order_id",
             F.when(new, F.concat(F.lit("new-"), F.col("product_id"))).otherwise(F.col("product_id")).alias("product_id"),
             F.col("product_id").alias("known_product_id"),
@@ -518,8 +522,8 @@ class Testdata:
     def _faulty(self, feed: DataFrame, blanks: dict[int, dict]) -> DataFrame:
         """The feed, and later upserts that leave out what a write asks for, by line number."""
         late = {"op": F.lit("upsert"), "changed_at": F.date_add("changed_at", 9000).cast("timestamp"), "seq": F.concat(F.lit("bad-"), F.col("seq"))}
-        wrong = [feed.filter((F.col("line_number") == n) & (F.col("op") == "upsert")).withColumns({**late, **blank}) for n, blank in blanks.items()]
-        return reduce(DataFrame.unionByName, [feed, *wrong])
+        wrong = [((F.col("line_number") == n) & (F.col("op") == "upsert"), {**late, **blank}) for n, blank in blanks.items()]
+        return self._several(feed, feed.columns, (F.lit(True), {}), *wrong)
 
     def product_changes(self) -> DataFrame:
         feed = self._faulty(self._feed(), {3: {"name": F.lit("")}, 4: {"name": F.lit(None).cast("string"), "price": F.lit(None).cast("decimal(18,2)")}})
@@ -550,7 +554,9 @@ class Testdata:
         )
 
     def price_changes(self) -> DataFrame:
-        feed = with_parent(self._feed(), self._headers(), "order_id", {"client_id": "client_id"})
+        # Lines meet their order as numbers, before ids and texts are made of them.
+        lines = with_parent(self.lines(), self._headers(), "order_key", {"client_id": "client_id"}, parent_key="order_key")
+        feed = self._feed_of_lines(self._texts(lines), "client_id")
         feed = self._faulty(feed, {3: {"client_id": F.lit("")}, 4: {"product_id": F.lit("")}, 5: {"price": F.lit(None).cast("decimal(18,2)")}})
         return feed.select("client_id", "product_id", F.col("price").alias("selling_price"), "op", "changed_at", "seq")
 
