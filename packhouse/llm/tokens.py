@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from array import array
 
 import numpy as np
@@ -17,6 +18,8 @@ import numpy as np
 _KEEP = 176 << 20
 _ENTRY = 180
 _loaded: dict[str, WordIds] = {}
+# Characters beyond U+024F, and the one below that has two in lower case.
+_OTHERS = re.compile("[^\x00-\u012f\u0131-\u024f]")
 
 
 def _lower(t: bytes) -> bytes:
@@ -24,11 +27,11 @@ def _lower(t: bytes) -> bytes:
     if t.isascii():
         return t.lower()
     text = t.decode("utf-8", "replace")
-    return text.lower().encode() if max(text) < "\u0250" and "\u0130" not in text else t
+    return t if _OTHERS.search(text) else text.lower().encode()
 
 
 def _normal(text: str) -> bool:
-    return text == text.lower() and (text.isascii() or (max(text) < "\u0250" and "\u0130" not in text))
+    return text == text.lower() and (text.isascii() or not _OTHERS.search(text))
 
 
 def _byte_characters() -> dict[int, str]:
@@ -82,12 +85,17 @@ class WordIds:
 
         def letters(x: bytes) -> bytes | None:
             """Ids of a run of letters: one word of the model, in the characters that stand for its bytes."""
-            text = x.decode("utf-8", "replace")
-            if not (text.isalpha() and _normal(text)):
-                return None
+            # Letters of ASCII stand for their own bytes; of bytes, only these count as letters.
+            if x.isalpha() and x.islower():
+                shown = x.decode("ascii")
+            else:
+                text = x.decode("utf-8", "replace")
+                if not (text.isalpha() and _normal(text)):
+                    return None
+                shown = x.decode("latin-1").translate(_BYTES)
             found = known.get(x)
             if found is None:
-                found = known[x] = array("H", [t.id for t in merge(x.decode("latin-1").translate(_BYTES))]).tobytes()
+                found = known[x] = array("H", [t.id for t in merge(shown)]).tobytes()
             return found
 
         for x in new:
