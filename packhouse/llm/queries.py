@@ -119,7 +119,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "labels", "doc_id", "toxic")
     model = toxicity.fit(toxicity.training_rows(docs, labels.where(toxicity.crc_fold("doc_id", 4) != 2), "toxic"))
     return toxicity.score(docs, model).select(
-        "doc_id", (toxicity.crc_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "ratio"
+        "doc_id", (toxicity.crc_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "ratio", "mean", "peak"
     )
 
 

@@ -1,31 +1,43 @@
-"""Toxicity by class-conditional Kneser-Ney models of words.
-
-Words are runs of letters and digits, A-Z lower-cased.  A word's count in a
-class is its Kneser-Ney continuation count there, the number of different words
-it follows, so that an expression repeated in copies of one text counts once.
-Counts are discounted and interpolated with the continuation counts that both
-classes share: a rare expression falls back on them, where the classes agree,
-and so says nothing.  A word's log-likelihoods under the two models are
-compared, and a text scores by its most toxic word, which needs no correction
-for length; the score is a logistic curve over that ratio, fitted on all training
-texts.
-
-Raw counts of the highest order are left out on purpose: copies inflate them.
-
-A null or empty text, or one without a known expression, has ratio 0 and the
-score that goes with it.  With training texts of one class only (or none)
-every ratio is 0 and the score is the smoothed share of the toxic class.
-Rows are scored one by one, so repeated rows get equal scores.
+"""Toxicity by class-conditional Kneser-Ney models of words and bigrams.
+
+Words are runs of letters and digits, A-Z lower-cased.  Each class has a model of
+words and of bigrams, both counted once a distinct text, so that copies of a text
+count once.  A bigram's count is the number of texts that have it, a word's is its
+Kneser-Ney continuation count, the number of different words it follows.  Counts
+are discounted; what the discount frees goes to the next shorter level, and from
+words to the counts that both classes share:
+
+    q(w)   = (a(w) - D) / A + m shared(w)
+    p(w|h) = (c(hw) - D) / C(h) + l(h) [half both(hw) + (1 - half of both's sum for h) q(w)]
+
+with both(hw) the discounted share of hw after h in the two classes together.  A
+text's log-likelihoods under the two models are divided by its words; their
+difference is the first of the three numbers that tell of a text.  It is thin where
+a long text has one toxic expression, so there are two more: the highest difference
+of one of its bigrams or words, and that of one of its words by a model of words alone, with
+a discount that leaves out what follows few words.  The score is a logistic curve
+over the three.  A text's own bigrams would tell its class, so the curve is fitted
+on a quarter of the training texts, and the models of words and bigrams are made of
+the others.
+
+Both models have the words and bigrams that the toxic class has, however rare.  A
+bigram or word that only ordinary texts have is left to the next level in both,
+with the weight that its own counts free there, so each p still sums to 1.
+
+A null or empty text has the difference 0 in all three and the score that goes with
+it.  With training texts of one class only (or none) all are 0 and the score is the
+smoothed share of the toxic class.  Rows are scored one by one, so repeated rows get
+equal scores.
 
 The model is a table of any size.  One measured small is sent to every task;
-a larger one is joined to the distinct words of each text, with the same result.
+a larger one is joined to the distinct words and bigrams of each text, with the same result.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,26 +56,73 @@ class Settings:
     """Discount, weight of the shared counts, and up to how many words (16 bytes each) a table is sent to every task.
 
     Words are candidates if the toxic class uses them at least ``least_lift`` times as often as the ordinary one.
+    These are of the model of words alone; ``kneser_ney`` is the discount of the models of words and bigrams, whose tables
+    have bigrams too and are sent up to four times as many rows.
     """
 
     discount: float = 3.0
     shared: float = 0.1
     least_lift: float = 1.5
     small: int = 1 << 20
+    kneser_ney: float = 0.75
+    # One in so many training texts is kept for the curve.
+    held: int = 4
+
+
+@dataclass
+class Grams:
+    """What words and bigrams add to the difference of a text's log-likelihoods, by name, and the difference of a place that has them.
+
+    Sorted arrays, or a table (name, delta, peak) where they are too many for every task.  Name 0 has what every word adds.
+    """
+
+    name: np.ndarray
+    delta: np.ndarray
+    peak: np.ndarray
+    each: float
+    rows: DataFrame | None = None
+
+    @staticmethod
+    def none() -> Grams:
+        return Grams(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.float32), 0.0)
 
 
 @dataclass
 class Model:
-    """Log-likelihood ratios of words, all above 0: sorted arrays, or a table (word, ratio) where they are too many for every task."""
+    """Log-likelihood ratios of words, all above 0, by sorted arrays, and of ``grams``.
+
+    Where one of them is too large for every task, ``table`` has both: (name, delta, peak, ratio).
+    """
 
     name: np.ndarray
     ratio: np.ndarray
-    slope: float
-    offset: float
+    grams: Grams
+    curve: np.ndarray
     table: DataFrame | None = None
 
-    def score(self, ratio: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * ratio + self.offset)))
+    def score(self, told: np.ndarray) -> np.ndarray:
+        """Of rows (ratio, mean, peak)."""
+        return 1 / (1 + np.exp(-(_design(told) @ self.curve)))
+
+
+# Names of a word as the one that others follow, and as the one that follows, are apart from each other and from bigrams'.
+_HEAD = 0x51ED270B7A1F3C25
+_TAIL = 0x2545F4914F6CDD1D
+_FEATURES = ("ratio", "mean", "peak")
+
+
+def _design(told: np.ndarray) -> np.ndarray:
+    return np.column_stack([told, np.ones(len(told))])
+
+
+def _pair_name(head: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Names of words are mixed already."""
+    return head ^ (word << np.uint64(1) | word >> np.uint64(63))
+
+
+def _name_of_pair():
+    """The same of columns head and word."""
+    return F.col("head").bitwiseXOR(F.shiftleft("word", 1).bitwiseOR(F.shiftrightunsigned("word", 63)))
 
 
 def tokens(chunk: X.Chunk) -> X.Words:
@@ -84,25 +143,56 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _by_class(c: X.Chunk, toxic: np.ndarray):
-    """For both classes: the words of its rows, and the word before each (0: none)."""
-    names, before, of = [], [], []
+def _places(c: X.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, word and the word before it (0: none) of each place."""
+    rows, names, before = [], [], []
     for s in X.chunks(pa.Array.from_buffers(pa.large_binary(), c.hi - c.lo, [None, pa.py_buffer(c.off.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(c.buf))])):
         w = tokens(s)
-        prev = np.zeros(len(w.name), np.uint64)
-        prev[1:] = w.name[:-1]
-        heads = w.first[:-1]
-        prev[heads[heads < len(prev)]] = 0
         names.append(w.name)
-        before.append(prev)
-        of.append(toxic[c.lo + s.lo + w.rows()])
-    name, prev, cls = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (names, before, of))
+        before.append(_before(w))
+        rows.append(s.lo + w.rows())
+    return tuple(np.concatenate(x) if x else np.zeros(0, k) for x, k in ((rows, np.int64), (names, np.uint64), (before, np.uint64)))
+
+
+def _before(w: X.Words) -> np.ndarray:
+    prev = np.zeros(len(w.name), np.uint64)
+    prev[1:] = w.name[:-1]
+    heads = w.first[:-1]
+    prev[heads[heads < len(prev)]] = 0
+    return prev
+
+
+def _by_class(c: X.Chunk, toxic: np.ndarray):
+    """For both classes: the words of its rows, and the word before each (0: none)."""
+    row, name, prev = _places(c)
+    cls = toxic[c.lo + row]
     for k in (0, 1):
         at = cls == k
         if at.any():
             yield k, name[at], prev[at]
 
 
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(head, word, c0, c1): the bigrams of each chunk, and how many texts of both classes have them; by head, so that they are compressed well."""
+    for b in batches:
+        toxic = b.column(1).to_numpy(zero_copy_only=False)
+        for c in X.chunks(b.column(0), 8 * X.CHUNK):
+            row, word, head = _places(c)
+            follows = head != 0
+            row, word, head = row[follows], word[follows], head[follows]
+            name = _pair_name(head, word)
+            once = np.lexsort((name, row))
+            new = np.ones(len(once), bool)
+            new[1:] = (np.diff(row[once]) != 0) | (name[once][1:] != name[once][:-1])
+            once = once[new]
+            _, first, of = np.unique(name[once], return_index=True, return_inverse=True)
+            own, head, word = toxic[c.lo + row[once]], head[once][first], word[once][first]
+            order = np.argsort(head)
+            counts = [np.bincount(of[own == k], minlength=len(first))[order] for k in (0, 1)]
+            names = [X.as_long(x[order]) for x in (head, word)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*names, *counts)], ["head", "word", "c0", "c1"])
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, column: str, key: str = "doc_id", text: str = "text", small: int = 1 << 20) -> DataFrame:
     """(text, label 0/1) of labelled rows.  Up to ``small`` labels (16 bytes each) are broadcast, more are shuffled."""
     known = labels.where(f"{key} is not null and {column} in (0, 1)").groupBy(key).agg(F.max(column).cast("int").alias("label"))
@@ -116,15 +206,76 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Model:
     by_word = counts.groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n1"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("n0"))
     total = counts.groupBy("toxic").agg(F.sum("n").alias("n")).collect()
     n = {r["toxic"]: r["n"] for r in total}
-    none = Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, 0.0)
-    if n.get(0) and n.get(1):
-        work = Work(rows.sparkSession, "toxicity")
-        lift = (F.col("n1") / n[1]) / ((F.col("n0") + 1) / n[0])
-        able = work.cut(by_word.where((F.col("n1") > settings.discount) & (lift >= settings.least_lift)).select("word"), "able")
-        model = _ratios(rows, able, n, settings, work)
-    else:
-        model = none
-    return _calibrate(rows, model)
+    model = Model(np.zeros(0, np.uint64), np.zeros(0), Grams.none(), np.zeros(len(_FEATURES) + 1))
+    if not (n.get(0) and n.get(1)):
+        return replace(model, curve=_calibrate(rows, model))
+    work = Work(rows.sparkSession, "toxicity")
+    lift = (F.col("n1") / n[1]) / ((F.col("n0") + 1) / n[0])
+    able = work.cut(by_word.where((F.col("n1") > settings.discount) & (lift >= settings.least_lift)).select("word"), "able")
+    name, ratio, ratios = _ratios(rows, able, n, settings, work)
+    held = F.pmod(F.xxhash64("text"), F.lit(settings.held)) == 0
+    texts = rows.where(~held).dropDuplicates(["text", "label"])
+    counted = texts.mapInArrow(_pair_counts, "head long, word long, c0 long, c1 long").groupBy("head", "word").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    grams = _grams(work.cut(counted.sortWithinPartitions("head"), "bigrams"), settings, work)
+    model = replace(model, grams=grams)
+    if name is None or grams.rows is not None:
+        own = _as_rows(rows.sparkSession, grams) if grams.rows is None else grams.rows
+        both = own.unionByName(ratios.select(F.col("word").bitwiseXOR(F.lit(_TAIL)).alias("name"), "ratio"), allowMissingColumns=True)
+        table = work.cut(both.groupBy("name").agg(*[F.coalesce(F.max(x), F.lit(0.0)).alias(x) for x in ("delta", "peak", "ratio")]), "model")
+        model = replace(model, table=table)
+    if name is not None:
+        model = replace(model, name=name, ratio=ratio)
+    return replace(model, curve=_calibrate(rows.where(held), model))
+
+
+def _as_rows(spark, grams: Grams) -> DataFrame:
+    name = np.append(grams.name, np.uint64(0))
+    cols = [X.as_long(name), np.append(grams.delta, np.float32(grams.each)), np.append(grams.peak, np.float32(0))]
+    return spark.createDataFrame(pa.table([pa.array(c) for c in cols], ["name", "delta", "peak"]))
+
+
+def _grams(pairs: DataFrame, s: Settings, work: Work) -> Grams:
+    """The two models over bigrams (head, word) that c1 toxic and c0 ordinary texts have."""
+    # What is left of a count, only where the toxic class has the word or bigram.
+    left = lambda c, toxic: F.when(F.col(toxic) > 0, F.greatest(c - s.kneser_ney, F.lit(0.0))).otherwise(0.0)
+    c0, c1, a0, a1 = (F.col(c) for c in ("c0", "c1", "a0", "a1"))
+    seen = [F.sum((c > 0).cast("long")).alias(a) for c, a in ((c0, "a0"), (c1, "a1"))]
+    words = work.cut(pairs.groupBy("word").agg(*seen), "words")
+    t = words.agg(F.sum("a0").alias("a0"), F.sum("a1").alias("a1"), F.sum(left(a0, "a1")).alias("l0"), F.sum(left(a1, "a1")).alias("l1")).first()
+    if not (t["a0"] and t["a1"]):
+        return Grams.none()
+    free = [1 - t[f"l{k}"] / t[f"a{k}"] for k in (0, 1)]
+    shared = (a0 + a1) / (t["a0"] + t["a1"])
+    q = [left(a, "a1") / t[f"a{k}"] + free[k] * shared for k, a in enumerate((a0, a1))]
+    each = float(np.log(free[1] / free[0]))
+    words = words.where("a1 > 0").select("word", q[0].alias("q0"), q[1].alias("q1"), (F.log(q[1] / q[0]) - each).alias("tail"))
+    heads = pairs.groupBy("head").agg(
+        F.sum("c0").alias("n0"), F.sum("c1").alias("n1"),
+        F.sum(left(c0, "c1")).alias("l0"), F.sum(left(c1, "c1")).alias("l1"), F.sum(left(c0 + c1, "c1")).alias("l"),
+    ).where("n1 > 0")
+    n0, n1 = F.col("n0"), F.col("n1")
+    free0, free1 = F.when(n0 > 0, 1 - F.col("l0") / n0).otherwise(1.0), 1 - F.col("l1") / n1
+    heads = work.cut(heads.select("head", "n0", "n1", free0.alias("free0"), free1.alias("free1"), (1 - 0.5 * F.col("l") / (n0 + n1)).alias("rest"), F.log(free1 / free0).alias("ahead")), "heads")
+    heads, words = (F.broadcast(x) if x.count() <= s.small else x for x in (heads, words))
+    known = pairs.where("c1 > 0").join(heads, "head").join(words, "word")
+    both = 0.5 * left(c0 + c1, "c1") / (n0 + n1)
+    p0 = F.when(n0 > 0, left(c0, "c1") / n0).otherwise(0.0) + F.col("free0") * (both + F.col("rest") * F.col("q0"))
+    p1 = left(c1, "c1") / n1 + F.col("free1") * (both + F.col("rest") * F.col("q1"))
+    peak = F.log(p1 / p0)
+    real = lambda c: c.cast("float")
+    none = real(F.lit(0.0)).alias("peak")
+    # A place adds its word's, and that of the word before; a bigram of both models adds what makes the sum its own.
+    of_pairs = known.select(_name_of_pair().alias("name"), real(peak - each - F.col("tail") - F.col("ahead")).alias("delta"), real(peak).alias("peak"))
+    of_words = words.select(F.col("word").bitwiseXOR(F.lit(_TAIL)).alias("name"), real(F.col("tail")).alias("delta"), real(F.col("tail") + each).alias("peak"))
+    of_heads = heads.select(F.col("head").bitwiseXOR(F.lit(_HEAD)).alias("name"), real(F.col("ahead")).alias("delta"), none)
+    rows = work.cut(of_pairs.unionByName(of_words).unionByName(of_heads), "grams")
+    if rows.count() > 4 * s.small:
+        first = work.spark.range(1).select(F.lit(0).cast("long").alias("name"), real(F.lit(each)).alias("delta"), none)
+        return replace(Grams.none(), each=each, rows=rows.unionByName(first))
+    found = rows.toArrow()
+    name = found.column("name").to_numpy().view(np.uint64)
+    order = np.argsort(name)
+    return Grams(name[order], found.column("delta").to_numpy()[order], found.column("peak").to_numpy()[order], each)
 
 
 def _member(sorted_names: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,8 +286,8 @@ def _member(sorted_names: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.
     return at, sorted_names[at] == name
 
 
-def _ratios(rows: DataFrame, able: DataFrame, n: dict[int, int], s: Settings, work: Work) -> Model:
-    """The model of the words of ``able``."""
+def _ratios(rows: DataFrame, able: DataFrame, n: dict[int, int], s: Settings, work: Work) -> tuple[np.ndarray | None, np.ndarray | None, DataFrame]:
+    """The model of the words of ``able``: sorted arrays where they are few, and as a table (word, ratio)."""
     few = able.count() <= s.small
     words = np.sort(able.toArrow().column("word").to_numpy().view(np.uint64)) if few else None
 
@@ -164,86 +315,114 @@ def _ratios(rows: DataFrame, able: DataFrame, n: dict[int, int], s: Settings, wo
     p0 = F.greatest(F.col("c0") - s.discount * n[0] / n[1], F.lit(0.0)) / n[0] + shared
     table = work.cut(kept.select("word", F.log(p1 / p0).alias("ratio")).where("ratio > 0"), "ratios")
     if table.count() > s.small:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, 0.0, table)
+        return None, None, table
     found = table.toArrow()
     name = found.column("word").to_numpy().view(np.uint64)
     order = np.argsort(name)
-    return Model(name[order], found.column("ratio").to_numpy()[order], 0.0, 0.0)
+    return name[order], found.column("ratio").to_numpy()[order], table
 
 
 def _rate(column: pa.Array, model: Model) -> np.ndarray:
-    """The highest ratio of a word of each text."""
-    out = [np.zeros(0)]
+    """(ratio, mean, peak) of each text."""
+    out = [np.zeros((0, len(_FEATURES)))]
+    grams = model.grams
     for c in X.chunks(column):
         w = tokens(c)
+        row, told = w.rows(), np.zeros((c.hi - c.lo, len(_FEATURES)))
         at, there = _member(model.name, w.name)
-        best = np.zeros(c.hi - c.lo)
         if there.any():
-            np.maximum.at(best, w.rows()[there], model.ratio[at[there]])
-        out.append(best)
+            np.maximum.at(told[:, 0], row[there], model.ratio[at[there]])
+        if len(grams.name):
+            head = _before(w)
+            follows = np.flatnonzero(head)
+            head, of = head[follows], row[follows]
+            total = grams.each * np.diff(w.first)
+            for rows, name in ((row, w.name ^ np.uint64(_TAIL)), (of, head ^ np.uint64(_HEAD)), (of, _pair_name(head, w.name[follows]))):
+                at, there = _member(grams.name, name)
+                total += np.bincount(rows[there], grams.delta[at[there]], len(total))
+                np.maximum.at(told[:, 2], rows[there], grams.peak[at[there]])
+            told[:, 1] = total / np.maximum(np.diff(w.first), 1)
+        out.append(told)
     return np.concatenate(out)
 
 
-def _named_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, word): the distinct words of each text."""
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, name, n, words): the distinct words and bigrams of each text, how often each adds to it, and its words."""
     for b in batches:
         for c in X.chunks(b.column(1)):
             w = tokens(c)
-            pair = np.unique(np.stack([w.rows().astype(np.uint64), w.name], axis=1), axis=0)
-            digest = b.column(0).slice(c.lo, c.hi - c.lo).take(pa.array(pair[:, 0].astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([digest, pa.array(X.as_long(np.ascontiguousarray(pair[:, 1])))], ["digest", "word"])
+            row, before, size = w.rows(), _before(w), np.diff(w.first)
+            follows = np.flatnonzero(before)
+            head, word, of = before[follows], w.name[follows], row[follows]
+            # Each text has the name 0 as often as it has words.
+            names = np.concatenate([np.zeros(len(size), np.uint64), w.name ^ np.uint64(_TAIL), head ^ np.uint64(_HEAD), _pair_name(head, word)])
+            rows = np.concatenate([np.arange(len(size)), row, of, of])
+            adds = np.concatenate([size, np.ones(len(row) + 2 * len(of), np.int64)])
+            order = np.lexsort((names, rows))
+            rows, names = rows[order], names[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(rows) != 0) | (names[1:] != names[:-1])
+            first = np.flatnonzero(new)
+            n = np.add.reduceat(adds[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+            digest = b.column(0).slice(c.lo, c.hi - c.lo).take(pa.array(rows[first]))
+            cols = [digest, pa.array(X.as_long(np.ascontiguousarray(names[first]))), pa.array(n), pa.array(size[rows[first]].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, ["digest", "name", "n", "words"])
 
 
 def _rated(rows: DataFrame, model: Model, own: str, text: str) -> DataFrame:
-    """(own, ratio), a row for each row."""
+    """(own, ratio, mean, peak), a row for each row."""
     if model.table is None:
         part = rows.select(own, text)
         kind = part.schema[own].dataType.simpleString()
 
         def run(batches):
             for b in batches:
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_rate(b.column(1), model))], [own, "ratio"])
+                told = _rate(b.column(1), model)
+                yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(told[:, i])) for i in range(len(_FEATURES)))], [own, *_FEATURES])
 
-        return part.mapInArrow(run, f"`{own}` {kind}, ratio double")
+        return part.mapInArrow(run, f"`{own}` {kind}, " + ", ".join(f"{f} double" for f in _FEATURES))
     # A text's digest names it: it is never null, and copies share their words.
     digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)).alias("digest")
-    words = rows.select(digest, text).mapInArrow(_named_words, "digest binary, word long").distinct()
-    best = words.join(model.table, "word").groupBy("digest").agg(F.max("ratio").alias("ratio"))
-    return rows.select(own, digest).join(best, "digest", "left").select(own, F.coalesce("ratio", F.lit(0.0)).alias("ratio"))
-
-
-def _calibrate(rows: DataFrame, model: Model) -> Model:
-    """Slope and offset of the logistic curve, over counts of all training texts by rounded ratio and label."""
-    # At most a row for each hundredth of the ratio and label.
-    cells = _rated(rows, model, "label", "text").select(F.round("ratio", 2).alias("ratio"), "label").groupBy("ratio", "label").count().collect()
-    x = np.array([c["ratio"] for c in cells] or [0.0])
+    named = rows.select(digest, text).mapInArrow(_named, "digest binary, name long, n long, words long").distinct()
+    mean = F.sum(F.col("n") * F.col("delta")) / F.greatest(F.max("words"), F.lit(1))
+    told = named.join(model.table, "name").groupBy("digest").agg(F.max("ratio").alias("ratio"), mean.alias("mean"), F.greatest(F.max("peak"), F.lit(0.0)).alias("peak"))
+    return rows.select(own, digest).join(told, "digest", "left").select(own, *[F.coalesce(f, F.lit(0.0)).alias(f) for f in _FEATURES])
+
+
+def _calibrate(rows: DataFrame, model: Model) -> np.ndarray:
+    """The logistic curve, over counts of all training texts by rounded features and label."""
+    # Steps and bounds keep the rows few at any size.
+    grid = {"ratio": (10, 15), "mean": (50, 2), "peak": (10, 10)}
+    near = [F.round(F.greatest(F.least(F.col(f), F.lit(float(top))), F.lit(-float(top))) * steps).alias(f) for f, (steps, top) in grid.items()]
+    cells = _rated(rows, model, "label", "text").select(*near, "label").groupBy(*grid, "label").count().collect()
+    x = np.array([[c[f] / steps for f, (steps, _) in grid.items()] for c in cells] or [[0.0] * len(grid)])
     y = np.array([c["label"] for c in cells] or [0.0], float)
     w = np.array([c["count"] for c in cells] or [0.0], float)
-    beta = np.zeros(2)
-    design = np.stack([x, np.ones_like(x)], axis=1)
+    design = _design(x)
+    beta = np.zeros(design.shape[1])
     # A slight pull to zero keeps the curve finite where the classes part completely.
-    pull = np.diag([0.05, 0.05])
+    pull = np.diag([0.05] * len(beta))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         grad = design.T @ (w * (y - p)) - pull @ beta
         hess = (design * (w * p * (1 - p))[:, None]).T @ design + pull
         step = np.linalg.solve(hess, grad)
         beta = beta + step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-9))
-    return Model(model.name, model.ratio, float(beta[0]), float(beta[1]), model.table)
+    return beta
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score, ratio), a row for each row."""
+    """(key, score, ratio, mean, peak), a row for each row."""
     rated = _rated(docs, model, key, text)
     kind = rated.schema[key].dataType.simpleString()
-    curve = Model(np.zeros(0, np.uint64), np.zeros(0), model.slope, model.offset)
+    curve = replace(model, grams=Grams.none(), name=np.zeros(0, np.uint64), ratio=np.zeros(0), table=None)
 
     def run(batches):
         for b in batches:
-            ratio = b.column(1).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.round(curve.score(ratio), 6)), b.column(1)], [key, "score", "ratio"])
+            told = np.column_stack([b.column(1 + i).to_numpy(zero_copy_only=False) for i in range(len(_FEATURES))])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.round(curve.score(told), 6)), *b.columns[1:]], [key, "score", *_FEATURES])
 
-    return rated.mapInArrow(run, f"`{key}` {kind}, score double, ratio double")
+    return rated.mapInArrow(run, f"`{key}` {kind}, score double, " + ", ".join(f"{f} double" for f in _FEATURES))
 
 
 def crc_fold(key: str, folds: int):

@@ -1,6 +1,11 @@
 """Held-out accuracy and odd rows of the two classifiers."""
 
 import random
+from collections import Counter
+from itertools import pairwise
+from math import log
+
+import pyarrow as pa
 
 from packhouse.llm import embedding, queries, toxicity
 
@@ -66,6 +71,59 @@ def test_no_word_is_cut_from_the_model(spark, frame):
     assert ratio[3] == ratio[0] > ratio[1] > 0 == ratio[2] == ratio[4], got[0]
 
 
+def test_pair_of_ordinary_words(spark, frame):
+    """Words that both classes have, toxic only side by side, are told by the bigram; sent and joined models agree."""
+    draw = random.Random(10)
+    rows = []
+    for i in range(600):
+        w = [f"w{draw.randrange(200)}" for _ in range(20)]
+        at = draw.randrange(20)
+        w[at:at] = ["green", "snake"] if i % 5 == 0 else ["green"]
+        rows.append((" ".join(w if i % 5 == 0 else [*w, "w0", "snake"]), int(i % 5 == 0)))
+    docs = frame([(1, "w3 w5 green snake w9 w11 w4"), (2, "w3 w5 snake green w9 w11 w4"), (3, "green w1 w2 w8 snake w1 w6")])
+    got = []
+    for s in (toxicity.Settings(), toxicity.Settings(small=100)):
+        model = toxicity.fit(spark.createDataFrame(rows, "text string, label int"), s)
+        assert (model.table is None) == (s.small > 100)
+        got.append({r["doc_id"]: (r["score"], r["mean"], r["peak"]) for r in toxicity.score(docs, model).collect()})
+    assert all(abs(x - y) < 1e-5 for k in got[0] for x, y in zip(got[0][k], got[1][k], strict=True)), got
+    assert got[0][1][0] >= 0.3 > max(got[0][k][0] for k in (2, 3)), got[0]
+
+
+def test_likelihoods_by_hand(spark):
+    """A text's number is the difference of its log-likelihoods under two whole models, by its words; copies count once."""
+    toxic, plain = ["a b c a b", "b c d", "e a b e"], ["a c b a", "c d f c", "b a f", "d d a c b"]
+    rows = spark.createDataFrame([(x, 1) for x in toxic + toxic[:1] * 5] + [(x, 0) for x in plain], "text string, label int")
+    d = 0.75
+    pairs = [Counter(p for x in texts for p in set(pairwise(x.split()))) for texts in (plain, toxic)]
+    known = set(pairs[1])
+    follows = [Counter(w for _, w in c) for c in pairs]
+    total = [sum(c.values()) for c in follows]
+    less = lambda n: max(n - d, 0)
+
+    def q(k, w):
+        free = 1 - sum(less(follows[k][x]) for x in follows[1]) / total[k]
+        return (less(follows[k][w]) if w in follows[1] else 0) / total[k] + free * sum(c[w] for c in follows) / sum(total)
+
+    def p(k, h, w):
+        n = [sum(v for (x, _), v in c.items() if x == h) for c in pairs]
+        own = {x: less(pairs[k][h, x]) / n[k] if n[k] else 0 for g, x in known if g == h}
+        both = {x: less(pairs[0][h, x] + pairs[1][h, x]) / sum(n) for g, x in known if g == h}
+        rest = 1 - sum(own.values())
+        return own.get(w, 0) + rest * (both.get(w, 0) / 2 + (1 - sum(both.values()) / 2) * q(k, w))
+
+    for k in (0, 1):
+        for h in "abce":
+            assert abs(sum(p(k, h, w) for w in {*follows[0], *follows[1]}) - 1) < 1e-9
+    s = toxicity.Settings(held=1 << 60)
+    model = toxicity.fit(rows, s)
+    for x in [*toxic, *plain, "c c c a", "d e"]:
+        w = x.split()
+        places = [log(q(1, w[0]) / q(0, w[0]))] + [log(p(1, *g) / p(0, *g)) for g in pairwise(w)]
+        got = toxicity._rate(pa.array([x]), model)[0]
+        assert abs(got[1] - sum(places) / len(w)) < 1e-5, x
+
+
 def test_without_labels(spark, frame):
     none = spark.createDataFrame([], "text string, label int")
     docs = frame([(1, "a b"), (1, "a b"), (None, None), (2, "x " * 400_000)])
