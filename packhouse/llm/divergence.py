@@ -37,7 +37,9 @@ from packhouse.llm.work import Work
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _LONG = 1 << 20
-_FLUSH = 400_000
+# A term's rows are counted above this bit of the number that counts its occurrences, in one object.
+_ROW = 1 << 40
+_FLUSH = 900_000
 
 
 def terms(text: bytes) -> Counter:
@@ -48,7 +50,7 @@ def terms(text: bytes) -> Counter:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of a task's rows by (lang, source, term); handed on whenever there are many."""
-    found: dict[tuple, dict[bytes, list[int]]] = {}
+    found: dict[tuple, dict[bytes, int]] = {}
     size = 0
 
     def out() -> Iterator[pa.RecordBatch]:
@@ -58,8 +60,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([lang] * len(sums), pa.string()),
                     pa.array([source] * len(sums), pa.string()),
                     pa.array(list(sums), pa.binary()).view(pa.string()),
-                    pa.array([n for n, _ in sums.values()], pa.int64()),
-                    pa.array([d for _, d in sums.values()], pa.int64()),
+                    pa.array([s % _ROW for s in sums.values()], pa.int64()),
+                    pa.array([s // _ROW for s in sums.values()], pa.int64()),
                 ],
                 ["lang", "source", "term", "n", "n_docs"],
             )
@@ -68,13 +70,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, source, text in zip(*(b.column(i).to_pylist() for i in range(3))):
             sums = found.setdefault((lang, source), {})
             before = len(sums)
+            look = sums.get
             for term, n in terms(text).items():
-                s = sums.get(term)
-                if s is None:
-                    sums[term] = [n, 1]
-                else:
-                    s[0] += n
-                    s[1] += 1
+                sums[term] = look(term, 0) + n + _ROW
             size += len(sums) - before
             if size >= _FLUSH:
                 yield from out()

@@ -3,7 +3,9 @@
 import random
 import re
 from collections import Counter
+from itertools import islice, product
 
+import pyarrow as pa
 import pytest
 
 from packhouse.llm import divergence
@@ -81,3 +83,12 @@ def test_hot_source(spark):
     rows = [("hot words here and there", "en", "hot")] * 400 + [(f"cold words {chr(97 + i % 26)}{chr(97 + i // 26)}", "en", f"s{i % 40}") for i in range(600)]
     got = divergence.audit(frame(spark, rows), 10, 10)
     assert sorted(tuple(r[c] for c in ("lang", "source", "part", "item", "value", "rank")) for r in got.collect()) == brute(rows, 10, 10)
+
+
+def test_terms_of_a_task_are_handed_on_once():
+    """Half a million terms, met again in a later batch, are rows once."""
+    text = " ".join(map("".join, islice(product("abcdefghij", repeat=6), 500_000)))
+    one = pa.RecordBatch.from_pylist([{"lang": "en", "source": "s", "text": text.encode()}])
+    out = list(divergence._count(iter([one, one])))
+    assert sum(b.num_rows for b in out) == 500_000
+    assert {x for b in out for x in b.column(3).to_pylist()} == {x for b in out for x in b.column(4).to_pylist()} == {2}
