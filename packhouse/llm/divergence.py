@@ -29,6 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ from packhouse.llm.work import Work
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _LONG = 1 << 20
 # A term's rows are counted above this bit of the number that counts its occurrences, in one object.
-_ROW = 1 << 40
+_ROW = 1 << 36
 _FLUSH = 900_000
 
 
@@ -55,13 +56,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> Iterator[pa.RecordBatch]:
         for (lang, source), sums in found.items():
+            both = np.fromiter(sums.values(), np.int64, len(sums))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang] * len(sums), pa.string()),
                     pa.array([source] * len(sums), pa.string()),
                     pa.array(list(sums), pa.binary()).view(pa.string()),
-                    pa.array([s % _ROW for s in sums.values()], pa.int64()),
-                    pa.array([s // _ROW for s in sums.values()], pa.int64()),
+                    pa.array(both % _ROW),
+                    pa.array(both // _ROW),
                 ],
                 ["lang", "source", "term", "n", "n_docs"],
             )
