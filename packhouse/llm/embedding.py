@@ -47,6 +47,8 @@ class Model:
 
 
 _POINT = X.seeds(4, 29) | np.uint64(1)
+# Bytes of text worked on together: the n-grams of a byte take some 200 bytes meanwhile.
+_CHUNK = 1 << 17
 
 
 def _again(w: X.Words, row: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -65,7 +67,7 @@ def _again(w: X.Words, row: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def _features(column: pa.Array, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """For runs of rows: buckets, the row of each, and the number of rows."""
     shift = np.uint64(64 - s.bits)
-    for c in X.chunks(column):
+    for c in X.chunks(column, _CHUNK):
         w = X.words(c)
         rows = c.hi - c.lo
         of = w.rows()

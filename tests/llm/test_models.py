@@ -1,6 +1,7 @@
 """Held-out accuracy and odd rows of the two classifiers."""
 
 import random
+import tracemalloc
 from collections import Counter
 from itertools import pairwise
 from math import log
@@ -26,6 +27,21 @@ def test_quality(spark):
     assert accuracy(spark, "op4_quality_classifier", "quality") >= 0.97
 
 
+def test_quality_holds_a_part_of_a_batch():
+    """Buckets of a batch of 1.8 MB take a few MB at a time."""
+    draw = random.Random(1)
+    words = ["".join(draw.choices("abcdefghij", k=5)) for _ in range(500)]
+    texts = pa.array([" ".join(draw.choices(words, k=300)) for _ in range(1000)])
+    s = embedding.Settings()
+    assert sum(n for _, _, n in embedding._features(texts.slice(0, 10), s)) == 10
+    tracemalloc.start()
+    try:
+        assert sum(n for _, _, n in embedding._features(texts, s)) == 1000
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_toxicity_of_few_labels(spark):
     assert accuracy(spark, "op10_toxicity", "toxic") >= 0.9
 
