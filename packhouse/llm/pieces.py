@@ -1,13 +1,13 @@
-"""SentencePiece encoding over a lattice of relations, and decoding.
+"""SentencePiece encoding over a lattice, and decoding.
 
 A text's spaces become U+2581, one is put in front, and it is cut into units
 where no piece spans the cut: before a run of U+2581, around line feeds and
 tabs, and between a letter and punctuation that no piece has after one.
-The lattice of a unit is a relation: its substrings of at most the longest
-piece's length are exploded and joined to the piece table, the edges are grouped
-by unit, and a higher-order aggregate folds them from left to right to the path
-of the highest summed score, whose last steps are then walked back.  Of paths that tie at a place, the one with the longer last piece
-stays.  A character without a piece is spelled as bytes.
+The lattice of many units is made and folded at once: from each place the prefixes of
+pieces are followed, a character at a time, to the substrings that are pieces, and
+then the units' first places, second places and so on take the
+highest summed score that reaches them, whose last pieces are walked back.  Of paths that tie at a place, the one with
+the longer last piece stays.  A character without a piece is spelled as bytes.
 
 Scores are the piece table's.  So the result is the library's own encoding of the
 table as a unigram model.  For a table of merges the library applies merges
@@ -21,8 +21,8 @@ shuffled once.  The list and the blocks change no result.
 
 A null text is empty and has no pieces; an empty table gives no rows.  U+2581 in a text is read back as a
 space, as the format has it.  Rows go to blocks by their number, so that copies, null keys
-and repeated ones spread like others.  A very long unit (a text without spaces) has to fit into a task with its edges,
-and what is copied while it is folded grows with the square of its length, divided by 256.  Other columns aren't read.
+and repeated ones spread like others.  A very long unit (a text without spaces) has to fit into a task with its
+lattice, of some 150 bytes a character.  Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -34,7 +34,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packhouse.llm.work import Work
@@ -51,10 +53,6 @@ class Settings:
     block_bytes: int = 8 << 20
 
 
-# The list of frequent units as a worker reads it, once.
-_listed: dict[str, tuple] = {}
-
-
 @dataclass(frozen=True)
 class Table:
     """Pieces by id, their scores, the ids of bytes, and the id of the unknown piece."""
@@ -105,127 +103,102 @@ def units(text: Column, table: Table) -> Column:
     return F.regexp_extract_all(marked, F.lit(table.unit_pattern()), F.lit(0))
 
 
-def _piece_rows(spark: SparkSession, table: Table) -> DataFrame:
-    return spark.createDataFrame(list(table.pieces), "piece string, id int, score double")
-
+# Code points of units that are folded together.
+_FOLDED = 1 << 16
 
-# Places of a unit that are worked on together.
-_WINDOW = 64
-_BLOCK = 256
-_STEPS = "array<struct<start:int,id:int>>"
 
+@dataclass(frozen=True)
+class Prefixes:
+    """Prefixes of pieces, numbered from the empty one, 0; the last number is that of a character without a piece.
 
-def _states(edges: Column, length: Column, longest: int) -> Column:
-    """The last step (start, id) of the best path to each place, in blocks; ``edges`` are sorted by end, then start.
-
-    An accumulator is copied at every step.  So blocks of places are folded each for itself, from the scores of the ``longest``
-    places before it, and only then joined to those that are done.  Of equal scores the longer last piece, met
-    first, stays.
+    ``step`` holds, sorted, a prefix's number times 2^21 plus a code point, ``to`` the number of the prefix they give.
+    By number: the piece's id (-1: no piece) and its score (minus infinity: no piece).
     """
-    step = F.struct(F.lit(0).alias("start"), F.lit(0).alias("id"))
-    worst = F.lit(float("-inf"))
-
-    def closed(acc: Column) -> Column:
-        """Scores once the place that is being worked on is done."""
-        scores = F.concat(acc["scores"], F.array(acc["score"]))
-        return F.when(F.size(acc["scores"]) >= longest, F.slice(scores, 2, longest)).otherwise(scores)
-
-    def take(acc: Column, e: Column) -> Column:
-        same = e["end"] == acc["end"]
-        scores = F.when(same, acc["scores"]).otherwise(closed(acc))
-        # Scores end with that of the place before the one worked on.
-        reached = F.element_at(scores, e["start"] - e["end"]) + e["score"]
-        better = ~same | (reached > acc["score"])
-        return F.struct(
-            scores.alias("scores"),
-            e["end"].alias("end"),
-            F.when(better, reached).otherwise(acc["score"]).alias("score"),
-            F.when(better, F.struct(e["start"].alias("start"), e["id"].alias("id"))).otherwise(acc["last"]).alias("last"),
-            F.when(same, acc["block"]).otherwise(F.concat(acc["block"], F.array(acc["last"]))).alias("block"),
-        )
-
-    def fold_block(scores: Column, mine: Column) -> Column:
-        """(scores, block) after a block; its first edge ends at its first place."""
-        one = F.element_at(mine, 1)
-        # The place worked on is the block's first, and nothing reaches it yet.
-        start = F.struct(scores.alias("scores"), one["end"].alias("end"), worst.alias("score"), step.alias("last"), F.array().cast(_STEPS).alias("block"))
-        return F.aggregate(
-            mine, start, take, lambda acc: F.struct(closed(acc).alias("scores"), F.concat(acc["block"], F.array(acc["last"])).alias("block"))
-        )
 
-    first = F.struct(F.array(F.lit(0.0)).alias("scores"), F.array().cast(f"array<{_STEPS}>").alias("blocks"))
-
-    def next_block(acc: Column, mine: Column) -> Column:
-        # A one-element list, so that the block is folded once for both of its fields.
-        done = F.array(fold_block(acc["scores"], mine))
-        return F.element_at(
-            F.transform(done, lambda d: F.struct(d["scores"].alias("scores"), F.concat(acc["blocks"], F.array(d["block"])).alias("blocks"))), 1
-        )
+    step: np.ndarray
+    to: np.ndarray
+    id: np.ndarray
+    score: np.ndarray
+    longest: int
 
-    many = F.transform(
-        F.sequence(F.lit(0), length - 1, F.lit(_BLOCK)), lambda at: F.filter(edges, lambda e: (e["end"] > at) & (e["end"] <= at + _BLOCK))
-    )
-    return F.aggregate(F.when(length <= _BLOCK, F.array(edges)).otherwise(many), first, next_block, lambda acc: acc["blocks"])
-
-
-def _paths(steps: pa.Array) -> Iterator[list[int]]:
-    """Ids of the best path of each unit, from the last steps of all its places."""
-    blocks = steps.flatten()
-    last = blocks.flatten()
-    start, ids = (last.field(i).to_numpy(zero_copy_only=False).tolist() for i in (0, 1))
-    # Places before each unit: units hold blocks, blocks hold places.
-    places = np.concatenate([[0], np.cumsum(blocks.value_lengths().to_numpy(zero_copy_only=False))])
-    ends = places[np.concatenate([[0], np.cumsum(steps.value_lengths().to_numpy(zero_copy_only=False))])].astype(np.int64).tolist()
-    for lo, hi in zip(ends, ends[1:]):
-        out, at = [], hi
+    @staticmethod
+    def of(table: Table) -> Prefixes:
+        number = {"": 0}
+        for p, _, _ in table.pieces:
+            for n in range(1, len(p) + 1):
+                number.setdefault(p[:n], len(number))
+        ids, score = np.full(len(number) + 1, -1, np.int64), np.full(len(number) + 1, -np.inf)
+        # Of a piece listed twice, the better score stays, and of equal ones the smaller id.
+        for p, i, value in sorted(table.pieces, key=lambda x: (x[2], -x[1])):
+            ids[number[p]], score[number[p]] = i, value
+        score[-1] = table.unknown
+        step = np.array([number[p[:-1]] << 21 | ord(p[-1]) for p in number if p], np.int64)
+        order = np.argsort(step)
+        return Prefixes(step[order], np.arange(1, len(number))[order], ids, score, table.longest)
+
+
+def _lattice(points: np.ndarray, last: np.ndarray, known: Prefixes) -> np.ndarray:
+    """The prefix number of each piece (0: none), by length, longest first, and by the place where it ends.
+
+    A place is a code point's; each unit has one more in front, and ``longest`` places come before all units.
+    ``last`` is the last place of a place's unit.
+    """
+    made = np.zeros((known.longest, len(points)), np.int32)
+    at = np.flatnonzero(np.arange(len(points)) < last)
+    node = np.zeros(len(at), np.int64)
+    made[-1, at + 1] = len(known.id) - 1
+    for length in range(1, known.longest + 1):
+        key = node << 21 | points[at + length]
+        found = np.minimum(np.searchsorted(known.step, key), len(known.step) - 1)
+        hit = known.step[found] == key
+        at, node = at[hit], known.to[found[hit]]
+        named = known.id[node] >= 0
+        made[known.longest - length, at[named] + length] = node[named]
+        more = at + length < last[at]
+        at, node = at[more], node[more]
+    return made
+
+
+def _paths(units_: list[str], known: Prefixes) -> Iterator[list[int]]:
+    """Ids of the best path of each unit, the longest unit first; a character without a piece is -1 minus its code point."""
+    size = np.array([len(u) for u in units_], np.int64)
+    front = "\0" * known.longest
+    points = np.frombuffer((front + "".join(["\0" + u for u in units_])).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    first = known.longest + np.cumsum(size + 1) - (size + 1)
+    made = _lattice(points, np.concatenate([np.zeros(known.longest, np.int64), np.repeat(first + size, size + 1)]), known)
+    best, row = np.zeros(len(points)), np.zeros(len(points), np.int64)
+    lengths = np.arange(known.longest, 0, -1)[:, None]
+    # Units that have a place of that number come first.
+    many = np.searchsorted(-size, -np.arange(size[0] + 1), side="right").tolist()
+    for place in range(1, int(size[0]) + 1):
+        ends = first[: many[place]] + place
+        # Of equal sums argmax takes the first, that of the longest last piece.
+        sums = best[ends - lengths] + known.score[made[:, ends]]
+        top = sums.argmax(axis=0)
+        best[ends], row[ends] = sums[top, np.arange(len(ends))], top
+    node = made[row, np.arange(len(points))]
+    ids = np.where(node == len(known.id) - 1, -1 - points, known.id[node]).tolist()
+    back = (known.longest - row).tolist()
+    for lo, n in zip(first.tolist(), size.tolist()):
+        out, at = [], lo + n
         while at > lo:
-            out.append(ids[at - 1])
-            at = lo + start[at - 1]
+            out.append(ids[at])
+            at -= back[at]
         out.reverse()
         yield out
 
 
-def fold(rows: DataFrame, keys: list[str], table: Table, pieces: DataFrame) -> DataFrame:
-    """(keys, unit, steps) of rows (keys, unit, ...), distinct and dealt by (some of) their keys or the unit; see ``_states``.
-
-    In ids, a character without a piece is -1 minus its code point.  Other columns, one value a unit, are passed on.
-    """
-    rest = [c for c in rows.columns if c not in [*keys, "unit"]]
-    # Substrings are cut from windows of a unit, so that a long one is neither walked through nor copied for each of them.
-    # A long unit goes by its digest, and is carried along by its first edge only.
-    length, long = F.length("unit"), F.length("unit") > _WINDOW
-    name = F.when(long, F.concat(F.lit("\x00"), F.md5("unit"))).otherwise(F.col("unit"))
-    cut = F.transform(
-        F.sequence(F.lit(0), length - 1, F.lit(_WINDOW)),
-        lambda at: F.struct(
-            at.alias("base"),
-            F.substring(F.col("unit"), at + 1, F.lit(_WINDOW + table.longest)).alias("text"),
-            F.when(long & (at == 0), F.col("unit")).alias("whole"),
-        ),
-    )
-    windows = rows.select(*keys, name.alias("name"), *rest, F.explode(cut).alias("w")).select(*keys, "name", *rest, "w.*")
-    here = F.length("text")
-    starts = windows.select("*", F.explode(F.sequence(F.lit(0), F.least(here, F.lit(_WINDOW)) - 1)).alias("from"))
-    exploded = starts.select("*", F.explode(F.sequence(F.col("from") + 1, F.least(F.col("from") + table.longest, here))).alias("to"))
-    first = (F.col("base") == 0) & (F.col("from") == 0) & (F.col("to") == 1)
-    exploded = exploded.select(
-        *keys, "name", *rest,
-        (F.col("base") + F.col("from")).alias("start"),
-        (F.col("base") + F.col("to")).alias("end"),
-        F.substring(F.col("text"), F.col("from") + 1, F.col("to") - F.col("from")).alias("piece"),
-        F.when(first, F.col("whole")).alias("whole"),
-    )
-    single = F.col("end") - F.col("start") == 1
-    edges = exploded.join(F.broadcast(pieces), "piece", "left").where(F.col("id").isNotNull() | single)
-    edge = F.struct(
-        "end",
-        "start",
-        F.coalesce("id", -1 - F.ascii("piece")).alias("id"),
-        F.coalesce("score", F.lit(table.unknown)).alias("score"),
-    )
-    sums = [F.max(c).alias(c) for c in ["whole", *rest]]
-    lattice = edges.groupBy(*keys, "name").agg(F.array_sort(F.collect_list(edge)).alias("edges"), *sums)
-    return lattice.select(*keys, F.coalesce("whole", "name").alias("unit"), *rest, _states(F.col("edges"), F.element_at("edges", -1)["end"], table.longest).alias("steps"))
+def fold(names: list[str], known: Prefixes) -> Iterator[tuple[str, list[int]]]:
+    """(unit, ids of its best path) of distinct units, in another order; some of about a length are folded together."""
+    names = sorted(names, key=len, reverse=True)
+    lo, size = 0, 0
+    for hi, name in enumerate(names):
+        if size and size + len(name) > _FOLDED:
+            yield from zip(names[lo:hi], _paths(names[lo:hi], known))
+            lo, size = hi, 0
+        size += len(name) + 1
+    if names:
+        yield from zip(names[lo:], _paths(names[lo:], known))
 
 
 def _spelled(ids, table: Table) -> list[int]:
@@ -258,30 +231,33 @@ def spoken(ids, table: Table) -> str:
     return "".join(out)
 
 
-def _read_units(found: pa.RecordBatch, table: Table) -> pa.RecordBatch:
+def _read_units(names: list[str], table: Table, known: Prefixes) -> pa.RecordBatch:
     """(unit, ids, read): a unit's ids as little-endian 32-bit numbers, and the text these stand for where it is another than the unit."""
-    units_, raw, read = found.column(0).to_pylist(), [], []
-    for unit, path in zip(units_, _paths(found.column(1))):
+    found, raw, read = [], [], []
+    for unit, path in fold(names, known):
         ids = _spelled(path, table)
+        found.append(unit)
         raw.append(np.array(ids, "<i4").tobytes())
         said = spoken(ids, table)
         read.append(None if said == unit else said)
-    return pa.RecordBatch.from_arrays([pa.array(units_, pa.string()), pa.array(raw, pa.binary()), pa.array(read, pa.string())], ["unit", "ids", "read"])
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(raw, pa.binary()), pa.array(read, pa.string())], ["unit", "ids", "read"])
 
 
-class _Units:
-    """What a worker knows of units: their ids, and the text of the few that are read back as another."""
-
-    def __init__(self, *parts: pa.RecordBatch):
-        self.ids: dict[str, bytes] = {}
-        self.other: dict[str, str] = {}
-        for p in parts:
-            names = p.column(0).to_pylist()
-            self.ids.update(zip(names, p.column(1).to_pylist()))
-            self.other.update((u, r) for u, r in zip(names, p.column(2).to_pylist()) if r is not None)
+def _look_up(names: pa.Array, listed: pa.Table, here: pa.RecordBatch) -> tuple[list[bytes], list[str]]:
+    """Ids and text of each unit, from the list or the block's own units."""
+    raw, read, shown = [None] * len(names), [None] * len(names), names.to_pylist()
+    for part in (listed, here):
+        if not len(part):
+            continue
+        place = pc.index_in(names, value_set=part["unit"])
+        at = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False)).tolist()
+        own = place.drop_null()
+        for i, r, t in zip(at, part["ids"].take(own).to_pylist(), part["read"].take(own).to_pylist()):
+            raw[i], read[i] = r, t
+    return raw, [u if t is None else t for u, t in zip(shown, read)]
 
 
-def frequent_units(docs: DataFrame, table: Table, pieces: DataFrame, s: Settings) -> pa.Table:
+def frequent_units(docs: DataFrame, table: Table, known: Broadcast, s: Settings) -> pa.Table:
     """(unit, ids, read) of the most frequent units of a sample, at most ``frequent`` of them: all above a count."""
     every = max(1, docs.count() // s.sample)
     few = docs.where(F.pmod(F.xxhash64("key", "text"), F.lit(every)) == 0).select(F.explode(units(F.col("text"), table)).alias("unit"))
@@ -294,10 +270,13 @@ def frequent_units(docs: DataFrame, table: Table, pieces: DataFrame, s: Settings
             break
         least = times
     top = counted.where(F.lit(False) if least is None else F.col("count") >= least).select("unit")
-    parts = 2 * docs.sparkSession.sparkContext.defaultParallelism
-    dealt = top.withColumn("slot", F.pmod(F.xxhash64("unit"), F.lit(parts))).repartition(parts, "slot")
-    folded = fold(dealt, ["slot"], table, pieces).select("unit", "steps")
-    return folded.mapInArrow(lambda batches: (_read_units(b, table) for b in batches), "unit string, ids binary, read string").toArrow()
+    dealt = top.repartition(2 * docs.sparkSession.sparkContext.defaultParallelism, "unit")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _read_units(b.column(0).to_pylist(), *known.value)
+
+    return dealt.mapInArrow(run, "unit string, ids binary, read string").toArrow().combine_chunks()
 
 
 def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
@@ -310,10 +289,10 @@ def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc
     table = Table.load(path)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    pieces = work.cut(_piece_rows(spark, table).coalesce(1), "pieces")
-    known = frequent_units(rows, table, pieces, s)
-    frequent = work.cut(spark.createDataFrame(known.select(["unit"])).coalesce(1), "frequent")
-    shared = spark.sparkContext.broadcast((known, table))
+    known = spark.sparkContext.broadcast((table, Prefixes.of(table)))
+    listed = frequent_units(rows, table, known, s)
+    frequent = work.cut(spark.createDataFrame(listed.select(["unit"])).coalesce(1), "frequent")
+    shared = spark.sparkContext.broadcast(listed)
 
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // s.block_bytes))
@@ -323,23 +302,19 @@ def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc
     # The key comes along, so that both sides read the same columns and the texts are shuffled once for both.
     own = dealt.select("block", F.xxhash64("key").alias("seen"), F.explode(units(F.col("text"), table)).alias("unit"))
     rare = own.join(F.broadcast(frequent), "unit", "left_anti").groupBy("block", "unit").agg(F.max("seen").alias("seen"))
-    folded = fold(rare, ["block"], table, pieces).withColumnRenamed("block", "of_block")
+    rare = rare.withColumnRenamed("block", "of_block")
     whole = dealt.select("block", "key", units(F.col("text"), table).alias("units"), "text")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        known, table = shared.value
-        look = _listed.get(path)
-        if look is None or look[0] is not known:
-            look = _listed[path] = (known, _Units(*known.to_batches()))
-        here, look = _Units(*[_read_units(b, table) for b in right.select(["unit", "steps"]).to_batches()]), look[1]
-        shown = look.other | here.other
+        here = _read_units(right.column("unit").to_pylist(), *known.value)
         n, sums, texts, same, lists = [], [], [], [], []
         lists_ = left.column("units").combine_chunks()
-        flat, ends = lists_.flatten().to_pylist(), np.cumsum(lists_.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        coded, ends = lists_.flatten().dictionary_encode(), np.cumsum(lists_.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        of, (named, shown) = coded.indices.to_numpy(), _look_up(coded.dictionary, shared.value, here)
         for text, lo, hi in zip(left.column("text"), [0, *ends], ends):
-            parts = flat[lo:hi]
-            raw = b"".join([look.ids.get(u) or here.ids[u] for u in parts])
-            read = "".join([shown.get(u, u) for u in parts] if shown else parts).replace(SPACE, " ")
+            parts = of[lo:hi].tolist()
+            raw = b"".join([named[u] for u in parts])
+            read = "".join([shown[u] for u in parts]).replace(SPACE, " ")
             read = read[1:] if read.startswith(" ") else read
             n.append(len(raw) // 4)
             sums.append(hashlib.sha256(raw).hexdigest())
@@ -352,5 +327,5 @@ def encode(docs: DataFrame, path: str, s: Settings = Settings(), key: str = "doc
 
     names = ["key", "n_pieces", "ids_sha256", "decoded_sha256", "round_trip"] + ["ids"] * ids
     schema = f"key {kind}, n_pieces long, ids_sha256 string, decoded_sha256 string, round_trip boolean" + ", ids array<int>" * ids
-    out = whole.groupBy("block").cogroup(folded.groupBy("of_block")).applyInArrow(run, schema)
+    out = whole.groupBy("block").cogroup(rare.groupBy("of_block")).applyInArrow(run, schema)
     return out.withColumnRenamed("key", key)

@@ -2,6 +2,7 @@
 
 import random
 import time
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -100,6 +101,30 @@ def test_long_words(spark, frame, library):
     assert r["round_trip"] and time.perf_counter() - start < 40
 
 
+def test_lattices_of_few_units_at_a_time(library):
+    """50,000 units not on a list: their lattices take a few MB, and paths are the library's best."""
+    draw = random.Random(4)
+    table = pieces.Table.load(PATH)
+    known = pieces.Prefixes.of(table)
+    names = list({pieces.SPACE + "".join(draw.choices("aeinorstlé漢", k=draw.randrange(1, 16))) for _ in range(60_000)})[:50_000]
+    tracemalloc.start()
+    try:
+        size = sum(len(path) for _, path in pieces.fold(names, known))
+        assert size > 50_000 and tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+    found = dict(pieces.fold(names, known))
+    assert found.keys() == set(names)
+    for unit in names[:300]:
+        ids, best = pieces._spelled(found[unit], table), library.nbest_encode_as_ids(unit[1:], 2)[0]
+        assert pieces.spoken(ids, table) == unit and abs(score(library, ids) - score(library, best)) < 1e-6
+
+
+def test_substrings_are_no_rows(spark, frame):
+    df = pieces.encode(frame({i: f"some words {i}" for i in range(50)}), PATH, pieces.Settings(frequent=3))
+    assert "explode(sequence" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_odd_rows(frame):
     assert pieces.encode(frame([(None, "a b"), (3, "a b")]), PATH).where("round_trip").count() >= 1
     assert pieces.encode(frame({1: "a"}).limit(0), PATH).count() == 0
