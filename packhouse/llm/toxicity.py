@@ -278,12 +278,46 @@ def _grams(pairs: DataFrame, s: Settings, work: Work) -> Grams:
     return Grams(name[order], found.column("delta").to_numpy()[order], found.column("peak").to_numpy()[order], each)
 
 
-def _member(sorted_names: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place in the sorted names, and whether it is there."""
-    if not len(sorted_names):
-        return np.zeros(len(name), np.int64), np.zeros(len(name), bool)
-    at = np.minimum(np.searchsorted(sorted_names, name), len(sorted_names) - 1)
-    return at, sorted_names[at] == name
+@dataclass
+class _Index:
+    """Where a name stands in sorted names: its first bits lead to a place, as names are spread evenly, so a search costs the same in a model of any size.
+
+    ``first`` has the place of the first name of each bucket; there are as many buckets as names, or up to twice as many.
+    """
+
+    names: np.ndarray
+    first: np.ndarray
+    shift: np.uint64
+
+    @staticmethod
+    def of(names: np.ndarray) -> _Index:
+        bits = max(1, len(names).bit_length())
+        shift = np.uint64(64 - bits)
+        first = np.zeros(1 << bits, np.int32)
+        if len(names):
+            first[1:] = np.cumsum(np.bincount((names >> shift).view(np.int64), minlength=1 << bits), dtype=np.int32)[:-1]
+        # The last bucket's search may go one past the end.
+        return _Index(np.append(names, ~np.uint64(0)), first, shift)
+
+    def find(self, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the names that are there: which, and their places."""
+        at = self.first[(name >> self.shift).view(np.int64)]
+        found = self.names[at]
+        behind = np.flatnonzero(found < name)
+        while len(behind):
+            at[behind] += 1
+            now = self.names[at[behind]]
+            found[behind] = now
+            behind = behind[now < name[behind]]
+        there = np.flatnonzero((found == name) & (at < len(self.names) - 1))
+        return there, at[there]
+
+
+def _raise(told: np.ndarray, rows: np.ndarray, value: np.ndarray) -> None:
+    """The highest value of each row, where it is above the row's own; ``rows`` rise."""
+    if len(rows):
+        first = np.flatnonzero(np.diff(rows, prepend=-1))
+        told[rows[first]] = np.maximum(told[rows[first]], np.maximum.reduceat(value, first))
 
 
 def _ratios(rows: DataFrame, able: DataFrame, n: dict[int, int], s: Settings, work: Work) -> tuple[np.ndarray | None, np.ndarray | None, DataFrame]:
@@ -292,12 +326,13 @@ def _ratios(rows: DataFrame, able: DataFrame, n: dict[int, int], s: Settings, wo
     words = np.sort(able.toArrow().column("word").to_numpy().view(np.uint64)) if few else None
 
     def contexts(batches):
+        index = _Index.of(words) if few else None
         for b in batches:
             toxic = b.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
             for c in X.chunks(b.column(0), 8 * X.CHUNK):
                 for cls, name, prev in _by_class(c, toxic):
-                    if words is not None:
-                        _, there = _member(words, name)
+                    if index is not None:
+                        there, _ = index.find(name)
                         name, prev = name[there], prev[there]
                     pair = np.unique(np.stack([name, prev], axis=1), axis=0)
                     yield pa.RecordBatch.from_arrays(
@@ -322,25 +357,29 @@ def _ratios(rows: DataFrame, able: DataFrame, n: dict[int, int], s: Settings, wo
     return name[order], found.column("ratio").to_numpy()[order], table
 
 
-def _rate(column: pa.Array, model: Model) -> np.ndarray:
+def _indexes(model: Model) -> tuple[_Index, _Index]:
+    return _Index.of(model.name), _Index.of(model.grams.name)
+
+
+def _rate(column: pa.Array, model: Model, indexes: tuple[_Index, _Index] | None = None) -> np.ndarray:
     """(ratio, mean, peak) of each text."""
     out = [np.zeros((0, len(_FEATURES)))]
     grams = model.grams
+    words, pairs = indexes or _indexes(model)
     for c in X.chunks(column):
         w = tokens(c)
         row, told = w.rows(), np.zeros((c.hi - c.lo, len(_FEATURES)))
-        at, there = _member(model.name, w.name)
-        if there.any():
-            np.maximum.at(told[:, 0], row[there], model.ratio[at[there]])
+        there, at = words.find(w.name)
+        _raise(told[:, 0], row[there], model.ratio[at])
         if len(grams.name):
             head = _before(w)
             follows = np.flatnonzero(head)
             head, of = head[follows], row[follows]
             total = grams.each * np.diff(w.first)
             for rows, name in ((row, w.name ^ np.uint64(_TAIL)), (of, head ^ np.uint64(_HEAD)), (of, _pair_name(head, w.name[follows]))):
-                at, there = _member(grams.name, name)
-                total += np.bincount(rows[there], grams.delta[at[there]], len(total))
-                np.maximum.at(told[:, 2], rows[there], grams.peak[at[there]])
+                there, at = pairs.find(name)
+                total += np.bincount(rows[there], grams.delta[at], len(total))
+                _raise(told[:, 2], rows[there], grams.peak[at])
             told[:, 1] = total / np.maximum(np.diff(w.first), 1)
         out.append(told)
     return np.concatenate(out)
@@ -376,8 +415,9 @@ def _rated(rows: DataFrame, model: Model, own: str, text: str) -> DataFrame:
         kind = part.schema[own].dataType.simpleString()
 
         def run(batches):
+            indexes = _indexes(model)
             for b in batches:
-                told = _rate(b.column(1), model)
+                told = _rate(b.column(1), model, indexes)
                 yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(told[:, i])) for i in range(len(_FEATURES)))], [own, *_FEATURES])
 
         return part.mapInArrow(run, f"`{own}` {kind}, " + ", ".join(f"{f} double" for f in _FEATURES))

@@ -6,9 +6,10 @@ from collections import Counter
 from itertools import pairwise
 from math import log
 
+import numpy as np
 import pyarrow as pa
 
-from packhouse.llm import embedding, queries, toxicity
+from packhouse.llm import embedding, queries, text, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -140,6 +141,17 @@ def test_likelihoods_by_hand(spark):
         assert abs(got[1] - sum(places) / len(w)) < 1e-5, x
 
 
+def test_search_in_a_large_model():
+    """A name is found next to the place its first bits lead to, however many names there are; what isn't there is not found."""
+    for n in (0, 1, 2, 1000, 300_000):
+        names = np.unique(np.append(text.seeds(n, 5), np.array([0, 2**64 - 1], np.uint64)[:n]))
+        asked = np.concatenate([names[::-1], names + np.uint64(1), text.seeds(2000, 6), np.zeros(1, np.uint64), ~np.zeros(1, np.uint64)])
+        index = toxicity._Index.of(names)
+        there, at = index.find(asked)
+        assert np.array_equal(there, np.flatnonzero(np.isin(asked, names))) and np.array_equal(names[at], asked[there])
+        assert np.diff(index.first, append=n).max() <= 12
+
+
 def test_without_labels(spark, frame):
     none = spark.createDataFrame([], "text string, label int")
     docs = frame([(1, "a b"), (1, "a b"), (None, None), (2, "x " * 400_000)])
