@@ -30,7 +30,8 @@ smoothed share of the toxic class.  Rows are scored one by one, so repeated rows
 equal scores.
 
 The model is a table of any size.  One measured small is sent to every task;
-a larger one is joined to the distinct words and bigrams of each text, with the same result.
+a larger one is joined to the distinct words and bigrams of each block of texts, and
+what is found goes back to the block, with the same result.
 """
 
 from __future__ import annotations
@@ -38,9 +39,12 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +77,7 @@ class Settings:
 class Grams:
     """What words and bigrams add to the difference of a text's log-likelihoods, by name, and the difference of a place that has them.
 
-    Sorted arrays, or a table (name, delta, peak) where they are too many for every task.  Name 0 has what every word adds.
+    Sorted arrays, or a table (name, delta, peak) where they are too many for every task.  Every word adds ``each``.
     """
 
     name: np.ndarray
@@ -229,9 +233,7 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Model:
 
 
 def _as_rows(spark, grams: Grams) -> DataFrame:
-    name = np.append(grams.name, np.uint64(0))
-    cols = [X.as_long(name), np.append(grams.delta, np.float32(grams.each)), np.append(grams.peak, np.float32(0))]
-    return spark.createDataFrame(pa.table([pa.array(c) for c in cols], ["name", "delta", "peak"]))
+    return spark.createDataFrame(pa.table([pa.array(c) for c in (X.as_long(grams.name), grams.delta, grams.peak)], ["name", "delta", "peak"]))
 
 
 def _grams(pairs: DataFrame, s: Settings, work: Work) -> Grams:
@@ -270,8 +272,7 @@ def _grams(pairs: DataFrame, s: Settings, work: Work) -> Grams:
     of_heads = heads.select(F.col("head").bitwiseXOR(F.lit(_HEAD)).alias("name"), real(F.col("ahead")).alias("delta"), none)
     rows = work.cut(of_pairs.unionByName(of_words).unionByName(of_heads), "grams")
     if rows.count() > 4 * s.small:
-        first = work.spark.range(1).select(F.lit(0).cast("long").alias("name"), real(F.lit(each)).alias("delta"), none)
-        return replace(Grams.none(), each=each, rows=rows.unionByName(first))
+        return replace(Grams.none(), each=each, rows=rows)
     found = rows.toArrow()
     name = found.column("name").to_numpy().view(np.uint64)
     order = np.argsort(name)
@@ -371,7 +372,7 @@ def _rate(column: pa.Array, model: Model, indexes: tuple[_Index, _Index] | None
         row, told = w.rows(), np.zeros((c.hi - c.lo, len(_FEATURES)))
         there, at = words.find(w.name)
         _raise(told[:, 0], row[there], model.ratio[at])
-        if len(grams.name):
+        if len(grams.name) or grams.each:
             head = _before(w)
             follows = np.flatnonzero(head)
             head, of = head[follows], row[follows]
@@ -385,48 +386,74 @@ def _rate(column: pa.Array, model: Model, indexes: tuple[_Index, _Index] | None
     return np.concatenate(out)
 
 
+# Bytes of text of a block, besides its last text.
+_BLOCK = 16 * X.CHUNK
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(own, text, block): consecutive rows of a task, dealt to blocks by the bytes before them."""
+    task, before = TaskContext.get().partitionId() << 32, 0
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        block = task + (before + np.cumsum(size) - size) // _BLOCK
+        before += int(size.sum())
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(block)], ["own", "text", "block"])
+
+
+def _distinct(name: np.ndarray) -> np.ndarray:
+    """Sorted; np.unique puts them into a hash table first, which takes longer."""
+    name = np.sort(name)
+    return name[np.flatnonzero(np.append(True, name[1:] != name[:-1])[: len(name)])]
+
+
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, name, n, words): the distinct words and bigrams of each text, how often each adds to it, and its words."""
+    """(block, name): the distinct words and bigrams of a block, as far as they are in one batch."""
     for b in batches:
-        for c in X.chunks(b.column(1)):
-            w = tokens(c)
-            row, before, size = w.rows(), _before(w), np.diff(w.first)
-            follows = np.flatnonzero(before)
-            head, word, of = before[follows], w.name[follows], row[follows]
-            # Each text has the name 0 as often as it has words.
-            names = np.concatenate([np.zeros(len(size), np.uint64), w.name ^ np.uint64(_TAIL), head ^ np.uint64(_HEAD), _pair_name(head, word)])
-            rows = np.concatenate([np.arange(len(size)), row, of, of])
-            adds = np.concatenate([size, np.ones(len(row) + 2 * len(of), np.int64)])
-            order = np.lexsort((names, rows))
-            rows, names = rows[order], names[order]
-            new = np.ones(len(order), bool)
-            new[1:] = (np.diff(rows) != 0) | (names[1:] != names[:-1])
-            first = np.flatnonzero(new)
-            n = np.add.reduceat(adds[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-            digest = b.column(0).slice(c.lo, c.hi - c.lo).take(pa.array(rows[first]))
-            cols = [digest, pa.array(X.as_long(np.ascontiguousarray(names[first]))), pa.array(n), pa.array(size[rows[first]].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(cols, ["digest", "name", "n", "words"])
+        block = b.column(1).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
+        for lo, hi in pairwise(cuts):
+            found = [np.zeros(0, np.uint64)]
+            for c in X.chunks(b.column(0).slice(lo, hi - lo)):
+                w = tokens(c)
+                word, head = _distinct(w.name), _before(w)
+                follows = np.flatnonzero(head)
+                found += [word ^ np.uint64(_TAIL), word ^ np.uint64(_HEAD), _distinct(_pair_name(head[follows], w.name[follows]))]
+            name = _distinct(np.concatenate(found))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(name), block[lo] if hi else 0)), pa.array(X.as_long(name))], ["block", "name"])
 
 
 def _rated(rows: DataFrame, model: Model, own: str, text: str) -> DataFrame:
     """(own, ratio, mean, peak), a row for each row."""
+    part = rows.select(F.col(own).alias("own"), F.col(text).alias("text"))
+    kind = part.schema["own"].dataType.simpleString()
+    schema = f"`{own}` {kind}, " + ", ".join(f"{f} double" for f in _FEATURES)
+
+    def table(own_column, told):
+        return [own_column, *(pa.array(np.ascontiguousarray(told[:, i])) for i in range(len(_FEATURES)))], [own, *_FEATURES]
+
     if model.table is None:
-        part = rows.select(own, text)
-        kind = part.schema[own].dataType.simpleString()
 
         def run(batches):
             indexes = _indexes(model)
             for b in batches:
-                told = _rate(b.column(1), model, indexes)
-                yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(told[:, i])) for i in range(len(_FEATURES)))], [own, *_FEATURES])
-
-        return part.mapInArrow(run, f"`{own}` {kind}, " + ", ".join(f"{f} double" for f in _FEATURES))
-    # A text's digest names it: it is never null, and copies share their words.
-    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)).alias("digest")
-    named = rows.select(digest, text).mapInArrow(_named, "digest binary, name long, n long, words long").distinct()
-    mean = F.sum(F.col("n") * F.col("delta")) / F.greatest(F.max("words"), F.lit(1))
-    told = named.join(model.table, "name").groupBy("digest").agg(F.max("ratio").alias("ratio"), mean.alias("mean"), F.greatest(F.max("peak"), F.lit(0.0)).alias("peak"))
-    return rows.select(own, digest).join(told, "digest", "left").select(own, *[F.coalesce(f, F.lit(0.0)).alias(f) for f in _FEATURES])
+                yield pa.RecordBatch.from_arrays(*table(b.column(0), _rate(b.column(1), model, indexes)))
+
+        return part.mapInArrow(run, schema)
+    each, curve = model.grams.each, model.curve
+    texts = Work(rows.sparkSession, "toxicity").cut(part.mapInArrow(_in_blocks, f"own {kind}, text string, block long"), "texts")
+    found = texts.select("text", "block").mapInArrow(_named, "block long, name long").join(model.table, "name")
+
+    def told_of(block: pa.Table, found: pa.Table) -> pa.Table:
+        name = found.column("name").to_numpy().view(np.uint64)
+        order = np.argsort(name)
+        ratio = found.column("ratio").to_numpy()
+        words = np.flatnonzero(ratio > 0)
+        words = words[np.argsort(name[words] ^ np.uint64(_TAIL))]
+        grams = Grams(name[order], *(found.column(f).to_numpy()[order].astype(np.float32) for f in ("delta", "peak")), each)
+        of_block = Model(name[words] ^ np.uint64(_TAIL), ratio[words], grams, curve)
+        return pa.table(*table(block.column("own"), _rate(block.column("text").combine_chunks(), of_block)))
+
+    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(told_of, schema)
 
 
 def _calibrate(rows: DataFrame, model: Model) -> np.ndarray:

@@ -3,11 +3,13 @@
 import random
 import tracemalloc
 from collections import Counter
+from dataclasses import replace
 from itertools import pairwise
 from math import log
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from packhouse.llm import embedding, queries, text, toxicity
 
@@ -152,6 +154,25 @@ def test_search_in_a_large_model():
         assert np.diff(index.first, append=n).max() <= 12
 
 
+def test_joined_model_by_blocks(spark, frame):
+    """A block asks for each of its names once, not once a text; joined and sent models give the same numbers to the last bit."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b c", None, "A b", ""] * 50), pa.array([7] * 100 + [8] * 100)], ["text", "block"])
+    got = [tuple(r.values()) for b in toxicity._named(iter([batch])) for r in b.to_pylist()]
+    assert len(got) == len(set(got)) == 2 * (3 + 3 + 2)
+    draw = random.Random(11)
+    rows = [(" ".join(f"w{draw.randrange(80) + 20 * (i % 4 == 0)}" for _ in range(30)), int(i % 4 == 0)) for i in range(400)]
+    texts = [x for x, _ in rows[:40]] * 3 + [None, "", "nothing known here", "w3 " * 9000]
+    docs = frame(list(enumerate(texts))).repartition(3)
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, label int"))
+    none = toxicity.Grams.none()
+    table = toxicity._as_rows(spark, model.grams).unionByName(
+        spark.createDataFrame([(int(x), float(y)) for x, y in zip(text.as_long(model.name ^ np.uint64(toxicity._TAIL)), model.ratio, strict=True)], "name long, ratio double"), allowMissingColumns=True
+    ).groupBy("name").agg(*[F.coalesce(F.max(x), F.lit(0.0)).alias(x) for x in ("delta", "peak", "ratio")])
+    joined = replace(model, grams=replace(none, each=model.grams.each), name=none.name, table=table)
+    sent, asked = (sorted(map(tuple, toxicity.score(docs, m).collect())) for m in (model, joined))
+    assert len(model.grams.name) and len(sent) == len(texts) and sent == asked
+
+
 def test_without_labels(spark, frame):
     none = spark.createDataFrame([], "text string, label int")
     docs = frame([(1, "a b"), (1, "a b"), (None, None), (2, "x " * 400_000)])
