@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packhouse.config import Params
 from packhouse.functions import rules
 from packhouse.functions.numbers import pct
 from packhouse.functions.text import DASH, UNKNOWN
-from packhouse.operators.lookups import with_parent
+from packhouse.operators.lookups import in_two, with_parent
 from packhouse.operators.slices import crowded, numbered, numbered_whole
 
 
@@ -67,15 +67,17 @@ def orders_with_client(t, p: Params) -> DataFrame:
     return listed.orderBy(F.col("delivery_date").desc(), F.col("order_date").desc(), "id")
 
 
-def _order_heads(t) -> DataFrame:
-    orders = t.orders("id", "client_id", "order_date", "delivery_date", "total_revenue")
-    fields = {"client_name": "name", "client_type": "type", "client_phone": "phone", "credit_days": "credit_days"}
-    return with_parent(orders, t.clients("id", *fields.values()), "client_id", fields)
+def _order_heads(t, columns: list[str], fields: dict[str, str]) -> DataFrame:
+    heads, complete = in_two(t, "orders", "id", "client_id", *columns)
+    return complete(with_parent(heads, t.clients("id", *fields.values()), "client_id", fields)).withColumnRenamed("id", "order_id")
 
 
-def _items_with_product(t) -> DataFrame:
-    items = t.order_items("id", "order_id", "product_id", "quantity", "selling_price_used", "cost_used", "total_revenue", "total_cost")
-    return with_parent(items, t.products("id", "name", "unit"), "product_id", {"product_name": "name", "unit": "unit"})
+def _items_with_product(t, keep: Column | None = None, **more: Column) -> DataFrame:
+    """Items, of those asked for, with ``more`` columns and their product; they meet it by their keys and facts alone."""
+    items, complete = in_two(t, "order_items", "id", "order_id", "product_id", "quantity", "selling_price_used", "cost_used", "total_revenue", "total_cost")
+    items = (items if keep is None else items.filter(keep)).withColumns(more)
+    items = complete(with_parent(items, t.products("id", "name", "unit"), "product_id", {"product_name": "name", "unit": "unit"}))
+    return items.withColumnsRenamed({"id": "item_id", "total_revenue": "line_revenue", "total_cost": "line_cost"})
 
 
 def order_documents(t, p: Params) -> DataFrame:
@@ -85,30 +87,30 @@ def order_documents(t, p: Params) -> DataFrame:
     the numbering and the heads.  Only the items of very large orders are numbered in slices, and split over the join.
     """
     cols = ["transport_cost", "packaging_cost", "total_cost", "net_profit", "margin_percentage", "margin_zone"]
-    heads = t.orders("id", "client_id", "order_date", "delivery_date", "total_revenue", *cols)
     fields = {"client_name": "name", "client_name_ar": "name_ar", "client_type": "type", "client_phone": "phone", "credit_days": "credit_days"}
-    heads = with_parent(heads, t.clients("id", *fields.values()), "client_id", fields).withColumnRenamed("id", "order_id")
-    items = _items_with_product(t).withColumnsRenamed({"id": "item_id", "total_revenue": "line_revenue", "total_cost": "line_cost"})
-    items = items.filter(F.col("order_id").isNotNull())
+    heads = _order_heads(t, ["order_date", "delivery_date", "total_revenue", *cols], fields)
     ids = t.order_items("order_id", "id").withColumnRenamed("id", "item_id").filter(F.col("order_id").isNotNull())
     none = F.lit(0).cast("long")
 
-    def whole(items, ids, heads):
-        # Ids alone are counted, as a parent that repeats gives an item several rows.  An id that comes more than once in an
+    def whole(keep, heads):
+        # Rows of one item count once, as a parent that repeats gives an item several.  An id that comes more than once in an
         # order takes all of its positions, each time.
-        both = items.withColumn("counts", F.lit(0)).unionByName(ids.withColumn("counts", F.lit(1)), allowMissingColumns=True)
+        items = _items_with_product(t, keep, _row=F.monotonically_increasing_id())
+        same = Window.partitionBy("order_id", "item_id")
+        items = items.withColumn("counts", F.when(F.lag("_row").over(same.orderBy("_row")) == F.col("_row"), 0).otherwise(1))
         last = F.sum("counts").over(Window.partitionBy("order_id").orderBy("item_id"))
-        twins = F.sum("counts").over(Window.partitionBy("order_id", "item_id"))
-        both = both.withColumns({"last": last, "twins": twins}).filter("counts = 0 and twins > 0")
-        placed = both.withColumn("position", F.explode(F.sequence(F.expr("last - twins + 1"), "last"))).drop("counts", "last", "twins")
+        items = items.withColumns({"last": last, "twins": F.sum("counts").over(same)})
+        placed = items.withColumn("position", F.explode(F.sequence(F.expr("last - twins + 1"), "last"))).drop("_row", "counts", "last", "twins")
         return placed.join(heads, "order_id", "right").withColumn("position", F.coalesce("position", none))
 
+    known = F.col("order_id").isNotNull()
     large = crowded(ids.select("order_id"))
     if large is None:
-        return whole(items, ids, heads)
-    few, rest = whole(items.filter(~large), ids.filter(~large), heads.filter(~large)), heads.filter(large)
+        return whole(known, heads)
+    few, rest = whole(known & ~large, heads.filter(~large)), heads.filter(large)
     empty = rest.join(ids.select("order_id").filter(large).distinct(), "order_id", "left_anti").withColumn("position", none)
-    placed = items.filter(large).join(numbered(ids.filter(large), ["order_id"], [F.col("item_id").asc()], "position"), ["order_id", "item_id"])
+    numbers = numbered(ids.filter(large), ["order_id"], [F.col("item_id").asc()], "position")
+    placed = _items_with_product(t, known & large).join(numbers, ["order_id", "item_id"])
     return few.unionByName(placed.join(rest, "order_id", "inner")).unionByName(empty, allowMissingColumns=True)
 
 
@@ -118,12 +120,10 @@ def order_documents_flat(t, p: Params) -> DataFrame:
     The items lead the join, so that the lines of one very large order can be split
     over many tasks; orders without items are added by an anti join on distinct keys.
     """
-    item = {"id": "item_id", "total_revenue": "line_revenue", "total_cost": "line_cost"}
-    items = _items_with_product(t).withColumnsRenamed(item)
-    heads = _order_heads(t).withColumnRenamed("id", "order_id")
-    ordered = t.order_items("order_id").distinct()
-    empty = heads.join(ordered, "order_id", "left_anti")
-    return items.join(heads, "order_id", "inner").unionByName(empty, allowMissingColumns=True)
+    fields = {"client_name": "name", "client_type": "type", "client_phone": "phone", "credit_days": "credit_days"}
+    heads = _order_heads(t, ["order_date", "delivery_date", "total_revenue"], fields)
+    empty = heads.join(t.order_items("order_id").distinct(), "order_id", "left_anti")
+    return _items_with_product(t).join(heads, "order_id", "inner").unionByName(empty, allowMissingColumns=True)
 
 
 def batches_with_product(t, p: Params) -> DataFrame:

@@ -7,9 +7,10 @@ the whole tables, lazily, and only as far as the requested columns need.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,32 +104,43 @@ class Testdata:
     # ---------------------------------------------------------- order lines
 
     @once
-    def lines(self) -> DataFrame:
-        """Order lines with the raw facts the bindings draw on.
-
-        Quantities and amounts come as whole hundredths (``_c``): sums of their products
-        are exact in plain integers, and cheaper than in wide decimals.
-        """
+    def _facts(self) -> DataFrame:
+        """What is known of an order line: the least that has to go along until it has met its parents."""
         return self._read("lineitem").select(
-            text(F.col("l_orderkey")).alias("order_id"),
-            text(F.col("l_partkey")).alias("product_id"),
-            text(F.col("l_suppkey")).alias("supplier"),
-            F.col("l_linenumber").alias("line_number"),
             F.col("l_orderkey").alias("order_key"),
             F.col("l_partkey").alias("product_key"),
             F.col("l_suppkey").alias("supplier_key"),
-            hundredths(F.col("l_quantity")).alias("quantity_c"),
-            hundredths(F.col("l_extendedprice")).alias("revenue_c"),
-            hundredths(F.col("l_discount")).alias("discount_c"),
-            hundredths(F.col("l_tax")).alias("tax_c"),
+            F.col("l_linenumber").alias("line_number"),
             F.col("l_quantity").alias("quantity_d"),
             F.col("l_extendedprice").alias("revenue_d"),
-            F.when(F.col("l_partkey") % 2 == 0, rules.KG).otherwise("pc").alias("unit"),
+            F.col("l_discount").alias("discount_d"),
+            F.col("l_tax").alias("tax_d"),
             F.col("l_returnflag").alias("return_flag"),
             F.col("l_linestatus").alias("line_status"),
             F.col("l_shipdate").cast("date").alias("ship_date"),
         )
 
+    @staticmethod
+    def _derived(facts: DataFrame) -> DataFrame:
+        """Add what follows from the facts of a line, but for what is there.
+
+        Quantities and amounts come as whole hundredths (``_c``): sums of their products
+        are exact in plain integers, and cheaper than in wide decimals.
+        """
+        made = {
+            "order_id": text(F.col("order_key")),
+            "product_id": text(F.col("product_key")),
+            "supplier": text(F.col("supplier_key")),
+            **{f"{n}_c": hundredths(F.col(f"{n}_d")) for n in ("quantity", "revenue", "discount", "tax")},
+            "unit": F.when(F.col("product_key") % 2 == 0, rules.KG).otherwise("pc"),
+        }
+        return facts.withColumns({n: c for n, c in made.items() if n not in facts.columns})
+
+    @once
+    def lines(self) -> DataFrame:
+        """Order lines with the raw facts the bindings draw on, and what follows from them."""
+        return self._derived(self._facts())
+
     @staticmethod
     def _named(lines: DataFrame) -> DataFrame:
         """Add the id, quantity and revenue of a line.  Done after joins, so that a shuffle carries plain numbers."""
@@ -158,54 +170,102 @@ class Testdata:
 
     @once
     def _order_types(self) -> DataFrame:
-        heads = self._headers().select("order_key", "client_id", "created_at")
+        heads = self._headers().select("id", "order_key", "client_id", "created_at")
         return with_parent(heads, self.clients("id", "type"), "client_id", {"client_type": "type"})
 
     @staticmethod
-    def _texts(lines: DataFrame) -> DataFrame:
-        """Ids as text once more, after a join that carried only numbers."""
-        return lines.withColumns({"order_id": text(F.col("order_key")), "product_id": text(F.col("product_key")), "supplier": text(F.col("supplier_key"))})
-
-    def _priced(self, lines: DataFrame) -> DataFrame:
-        """Add the price a line was sold at: per quarter-kilo pack for a supermarket's kg goods, else per unit."""
-        packed = rules.is_supermarket(F.col("client_type")) & (F.col("unit") == rules.KG)
+    def _price() -> Column:
+        """The price a line was sold at: per quarter-kilo pack for a supermarket's kg goods, else per unit."""
         revenue, quantity = F.col("revenue_d"), F.col("quantity_d")
-        price = F.when(packed, revenue / (quantity * 4)).otherwise(revenue / quantity)
+        packed = F.col("to_supermarket") & (F.col("unit") == rules.KG)
+        return F.when(quantity > 0, F.when(packed, revenue / (quantity * 4)).otherwise(revenue / quantity))
+
+    def _priced(self, facts: DataFrame) -> DataFrame:
+        """Lines with the price that they were sold at, and what their order tells."""
         head = {"client_id": "client_id", "client_type": "client_type", "ordered_at": "created_at"}
-        priced = self._texts(with_parent(lines, self._order_types(), "order_key", head, parent_key="order_key"))
-        return self._named(priced.withColumn("selling_price_used", F.when(quantity > 0, price)))
+        lines = self._derived(with_parent(facts, self._order_types(), "order_key", head, parent_key="order_key"))
+        lines = lines.withColumn("to_supermarket", rules.is_supermarket(F.col("client_type")))
+        return self._named(lines.withColumn("selling_price_used", self._price()))
+
+    def _as_items(self, lines: DataFrame) -> DataFrame:
+        """Lines that have met their parents as items, with what those parents tell."""
+        items = self._named(self._derived(lines))
+        if "to_supermarket" in lines.columns:
+            items = items.withColumn("selling_price_used", self._price())
+        if "cost_c" in lines.columns:
+            items = items.withColumn("cost_used", from_units(F.col("cost_c"), 2))
+            items = items.withColumn("total_cost", from_units(F.col("cost_c") * F.col("quantity_c"), 4))
+        return items
+
+    def _with_type(self, lines: DataFrame, key: str, parent_key: str) -> DataFrame:
+        typed = with_parent(lines, self._order_types(), key, {"_client_type": "client_type"}, parent_key)
+        return typed.withColumn("to_supermarket", rules.is_supermarket(F.col("_client_type"))).drop("_client_type")
 
     @once
     def order_items(self, *cols: str) -> DataFrame:
         wanted = self._columns("order_items", cols)
-        items = self._priced(self.lines()) if ITEM_PRICE & set(wanted) else self._named(self.lines())
+        lines = self._facts()
+        if ITEM_PRICE & set(wanted):
+            lines = self._with_type(lines, "order_key", "order_key")
         if ITEM_COST & set(wanted):
-            items = with_parent(items, self._costs(), "product_id", {"cost_c": "cost_c"})
-            items = items.withColumn("cost_used", from_units(F.col("cost_c"), 2))
-            items = items.withColumn("total_cost", from_units(F.col("cost_c") * F.col("quantity_c"), 4))
-        return items.select(*wanted)
+            lines = lines.withColumn("product_id", text(F.col("product_key")))
+            lines = with_parent(lines, self._costs(), "product_id", {"cost_c": "cost_c"})
+        return self._as_items(lines).select(*wanted)
+
+    def order_items_in_two(self, *cols: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        """Items by their keys and facts, and what adds the other columns, after lookups by product: first the product's cost, then,
+        by ``order_id``, the price."""
+        wanted = self._columns("order_items", cols)
+        keys = {"order_id": "order_key", "product_id": "product_key"}
+        facts = [c for c in self._facts().columns if c not in keys.values()]
+        first = self._facts().select(*[text(F.col(c)).alias(n) for n, c in keys.items()], *[F.col(c).alias(f"_{c}") for c in facts])
+
+        def complete(rows: DataFrame) -> DataFrame:
+            # Kept apart, as a parent's column may have the name of a line's.
+            added = [F.struct(c).alias(f"_added_{c}") for c in rows.columns if c not in first.columns]
+            if ITEM_COST & set(wanted):
+                rows = with_parent(rows, self._costs(), "product_id", {"_cost_c": "cost_c"})
+            if ITEM_PRICE & set(wanted):
+                rows = self._with_type(rows, "order_id", "id").withColumnRenamed("to_supermarket", "_to_supermarket")
+            parents = [c for c in ("cost_c", "to_supermarket") if f"_{c}" in rows.columns]
+            lines = rows.select(
+                *keys, *[F.col(n).cast("long").alias(c) for n, c in keys.items()], *[F.col(f"_{c}").alias(c) for c in [*facts, *parents]], *added
+            )
+            return self._as_items(lines).select(*wanted, *[f"{c}.*" for c in lines.columns if c.startswith("_added_")])
+
+        return first, complete
 
     # --------------------------------------------------------------- orders
 
     @once
     def orders(self, *cols: str) -> DataFrame:
+        first, complete = self.orders_in_two(*cols)
+        return complete(first)
+
+    def orders_in_two(self, *cols: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        """Headers, and what adds the sums of their lines, by ``id``, after other lookups."""
         wanted = self._columns("orders", cols)
-        orders = self._headers()
-        need_cost = bool(ORDER_COST & set(wanted))
-        if need_cost or ORDER_REVENUE & set(wanted):
-            orders = orders.join(self._order_totals(need_cost), "id", "left")
-            zero = F.lit(0).cast("decimal(18,2)")
-            names = ["total_revenue", "transport_cost", "packaging_cost"] + (["farmer_cost"] if need_cost else [])
-            orders = orders.withColumns({n: F.coalesce(F.col(n), zero) for n in names})
-        if need_cost:
-            cost = money(F.col("farmer_cost") + F.col("transport_cost") + F.col("packaging_cost"))
-            orders = orders.withColumn("total_cost", cost)
-            orders = orders.withColumn("net_profit", money(F.col("total_revenue") - F.col("total_cost")))
-            margin = pct(F.col("net_profit"), F.col("total_revenue"))
-            orders = orders.withColumns(
-                {"margin_percentage": round_half_up(margin, 2), "margin_zone": rules.margin_zone(margin)}
-            )
-        return orders.select(*wanted)
+        first = self._headers()
+
+        def complete(orders: DataFrame) -> DataFrame:
+            added = [c for c in orders.columns if c not in first.columns]
+            need_cost = bool(ORDER_COST & set(wanted))
+            if need_cost or ORDER_REVENUE & set(wanted):
+                orders = orders.join(self._order_totals(need_cost), "id", "left")
+                zero = F.lit(0).cast("decimal(18,2)")
+                names = ["total_revenue", "transport_cost", "packaging_cost"] + (["farmer_cost"] if need_cost else [])
+                orders = orders.withColumns({n: F.coalesce(F.col(n), zero) for n in names})
+            if need_cost:
+                cost = money(F.col("farmer_cost") + F.col("transport_cost") + F.col("packaging_cost"))
+                orders = orders.withColumn("total_cost", cost)
+                orders = orders.withColumn("net_profit", money(F.col("total_revenue") - F.col("total_cost")))
+                margin = pct(F.col("net_profit"), F.col("total_revenue"))
+                orders = orders.withColumns(
+                    {"margin_percentage": round_half_up(margin, 2), "margin_zone": rules.margin_zone(margin)}
+                )
+            return orders.select(*wanted, *added)
+
+        return first, complete
 
     def _costs(self) -> DataFrame:
         return self._read("part").select(text(F.col("p_partkey")).alias("id"), hundredths(F.col("p_retailprice")).alias("cost_c"))
@@ -220,7 +280,8 @@ class Testdata:
         }
         if with_cost:
             costs = self._read("part").select("p_partkey", hundredths(F.col("p_retailprice")).alias("cost_c"))
-            lines = self._texts(with_parent(lines, costs, "product_key", {"cost_c": "cost_c"}, parent_key="p_partkey"))
+            lines = with_parent(lines.drop("order_id"), costs, "product_key", {"cost_c": "cost_c"}, parent_key="p_partkey")
+            lines = self._derived(lines)
             sums["farmer_cost"] = money(from_units(F.sum(F.col("cost_c") * F.col("quantity_c")), 4))
         return lines.groupBy(F.col("order_id").alias("id")).agg(*[c.alias(name) for name, c in sums.items()])
 
@@ -310,7 +371,7 @@ class Testdata:
         wanted = self._columns("client_pricing_history", cols)
         if wanted == ["product_id"]:
             return self.lines().select(*wanted)
-        priced = self._priced(self.lines()).withColumnRenamed("ordered_at", "changed_at")
+        priced = self._priced(self._facts()).withColumnRenamed("ordered_at", "changed_at")
         return priced.withColumn("selling_price", cents(F.col("selling_price_used"))).select(*wanted)
 
     @once
@@ -555,8 +616,8 @@ class Testdata:
 
     def price_changes(self) -> DataFrame:
         # Lines meet their order as numbers, before ids and texts are made of them.
-        lines = with_parent(self.lines(), self._headers(), "order_key", {"client_id": "client_id"}, parent_key="order_key")
-        feed = self._feed_of_lines(self._texts(lines), "client_id")
+        lines = with_parent(self._facts(), self._headers(), "order_key", {"client_id": "client_id"}, parent_key="order_key")
+        feed = self._feed_of_lines(self._derived(lines), "client_id")
         feed = self._faulty(feed, {3: {"client_id": F.lit("")}, 4: {"product_id": F.lit("")}, 5: {"price": F.lit(None).cast("decimal(18,2)")}})
         return feed.select("client_id", "product_id", F.col("price").alias("selling_price"), "op", "changed_at", "seq")
 
@@ -640,8 +701,9 @@ class Testdata:
         headers = self.orders("id", "client_id", "order_date", "delivery_date", "transport_cost", "packaging_cost", "order_status")
         headers = headers.filter(F.col("order_status") == "P").drop("order_status")
         headers = headers.withColumn("delivery_date", F.date_add("delivery_date", 1))
-        lines = self._priced(self.lines().filter(F.col("return_flag") != "R"))
-        lines = lines.join(headers.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+        # Lines meet their order as numbers, as they do for their price: one shuffle serves both.
+        open_ = self._headers().filter(F.col("order_status") == "P").select("order_key")
+        lines = self._priced(self._facts().filter(F.col("return_flag") != "R").join(open_, "order_key", "left_semi"))
         lines = with_parent(lines, self.products("id", "cost_per_unit"), "product_id", {"cost_used": "cost_per_unit"})
         packs = rules.recovered_packs(F.col("unit") == rules.KG, F.col("selling_price_used"), F.col("total_revenue"))
         lines = lines.select(
@@ -809,7 +871,7 @@ class Testdata:
 
     def reassigned_lines(self) -> DataFrame:
         """Draft lines moved to another client."""
-        return self._priced(self.lines()).select("id", "product_id", F.col("supplier").alias("new_client_id"), "selling_price_used")
+        return self._priced(self._facts()).select("id", "product_id", F.col("supplier").alias("new_client_id"), "selling_price_used")
 
     def pricing_entries(self) -> DataFrame:
         """What a user typed into the price calculator for each product."""
