@@ -122,8 +122,10 @@ def order_documents_flat(t, p: Params) -> DataFrame:
     """
     fields = {"client_name": "name", "client_type": "type", "client_phone": "phone", "credit_days": "credit_days"}
     heads = _order_heads(t, ["order_date", "delivery_date", "total_revenue"], fields)
-    empty = heads.join(t.order_items("order_id").distinct(), "order_id", "left_anti")
-    return _items_with_product(t).join(heads, "order_id", "inner").unionByName(empty, allowMissingColumns=True)
+    # Orders without id stand apart, so that both joins ask for the same heads, which are then shuffled once.
+    known, unknown = heads.filter(F.col("order_id").isNotNull()), heads.filter(F.col("order_id").isNull())
+    empty = known.join(t.order_items("order_id").distinct(), "order_id", "left_anti").unionByName(unknown)
+    return _items_with_product(t).join(known, "order_id", "inner").unionByName(empty, allowMissingColumns=True)
 
 
 def batches_with_product(t, p: Params) -> DataFrame:

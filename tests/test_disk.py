@@ -116,3 +116,14 @@ def test_positions_count_lines_once(given, far):
     ids = sorted(i for o, i in got if o == "1")
     assert len(ids) == 4 and [got["1", i] for i in ids] == [{n * k + j for j in range(1, n + 1)} for k in range(4)]
     assert got["6", None] == {0} and got[None, None] == {0} and not [k for k in got if k[0] == "90"]
+
+
+def test_flat_documents_shuffle_heads_once(given, far):
+    """Two joins ask for the heads, and get the same."""
+    df = catalog.order_documents_flat(given, P)
+    got = df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    by_order = [x for x in final.splitlines() if "ReusedExchange" in x and "client_phone" in x]
+    assert by_order, final
+    assert {r["order_id"] for r in got} == {str(k) for k in range(7)} | {None}
+    assert {r["item_id"] for r in got if r["order_id"] in (None, "6")} == {None}
