@@ -283,11 +283,17 @@ def order_labels(t, p: Params) -> DataFrame:
 # -------------------------------------------------------------------- drafts
 
 
-def lines_as_drafts(t, order_ids: DataFrame | None = None) -> DataFrame:
-    """Lines of earlier orders as form lines; of the orders asked for, or of all."""
-    items = t.order_items("id", "order_id", "product_id", "quantity", "selling_price_used", "cost_used", "total_revenue")
+def lines_as_drafts(t, order_ids: DataFrame | None = None, typed_only: bool = False) -> DataFrame:
+    """Lines of earlier orders as form lines; of the orders asked for, or of all.
+
+    ``typed_only`` gives what the form's fields hold, without what is looked up of the product.
+    """
+    columns = ["id", "order_id", "product_id", "quantity", "selling_price_used"]
+    items = t.order_items(*columns, *([] if typed_only else ["cost_used", "total_revenue"]))
     if order_ids is not None:
         items = items.join(order_ids.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+    if typed_only:
+        return items.withColumnsRenamed({"id": "item_id", "selling_price_used": "selling_price"})
     product = {"product_name": "name", "unit": "unit", "product_cost": "cost_per_unit"}
     items = with_parent(items, t.products("id", *product.values()), "product_id", product)
     items = items.withColumn("packs", _packs_of_kg_goods())

@@ -494,14 +494,19 @@ class Testdata:
 
     @staticmethod
     def _several(rows: DataFrame, columns: list[str], *made: tuple) -> DataFrame:
-        """Of each row one row per (when, changed values) that holds for it, from one pass over the rows."""
+        """Of each row one row per (when, changed values) that holds for it, from one pass over the rows.
+
+        Columns that none of them changes stay beside the list, where a filter on them reaches the rows.
+        """
         types = dict(zip(rows.columns, (f.dataType for f in rows.schema)))
+        changed = [c for c in columns if any(c in values for _, values in made)]
 
         def one(when, values):
-            row = F.struct(*[(values[c].cast(types[c]) if c in types else values[c]).alias(c) if c in values else F.col(c) for c in columns])
+            row = F.struct(*[(values[c].cast(types[c]) if c in types else values[c]).alias(c) if c in values else F.col(c) for c in changed])
             return F.when(when, row)
 
-        return rows.select(F.inline(F.array_compact(F.array(*[one(*m) for m in made]))))
+        same = [c for c in columns if c not in changed]
+        return rows.select(*same, F.inline(F.array_compact(F.array(*[one(*m) for m in made])))).select(*columns)
 
     def _feed_of(self, rows: DataFrame, columns: list[str], *events: tuple) -> DataFrame:
         return self._several(rows, ["id", *columns, "op", "changed_at", "seq"], *events)
@@ -582,7 +587,7 @@ class Testdata:
 
     def _faulty(self, feed: DataFrame, blanks: dict[int, dict]) -> DataFrame:
         """The feed, and later upserts that leave out what a write asks for, by line number."""
-        late = {"op": F.lit("upsert"), "changed_at": F.date_add("changed_at", 9000).cast("timestamp"), "seq": F.concat(F.lit("bad-"), F.col("seq"))}
+        late = {"changed_at": F.date_add("changed_at", 9000).cast("timestamp"), "seq": F.concat(F.lit("bad-"), F.col("seq"))}
         wrong = [((F.col("line_number") == n) & (F.col("op") == "upsert"), {**late, **blank}) for n, blank in blanks.items()]
         return self._several(feed, feed.columns, (F.lit(True), {}), *wrong)
 
@@ -767,16 +772,14 @@ class Testdata:
         forms = self._batch_forms()
         kind = F.col("product_id").cast("long") % 40
         none = F.lit(None)
-        wrong = forms.filter(kind < 5).withColumns(
-            {
-                "id": F.concat(F.lit("bad-"), F.col("id")),
-                "harvested_qty": F.when(kind == 1, none).when(kind == 2, F.lit(-1)).otherwise(F.col("harvested_qty")).cast("decimal(18,2)"),
-                "damaged_count": F.when(kind == 3, F.lit(-4)).otherwise(F.col("damaged_count")),
-                "expired_count": F.when(kind == 4, F.lit(-4)).otherwise(F.col("expired_count")),
-                "product_id": F.when(kind == 0, F.lit("")).otherwise(F.col("product_id")),
-            }
-        )
-        return forms.unionByName(wrong)
+        wrong = {
+            "id": F.concat(F.lit("bad-"), F.col("id")),
+            "harvested_qty": F.when(kind == 1, none).when(kind == 2, F.lit(-1)).otherwise(F.col("harvested_qty")),
+            "damaged_count": F.when(kind == 3, F.lit(-4)).otherwise(F.col("damaged_count")),
+            "expired_count": F.when(kind == 4, F.lit(-4)).otherwise(F.col("expired_count")),
+            "product_id": F.when(kind == 0, F.lit("")).otherwise(F.col("product_id")),
+        }
+        return self._several(forms, forms.columns, (F.lit(True), {}), (kind < 5, wrong))
 
     def _batch_forms(self) -> DataFrame:
         return self._batch_rollup().select(

@@ -3,10 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from packhouse.config import Params
+from packhouse.operators import quality
 from packhouse.operators.lookups import in_two, with_parent
-from packhouse.plans import catalog
+from packhouse.plans import catalog, maintenance
+from packhouse.plans.orders import lines_as_drafts
 from packhouse.sources.schemas import schema
 from packhouse.sources.testdata import Testdata
 from small import Small, day, frame
@@ -127,3 +130,36 @@ def test_flat_documents_shuffle_heads_once(given, far):
     assert by_order, final
     assert {r["order_id"] for r in got} == {str(k) for k in range(7)} | {None}
     assert {r["item_id"] for r in got if r["order_id"] in (None, "6")} == {None}
+
+
+def test_refused_forms_ask_for_no_parents(given, far):
+    """A form's lines are counted by their own fields: neither product nor client's type is looked up for them, as it was."""
+    headers, lines = maintenance.order_forms(given, typed_only=True)
+    whole = maintenance.order_forms(given)
+    assert reads(maintenance.refused_forms(headers, lines), "part") == reads(maintenance.refused_forms(headers, lines), "customer") - 1 == 0
+    want = quality.rejected(maintenance._checked_forms(headers, maintenance._typed_lines(*whole, given.clients("id", "type"))))
+    shown = ["id", "failures"]
+    assert rows(maintenance.refused_forms(headers, lines).select(*shown)) == rows(want.select(*shown)) != []
+
+
+def test_typed_fields_of_drafts(given):
+    few = lines_as_drafts(given, typed_only=True)
+    if given.copies == 1:
+        assert rows(few) == rows(lines_as_drafts(given).select(*few.columns))
+    assert set(rows(few)) == set(rows(lines_as_drafts(given).select(*few.columns)))
+
+
+def test_deletes_are_not_read_for_rejects(given, far):
+    """Only upserts can be refused: lines that delete are left out before they are shuffled."""
+    refused = quality.split_changes(given.price_changes(), quality.price_rules())[1]
+    text = refused._jdf.queryExecution().optimizedPlan().toString()
+    join = text.index("Join LeftOuter")
+    assert "l_returnflag" in "".join(x for x in text[join:].splitlines(True) if "Filter" in x), text
+
+
+def test_batch_forms_are_grouped_once(given, far):
+    forms = given.batch_forms()
+    assert reads(forms, "lineitem") == 1
+    plain = given._batch_forms()
+    bad = plain.filter(F.col("product_id").cast("long") % 40 < 5).count()
+    assert bad and forms.count() == plain.count() + bad and forms.schema == plain.schema
